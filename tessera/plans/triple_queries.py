@@ -1 +1,307 @@
-"""Query plans (filled in below)."""
+"""Triple-pattern queries, ontology statistics and class-hierarchy walks over
+the derived triple view T (customers/nations/regions as classes, nation
+lists as RDF collections, suppliers as individuals)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators import triples as tp
+from tessera.operators.fixpoint import cut, fixpoint
+from tessera.plans import views
+from tessera.plans.registry import register
+from tessera.sources.tables import Tables
+
+
+def store(spark: SparkSession, sf_dir: str) -> tp.Triples:
+    return tp.Triples(views.triples(spark, sf_dir))
+
+
+def W(body: str, recursive: bool = False) -> str:
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + views.T_SQL.strip() + ",\n" + body
+
+
+# --- basic graph patterns, OPTIONAL, UNION, NOT EXISTS ------------------------------
+
+@register("join_bgp_chain", sql=W("""x AS (SELECT 1)
+SELECT a.s AS r, a.o AS q, b.o AS l, c.o AS name
+FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T c ON c.s = a.s AND c.p = 'label'
+WHERE a.p = 'equivalentClass'"""))
+def join_bgp_chain(spark, sf_dir):
+    t = store(spark, sf_dir)
+    return t.bgp(("?r", "equivalentClass", "?q"), ("?q", "intersectionOf", "?l"), ("?r", "label", "?name")).select(
+        "r", "q", "l", "name")
+
+
+@register("join_bgp_var_predicate", sql=W("""x AS (SELECT 1)
+SELECT a.s AS r, b.o AS l, c.p AS about
+FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T c ON c.s = b.o AND c.o = 'Place'
+WHERE a.p = 'equivalentClass'"""))
+def join_bgp_var_predicate(spark, sf_dir):
+    t = store(spark, sf_dir)
+    return t.bgp(("?r", "equivalentClass", "?q"), ("?q", "intersectionOf", "?l"), ("?l", "?about", "Place")).select(
+        "r", "l", "about")
+
+
+@register("set_union_bag", sql=W("""x AS (SELECT 1)
+SELECT a.s AS x, l.o AS name, a.o AS c
+FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T d ON d.s = b.o AND d.o = 'Place'
+     JOIN T l ON l.s = a.s AND l.p = 'label'
+WHERE a.p = 'equivalentClass'
+UNION ALL
+SELECT a.s, l.o, NULL FROM T a JOIN T l ON l.s = a.s AND l.p = 'label' WHERE a.p = 'subClassOf' AND a.o = 'NamedPlace'"""))
+def set_union_bag(spark, sf_dir):
+    t = store(spark, sf_dir)
+    a = t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place"),
+              ("?x", "label", "?name"))
+    b = t.bgp(("?x", "subClassOf", "NamedPlace"), ("?x", "label", "?name"))
+    return tp.union(a, b).select("x", "name", "c")
+
+
+@register("set_distinct", sql=W("""x AS (SELECT 1)
+SELECT DISTINCT a.s AS class, b.o AS label
+FROM T a LEFT JOIN T b ON b.s = a.s AND b.p = 'label' WHERE a.p = 'type' AND a.o = 'Class'"""))
+def set_distinct(spark, sf_dir):
+    t = store(spark, sf_dir)
+    return tp.optional(t.pattern("?class", "type", "Class"), t.pattern("?class", "label", "?label")).distinct()
+
+
+@register("join_optional", sql=W("""x AS (SELECT 1)
+SELECT a.s AS class, b.o AS label
+FROM T a LEFT JOIN T b ON b.s = a.s AND b.p = 'label' AND b.lang = 'en' WHERE a.p = 'type' AND a.o = 'Class'"""))
+def join_optional(spark, sf_dir):
+    t = store(spark, sf_dir)
+    en = t.pattern("?class", "label", "?label", lang="lg").filter(F.col("lg") == "en").drop("lg")
+    return tp.optional(t.pattern("?class", "type", "Class"), en)
+
+
+@register("join_not_exists", sql=W("""x AS (SELECT 1)
+SELECT a.s AS class FROM T a
+WHERE a.p = 'type' AND a.o = 'Class' AND NOT EXISTS (SELECT 1 FROM T b WHERE b.s = a.s AND b.p = 'label')"""))
+def join_not_exists(spark, sf_dir):
+    t = store(spark, sf_dir)
+    return tp.not_exists(t.pattern("?class", "type", "Class"), t.pattern("?class", "label", "?l"))
+
+
+# --- the two-UNION compatible join and what is built on it ----------------------------
+
+J5_SQL = """reach(start, node) AS (
+  SELECT DISTINCT o, o FROM T WHERE p = 'intersectionOf'
+  UNION SELECT r.start, t.o FROM reach r JOIN T t ON t.s = r.node AND t.p = 'rest'),
+mem AS (SELECT DISTINCT r.start AS i, f.o AS r FROM reach r JOIN T f ON f.s = r.node AND f.p = 'first'),
+A AS (SELECT a.s AS x, a.o AS c, b.o AS i, d.p AS about
+      FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T d ON d.s = b.o AND d.o = 'Place'
+      WHERE a.p = 'equivalentClass'
+      UNION ALL SELECT s, NULL, NULL, NULL FROM T WHERE p = 'subClassOf' AND o = 'NamedPlace'),
+B AS (SELECT a.s AS x, a.o AS c, b.o AS i, m.r, sv.o AS t
+      FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN mem m ON m.i = b.o
+           JOIN T sv ON sv.s = m.r AND sv.p = 'someValuesFrom'
+      WHERE a.p = 'equivalentClass'
+      UNION ALL SELECT a.s, NULL, NULL, a.o, b.o FROM T a JOIN T b ON b.s = a.o AND b.p = 'someValuesFrom'
+      WHERE a.p = 'subClassOf'),
+J AS (SELECT A.x, A.about, B.r, B.t, coalesce(A.c, B.c) AS c, coalesce(A.i, B.i) AS i
+      FROM A JOIN B ON A.x = B.x AND (A.c = B.c OR A.c IS NULL OR B.c IS NULL) AND (A.i = B.i OR A.i IS NULL OR B.i IS NULL))"""
+
+
+def compatible(spark: SparkSession, sf_dir: str, with_label: bool = False) -> DataFrame:
+    """{A1} UNION {A2} joined with {B1} UNION {B2}; A1/B1 bind c and i, A2/B2 do not."""
+    t = store(spark, sf_dir)
+    a1 = [("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place")]
+    a2 = [("?x", "subClassOf", "NamedPlace")]
+    if with_label:
+        a1.append(("?x", "label", "?name"))
+        a2.append(("?x", "label", "?name"))
+    a = tp.union(t.bgp(*a1), t.bgp(*a2))
+    heads = t.pattern("?c", "intersectionOf", "?i").select("i").distinct()
+    members = tp.path_star_then(t.df, heads, "rest", "first", start_col="i", out_col="r")
+    b1 = tp.join_all([t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i")), members,
+                      t.pattern("?r", "someValuesFrom", "?t")])
+    b2 = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t"))
+    return tp.compatible_join(a, tp.union(b1, b2), always_bound=["x"])
+
+
+@register("join_compatible", sql=W(J5_SQL + "\nSELECT x, about, r, t, c, i FROM J", recursive=True))
+def join_compatible(spark, sf_dir):
+    return compatible(spark, sf_dir).select("x", "about", "r", "t", "c", "i")
+
+
+@register("agg_group_count_topk", sql=W(J5_SQL + """
+SELECT t, count(x) AS n FROM J GROUP BY t ORDER BY n DESC, t LIMIT 10""", recursive=True))
+def agg_group_count_topk(spark, sf_dir):
+    j = compatible(spark, sf_dir)
+    return j.groupBy("t").agg(F.count("x").alias("n")).orderBy(F.col("n").desc(), F.col("t")).limit(10)
+
+
+@register("flt_iri_neq", sql=W(J5_SQL + "\nSELECT x, t FROM J WHERE t <> 'n0'", recursive=True))
+def flt_iri_neq(spark, sf_dir):
+    return compatible(spark, sf_dir).filter(F.col("t") != "n0").select("x", "t")
+
+
+@register("set_construct", sql=W(J5_SQL + """,
+K AS (SELECT * FROM J WHERE t <> 'n0' AND x IN (SELECT s FROM T WHERE p = 'label'))
+SELECT DISTINCT x AS s, 'isVegetarian' AS p, 'true' AS o, 'lit' AS o_kind FROM K
+UNION SELECT DISTINCT x, 'hasTopping', t, 'iri' FROM K""", recursive=True))
+def set_construct(spark, sf_dir):
+    j = compatible(spark, sf_dir, with_label=True).filter(F.col("t") != "n0")
+    return tp.construct(j, [("?x", "isVegetarian", ("true", "lit")), ("?x", "hasTopping", "?t")])
+
+
+@register("flt_iri_suffix", sql=W("""A AS (
+  SELECT a.s AS x, l.o AS name, l.lang AS lg
+  FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T d ON d.s = b.o AND d.o = 'Place'
+       JOIN T l ON l.s = a.s AND l.p = 'label' WHERE a.p = 'equivalentClass'
+  UNION ALL SELECT a.s, l.o, l.lang FROM T a JOIN T l ON l.s = a.s AND l.p = 'label'
+  WHERE a.p = 'subClassOf' AND a.o = 'NamedPlace')
+SELECT A.x, A.name, sv.o AS t
+FROM A JOIN T sc ON sc.s = A.x AND sc.p = 'subClassOf' JOIN T sv ON sv.s = sc.o AND sv.p = 'someValuesFrom'
+WHERE ends_with(sv.o, '3') AND A.lg = 'en'"""))
+def flt_iri_suffix(spark, sf_dir):
+    t = store(spark, sf_dir)
+    a1 = t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place"),
+               t.pattern("?x", "label", "?name", lang="lg"))
+    a2 = t.bgp(("?x", "subClassOf", "NamedPlace"), t.pattern("?x", "label", "?name", lang="lg"))
+    parts = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t"))
+    j = tp.join_all([tp.union(a1, a2), parts])
+    return j.filter(F.col("t").endswith("3") & (F.col("lg") == "en")).select("x", "name", "t")
+
+
+@register("flt_lang_tag", sql=W("x AS (SELECT 1) SELECT s AS x, o AS name FROM T WHERE p = 'label' AND lang = 'en'"))
+def flt_lang_tag(spark, sf_dir):
+    t = store(spark, sf_dir)
+    return t.pattern("?x", "label", "?name", lang="lg").filter(F.col("lg") == "en").select("x", "name")
+
+
+@register("flt_contains_lcase", sql="SELECT doc_id FROM documents WHERE contains(lower(text), 'ment')")
+def flt_contains_lcase(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    return d.filter(F.contains(F.lower("text"), F.lit("ment"))).select("doc_id")
+
+
+# --- ontology statistics -----------------------------------------------------------------
+
+@register("agg_count_distinct_by_type", sql=W("""x AS (SELECT 1)
+SELECT count(DISTINCT CASE WHEN o = 'Class' THEN s END) AS classes,
+       count(DISTINCT CASE WHEN o = 'ObjectProperty' THEN s END) AS properties,
+       count(DISTINCT CASE WHEN o = 'NamedIndividual' THEN s END) AS individuals
+FROM T WHERE p = 'type'"""))
+def agg_count_distinct_by_type(spark, sf_dir):
+    t = views.triples(spark, sf_dir).filter(F.col("p") == "type")
+    return t.agg(*[F.count_distinct(F.when(F.col("o") == o, F.col("s"))).alias(n)
+                   for o, n in (("Class", "classes"), ("ObjectProperty", "properties"), ("NamedIndividual", "individuals"))])
+
+
+@register("agg_union_distinct_counts", sql=W("""U AS (
+  SELECT s AS class, NULL AS prop, NULL AS ind FROM T WHERE p = 'type' AND o = 'Class'
+  UNION ALL SELECT NULL, s, NULL FROM T WHERE p = 'type' AND o = 'ObjectProperty'
+  UNION ALL SELECT NULL, NULL, s FROM T WHERE p = 'type' AND o = 'NamedIndividual')
+SELECT count(DISTINCT class) AS classes, count(DISTINCT prop) AS properties, count(DISTINCT ind) AS individuals FROM U"""))
+def agg_union_distinct_counts(spark, sf_dir):
+    t = store(spark, sf_dir)
+    u = tp.union(t.pattern("?class", "type", "Class"), t.pattern("?prop", "type", "ObjectProperty"),
+                 t.pattern("?ind", "type", "NamedIndividual"))
+    return u.agg(F.count_distinct("class").alias("classes"), F.count_distinct("prop").alias("properties"),
+                  F.count_distinct("ind").alias("individuals"))
+
+
+STATS_SQL = """SELECT count(DISTINCT CASE WHEN (p = 'type' AND o = 'Class') OR p = 'subClassOf' THEN s END) AS classes,
+       count(DISTINCT CASE WHEN p = 'type' AND o = 'ObjectProperty' THEN s END) AS properties,
+       count(DISTINCT CASE WHEN p = 'type' AND o = 'NamedIndividual' THEN s END) AS individuals,
+       (SELECT count(*) FROM (SELECT DISTINCT s, p, o, o_kind, lang FROM {src})) AS triples
+FROM {src}"""
+
+
+@register("agg_graph_stats", sql=W("x AS (SELECT 1)\n" + STATS_SQL.format(src="T")))
+def agg_graph_stats(spark, sf_dir):
+    return tp.graph_stats(views.triples(spark, sf_dir))
+
+
+@register("agg_graph_compare", sql=W("""G AS (SELECT 'original' AS graph, * FROM T WHERE lang <> 'pt'
+                 UNION ALL SELECT 'modified', * FROM T)
+SELECT graph,
+       count(DISTINCT CASE WHEN (p = 'type' AND o = 'Class') OR p = 'subClassOf' THEN s END) AS classes,
+       count(DISTINCT CASE WHEN p = 'type' AND o = 'ObjectProperty' THEN s END) AS properties,
+       count(DISTINCT CASE WHEN p = 'type' AND o = 'NamedIndividual' THEN s END) AS individuals,
+       count(DISTINCT (s, p, o, o_kind, lang)) AS triples
+FROM G GROUP BY graph"""))
+def agg_graph_compare(spark, sf_dir):
+    t = views.triples(spark, sf_dir)
+    g = t.filter(F.col("lang") != "pt").withColumn("graph", F.lit("original")).unionByName(
+        t.withColumn("graph", F.lit("modified")))
+    is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
+    return g.groupBy("graph").agg(
+        F.count_distinct(F.when(is_class, F.col("s"))).alias("classes"),
+        F.count_distinct(F.when((F.col("p") == "type") & (F.col("o") == "ObjectProperty"), F.col("s"))).alias("properties"),
+        F.count_distinct(F.when((F.col("p") == "type") & (F.col("o") == "NamedIndividual"), F.col("s"))).alias("individuals"),
+        F.count_distinct("s", "p", "o", "o_kind", "lang").alias("triples"),
+    )
+
+
+# --- paths and hierarchy ---------------------------------------------------------------------
+
+@register("graph_list_members", sql=W("""reach(start, node) AS (
+  SELECT DISTINCT o, o FROM T WHERE p = 'intersectionOf'
+  UNION SELECT r.start, t.o FROM reach r JOIN T t ON t.s = r.node AND t.p = 'rest')
+SELECT DISTINCT r.start AS head, f.o AS member FROM reach r JOIN T f ON f.s = r.node AND f.p = 'first'""",
+                                      recursive=True))
+def graph_list_members(spark, sf_dir):
+    t = store(spark, sf_dir)
+    heads = t.pattern("?c", "intersectionOf", "?head").select("head").distinct()
+    return tp.path_star_then(t.df, heads, "rest", "first", start_col="head", out_col="member")
+
+
+HIER_SQL = """cls AS (SELECT DISTINCT s FROM T WHERE (p = 'type' AND o = 'Class') OR p = 'subClassOf'),
+sub AS (SELECT DISTINCT s AS child, o AS parent FROM T WHERE p = 'subClassOf' AND o IN (SELECT s FROM cls)),
+roots AS (SELECT s AS root FROM cls WHERE s NOT IN (SELECT child FROM sub))"""
+
+
+def hierarchy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(roots, sub): classes without a named superclass, and the subclass
+    edges between declared classes."""
+    t = views.triples(spark, sf_dir)
+    is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
+    cls = t.filter(is_class).select("s").distinct()
+    sub = (
+        t.filter(F.col("p") == "subClassOf")
+        .select(F.col("s").alias("child"), F.col("o").alias("parent"))
+        .join(cls.select(F.col("s").alias("parent")), "parent", "left_semi")
+        .distinct()
+    )
+    roots = cls.join(sub.select(F.col("child").alias("s")), "s", "left_anti").select(F.col("s").alias("root"))
+    return roots, sub
+
+
+@register("graph_roots", sql=W(HIER_SQL + "\nSELECT root FROM roots"))
+def graph_roots(spark, sf_dir):
+    return hierarchy(spark, sf_dir)[0]
+
+
+@register("graph_depth", sql=W(HIER_SQL + """,
+walk(root, node, depth) AS (SELECT root, root, 1 FROM roots
+  UNION SELECT w.root, sub.child, w.depth + 1 FROM walk w JOIN sub ON sub.parent = w.node)
+SELECT root, max(depth) AS depth FROM walk GROUP BY root""", recursive=True))
+def graph_depth(spark, sf_dir):
+    roots, sub = hierarchy(spark, sf_dir)
+    sub = cut(sub)
+    seed = roots.select("root", F.col("root").alias("node"), F.lit(1).alias("depth"))
+    walk = fixpoint(
+        seed,
+        lambda d: d.join(sub, d.node == sub.parent).select("root", F.col("child").alias("node"), (F.col("depth") + 1).alias("depth")),
+        key=["root", "node", "depth"],
+    )
+    return walk.groupBy("root").agg(F.max("depth").alias("depth"))
+
+
+@register("graph_closure_filter", sql=W("""sub AS (SELECT s AS child, o AS parent FROM T WHERE p = 'subClassOf'),
+clos(c) AS (SELECT 'r0' UNION SELECT sub.child FROM clos JOIN sub ON sub.parent = clos.c),
+parts AS (SELECT a.s AS x, b.o AS t FROM T a JOIN T b ON b.s = a.o WHERE a.p = 'subClassOf' AND b.p = 'someValuesFrom')
+SELECT DISTINCT x FROM parts p
+WHERE NOT EXISTS (SELECT 1 FROM parts q JOIN clos ON clos.c = q.t WHERE q.x = p.x)""", recursive=True))
+def graph_closure_filter(spark, sf_dir):
+    """Things none of whose parts is the excluded class or any subclass of it."""
+    t = store(spark, sf_dir)
+    excluded = tp.subclass_closure(t.df, spark.createDataFrame([("r0",)], "root string")).select(F.col("cls").alias("t"))
+    parts = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t")).select("x", "t")
+    bad = parts.join(excluded, "t", "left_semi").select("x")
+    return parts.select("x").distinct().join(bad, "x", "left_anti")
