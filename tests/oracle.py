@@ -19,11 +19,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return "NaN"
+            return None
         r = round(v, 6)
         return 0.0 if r == 0 else r
     if isinstance(v, bool):
@@ -39,7 +39,7 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
     cols = sorted(pdf.columns)
     out = []
     for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(x) if not (isinstance(x, float) and pd.isna(x)) else None for x in rec))
+        out.append(tuple(_norm(x) for x in rec))
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
