@@ -1 +1,214 @@
-"""Query plans (filled in below)."""
+"""Classification metrics, dataset splits, Spark ML training/scoring and
+experiment-run tables.
+
+Fixtures: ``labels.quality`` is the truth and ``labels.toxic`` the prediction
+of the metric queries; ``embeddings`` (64-dim, ``label`` 0..9) and
+``documents`` x ``labels`` are the training sets; ``events`` is the run log
+(run = user_id, metric = event_type, value, step = ts)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators import classify as cl
+from tessera.plans.registry import register
+from tessera.sources import files
+from tessera.sources.runs import RunLog, best_run, latest_per_key
+from tessera.sources.tables import Tables
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("agg_accuracy", sql="SELECT round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM labels")
+def agg_accuracy(spark, sf_dir):
+    return cl.accuracy(Tables(spark, sf_dir).labels, "quality", "toxic").select(F.round("accuracy", 6).alias("accuracy"))
+
+
+def _wprf_sql(src: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    on = f"sup.{group} = pred.{group} AND " if group else ""
+    gsel = f"coalesce(sup.{group}, pred.{group}) AS {group}, " if group else ""
+    tpon = f"tp.{group} = coalesce(sup.{group}, pred.{group}) AND " if group else ""
+    return f"""conf AS (SELECT {g}y, p, count(*) AS n FROM {src} GROUP BY ALL),
+sup AS (SELECT {g}y AS c, sum(n) AS sup FROM conf GROUP BY ALL),
+pred AS (SELECT {g}p AS c, sum(n) AS pred FROM conf GROUP BY ALL),
+tp AS (SELECT {g}y AS c, sum(n) AS tp FROM conf WHERE y = p GROUP BY ALL),
+per AS (SELECT {gsel}coalesce(sup.sup, 0) AS sup, coalesce(pred.pred, 0) AS pred, coalesce(tp.tp, 0) AS tp
+        FROM sup FULL JOIN pred ON {on}sup.c = pred.c
+        LEFT JOIN tp ON {tpon}tp.c = coalesce(sup.c, pred.c)),
+m AS (SELECT {g}sup, CASE WHEN pred = 0 THEN 0.0 ELSE tp / pred END AS pc, CASE WHEN sup = 0 THEN 0.0 ELSE tp / sup END AS rc FROM per),
+m2 AS (SELECT *, CASE WHEN pc + rc = 0 THEN 0.0 ELSE 2 * pc * rc / (pc + rc) END AS fc FROM m),
+w AS (SELECT {g}sum(sup * pc) / sum(sup) AS precision, sum(sup * rc) / sum(sup) AS recall, sum(sup * fc) / sum(sup) AS f1
+      FROM m2 {gb})"""
+
+
+@register("agg_weighted_prf", sql="WITH " + _wprf_sql("(SELECT quality AS y, toxic AS p FROM labels)")
+          + " SELECT round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM w")
+def agg_weighted_prf(spark, sf_dir):
+    w = cl.weighted_prf(Tables(spark, sf_dir).labels, "quality", "toxic")
+    return w.select(*[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("agg_num_labels", sql="SELECT count(DISTINCT label) AS n_labels FROM embeddings")
+def agg_num_labels(spark, sf_dir):
+    return Tables(spark, sf_dir).embeddings.agg(F.count_distinct("label").alias("n_labels"))
+
+
+SPLIT10 = "CASE doc_id % 10 WHEN 8 THEN 'validation' WHEN 9 THEN 'test' ELSE 'train' END"
+
+
+def _split10(col: str = "doc_id"):
+    m = F.col(col) % 10
+    return F.when(m == 8, "validation").when(m == 9, "test").otherwise("train")
+
+
+@register("ml_eval_per_split", sql=f"""WITH src AS (SELECT {SPLIT10} AS split, quality AS y, toxic AS p FROM labels),
+acc AS (SELECT split, avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END) AS accuracy FROM src GROUP BY split),
+{_wprf_sql('src', 'split')}
+SELECT acc.split, round(accuracy, 6) AS accuracy, round(w.f1, 6) AS f1 FROM acc JOIN w USING (split)""")
+def ml_eval_per_split(spark, sf_dir):
+    lb = Tables(spark, sf_dir).labels.withColumn("split", _split10())
+    acc = cl.accuracy(lb, "quality", "toxic", ["split"])
+    w = cl.weighted_prf(lb, "quality", "toxic", ["split"])
+    return acc.join(w, "split").select("split", F.round("accuracy", 6).alias("accuracy"), F.round("f1", 6).alias("f1"))
+
+
+@register("src_split_dataset", sql="""SELECT d.doc_id, CASE WHEN d.doc_id % 100 < 80 THEN 'train'
+  WHEN d.doc_id % 100 < 90 THEN 'validation' ELSE 'test' END AS split, l.quality AS label, d.n_chars
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id""")
+def src_split_dataset(spark, sf_dir):
+    """A labelled text set with named splits; the split is a pure function of
+    the id, so it is fixed at ingest and ``filter(split = ...)`` prunes."""
+    t = Tables(spark, sf_dir)
+    b = F.col("doc_id") % 100
+    split = F.when(b < 80, "train").when(b < 90, "validation").otherwise("test")
+    return t.documents.join(t.labels, "doc_id").select("doc_id", split.alias("split"), F.col("quality").alias("label"),
+                                                       "n_chars")
+
+
+@register("ml_split", sql="SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM embeddings")
+def ml_split(spark, sf_dir):
+    e = Tables(spark, sf_dir).embeddings
+    return e.select("vec_id", F.when(F.col("vec_id") % 5 == 0, "test").otherwise("train").alias("split"))
+
+
+SCORES_SQL = """s AS (SELECT vec_id, CAST(embedding AS DOUBLE[])[1:6] AS l FROM embeddings),
+pr AS (SELECT vec_id, l, list_transform(l, lambda x: exp(x - list_max(l))) AS ex FROM s),
+sm AS (SELECT vec_id, l, list_transform(ex, lambda v: v / list_sum(ex)) AS p FROM pr)"""
+
+
+@register("ml_predict_confidence", sql=f"""WITH {SCORES_SQL}
+SELECT vec_id, {'[' + ', '.join(repr(n) for n in cl.LABEL_NAMES) + ']'}[list_position(l, list_max(l))] AS emotion,
+       round(p[list_position(l, list_max(l))], 6) AS confidence FROM sm""")
+def ml_predict_confidence(spark, sf_dir):
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", F.slice("embedding", 1, 6).alias("l"))
+    p = e.select("vec_id", "l", cl.softmax("l").alias("p"))
+    i = cl.argmax_first("l")
+    return p.select("vec_id", cl.label_name(i).alias("emotion"), F.round(F.element_at("p", i + 1), 6).alias("confidence"))
+
+
+@register("ml_softmax", sql=f"WITH {SCORES_SQL} SELECT vec_id, "
+          + ", ".join(f"round(p[{i + 1}], 6) AS p{i}" for i in range(6)) + " FROM sm")
+def ml_softmax(spark, sf_dir):
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", cl.softmax(F.slice("embedding", 1, 6)).alias("p"))
+    return e.select("vec_id", *[F.round(F.element_at("p", i + 1), 6).alias(f"p{i}") for i in range(6)])
+
+
+# --- run tables -------------------------------------------------------------------------
+
+def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = Tables(spark, sf_dir).events
+    return ev.select(F.col("user_id").alias("run_id"), F.col("event_type").alias("key"), "value",
+                     F.unix_micros(F.col("ts").cast("timestamp")).alias("step"), "event_id")
+
+
+RUNS_SQL = "runs AS (SELECT user_id AS run_id, " + ", ".join(
+    f"arg_max(value, (ts, event_id)) FILTER (WHERE event_type = '{k}') AS {k}" for k in EVENT_TYPES
+) + " FROM events GROUP BY user_id)"
+
+
+@register("src_runs_search", sql=f"WITH {RUNS_SQL} SELECT * FROM runs")
+def src_runs_search(spark, sf_dir):
+    m = _metric_log(spark, sf_dir)
+    return latest_per_key(m, EVENT_TYPES, F.struct("step", "event_id"))
+
+
+@register("agg_best_run", sql=f"""WITH {RUNS_SQL}
+SELECT run_id, error AS eval_loss FROM runs ORDER BY coalesce(error, 'inf'::DOUBLE), run_id LIMIT 1""")
+def agg_best_run(spark, sf_dir):
+    runs = latest_per_key(_metric_log(spark, sf_dir), EVENT_TYPES, F.struct("step", "event_id"))
+    return best_run(runs.withColumnRenamed("error", "eval_loss"), "eval_loss")
+
+
+@register("snk_run_log", sql="""SELECT 'metric' AS kind, user_id AS run_id, event_type AS key, value, epoch_us(ts) AS step FROM events
+UNION ALL SELECT 'param', user_id, 'n_events', CAST(count(*) AS DOUBLE), NULL FROM events GROUP BY user_id""")
+def snk_run_log(spark, sf_dir):
+    """Append the run log (metrics per step, one parameter per run) and read it back."""
+    log = RunLog(spark, files.scratch_path(spark, "runs"))
+    m = _metric_log(spark, sf_dir)
+    log.log_metrics(m)
+    log.log_params(m.groupBy("run_id").agg(F.lit("n_events").alias("key"), F.count(F.lit(1)).alias("value")))
+    metrics = log.metrics().select(F.lit("metric").alias("kind"), "run_id", "key", "value", "step")
+    params = log.params().select(F.lit("param").alias("kind"), "run_id", "key", F.col("value").cast("double"),
+                                 F.lit(None).cast("long").alias("step"))
+    return metrics.unionByName(params)
+
+
+@register("snk_metric_text", sql="""WITH a AS (SELECT avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END) AS acc FROM labels),
+""" + _wprf_sql("(SELECT quality AS y, toxic AS p FROM labels)") + """
+SELECT printf('Accuracy: %.4f', acc) AS line FROM a UNION ALL SELECT printf('F1 Score: %.4f', f1) FROM w""")
+def snk_metric_text(spark, sf_dir):
+    lb = Tables(spark, sf_dir).labels
+    acc = cl.accuracy(lb, "quality", "toxic").select(F.format_string("Accuracy: %.4f", "accuracy").alias("line"))
+    f1 = cl.weighted_prf(lb, "quality", "toxic").select(F.format_string("F1 Score: %.4f", "f1").alias("line"))
+    path = files.scratch_path(spark, "metrics-text")
+    files.write_text(acc.unionByName(f1), "line", path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+# --- Spark ML (rows-only checks: model outputs have no SQL equivalent) ------------------------
+
+def _labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return t.documents.join(t.labels, "doc_id").select(
+        "doc_id", "text", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("label"))
+
+
+@register("ml_train_forest")
+def ml_train_forest(spark, sf_dir):
+    model = cl.text_forest().fit(_labelled_docs(spark, sf_dir))
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    return cl.predict_with_confidence(model, docs, ["doc_id"]).withColumn("confidence", F.round("confidence", 6))
+
+
+@register("ml_batch_predict_safe")
+def ml_batch_predict_safe(spark, sf_dir):
+    model = cl.text_forest().fit(_labelled_docs(spark, sf_dir))
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    return cl.batch_predict_safe(model, docs, "text", ["doc_id"])
+
+
+@register("ml_train_logistic")
+def ml_train_logistic(spark, sf_dir):
+    e = cl.with_vector(Tables(spark, sf_dir).embeddings.withColumn("label", F.col("label").cast("double")), "embedding")
+    model = cl.logistic().fit(e)
+    from pyspark.ml.functions import vector_to_array
+
+    out = model.transform(e).withColumn("_p", vector_to_array("probability"))
+    return out.select("vec_id", F.col("prediction").cast("int").alias("prediction"),
+                      F.round(F.array_max("_p"), 6).alias("confidence"))
+
+
+@register("ml_lr_sweep")
+def ml_lr_sweep(spark, sf_dir):
+    """One model per regularisation value, validation accuracy per value, and
+    the best value marked (the learning-rate sweep re-aimed at Spark ML)."""
+    e = cl.with_vector(Tables(spark, sf_dir).embeddings.withColumn("label", F.col("label").cast("double")), "embedding")
+    values = [1e-5, 2e-5, 5e-5]
+    _, metrics = cl.sweep(e, cl.logistic().setMaxIter(100), "regParam", values)
+    rows = [(v, float(m)) for v, m in zip(values, metrics)]
+    df = spark.createDataFrame(rows, "reg_param double, val_accuracy double")
+    best = max(rows, key=lambda r: (r[1], -r[0]))[0]
+    return df.withColumn("is_best", F.col("reg_param") == F.lit(best))
