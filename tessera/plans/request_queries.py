@@ -1 +1,89 @@
-"""Query plans (filled in below)."""
+"""Request validation, batch checks, request metrics, latency files and
+per-user windows over ``events`` (request key = user_id + event_type,
+success = event_type <> 'error', time = value) and ``documents``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import requests as rq
+from tessera.plans.registry import register
+from tessera.sources import files
+from tessera.sources.tables import Tables
+
+
+@register("val_request_bounds", sql=f"""SELECT doc_id, length(text) BETWEEN 1 AND 1000 AS is_valid,
+  CASE WHEN text IS NULL OR length(text) < 1 THEN '{rq.ERR_EMPTY}' WHEN length(text) > 1000 THEN '{rq.ERR_TOO_LONG}' END AS error
+FROM documents""")
+def val_request_bounds(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    ok, err = rq.validate_text(F.col("text"))
+    return d.select("doc_id", ok.alias("is_valid"), err.alias("error"))
+
+
+@register("val_batch_size", sql=f"""SELECT user_id, count(*) AS n_texts, count(*) <= 100 AS accepted,
+  CASE WHEN count(*) > 100 THEN '{rq.ERR_BATCH}' END AS error FROM events GROUP BY user_id""")
+def val_batch_size(spark, sf_dir):
+    return rq.batch_sizes(Tables(spark, sf_dir).events, "user_id")
+
+
+@register("src_request_json", sql="""SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+  coalesce(json_extract_string(props, '$.model_version'), 'default') AS model_version FROM events""")
+def src_request_json(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    req = rq.parse_request(F.col("props"), "k int, model_version string", {"model_version": rq.DEFAULT_MODEL_VERSION})
+    return ev.select("event_id", req.alias("r")).select("event_id", "r.k", "r.model_version")
+
+
+@register("agg_request_metrics", sql="""WITH k AS (SELECT user_id, event_type, count(*) AS n,
+    arg_min(value, (ts, event_id)) AS v FROM events GROUP BY ALL)
+SELECT CAST(sum(n) AS BIGINT) AS total_requests,
+       count(*) FILTER (WHERE event_type <> 'error') AS successful_requests,
+       round(avg(v) FILTER (WHERE event_type <> 'error'), 6) AS average_processing_time,
+       CAST(sum(n) - count(*) AS BIGINT) AS cache_hits,
+       round(CASE WHEN sum(n) = 0 THEN 0.0 ELSE (sum(n) - count(*)) / sum(n) END, 6) AS cache_hit_rate
+FROM k""")
+def agg_request_metrics(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    m = rq.request_metrics(ev, ["user_id", "event_type"], ["ts", "event_id"], F.col("event_type") != "error", "value")
+    return m.select("total_requests", "successful_requests", F.round("average_processing_time", 6).alias("average_processing_time"),
+                    "cache_hits", F.round("cache_hit_rate", 6).alias("cache_hit_rate"))
+
+
+@register("agg_latency_mean", sql="""SELECT event_type AS endpoint,
+  round(avg(CAST(replace(replace(printf('%.2f', value), '.', ','), ',', '.') AS DOUBLE)), 6) AS mean_seconds
+FROM events GROUP BY event_type""")
+def agg_latency_mean(spark, sf_dir):
+    """Latency file with a decimal comma (quoted by the CSV writer): written,
+    read back as text, comma turned into a point, averaged per endpoint."""
+    ev = Tables(spark, sf_dir).events
+    rows = ev.select(F.col("event_type").alias("endpoint"),
+                     F.regexp_replace(F.format_string("%.2f", "value"), r"\.", ",").alias("seconds"))
+    path = files.scratch_path(spark, "latency")
+    files.write_csv(rows, path)
+    raw = files.read_csv_strings(spark, path, ["endpoint", "seconds"])
+    secs = F.regexp_replace("seconds", ",", ".").try_cast("double")
+    return raw.filter(F.col("endpoint").isNotNull()).groupBy("endpoint").agg(F.round(F.avg(secs), 6).alias("mean_seconds"))
+
+
+@register("win_running_average", sql="""SELECT event_id, user_id, running_count, round(running_sum, 2) AS running_sum,
+  round(round(running_sum, 2) / running_count, 6) AS running_mean FROM (
+  SELECT event_id, user_id,
+    count(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count,
+    sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_sum
+  FROM events)""")
+def win_running_average(spark, sf_dir):
+    """Running mean of the processing time per user (values are in cents, so
+    the checked mean is taken from the running sum rounded to cents)."""
+    ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "value")
+    r = rq.running_mean(ev, "user_id", ["ts", "event_id"], "value")
+    cents = F.round("running_sum", 2)
+    return r.select("event_id", "user_id", "running_count", cents.alias("running_sum"),
+                    F.round(cents / F.col("running_count"), 6).alias("running_mean"))
+
+
+@register("win_keep_newest", sql="""SELECT event_id, user_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 5""")
+def win_keep_newest(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts")
+    return rq.keep_newest(ev, "user_id", ["ts", "event_id"], 5).select("event_id", "user_id")
