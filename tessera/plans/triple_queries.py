@@ -305,3 +305,81 @@ def graph_closure_filter(spark, sf_dir):
     parts = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t")).select("x", "t")
     bad = parts.join(excluded, "t", "left_semi").select("x")
     return parts.select("x").distinct().join(bad, "x", "left_anti")
+
+
+# --- scoring of generated queries ----------------------------------------------------------
+
+from tessera.operators import querygen as qg  # noqa: E402
+
+
+def generated_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One generated query text per part: four forms (select/construct/ask/
+    other) naming nation, region or customer classes, some of which exist."""
+    p = Tables(spark, sf_dir).part
+    k30 = (F.col("p_partkey") % 30).cast("string")
+    k7 = (F.col("p_partkey") % 7).cast("string")
+    form = F.col("p_size") % 4
+    q = (F.when(form == 0, F.concat(F.lit("SELECT ?x WHERE { ?x a x:n"), k30, F.lit(" }")))
+         .when(form == 1, F.concat(F.lit("  construct { ?x a x:r"), k7, F.lit(" } where { ?x a x:r"), k7, F.lit(" }")))
+         .when(form == 2, F.concat(F.lit("ASK { ?x a x:c"), F.col("p_partkey").cast("string"), F.lit(" }")))
+         .otherwise(F.concat(F.lit("FIND "), F.col("p_name"))))
+    return p.select("p_partkey", q.alias("q"))
+
+
+GQ_SQL = """gq AS (SELECT p_partkey, CASE p_size % 4
+    WHEN 0 THEN 'SELECT ?x WHERE { ?x a x:n' || CAST(p_partkey % 30 AS VARCHAR) || ' }'
+    WHEN 1 THEN '  construct { ?x a x:r' || CAST(p_partkey % 7 AS VARCHAR) || ' } where { ?x a x:r' || CAST(p_partkey % 7 AS VARCHAR) || ' }'
+    WHEN 2 THEN 'ASK { ?x a x:c' || CAST(p_partkey AS VARCHAR) || ' }'
+    ELSE 'FIND ' || p_name END AS q FROM part)"""
+
+_STARTS = " OR ".join(f"starts_with(upper(regexp_replace(q, '^\\s+|\\s+$', '', 'g')), '{f}')" for f in qg.QUERY_FORMS)
+
+
+@register("val_query_form", sql=f"""WITH {GQ_SQL}
+SELECT p_partkey, ({_STARTS}) AND contains(upper(q), 'WHERE') AS valid,
+  CASE WHEN NOT ({_STARTS}) THEN '{qg.MSG_BAD_START}' WHEN NOT contains(upper(q), 'WHERE') THEN '{qg.MSG_NO_WHERE}'
+       ELSE '{qg.MSG_SYNTAX_OK}' END AS message FROM gq""")
+def val_query_form(spark, sf_dir):
+    g = generated_queries(spark, sf_dir)
+    ok, msg = qg.validate_form(F.col("q"))
+    return g.select("p_partkey", ok.alias("valid"), msg.alias("message"))
+
+
+@register("val_ontology_terms", sql=W(GQ_SQL + f""",
+cls AS (SELECT DISTINCT s FROM T WHERE p = 'type' AND o = 'Class'),
+refs AS (SELECT p_partkey, unnest(regexp_extract_all(q, 'x:(\\w+)', 1)) AS c FROM gq),
+miss AS (SELECT p_partkey, count(*) AS n FROM refs WHERE c NOT IN (SELECT s FROM cls) GROUP BY p_partkey)
+SELECT gq.p_partkey, contains(q, 'x:') AND coalesce(miss.n, 0) = 0 AS valid,
+  CASE WHEN NOT contains(q, 'x:') THEN '{qg.MSG_NO_PREFIX}' WHEN coalesce(miss.n, 0) = 0 THEN '{qg.MSG_TERMS_OK}'
+       ELSE '{qg.MSG_TERMS_BAD}' END AS message
+FROM gq LEFT JOIN miss ON miss.p_partkey = gq.p_partkey"""))
+def val_ontology_terms(spark, sf_dir):
+    classes = store(spark, sf_dir).pattern("?cls", "type", "Class").distinct()
+    return qg.ontology_terms(generated_queries(spark, sf_dir), "p_partkey", "q", classes, "x")
+
+
+PATTERNS = ["the", "und", "que"]
+_PAT_SQL = "[" + ", ".join(f"'{p}'" for p in PATTERNS) + "]"
+SCORE_SQL = f"""sc AS (SELECT doc_id, len(list_filter({_PAT_SQL}, lambda x: contains(text, x))) / {float(len(PATTERNS))} AS ps,
+  least(1.0, (length(text) - length(replace(text, '.', ''))) / 3.0) AS rs FROM documents)"""
+
+
+@register("flt_expected_pattern_score", sql=f"WITH {SCORE_SQL} SELECT doc_id, round(ps, 6) AS pattern_score FROM sc")
+def flt_expected_pattern_score(spark, sf_dir):
+    d = Tables(spark, sf_dir).documents
+    return d.select("doc_id", F.round(qg.pattern_score(F.col("text"), PATTERNS), 6).alias("pattern_score"))
+
+
+@register("agg_result_score", sql=f"""WITH {SCORE_SQL}
+SELECT doc_id, round(ps, 6) AS pattern_score, round(rs, 6) AS result_score, round(ps * 0.6 + rs * 0.4, 6) AS total_score,
+  CASE WHEN ps * 0.6 + rs * 0.4 >= 0.7 THEN 'PASS' ELSE 'FAIL' END AS status FROM sc""")
+def agg_result_score(spark, sf_dir):
+    """min(1, found / min_results) with found = sentences ('.') in the text,
+    total = 0.6 pattern + 0.4 result, PASS from 0.7."""
+    d = Tables(spark, sf_dir).documents
+    ps = qg.pattern_score(F.col("text"), PATTERNS)
+    found = F.char_length("text") - F.char_length(F.replace(F.col("text"), F.lit("."), F.lit("")))
+    rs = qg.result_score(found, 3)
+    total, status = qg.total_score(ps, rs)
+    return d.select("doc_id", F.round(ps, 6).alias("pattern_score"), F.round(rs, 6).alias("result_score"),
+                    F.round(total, 6).alias("total_score"), status.alias("status"))
