@@ -18,59 +18,61 @@ def _s(prefix: str, col: str):
     return F.concat(F.lit(prefix), F.col(col).cast("string"))
 
 
-def _triple(s, p, o, kind="iri", lang=""):
-    return [
+def _t(s, p, o, kind="iri", lang="", when=None):
+    """One triple as a struct; ``when`` makes it conditional (NULL otherwise)."""
+    st = F.struct(
         s.alias("s"),
         (F.lit(p) if isinstance(p, str) else p).alias("p"),
         (F.lit(o) if isinstance(o, str) else o).alias("o"),
         F.lit(kind).alias("o_kind"),
         F.lit(lang).alias("lang"),
-    ]
+    )
+    return st if when is None else F.when(when, st)
+
+
+def _emit(df: DataFrame, *triples) -> DataFrame:
+    """Each input row emits its triples: one scan per source table, expanded
+    by a generator (conditional triples are NULL and dropped)."""
+    return df.select(F.inline(F.array_compact(F.array(*triples))))
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    cust, nat, reg, sup = t.customer, t.nation, t.region, t.supplier
     w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
-    cell = nat.select(
+    cell = t.nation.select(
         "n_nationkey",
         "n_regionkey",
         F.row_number().over(w).alias("i"),
         F.count(F.lit(1)).over(Window.partitionBy("n_regionkey")).alias("k"),
     )
     cell_id = lambda i: F.concat(F.lit("l"), F.col("n_regionkey").cast("string"), F.lit("_"), i.cast("string"))
+    c, n, r = _s("c", "c_custkey"), _s("n", "n_nationkey"), _s("r", "r_regionkey")
+    l0 = F.concat(F.lit("l"), F.col("r_regionkey").cast("string"), F.lit("_0"))
     parts = [
-        cust.select(*_triple(_s("c", "c_custkey"), "subClassOf", "NamedPlace")),
-        cust.select(*_triple(_s("c", "c_custkey"), "subClassOf", _s("x", "c_nationkey"))),
-        cust.select(*_triple(_s("c", "c_custkey"), "type", "Class")),
-        cust.select(*_triple(_s("c", "c_custkey"), "label", F.col("c_name"), "lit", "en")),
-        cust.filter(F.col("c_custkey") % 2 == 0).select(
-            *_triple(_s("c", "c_custkey"), "label", F.lower("c_name"), "lit", "pt")
-        ),
-        nat.select(*_triple(_s("x", "n_nationkey"), "someValuesFrom", _s("n", "n_nationkey"))),
-        nat.select(*_triple(_s("n", "n_nationkey"), "subClassOf", _s("r", "n_regionkey"))),
-        nat.select(*_triple(_s("n", "n_nationkey"), "type", "Class")),
-        nat.filter(F.col("n_nationkey") % 3 > 0).select(
-            *_triple(_s("n", "n_nationkey"), "label", F.col("n_name"), "lit", "en")
-        ),
-        reg.select(*_triple(_s("r", "r_regionkey"), "type", "Class")),
-        reg.select(*_triple(_s("r", "r_regionkey"), "label", F.col("r_name"), "lit", "en")),
-        reg.select(*_triple(_s("r", "r_regionkey"), "equivalentClass", _s("q", "r_regionkey"))),
-        reg.select(
-            *_triple(
-                _s("q", "r_regionkey"),
-                "intersectionOf",
-                F.concat(F.lit("l"), F.col("r_regionkey").cast("string"), F.lit("_0")),
-            )
-        ),
-        reg.select(*_triple(F.concat(F.lit("l"), F.col("r_regionkey").cast("string"), F.lit("_0")), "first", "Place")),
-        cell.select(*_triple(cell_id(F.col("i")), "first", _s("x", "n_nationkey"))),
-        cell.select(*_triple(cell_id(F.col("i") - 1), "rest", cell_id(F.col("i")))),
-        cell.filter(F.col("i") == F.col("k")).select(*_triple(cell_id(F.col("i")), "rest", "nil")),
-        spark.createDataFrame([("placedBy",), ("inNation",)], "p string").select(
-            *_triple(F.concat(F.lit("p_"), F.col("p")), "type", "ObjectProperty")
-        ),
-        sup.select(*_triple(_s("s", "s_suppkey"), "type", "NamedIndividual")),
+        _emit(t.customer,
+              _t(c, "subClassOf", "NamedPlace"),
+              _t(c, "subClassOf", _s("x", "c_nationkey")),
+              _t(c, "type", "Class"),
+              _t(c, "label", F.col("c_name"), "lit", "en"),
+              _t(c, "label", F.lower("c_name"), "lit", "pt", when=F.col("c_custkey") % 2 == 0)),
+        _emit(t.nation,
+              _t(_s("x", "n_nationkey"), "someValuesFrom", n),
+              _t(n, "subClassOf", _s("r", "n_regionkey")),
+              _t(n, "type", "Class"),
+              _t(n, "label", F.col("n_name"), "lit", "en", when=F.col("n_nationkey") % 3 > 0)),
+        _emit(t.region,
+              _t(r, "type", "Class"),
+              _t(r, "label", F.col("r_name"), "lit", "en"),
+              _t(r, "equivalentClass", _s("q", "r_regionkey")),
+              _t(_s("q", "r_regionkey"), "intersectionOf", l0),
+              _t(l0, "first", "Place")),
+        _emit(cell,
+              _t(cell_id(F.col("i")), "first", _s("x", "n_nationkey")),
+              _t(cell_id(F.col("i") - 1), "rest", cell_id(F.col("i"))),
+              _t(cell_id(F.col("i")), "rest", "nil", when=F.col("i") == F.col("k"))),
+        _emit(spark.createDataFrame([("placedBy",), ("inNation",)], "p string"),
+              _t(F.concat(F.lit("p_"), F.col("p")), "type", "ObjectProperty")),
+        _emit(t.supplier, _t(_s("s", "s_suppkey"), "type", "NamedIndividual")),
     ]
     out = parts[0]
     for p in parts[1:]:
