@@ -33,6 +33,10 @@ from pyspark.sql import types as T
 QUERY_BLOCK_ROWS = 2048
 COLLECTION_BLOCK_ROWS = 65536
 CHUNK_ROWS = 2048
+# Scores are ranked after rounding to this many decimals, so that
+# mathematically equal scores (duplicate or collinear vectors) tie exactly
+# and fall back to the id order instead of to floating-point noise.
+RANK_DECIMALS = 12
 
 
 def _matrix(tbl: pa.Table, col: str) -> np.ndarray:
@@ -89,6 +93,7 @@ def _score_group_fn(qid: str, cid: str, qvec: str, cvec: str, k: int, metric: st
                 s = q @ c.T
             else:  # negative squared L2, so that larger is better everywhere
                 s = -(q_sq[:, None] - 2.0 * (q @ c.T) + np.einsum("ij,ij->i", c, c)[None, :])
+            s = np.round(s, RANK_DECIMALS)
             if exclude_self:
                 s[q_ids[:, None] == c_ids_all[None, start:start + CHUNK_ROWS]] = -np.inf
             m = s.shape[1]
@@ -172,7 +177,7 @@ def knn(
     fn = _score_group_fn("qid", "id", "qvec", "cvec", k, metric, exclude_self, out_arrow)
     partial = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(fn, out_spark)
     order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
-    w = Window.partitionBy("qid").orderBy(order, F.col("id").asc())
+    w = Window.partitionBy("qid").orderBy(order, F.col("id").asc())  # scores arrive rounded
     return (
         partial.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)

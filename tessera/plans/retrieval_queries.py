@@ -30,7 +30,7 @@ def knn_sql(k: int, where: str = "") -> str:
 e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pairs AS (
   SELECT a.vec_id AS qid, b.vec_id AS id,
-         list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS score
+         round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 12) AS score
   FROM e a JOIN e b ON a.vec_id <> b.vec_id {where}),
 hits AS (
   SELECT qid, id, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank
@@ -65,7 +65,7 @@ def join_knn_filtered(spark, sf_dir):
     sql="""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pairs AS (
   SELECT a.vec_id AS qid, b.vec_id AS id,
-         list_dot_product(a.v, a.v) - 2 * list_dot_product(a.v, b.v) + list_dot_product(b.v, b.v) AS d
+         round(list_dot_product(a.v, a.v) - 2 * list_dot_product(a.v, b.v) + list_dot_product(b.v, b.v), 12) AS d
   FROM e a JOIN e b ON a.vec_id <> b.vec_id)
 SELECT qid, id AS vec_id, round(d, 6) AS distance,
        CAST(row_number() OVER (PARTITION BY qid ORDER BY d, id) AS INTEGER) AS rank
