@@ -61,7 +61,7 @@ def tfidf(docs: DataFrame, key: str, text: str, vocab_size: int = 1000) -> DataF
     tf_v = tf.join(F.broadcast(vocab), "term")
     dfreq = tf_v.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.count()
-    w = tf_v.join(dfreq, "term").select(
+    w = tf_v.join(F.broadcast(dfreq), "term").select(  # <= vocab_size rows
         key, "term", (F.col("tf") * (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))

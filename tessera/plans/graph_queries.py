@@ -131,3 +131,14 @@ def graph_import_nodes(spark, sf_dir):
     nodes = raw.select(F.lit("Researcher").alias("labels"), "name", "affiliation",
                        files.to_integer("h_index").alias("h_index"))
     return nodes.unionByName(nodes)
+
+
+@register("flt_node_match", sql=views.with_views(
+    "SELECT id, name FROM V WHERE label = 'Customer' AND prop = 'BUILDING'", views.V_SQL))
+def flt_node_match(spark, sf_dir):
+    """``MATCH (n:Customer {segment: 'BUILDING'})``: label membership and a
+    property-map lookup."""
+    v = views.nodes(spark, sf_dir).select(
+        "id", "name", F.array("label").alias("labels"),
+        F.create_map(F.lit("name"), F.col("name"), F.lit("segment"), F.col("prop")).alias("properties"))
+    return v.filter(F.array_contains("labels", "Customer") & (F.col("properties")["segment"] == "BUILDING")).select("id", "name")

@@ -383,3 +383,11 @@ def agg_result_score(spark, sf_dir):
     total, status = qg.total_score(ps, rs)
     return d.select("doc_id", F.round(ps, 6).alias("pattern_score"), F.round(rs, 6).alias("result_score"),
                     F.round(total, 6).alias("total_score"), status.alias("status"))
+
+
+@register("set_union_distinct", sql=W("""x AS (SELECT 1)
+SELECT s FROM T WHERE p = 'type' AND o = 'Class' UNION SELECT s FROM T WHERE p = 'subClassOf'"""))
+def set_union_distinct(spark, sf_dir):
+    """Declared classes: subjects typed Class ∪ subjects of subClassOf, as a set."""
+    t = store(spark, sf_dir)
+    return t.pattern("?s", "type", "Class").union(t.pattern("?s", "subClassOf", "?o").select("s")).distinct()

@@ -107,9 +107,13 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct role transitions turn t -> turn t + 1 of a conversation (an
+    equi-join on (conv_id, turn), so a very long conversation is not
+    gathered into one window task)."""
     conv = Tables(spark, sf_dir).conversations
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    trans = conv.select(F.col("role").alias("src"), F.lead("role").over(w).alias("dst")).filter(F.col("dst").isNotNull())
+    a = conv.select("conv_id", "turn", F.col("role").alias("src"))
+    b = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("dst"))
+    trans = a.join(b, ["conv_id", "turn"]).select("src", "dst")
     return trans.distinct().select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst")
 
 
@@ -161,9 +165,8 @@ E AS (SELECT src || '|' || type || '|' || dst AS edge_id, src, type, dst FROM E0
 
 ROLES_SQL = """
 ROLES AS (
-  SELECT DISTINCT src || '>' || dst AS edge_id, src, dst FROM (
-    SELECT role AS src, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS dst FROM conversations) a
-  WHERE dst IS NOT NULL)
+  SELECT DISTINCT a.role || '>' || b.role AS edge_id, a.role AS src, b.role AS dst
+  FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)
 """
 
 
