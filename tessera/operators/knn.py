@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,3 +196,82 @@ def metadata_filter(df: DataFrame, where: dict, metadata_col: str = "metadata")
         else:
             cond = cond & (F.col(metadata_col).getItem(key) == F.lit(str(value)))
     return df.filter(cond)
+
+
+# --- approximate neighbours: random-hyperplane LSH over the same blocked scoring ------------
+
+def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((dim, bits * tables))
+
+
+def lsh_buckets(vec: str, planes: np.ndarray, bits: int, tables: int):
+    """Column of ``tables`` bucket ids (sign pattern of ``bits`` random
+    hyperplanes each); cosine-similar vectors share buckets with high probability."""
+    from pyspark.sql.functions import pandas_udf
+
+    weights = (1 << np.arange(bits)).astype(np.int64)
+
+    @pandas_udf("array<int>")
+    def _bucket(s: pd.Series) -> pd.Series:
+        if len(s) == 0:
+            return pd.Series([], dtype=object)
+        v = np.vstack(s.to_numpy()).astype(np.float64)
+        signs = (v @ planes > 0).reshape(len(s), tables, bits)
+        ids = (signs * weights).sum(axis=2).astype(np.int32)
+        return pd.Series(list(ids))
+
+    return _bucket(F.col(vec))
+
+
+def knn_lsh(
+    queries: DataFrame,
+    collection: DataFrame,
+    k: int,
+    *,
+    query_id: str = "qid",
+    query_vec: str = "embedding",
+    id_col: str = "id",
+    vec_col: str = "embedding",
+    bits: int = 6,
+    tables: int = 8,
+    seed: int = 42,
+    exclude_self: bool = False,
+) -> DataFrame:
+    """Approximate cosine top-k: a candidate is any collection vector sharing
+    a bucket with the query in at least one of ``tables`` hash tables.
+
+    Candidates are scored exactly, group by group, with the same Arrow
+    matrix-product function as ``knn`` (no pair is materialised); a bucket
+    holding many vectors is split into sub-blocks sized from the bucket-count
+    table, which has at most ``tables * 2**bits`` rows and is broadcast."""
+    dim = collection.select(F.size(vec_col).alias("d")).first()["d"]
+    planes = _hyperplanes(dim, bits, tables, seed)
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
+    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec"))
+    q = q.select("qid", "qvec", F.posexplode(lsh_buckets("qvec", planes, bits, tables)).alias("tbl", "bkt"))
+    c = c.select("id", "cvec", F.posexplode(lsh_buckets("cvec", planes, bits, tables)).alias("tbl", "bkt"))
+    sizes = (
+        q.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nq"))
+        .join(c.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nc")), ["tbl", "bkt"])
+        .select("tbl", "bkt",
+                F.ceil(F.col("nq") / QUERY_BLOCK_ROWS).cast("int").alias("nqb"),
+                F.ceil(F.col("nc") / COLLECTION_BLOCK_ROWS).cast("int").alias("ncb"))
+    )
+    sizes = F.broadcast(sizes)  # <= tables * 2**bits rows
+    q = q.join(sizes, ["tbl", "bkt"]).select(
+        "qid", "qvec", "tbl", "bkt", F.pmod(F.xxhash64("qid"), F.col("nqb")).cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.col("ncb") - 1)).alias("cb"))
+    c = c.join(sizes, ["tbl", "bkt"]).select(
+        "id", "cvec", "tbl", "bkt", F.pmod(F.xxhash64("id"), F.col("ncb")).cast("int").alias("cb"),
+        F.explode(F.sequence(F.lit(0), F.col("nqb") - 1)).alias("qb"))
+    qid_type = q.schema["qid"].dataType
+    id_type = c.schema["id"].dataType
+    out_arrow = pa.schema([("qid", _arrow_type(qid_type)), ("id", _arrow_type(id_type)), ("score", pa.float64())])
+    out_spark = T.StructType(
+        [T.StructField("qid", qid_type), T.StructField("id", id_type), T.StructField("score", T.DoubleType())])
+    fn = _score_group_fn("qid", "id", "qvec", "cvec", k, "cosine", exclude_self, out_arrow)
+    keys = ["tbl", "bkt", "qb", "cb"]
+    partial = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(fn, out_spark)
+    merged = partial.groupBy("qid", "id").agg(F.max("score").alias("score"))  # same pair from several tables
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
+    return merged.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("qid", "id", "score", "rank")

@@ -359,3 +359,12 @@ def rag_eval_report(spark, sf_dir):
     return cm.join(first, "case_id").select(
         "case_id", *[F.round(c, 6).alias(c) for c in _METRICS], word_count(F.col("answer")).alias("answer_length")
     )
+
+
+@register("join_knn_lsh")  # approximate by design: rows-only check, recall against the exact join in tests
+def join_knn_lsh(spark, sf_dir):
+    from tessera.operators.knn import knn_lsh
+
+    e = Tables(spark, sf_dir).embeddings
+    h = knn_lsh(e, e, 5, query_id="vec_id", id_col="vec_id", exclude_self=True)
+    return h.select("qid", F.col("id").alias("vec_id"), F.round("score", 6).alias("score"), "rank")

@@ -188,3 +188,14 @@ def test_no_cartesian_product(spark, sf_dir, key):
         pytest.skip("model / sink queries materialise their own outputs")
     p = _plan(se.queries()[key](spark, sf_dir))
     assert "CartesianProduct" not in p
+
+
+def test_lsh_recall_against_exact(spark, sf_dir):
+    q = se.queries()
+    exact = q["join_knn_exact"](spark, sf_dir).select("qid", "vec_id")
+    approx = q["join_knn_lsh"](spark, sf_dir)
+    found = approx.join(exact, ["qid", "vec_id"]).count()
+    recall = found / exact.count()
+    # every approximate hit is a true cosine score of a real pair
+    assert approx.filter((F.col("score") > 1.0000001) | (F.col("score") < -1.0000001)).count() == 0
+    assert recall > 0.3, recall
