@@ -95,3 +95,61 @@ def running_mean(df: DataFrame, key: str, order: list[str], value: str, parts: i
     out = out.withColumn("running_sum", F.col("_s") + F.col("_os")).withColumn("running_count", F.col("_c") + F.col("_oc"))
     return out.withColumn("running_mean", F.try_divide(F.col("running_sum"), F.col("running_count"))).drop(
         "_slice", "_s", "_c", "_os", "_oc")
+
+
+def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us: int, parts: int = 16) -> DataFrame:
+    """Batch form of the TTL cache, exact and safe for hot keys.
+
+    Per key, in (time, event) order, the first request is a miss and the next
+    miss is the first request at least ``ttl_us`` after the previous miss;
+    every other request is a hit.  So the misses are the chain
+    ``first -> nxt(first) -> ...`` where ``nxt(e)`` is the first request of
+    the key at or after ``t(e) + ttl``.
+
+    1. ``nxt`` without a per-key window: rows are range-partitioned on (key,
+       time) into slices (a hot key spans several), each probe ``t + ttl``
+       finds its successor inside its slice with a window over
+       (slice, key), and otherwise takes the first request of the key's next
+       non-empty slice from a per-(key, slice) table.
+    2. Chain membership by pointer doubling: ``reach`` holds the requests
+       within 2^i steps of a key's first request and ``jump`` the 2^i-th
+       successor of every request; each round is two joins on the request
+       id (uniformly distributed), and there are log2(chain length) rounds.
+    Returns ``(event, hit)``."""
+    ev = df.select(*key, F.col(ts_us).alias("_t"), F.col(event).alias("_e"))
+    probes = ev.select(*key, (F.col("_t") + F.lit(ttl_us)).alias("_t"), F.col("_e").alias("_src"),
+                       F.lit(None).cast(ev.schema["_e"].dataType).alias("_e"), F.lit(0).alias("_kind"))
+    rows = ev.select(*key, "_t", F.lit(None).cast(ev.schema["_e"].dataType).alias("_src"), "_e", F.lit(1).alias("_kind"))
+    allr = cut(probes.unionByName(rows).repartitionByRange(parts, *key, "_t", "_kind", "_e")
+               .withColumn("_slice", F.spark_partition_id()))
+    # successor inside the slice: first real row at or after the probe (probes sort before rows at equal time)
+    w_next = Window.partitionBy("_slice", *key).orderBy("_t", "_kind", "_e").rowsBetween(Window.currentRow,
+                                                                                         Window.unboundedFollowing)
+    local = allr.withColumn("_n", F.first("_e", ignorenulls=True).over(w_next)).filter(F.col("_kind") == 0)
+    # otherwise: first row of the key in a later slice
+    slices = allr.select(*key, "_slice").distinct()  # every (key, slice), also slices holding only probes
+    first_in_slice = slices.join(
+        allr.filter(F.col("_kind") == 1).groupBy(*key, "_slice").agg(F.min_by("_e", F.struct("_t", "_e")).alias("_first")),
+        [*key, "_slice"], "left")
+    w_later = Window.partitionBy(*key).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+    carry = first_in_slice.select(*key, "_slice", F.first("_first", ignorenulls=True).over(w_later).alias("_carry"))
+    nxt = cut(local.join(carry, [*key, "_slice"], "left").select(
+        F.col("_src").alias("_e"), F.coalesce("_n", "_carry").alias("_n")))
+    # chain heads: the first request of each key
+    heads = ev.groupBy(*key).agg(F.min_by("_e", F.struct("_t", "_e")).alias("_e")).select("_e")
+    reach = cut(heads)
+    jump = nxt.filter(F.col("_n").isNotNull())
+    while True:
+        new = reach.join(jump, "_e").select(F.col("_n").alias("_e")).join(reach, "_e", "left_anti")
+        new = cut(new.distinct())
+        if new.isEmpty():
+            break
+        reach = cut(reach.unionByName(new))
+        j2 = jump.alias("a").join(jump.alias("b"), F.col("a._n") == F.col("b._e")).select(
+            F.col("a._e").alias("_e"), F.col("b._n").alias("_n"))
+        jump = cut(j2)
+        if jump.isEmpty():
+            break
+    misses = reach.withColumn("_miss", F.lit(True))
+    return ev.select("_e").join(misses, "_e", "left").select(
+        F.col("_e").alias(event), F.col("_miss").isNull().alias("hit"))

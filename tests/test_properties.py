@@ -199,3 +199,35 @@ def test_lsh_recall_against_exact(spark, sf_dir):
     # every approximate hit is a true cosine score of a real pair
     assert approx.filter((F.col("score") > 1.0000001) | (F.col("score") < -1.0000001)).count() == 0
     assert recall > 0.3, recall
+
+
+def test_ttl_cache_batch_form_matches_walk(spark, sf_dir):
+    """Pointer-doubling batch form == the sequential walk (DuckDB recursive CTE)."""
+    from oracle import compare, duck
+    from tessera.operators.requests import ttl_cache_hits
+    from tessera.plans.stream_queries import TTL_SECONDS
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    got = ttl_cache_hits(ev, ["user_id", "event_type"], "t_us", "event_id", TTL_SECONDS * 1_000_000, parts=5)
+    res = compare(got, duck(sf_dir), se.oracle_sql()["stm_ttl_cache"])
+    assert res["ok"], res
+
+
+def test_ttl_cache_batch_form_hot_key_many_slices(spark):
+    """One key, bursts separated by long gaps, many slices: equals a Python walk."""
+    from tessera.operators.requests import ttl_cache_hits
+
+    rng = random.Random(3)
+    t, rows = 0, []
+    for i in range(400):
+        t += rng.choice([1, 2, 3, 50, 400])
+        rows.append((1, i, t))
+    df = spark.createDataFrame(rows, "k int, e long, t long")
+    got = {r["e"]: r["hit"] for r in ttl_cache_hits(df, ["k"], "t", "e", 100, parts=12).collect()}
+    miss, want = None, {}
+    for _, e, tt in rows:
+        if miss is not None and tt - miss < 100:
+            want[e] = True
+        else:
+            miss, want[e] = tt, False
+    assert got == want
