@@ -15,7 +15,7 @@ def _c(x) -> Column:
 
 
 def nonempty(arr: Column) -> Column:
-    return F.filter(arr, lambda w: w != "")
+    return F.array_remove(arr, "")
 
 
 def whitespace_tokens(text) -> Column:
@@ -43,10 +43,15 @@ def bleu_tokens(text) -> Column:
 
 
 def ngrams(tokens, n: int) -> Column:
-    """Array of the n-grams (space-joined) of a token array; empty when shorter than n."""
+    """Array of the n-grams (space-joined) of a token array; empty when
+    shorter than n.  Tokens hold no whitespace, so every overlapping n-gram is
+    the lookahead capture at each token start of the space-joined text (a
+    codegen'd regex instead of an interpreted lambda per position)."""
     toks = _c(tokens)
-    grams = F.transform(F.sequence(F.lit(1), F.size(toks) - n + 1), lambda i: F.array_join(F.slice(toks, i, n), " "))
-    return F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>"))
+    if n == 1:
+        return toks
+    pattern = r"(?=(\S+" + r"(?: \S+)" * (n - 1) + r"))\S+"
+    return F.regexp_extract_all(F.array_join(toks, " "), F.lit(pattern), 1)
 
 
 def word_count(text) -> Column:

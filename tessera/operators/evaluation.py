@@ -98,38 +98,30 @@ def advice(metrics: dict[str, Column]) -> Column:
 
 # --- n-gram metrics ------------------------------------------------------------
 
-def _gram_counts(pairs: DataFrame, key: str, tokens: str, orders: list[int]) -> DataFrame:
-    exploded = pairs.select(
+def _grams(pairs: DataFrame, key: str, tokens: str, orders: list[int], side: int) -> DataFrame:
+    return pairs.select(
         key,
         F.explode(F.array(*[F.struct(F.lit(n).alias("n"), tx.ngrams(F.col(tokens), n).alias("g")) for n in orders])).alias("x"),
-    ).select(key, F.col("x.n").alias("n"), F.explode("x.g").alias("gram"))
-    return exploded.groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
+    ).select(key, F.col("x.n").alias("n"), F.explode("x.g").alias("gram"), F.lit(side).alias("side"))
 
 
 def clipped_overlap(pairs: DataFrame, key: str, pred_tokens: str, ref_tokens: str, orders: list[int]) -> DataFrame:
-    """(key, n, overlap, pred_total, ref_total) for each n in ``orders``;
-    overlap = sum over n-grams of min(count in pred, count in ref)."""
-    pc = _gram_counts(pairs, key, pred_tokens, orders).withColumnRenamed("c", "cp")
-    rc = _gram_counts(pairs, key, ref_tokens, orders).withColumnRenamed("c", "cr")
-    overlap = pc.join(rc, on=[key, "n", "gram"], how="inner").groupBy(key, "n").agg(
-        F.sum(F.least("cp", "cr")).cast("long").alias("overlap")
-    )
-    totals = pairs.select(
-        key,
-        F.explode(
-            F.array(*[
-                F.struct(
-                    F.lit(n).alias("n"),
-                    F.greatest(F.size(pred_tokens) - n + 1, F.lit(0)).cast("long").alias("pred_total"),
-                    F.greatest(F.size(ref_tokens) - n + 1, F.lit(0)).cast("long").alias("ref_total"),
-                )
-                for n in orders
-            ])
-        ).alias("t"),
-    ).select(key, "t.*")
-    return totals.join(overlap, on=[key, "n"], how="left").withColumn(
-        "overlap", F.coalesce(F.col("overlap"), F.lit(0)).cast("long")
+    """(key, n, pred_total, ref_total, overlap) for each pair and n in ``orders``;
+    overlap = sum over n-grams of min(count in pred, count in ref).
+
+    Both sides' n-grams go through one aggregation keyed by (pair, n, gram);
+    the totals are sums of the same counts, so the texts are tokenised once.
+    Pairs or orders without any n-gram get zeros from the key grid."""
+    grams = _grams(pairs, key, pred_tokens, orders, 0).unionByName(_grams(pairs, key, ref_tokens, orders, 1))
+    counts = grams.groupBy(key, "n", "gram").agg(
+        F.count_if(F.col("side") == 0).alias("cp"), F.count_if(F.col("side") == 1).alias("cr"))
+    per = counts.groupBy(key, "n").agg(
+        F.sum("cp").cast("long").alias("pred_total"),
+        F.sum("cr").cast("long").alias("ref_total"),
+        F.sum(F.least("cp", "cr")).cast("long").alias("overlap"),
     )
+    grid = pairs.select(key, F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
+    return grid.join(per, [key, "n"], "left").fillna(0, ["pred_total", "ref_total", "overlap"])
 
 
 def rouge_n(pairs: DataFrame, key: str, pred: str, ref: str, orders=(1, 2), mode: str = "ascii") -> DataFrame:
@@ -151,15 +143,18 @@ def bleu(pairs: DataFrame, key: str, pred: str, ref: str, max_order: int = 4) ->
     orders = list(range(1, max_order + 1))
     toks = pairs.select(key, tx.bleu_tokens(F.col(pred)).alias("pt"), tx.bleu_tokens(F.col(ref)).alias("rt"))
     ov = clipped_overlap(toks, key, "pt", "rt", orders)
-    prec = ov.select(key, "n", safe_div(F.col("overlap"), F.col("pred_total")).alias("p"))
-    geo = prec.groupBy(key).agg(
-        F.when(F.min("p") > 0, F.exp(F.sum(F.log("p")) / F.lit(float(max_order)))).otherwise(F.lit(0.0)).alias("geo")
+    p = safe_div(F.col("overlap"), F.col("pred_total"))
+    per = ov.groupBy(key).agg(  # one pass: precisions and the unigram lengths
+        F.min(p).alias("pmin"),
+        F.sum(F.log(F.when(p > 0, p))).alias("logsum"),
+        F.max(F.when(F.col("n") == 1, F.col("pred_total"))).alias("c"),
+        F.max(F.when(F.col("n") == 1, F.col("ref_total"))).alias("r"),
     )
-    lens = toks.select(key, F.size("pt").alias("c"), F.size("rt").alias("r"))
+    geo = F.when(F.col("pmin") > 0, F.exp(F.col("logsum") / F.lit(float(max_order)))).otherwise(F.lit(0.0))
     bp = F.when(F.col("c") == 0, F.lit(0.0)).when(F.col("c") > F.col("r"), F.lit(1.0)).otherwise(
         F.exp(1.0 - F.col("r").cast("double") / F.col("c").cast("double"))
     )
-    return lens.join(geo, on=key, how="left").select(key, (F.coalesce(F.col("geo"), F.lit(0.0)) * bp).alias("bleu"))
+    return per.select(key, (geo * bp).alias("bleu"))
 
 
 def _lcs_len(a: list, b: list) -> int:

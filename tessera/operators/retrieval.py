@@ -63,7 +63,7 @@ def _order(order: list[str]) -> tuple[list[Column], Column]:
 
 
 def context_budget(df: DataFrame, partition: list[str], order: list[str], length: str,
-                   limit: int = MAX_CONTEXT_LENGTH) -> DataFrame:
+                   limit: int = MAX_CONTEXT_LENGTH, rows_per_key_bounded: bool = False) -> DataFrame:
     """Walk rows in ``order`` within each partition, keep them while the running
     length stays <= limit and stop at the first that does not fit.
 
@@ -72,8 +72,16 @@ def context_budget(df: DataFrame, partition: list[str], order: list[str], length
     overload one task: rows of positive length are first cut to the first
     ``limit + 1`` per partition (a partial ``WindowGroupLimit`` runs before
     the shuffle), since no more than ``limit`` of them can fit; zero-length
-    rows are then kept when they come before the partition's cut-off row."""
+    rows are then kept when they come before the partition's cut-off row.
+    ``rows_per_key_bounded=True`` is for callers whose keys hold at most a
+    few rows by construction."""
     sort, order_key = _order(order)
+    if rows_per_key_bounded:
+        # each key holds few rows by construction (e.g. the k hits of one
+        # question): one running-sum window, no split
+        w = Window.partitionBy(*partition).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn("_run", F.sum(F.coalesce(F.col(length), F.lit(0))).over(w)).filter(
+            F.col("_run") <= limit).drop("_run")
     positive = df.filter(F.col(length) > 0)
     zero = df.filter(F.coalesce(F.col(length), F.lit(0)) <= 0)
     w_rank = Window.partitionBy(*partition).orderBy(*sort)

@@ -35,11 +35,11 @@ def tokenize_pad(text, max_len: int = 128) -> Column:
     """Word tokens (lower-cased, split on non-word runs), truncated to
     ``max_len`` and padded with ``[PAD]``; the attention mask marks real tokens.
     Returns struct(input_tokens, attention_mask, n_tokens)."""
-    toks = F.filter(F.split(F.lower(_c(text)), r"\W+"), lambda w: w != "")
+    toks = F.array_remove(F.split(F.lower(_c(text)), r"\W+"), "")
     head = F.slice(toks, 1, max_len)
     n = F.size(head)
     padded = F.concat(head, F.array_repeat(F.lit(PAD_TOKEN), F.lit(max_len) - n))
-    mask = F.transform(F.sequence(F.lit(1), F.lit(max_len)), lambda i: F.when(i <= n, F.lit(1)).otherwise(F.lit(0)))
+    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(max_len) - n))
     return F.struct(padded.alias("input_tokens"), mask.alias("attention_mask"), n.alias("n_tokens"))
 
 
@@ -52,16 +52,16 @@ def tfidf(docs: DataFrame, key: str, text: str, vocab_size: int = 1000) -> DataF
     only side that is broadcast; every other step is keyed by document or term."""
     tok = docs.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)).alias("term"))
     tf = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # one pass over (doc, term) rows gives both the corpus frequency and the
+    # document frequency of every term; the vocabulary keeps its df
     vocab = (
-        tf.groupBy("term").agg(F.sum("tf").alias("freq"))
+        tf.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
         .orderBy(F.col("freq").desc(), F.col("term").asc())
         .limit(vocab_size)
-        .select("term")
+        .select("term", "df")
     )
-    tf_v = tf.join(F.broadcast(vocab), "term")
-    dfreq = tf_v.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.count()
-    w = tf_v.join(F.broadcast(dfreq), "term").select(  # <= vocab_size rows
+    w = tf.join(F.broadcast(vocab), "term").select(  # vocabulary: <= vocab_size rows
         key, "term", (F.col("tf") * (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))

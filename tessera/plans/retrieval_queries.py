@@ -119,7 +119,7 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
     hits = rt.stable_desc_position(hits)
     docs = t.documents.select(F.col("doc_id").alias("id"), F.col("n_chars").alias("doc_length"))
     hits = hits.join(docs, on="id", how="left").withColumn("doc_length", F.coalesce(F.col("doc_length"), F.lit(0)))
-    kept = rt.context_budget(hits, ["qid"], ["pos"], "doc_length", budget)
+    kept = rt.context_budget(hits, ["qid"], ["pos"], "doc_length", budget, rows_per_key_bounded=True)  # <= k per qid
     return rt.assemble_response(questions, kept)
 
 
@@ -159,11 +159,11 @@ def rag_ask_top3(spark, sf_dir):
 
 # --- retrieval metrics ----------------------------------------------------------
 
-def case_metrics(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
+def case_metrics(spark: SparkSession, sf_dir: str, k: int = 5, hits: DataFrame | None = None) -> DataFrame:
     """Per question: precision, recall, F1, MRR of the top-k against the
     same-label vectors (self excluded from both sides)."""
     e = Tables(spark, sf_dir).embeddings.select("vec_id", "label")
-    h = self_knn(spark, sf_dir, k)
+    h = self_knn(spark, sf_dir, k) if hits is None else hits
     q = e.select(F.col("vec_id").alias("qid"), F.col("label").alias("qlabel"))
     c = e.select(F.col("vec_id").alias("id"), F.col("label").alias("clabel"))
     hits = h.join(q, "qid").join(c, "id").withColumn("is_relevant", F.col("qlabel") == F.col("clabel"))
@@ -246,8 +246,9 @@ def grouped_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-case metrics computed once, rolled up overall / per category /
     per difficulty with GROUPING SETS (the original re-runs everything per group)."""
     t = Tables(spark, sf_dir)
-    cm = case_metrics(spark, sf_dir)
-    top1 = self_knn(spark, sf_dir, 1).select("qid", F.col("score").alias("semantic_similarity"))
+    hits = self_knn(spark, sf_dir, 5)
+    cm = case_metrics(spark, sf_dir, hits=hits)
+    top1 = hits.filter(F.col("rank") == 1).select("qid", F.col("score").alias("semantic_similarity"))
     cases = (
         cm.join(top1, "qid", "left")
         .join(t.documents.select(F.col("doc_id").alias("qid"), F.col("lang").alias("category"),
