@@ -28,6 +28,15 @@ class Triples:
     def __init__(self, df: DataFrame):
         self.df = df
 
+    @classmethod
+    def materialized(cls, df: DataFrame, path: str) -> "Triples":
+        """Write the triple set partitioned by predicate and read it back:
+        every pattern with a constant predicate then scans only that
+        predicate's folder (partition pruning), and a multi-pattern query
+        derives the triples once instead of once per pattern."""
+        df.write.mode("overwrite").partitionBy("p").parquet(path)
+        return cls(df.sparkSession.read.schema(df.schema).parquet(path))  # no partition type inference
+
     def pattern(self, s, p, o, *, lang: str | None = None, kind: str | None = None) -> DataFrame:
         """Bindings of one triple pattern.  ``lang``/``kind`` name extra
         columns carrying the language tag / term kind of the object."""

@@ -15,7 +15,10 @@ from tessera.sources.tables import Tables
 
 
 def store(spark: SparkSession, sf_dir: str) -> tp.Triples:
-    return tp.Triples(views.triples(spark, sf_dir))
+    """The triple view, materialised for this query and partitioned by predicate."""
+    from tessera.sources.files import scratch_path
+
+    return tp.Triples.materialized(views.triples(spark, sf_dir), scratch_path(spark, "triples"))
 
 
 def W(body: str, recursive: bool = False) -> str:
@@ -259,7 +262,7 @@ roots AS (SELECT s AS root FROM cls WHERE s NOT IN (SELECT child FROM sub))"""
 def hierarchy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(roots, sub): classes without a named superclass, and the subclass
     edges between declared classes."""
-    t = views.triples(spark, sf_dir)
+    t = store(spark, sf_dir).df
     is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
     cls = t.filter(is_class).select("s").distinct()
     sub = (
