@@ -69,6 +69,22 @@ def request_metrics(requests: DataFrame, key: list[str], order: list[str], succe
     )
 
 
+def cache_metrics(requests: DataFrame, success: Column, seconds: str, hit: str = "hit") -> DataFrame:
+    """Counters of a request cache from per-request hit flags: total (hits
+    included), successful and mean time over computed requests only, hits,
+    hit rate (0 when there is no request).  One global aggregation."""
+    computed_ok = ~F.col(hit) & success
+    total = F.count(F.lit(1))
+    hits = F.count_if(F.col(hit))
+    return requests.agg(
+        total.alias("total_requests"),
+        F.count_if(computed_ok).alias("successful_requests"),
+        F.avg(F.when(computed_ok, F.col(seconds))).alias("average_processing_time"),
+        hits.alias("cache_hits"),
+        F.when(total == 0, F.lit(0.0)).otherwise(hits / total).alias("cache_hit_rate"),
+    )
+
+
 def keep_newest(df: DataFrame, key: str, order_desc: list[str], n: int) -> DataFrame:
     """At most ``n`` newest rows per key.  ``row_number <= n`` becomes a
     partial ``WindowGroupLimit`` before the shuffle, so no key ships more
@@ -139,17 +155,17 @@ def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us
     heads = ev.groupBy(*key).agg(F.min_by("_e", F.struct("_t", "_e")).alias("_e")).select("_e")
     reach = cut(heads)
     jump = nxt.filter(F.col("_n").isNotNull())
+    rounds = 0
     while True:
-        new = reach.join(jump, "_e").select(F.col("_n").alias("_e")).join(reach, "_e", "left_anti")
-        new = cut(new.distinct())
+        rounds += 1
+        new = cut(reach.join(jump, "_e").select(F.col("_n").alias("_e")).join(reach, "_e", "left_anti").distinct())
         if new.isEmpty():
             break
-        reach = cut(reach.unionByName(new))
-        j2 = jump.alias("a").join(jump.alias("b"), F.col("a._n") == F.col("b._e")).select(
-            F.col("a._e").alias("_e"), F.col("b._n").alias("_n"))
-        jump = cut(j2)
-        if jump.isEmpty():
-            break
+        reach = reach.unionByName(new)  # both pieces are checkpointed
+        if rounds % 3 == 0:
+            reach = cut(reach)
+        jump = cut(jump.alias("a").join(jump.alias("b"), F.col("a._n") == F.col("b._e")).select(
+            F.col("a._e").alias("_e"), F.col("b._n").alias("_n")))
     misses = reach.withColumn("_miss", F.lit(True))
     return ev.select("_e").join(misses, "_e", "left").select(
         F.col("_e").alias(event), F.col("_miss").isNull().alias("hit"))
