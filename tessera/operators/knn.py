@@ -30,9 +30,13 @@ from pyspark.sql import types as T
 
 # Rows of one query block / one collection block inside a cogroup group, and
 # collection rows scored per matrix product.  A 2048 x 2048 float64 score
-# chunk is 32 MiB.
+# chunk is 32 MiB.  Blocks are also capped by memory: a collection block
+# holds at most COLLECTION_BLOCK_BYTES of float64 vectors (65 536 rows at
+# 64 dimensions, 2 730 rows at 1 536).
 QUERY_BLOCK_ROWS = 2048
 COLLECTION_BLOCK_ROWS = 65536
+COLLECTION_BLOCK_BYTES = 32 << 20
+QUERY_BLOCK_BYTES = 16 << 20
 CHUNK_ROWS = 2048
 # Scores are ranked after rounding to this many decimals, so that
 # mathematically equal scores (duplicate or collinear vectors) tie exactly
@@ -137,6 +141,16 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
     raise TypeError(f"unsupported id type {dt}")
 
 
+def block_rows(vectors: DataFrame, col: str) -> tuple[int, int]:
+    """(query rows, collection rows) per block for the vectors' dimension
+    (read from one row)."""
+    first = vectors.select(F.size(col).alias("d")).first()
+    dim = max(1, first["d"]) if first else 1
+    q_rows = max(64, min(QUERY_BLOCK_ROWS, QUERY_BLOCK_BYTES // (8 * dim)))
+    c_rows = max(256, min(COLLECTION_BLOCK_ROWS, COLLECTION_BLOCK_BYTES // (8 * dim)))
+    return q_rows, c_rows
+
+
 def knn(
     queries: DataFrame,
     collection: DataFrame,
@@ -159,12 +173,15 @@ def knn(
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(metric)
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
-    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec"))
-    if q_blocks is None:
-        q_blocks = max(1, math.ceil(q.count() / QUERY_BLOCK_ROWS))
-    if c_blocks is None:
-        c_blocks = max(1, math.ceil(c.count() / COLLECTION_BLOCK_ROWS))
+    # a row without a vector cannot be ranked
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
+    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
+    if q_blocks is None or c_blocks is None:
+        q_rows, c_rows = block_rows(c, "cvec")
+        if q_blocks is None:
+            q_blocks = max(1, math.ceil(q.count() / q_rows))
+        if c_blocks is None:
+            c_blocks = max(1, math.ceil(c.count() / c_rows))
     qb = F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).cast("int")
     cb = F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")
     q = q.withColumn("qb", qb).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
@@ -246,16 +263,17 @@ def knn_lsh(
     table, which has at most ``tables * 2**bits`` rows and is broadcast."""
     dim = collection.select(F.size(vec_col).alias("d")).first()["d"]
     planes = _hyperplanes(dim, bits, tables, seed)
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
-    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec"))
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
+    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
     q = q.select("qid", "qvec", F.posexplode(lsh_buckets("qvec", planes, bits, tables)).alias("tbl", "bkt"))
     c = c.select("id", "cvec", F.posexplode(lsh_buckets("cvec", planes, bits, tables)).alias("tbl", "bkt"))
+    q_rows, c_rows = block_rows(c, "cvec")
     sizes = (
         q.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nq"))
         .join(c.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nc")), ["tbl", "bkt"])
         .select("tbl", "bkt",
-                F.ceil(F.col("nq") / QUERY_BLOCK_ROWS).cast("int").alias("nqb"),
-                F.ceil(F.col("nc") / COLLECTION_BLOCK_ROWS).cast("int").alias("ncb"))
+                F.ceil(F.col("nq") / q_rows).cast("int").alias("nqb"),
+                F.ceil(F.col("nc") / c_rows).cast("int").alias("ncb"))
     )
     sizes = F.broadcast(sizes)  # <= tables * 2**bits rows
     q = q.join(sizes, ["tbl", "bkt"]).select(
