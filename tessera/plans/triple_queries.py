@@ -22,14 +22,16 @@ def store(spark: SparkSession, sf_dir: str) -> tp.Triples:
 
 
 def W(body: str, recursive: bool = False) -> str:
+    """Prefix ``body`` (more CTEs then a SELECT, or just a SELECT) with the
+    triple-view CTEs."""
     head = "WITH RECURSIVE " if recursive else "WITH "
-    return head + views.T_SQL.strip() + ",\n" + body
+    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
+    return head + views.T_SQL.strip() + sep + body
 
 
 # --- basic graph patterns, OPTIONAL, UNION, NOT EXISTS ------------------------------
 
-@register("join_bgp_chain", sql=W("""x AS (SELECT 1)
-SELECT a.s AS r, a.o AS q, b.o AS l, c.o AS name
+@register("join_bgp_chain", sql=W("""SELECT a.s AS r, a.o AS q, b.o AS l, c.o AS name
 FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T c ON c.s = a.s AND c.p = 'label'
 WHERE a.p = 'equivalentClass'"""))
 def join_bgp_chain(spark, sf_dir):
@@ -38,8 +40,7 @@ def join_bgp_chain(spark, sf_dir):
         "r", "q", "l", "name")
 
 
-@register("join_bgp_var_predicate", sql=W("""x AS (SELECT 1)
-SELECT a.s AS r, b.o AS l, c.p AS about
+@register("join_bgp_var_predicate", sql=W("""SELECT a.s AS r, b.o AS l, c.p AS about
 FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T c ON c.s = b.o AND c.o = 'Place'
 WHERE a.p = 'equivalentClass'"""))
 def join_bgp_var_predicate(spark, sf_dir):
@@ -48,8 +49,7 @@ def join_bgp_var_predicate(spark, sf_dir):
         "r", "l", "about")
 
 
-@register("set_union_bag", sql=W("""x AS (SELECT 1)
-SELECT a.s AS x, l.o AS name, a.o AS c
+@register("set_union_bag", sql=W("""SELECT a.s AS x, l.o AS name, a.o AS c
 FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T d ON d.s = b.o AND d.o = 'Place'
      JOIN T l ON l.s = a.s AND l.p = 'label'
 WHERE a.p = 'equivalentClass'
@@ -63,16 +63,14 @@ def set_union_bag(spark, sf_dir):
     return tp.union(a, b).select("x", "name", "c")
 
 
-@register("set_distinct", sql=W("""x AS (SELECT 1)
-SELECT DISTINCT a.s AS class, b.o AS label
+@register("set_distinct", sql=W("""SELECT DISTINCT a.s AS class, b.o AS label
 FROM T a LEFT JOIN T b ON b.s = a.s AND b.p = 'label' WHERE a.p = 'type' AND a.o = 'Class'"""))
 def set_distinct(spark, sf_dir):
     t = store(spark, sf_dir)
     return tp.optional(t.pattern("?class", "type", "Class"), t.pattern("?class", "label", "?label")).distinct()
 
 
-@register("join_optional", sql=W("""x AS (SELECT 1)
-SELECT a.s AS class, b.o AS label
+@register("join_optional", sql=W("""SELECT a.s AS class, b.o AS label
 FROM T a LEFT JOIN T b ON b.s = a.s AND b.p = 'label' AND b.lang = 'en' WHERE a.p = 'type' AND a.o = 'Class'"""))
 def join_optional(spark, sf_dir):
     t = store(spark, sf_dir)
@@ -80,8 +78,7 @@ def join_optional(spark, sf_dir):
     return tp.optional(t.pattern("?class", "type", "Class"), en)
 
 
-@register("join_not_exists", sql=W("""x AS (SELECT 1)
-SELECT a.s AS class FROM T a
+@register("join_not_exists", sql=W("""SELECT a.s AS class FROM T a
 WHERE a.p = 'type' AND a.o = 'Class' AND NOT EXISTS (SELECT 1 FROM T b WHERE b.s = a.s AND b.p = 'label')"""))
 def join_not_exists(spark, sf_dir):
     t = store(spark, sf_dir)
@@ -170,7 +167,7 @@ def flt_iri_suffix(spark, sf_dir):
     return j.filter(F.col("t").endswith("3") & (F.col("lg") == "en")).select("x", "name", "t")
 
 
-@register("flt_lang_tag", sql=W("x AS (SELECT 1) SELECT s AS x, o AS name FROM T WHERE p = 'label' AND lang = 'en'"))
+@register("flt_lang_tag", sql=W("SELECT s AS x, o AS name FROM T WHERE p = 'label' AND lang = 'en'"))
 def flt_lang_tag(spark, sf_dir):
     t = store(spark, sf_dir)
     return t.pattern("?x", "label", "?name", lang="lg").filter(F.col("lg") == "en").select("x", "name")
@@ -184,8 +181,7 @@ def flt_contains_lcase(spark, sf_dir):
 
 # --- ontology statistics -----------------------------------------------------------------
 
-@register("agg_count_distinct_by_type", sql=W("""x AS (SELECT 1)
-SELECT count(DISTINCT CASE WHEN o = 'Class' THEN s END) AS classes,
+@register("agg_count_distinct_by_type", sql=W("""SELECT count(DISTINCT CASE WHEN o = 'Class' THEN s END) AS classes,
        count(DISTINCT CASE WHEN o = 'ObjectProperty' THEN s END) AS properties,
        count(DISTINCT CASE WHEN o = 'NamedIndividual' THEN s END) AS individuals
 FROM T WHERE p = 'type'"""))
@@ -215,7 +211,7 @@ STATS_SQL = """SELECT count(DISTINCT CASE WHEN (p = 'type' AND o = 'Class') OR p
 FROM {src}"""
 
 
-@register("agg_graph_stats", sql=W("x AS (SELECT 1)\n" + STATS_SQL.format(src="T")))
+@register("agg_graph_stats", sql=W(STATS_SQL.format(src="T")))
 def agg_graph_stats(spark, sf_dir):
     return tp.graph_stats(views.triples(spark, sf_dir))
 
@@ -388,8 +384,7 @@ def agg_result_score(spark, sf_dir):
                     F.round(total, 6).alias("total_score"), status.alias("status"))
 
 
-@register("set_union_distinct", sql=W("""x AS (SELECT 1)
-SELECT s FROM T WHERE p = 'type' AND o = 'Class' UNION SELECT s FROM T WHERE p = 'subClassOf'"""))
+@register("set_union_distinct", sql=W("""SELECT s FROM T WHERE p = 'type' AND o = 'Class' UNION SELECT s FROM T WHERE p = 'subClassOf'"""))
 def set_union_distinct(spark, sf_dir):
     """Declared classes: subjects typed Class ∪ subjects of subClassOf, as a set."""
     t = store(spark, sf_dir)

@@ -231,3 +231,13 @@ def test_ttl_cache_batch_form_hot_key_many_slices(spark):
         else:
             miss, want[e] = tt, False
     assert got == want
+
+
+def test_filters_reach_the_scan(spark, sf_dir):
+    p = _plan(se.queries()["flt_case_attribute"](spark, sf_dir))
+    assert "EqualTo(lang,de)" in p and "ReadSchema: struct<doc_id:bigint,lang:string,source:string>" in p
+
+
+def test_triple_patterns_prune_predicate_partitions(spark, sf_dir):
+    p = _plan(se.queries()["join_bgp_chain"](spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(p" in p and "(p#" in p and "= equivalentClass)" in p
