@@ -6,6 +6,8 @@ k rows."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,9 +100,11 @@ def context_budget(df: DataFrame, partition: list[str], order: list[str], length
     return kept.unionByName(zero_kept)
 
 
-def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid") -> DataFrame:
+def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid",
+                      answers: DataFrame | None = None) -> DataFrame:
     """One response row per question (questions with no surviving document
-    get the fixed no-information answer)."""
+    get the fixed no-information answer; with ``answers`` = (qid, answer)
+    from a generator, the others get theirs)."""
     per_q = kept.groupBy(qid).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.array_join(
@@ -110,6 +114,10 @@ def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid") -
         F.round(F.max("score"), 6).alias("best_score"),
     )
     out = questions.select(qid).join(per_q, on=qid, how="left")
+    generated = F.lit(None).cast("string")
+    if answers is not None:
+        out = out.join(answers.select(qid, F.col("answer").alias("_gen")), on=qid, how="left")
+        generated = F.col("_gen")
     n = F.coalesce(F.col("n_docs"), F.lit(0)).cast("long")
     return out.select(
         qid,
@@ -118,7 +126,7 @@ def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid") -
         F.coalesce(F.col("context_chars"), F.lit(0)).cast("long").alias("context_chars"),
         "best_score",
         F.when(n == 0, F.lit("no_context")).otherwise(F.lit("ready")).alias("status"),
-        F.when(n == 0, F.lit(NO_CONTEXT_ANSWER)).alias("answer"),
+        F.when(n == 0, F.lit(NO_CONTEXT_ANSWER)).otherwise(generated).alias("answer"),
     )
 
 
@@ -171,13 +179,7 @@ def extract_after_prompt(generated: Column, prompt_text: Column) -> Column:
 
 
 def after_last_marker(generated: Column, marker: str) -> Column:
-    return strip_ws(F.element_at(F.split(generated, _regex_quote(marker)), -1))
-
-
-def _regex_quote(s: str) -> str:
-    import re
-
-    return re.escape(s)
+    return strip_ws(F.element_at(F.split(generated, re.escape(marker)), -1))
 
 
 def postprocess(answer: Column) -> Column:

@@ -112,7 +112,11 @@ def win_context_budget(spark, sf_dir):
 # --- the flagship: retrieve -> threshold -> stable sort -> budget -> response ----
 
 def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, threshold: float = THRESHOLD,
-                      budget: int = rt.MAX_CONTEXT_LENGTH) -> DataFrame:
+                      budget: int = rt.MAX_CONTEXT_LENGTH, generator_factory=None) -> DataFrame:
+    """Questions = every embedding (the text of document ``qid``).  With a
+    ``generator_factory`` the kept documents become a numbered context, the
+    prompt goes through the user's generator (batched, ``mapInPandas``) and
+    the answer is cut after the prompt and post-processed."""
     t = Tables(spark, sf_dir)
     questions = t.embeddings.select(F.col("vec_id").alias("qid"))
     hits = rt.similarity_threshold(self_knn(spark, sf_dir, k), threshold)
@@ -120,7 +124,20 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
     docs = t.documents.select(F.col("doc_id").alias("id"), F.col("n_chars").alias("doc_length"))
     hits = hits.join(docs, on="id", how="left").withColumn("doc_length", F.coalesce(F.col("doc_length"), F.lit(0)))
     kept = rt.context_budget(hits, ["qid"], ["pos"], "doc_length", budget, rows_per_key_bounded=True)  # <= k per qid
-    return rt.assemble_response(questions, kept)
+    answers = None
+    if generator_factory is not None:
+        from tessera.operators import hooks
+
+        content = t.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("content"),
+                                     F.col("source").alias("title"))
+        ctx = rt.context_string(kept.join(content, "id"), "qid", "pos", "title", "score", "content")
+        qtext = t.documents.select(F.col("doc_id").alias("qid"), F.col("text").alias("question"))
+        prompts = ctx.join(qtext, "qid", "left").select(
+            "qid", rt.prompt(F.col("context"), F.coalesce(F.col("question"), F.lit(""))).alias("prompt"))
+        gen = hooks.generate(prompts, "prompt", generator_factory)
+        raw = F.coalesce(rt.extract_after_prompt(F.col("generated"), F.col("prompt")), F.col("generated"))
+        answers = gen.select("qid", rt.postprocess(raw).alias("answer"))
+    return rt.assemble_response(questions, kept, answers=answers)
 
 
 RAG_SQL = f"""WITH {knn_sql(5)},

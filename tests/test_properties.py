@@ -241,3 +241,44 @@ def test_filters_reach_the_scan(spark, sf_dir):
 def test_triple_patterns_prune_predicate_partitions(spark, sf_dir):
     p = _plan(se.queries()["join_bgp_chain"](spark, sf_dir))
     assert "PartitionFilters: [isnotnull(p" in p and "(p#" in p and "= equivalentClass)" in p
+
+
+def test_pipeline_with_generator_hook(spark, sf_dir):
+    from tessera.plans.retrieval_queries import retrieve_pipeline
+
+    def echo_generator():  # nested: shipped to the workers by value
+        return lambda prompts: [p + "  The answer:\n  short   text here " for p in prompts]
+
+    out = retrieve_pipeline(spark, sf_dir, generator_factory=echo_generator)
+    rows = out.collect()
+    ready = [r for r in rows if r["status"] == "ready"]
+    assert ready and all(r["answer"] == "The answer: short text here" for r in ready)
+    assert all(r["answer"] == rt.NO_CONTEXT_ANSWER for r in rows if r["status"] == "no_context")
+
+
+def test_generator_failure_is_isolated(spark):
+    from tessera.operators import hooks
+
+    def broken_generator():
+        def gen(prompts):
+            if len(prompts) > 1 or "boom" in prompts[0]:
+                raise RuntimeError("model failure")
+            return ["ok " + p[:3] for p in prompts]
+        return gen
+
+    df = spark.createDataFrame([("abc",), ("boom",), ("xyz",)], "prompt string").repartition(1)
+    got = {r["prompt"]: r["generated"] for r in hooks.generate(df, "prompt", broken_generator).collect()}
+    assert got == {"abc": "ok abc", "boom": None, "xyz": "ok xyz"}
+
+
+def test_encoder_hook_feeds_knn(spark):
+    from tessera.operators import hooks
+    import numpy as np
+
+    def factory():
+        return lambda texts: np.array([[len(t), t.count("a"), 1.0] for t in texts], dtype=float)
+
+    df = spark.createDataFrame([(1, "aaa"), (2, "aab"), (3, "zzzzzzzz")], "id long, text string")
+    enc = hooks.encode(df, "text", factory)
+    hits = {r["qid"]: r["id"] for r in knn(enc, enc, 1, query_id="id", exclude_self=True).collect()}
+    assert hits[1] == 2 and hits[2] == 1
