@@ -130,7 +130,8 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
 
         content = t.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("content"),
                                      F.col("source").alias("title"))
-        ctx = rt.context_string(kept.join(content, "id"), "qid", "pos", "title", "score", "content")
+        hits_content = kept.join(content, "id", "left").fillna("", ["content", "title"])
+        ctx = rt.context_string(hits_content, "qid", "pos", "title", "score", "content")
         qtext = t.documents.select(F.col("doc_id").alias("qid"), F.col("text").alias("question"))
         prompts = ctx.join(qtext, "qid", "left").select(
             "qid", rt.prompt(F.col("context"), F.coalesce(F.col("question"), F.lit(""))).alias("prompt"))
