@@ -46,7 +46,7 @@ def stm_ttl_cache(spark, sf_dir):
 @register("stm_request_metrics", sql="""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS total_requests,
   count(*) FILTER (WHERE event_type <> 'error') AS successful_requests,
   round(sum(value) FILTER (WHERE event_type <> 'error'), 2) AS success_seconds,
-  round(round(sum(value) FILTER (WHERE event_type <> 'error'), 2) / count(*) FILTER (WHERE event_type <> 'error'), 6)
+  round(sum(value) FILTER (WHERE event_type <> 'error'), 2) / count(*) FILTER (WHERE event_type <> 'error')
     AS average_processing_time
 FROM events GROUP BY 1""")
 def stm_request_metrics(spark, sf_dir):
@@ -59,7 +59,7 @@ def stm_request_metrics(spark, sf_dir):
     cents = F.round("success_seconds", 2)
     return r.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "total_requests", "successful_requests",
                     cents.alias("success_seconds"),
-                    F.round(cents / F.col("successful_requests"), 6).alias("average_processing_time"))
+                    (cents / F.col("successful_requests")).alias("average_processing_time"))
 
 
 @register("stm_collection_ingest", sql="SELECT vec_id, label FROM embeddings")
