@@ -36,7 +36,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder must be the shared one named by
     ``spark.checkpoint.dir``; we only invent one (a fresh temp folder) when
     the setting is absent *and* the master is local, as in tests."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
