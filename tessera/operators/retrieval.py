@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed values (texts the reference answers with; Russian in the original).
+# Fixed values (texts the original pipeline answers with, in Russian as there).
 NO_CONTEXT_ANSWER = "К сожалению, я не нашел достаточно информации для ответа на этот вопрос."
 SHORT_ANSWER_APOLOGY = "Извините, не удалось сгенерировать содержательный ответ на основе найденной информации."
 PROMPT_TEMPLATE_HEAD = (

@@ -1,4 +1,4 @@
-"""Golden values (published outputs of the reference, re-checked on small
+"""Golden values (published outputs, re-checked on small
 hand-written fixtures of the same shape)."""
 
 import math
