@@ -40,12 +40,16 @@ def retrieval_metrics(hits: DataFrame, relevant_count: DataFrame, key: str = "qi
 
     ``hits``: (key, id, rank, is_relevant) with the retrieved ids (duplicates
     allowed; precision counts distinct ids).  ``relevant_count``: (key,
-    n_relevant).  Cases with no hit get zeros (left join from relevant_count)."""
-    per_id = hits.groupBy(key, "id").agg(F.min("rank").alias("rank"), F.max(F.col("is_relevant").cast("int")).alias("rel"))
+    n_relevant).  Cases with no hit get zeros (left join from relevant_count);
+    ``top_score`` is the best hit score (when the hits carry ``score``)."""
+    score = F.max("score") if "score" in hits.columns else F.lit(None).cast("double")
+    per_id = hits.groupBy(key, "id").agg(F.min("rank").alias("rank"), F.max(F.col("is_relevant").cast("int")).alias("rel"),
+                                         score.alias("score"))
     per_case = per_id.groupBy(key).agg(
         F.count(F.lit(1)).alias("retrieved_count"),
         F.sum("rel").cast("long").alias("hits_relevant"),
         F.min(F.when(F.col("rel") == 1, F.col("rank"))).alias("first_rank"),
+        F.max("score").alias("top_score"),
     )
     out = relevant_count.join(per_case, on=key, how="left")
     ret = F.coalesce(F.col("retrieved_count"), F.lit(0)).cast("long")
@@ -61,6 +65,7 @@ def retrieval_metrics(hits: DataFrame, relevant_count: DataFrame, key: str = "qi
         r.alias("recall"),
         harmonic(p, r).alias("f1_score"),
         F.coalesce(1.0 / F.col("first_rank").cast("double"), F.lit(0.0)).alias("mrr"),
+        F.col("top_score"),
     )
 
 

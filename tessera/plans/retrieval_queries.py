@@ -264,11 +264,9 @@ def grouped_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-case metrics computed once, rolled up overall / per category /
     per difficulty with GROUPING SETS (the original re-runs everything per group)."""
     t = Tables(spark, sf_dir)
-    hits = self_knn(spark, sf_dir, 5)
-    cm = case_metrics(spark, sf_dir, hits=hits)
-    top1 = hits.filter(F.col("rank") == 1).select("qid", F.col("score").alias("semantic_similarity"))
+    cm = case_metrics(spark, sf_dir).withColumnRenamed("top_score", "semantic_similarity")  # best hit = top-1 score
     cases = (
-        cm.join(top1, "qid", "left")
+        cm
         .join(t.documents.select(F.col("doc_id").alias("qid"), F.col("lang").alias("category"),
                                  F.col("source").alias("difficulty")), "qid", "left")
     )
