@@ -131,6 +131,106 @@ def _score_group_fn(qid: str, cid: str, qvec: str, cvec: str, k: int, metric: st
     return fn
 
 
+SELF_BLOCK_ROWS = 4096
+
+
+def _self_group_fn(k: int, metric: str, out_schema: pa.Schema, chunk_rows: int = CHUNK_ROWS):
+    """Symmetric self-join group (i, j): side 0 = rows of block i, side 1 =
+    rows of block j (absent on the diagonal).  Each score chunk serves both
+    directions: its rows feed the running top-k of block-i queries among
+    block-j vectors, its columns (complete over block i) give the top-k of
+    those block-j queries directly.  Memory: one |block| x CHUNK_ROWS chunk."""
+    def prep(tbl: pa.Table):
+        x = _matrix(tbl, "vec")
+        if metric == "cosine":
+            n = np.linalg.norm(x, axis=1, keepdims=True)
+            x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+        return x, _ids(tbl, "id")
+
+    def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if metric == "cosine":
+            sc = a @ b.T
+        else:
+            sc = -(np.einsum("ij,ij->i", a, a)[:, None] - 2.0 * (a @ b.T) + np.einsum("ij,ij->i", b, b)[None, :])
+        return np.round(sc, RANK_DECIMALS)
+
+    def candidates(sc: np.ndarray):
+        m = sc.shape[1]
+        if m > k:
+            thr = -np.partition(-sc, k - 1, axis=1)[:, k - 1]
+            mask = sc >= thr[:, None]
+        else:
+            mask = np.ones_like(sc, dtype=bool)
+        mask &= np.isfinite(sc)
+        return np.nonzero(mask)
+
+    def fn(tbl: pa.Table) -> pa.Table:
+        side = tbl.column("side").to_numpy()
+        a, a_ids = prep(tbl.filter(pa.array(side == 0)))
+        b_tbl = tbl.filter(pa.array(side == 1))
+        diagonal = b_tbl.num_rows == 0
+        b, b_ids = (a, a_ids) if diagonal else prep(b_tbl)
+        b_codes = _order_codes(b_ids)
+        a_codes = _order_codes(a_ids)
+        rq, rc, rs = [], [], []          # row direction candidates: (a row, b col, score)
+        out_q, out_c, out_s = [], [], []  # finished column-direction results
+        for start in range(0, len(b_ids), chunk_rows):
+            sc = scores(a, b[start:start + chunk_rows])
+            if diagonal:
+                idx = np.arange(start, start + sc.shape[1])  # the chunk's columns are rows idx of block i
+                sc[idx, idx - start] = -np.inf
+            r, cc = candidates(sc)
+            rq.append(r); rc.append(cc + start); rs.append(sc[r, cc])
+            if not diagonal:  # columns of this chunk are complete over block i
+                t = np.ascontiguousarray(sc.T)
+                r2, c2 = candidates(t)
+                sel, sel_rows = _topk_sparse(r2, t[r2, c2], a_codes[c2], k)
+                out_q.append(b_ids[start + sel_rows]); out_c.append(a_ids[c2[sel]]); out_s.append(t[r2, c2][sel])
+        rows, cols, sv = np.concatenate(rq), np.concatenate(rc), np.concatenate(rs)
+        sel, sel_rows = _topk_sparse(rows, sv, b_codes[cols], k)
+        out_q.append(a_ids[sel_rows]); out_c.append(b_ids[cols[sel]]); out_s.append(sv[sel])
+        q, c, v = np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_s)
+        if metric != "cosine":
+            v = -v
+        return pa.table({"qid": pa.array(q, type=out_schema.field("qid").type),
+                         "id": pa.array(c, type=out_schema.field("id").type),
+                         "score": pa.array(v, type=pa.float64())}, schema=out_schema)
+
+    return fn
+
+
+def knn_self(vectors: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "embedding",
+             metric: str = "cosine", blocks: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Exact top-k of every vector among all the others (self excluded):
+    ``(qid, id, score, rank)``.
+
+    Both metrics are symmetric, so each unordered block pair {i, j} is scored
+    once: a row of block b is copied to the groups (min(b, j), max(b, j)) for
+    every block j, i.e. ``blocks`` copies per row and blocks*(blocks+1)/2
+    groups -- half the matrix products and half the shuffle of the
+    query-vs-collection form."""
+    if metric not in ("cosine", "l2"):
+        raise ValueError(metric)
+    v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).filter(F.size("vec") > 0)
+    if blocks is None:
+        _, rows = block_rows(v, "vec")
+        blocks = max(1, math.ceil(v.count() / min(SELF_BLOCK_ROWS, rows)))
+    b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    j = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rep = v.withColumn("b", b).withColumn("j", j)
+    rep = rep.select("id", "vec", F.least("b", "j").alias("g1"), F.greatest("b", "j").alias("g2"),
+                     F.when((F.col("b") == F.col("j")) | (F.col("b") == F.least("b", "j")), F.lit(0))
+                     .otherwise(F.lit(1)).alias("side"))
+    id_type = v.schema["id"].dataType
+    out_arrow = pa.schema([("qid", _arrow_type(id_type)), ("id", _arrow_type(id_type)), ("score", pa.float64())])
+    out_spark = T.StructType([T.StructField("qid", id_type), T.StructField("id", id_type),
+                              T.StructField("score", T.DoubleType())])
+    partial = rep.groupBy("g1", "g2").applyInArrow(_self_group_fn(k, metric, out_arrow, chunk_rows), out_spark)
+    order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
+    w = Window.partitionBy("qid").orderBy(order, F.col("id").asc())
+    return partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("qid", "id", "score", "rank")
+
+
 def _arrow_type(dt: T.DataType) -> pa.DataType:
     if isinstance(dt, T.LongType):
         return pa.int64()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import evaluation as ev
 from tessera.operators import retrieval as rt
-from tessera.operators.knn import knn
+from tessera.operators.knn import knn, knn_self
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
 
@@ -20,8 +20,13 @@ THRESHOLD = 0.25  # fixture threshold (the 0.6 default leaves no non-self hit on
 
 
 def self_knn(spark: SparkSession, sf_dir: str, k: int, metric: str = "cosine", where_label: int | None = None) -> DataFrame:
+    """Every embedding against all others.  Without a metadata filter the
+    query set is the collection, so the symmetric form scores each block pair
+    once; with a filter the collection is pre-filtered (before ranking)."""
     e = Tables(spark, sf_dir).embeddings
-    coll = e if where_label is None else e.filter(F.col("label") == where_label)
+    if where_label is None:
+        return knn_self(e, k, id_col="vec_id", metric=metric)
+    coll = e.filter(F.col("label") == where_label)
     return knn(e, coll, k, query_id="vec_id", id_col="vec_id", metric=metric, exclude_self=True)
 
 

@@ -176,10 +176,12 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_knn_plan_is_cogroup_with_partial_topk(spark, sf_dir):
+def test_knn_plan_is_grouped_arrow_with_partial_topk(spark, sf_dir):
     p = _plan(se.queries()["join_knn_exact"](spark, sf_dir))
-    assert "FlatMapCoGroupsInArrow" in p and "WindowGroupLimit" in p
+    assert "FlatMapGroupsInArrow" in p and "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    p = _plan(se.queries()["join_knn_filtered"](spark, sf_dir))
+    assert "FlatMapCoGroupsInArrow" in p and "WindowGroupLimit" in p
 
 
 @pytest.mark.parametrize("key", sorted(se.queries()))
@@ -282,3 +284,17 @@ def test_encoder_hook_feeds_knn(spark):
     enc = hooks.encode(df, "text", factory)
     hits = {r["qid"]: r["id"] for r in knn(enc, enc, 1, query_id="id", exclude_self=True).collect()}
     assert hits[1] == 2 and hits[2] == 1
+
+
+@pytest.mark.parametrize("blocks,chunk", [(1, 2048), (3, 2048), (4, 7), (1, 5)])
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_symmetric_self_knn_equals_general(spark, blocks, chunk, metric):
+    from tessera.operators.knn import knn_self
+
+    rng = random.Random(11)
+    vecs = [(i, [float(rng.choice([0, 1, 2, 3])) for _ in range(5)]) for i in range(90)]
+    df = spark.createDataFrame(vecs, "id long, embedding array<double>")
+    a = sorted(tuple(r) for r in knn_self(df, 4, metric=metric, blocks=blocks, chunk_rows=chunk).collect())
+    b = sorted(tuple(r) for r in knn(df, df, 4, query_id="id", metric=metric, exclude_self=True,
+                                     q_blocks=2, c_blocks=3).collect())
+    assert a == b
