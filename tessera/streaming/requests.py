@@ -109,3 +109,14 @@ def ingest(stream: DataFrame, collection: Collection, checkpoint: str) -> None:
     """Each micro-batch is added with the idempotent collection ``add``, so a
     replayed batch (after a failure) leaves the table unchanged."""
     run_foreach_batch(stream, lambda batch, _epoch: collection.add(batch), checkpoint)
+
+
+def score_with_model(requests: DataFrame, model, text: str, keep: list[str]) -> DataFrame:
+    """Streaming prediction requests scored by a fitted Spark ML pipeline
+    (TF-IDF + forest, or any model with a ``probability`` column): requests
+    failing the text rules give ("error", 0.0), the others the arg-max class
+    and its probability.  The model is applied to each micro-batch by Spark;
+    nothing is collected."""
+    from tessera.operators import classify as cl
+
+    return cl.batch_predict_safe(model, requests, text, keep)

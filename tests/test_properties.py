@@ -298,3 +298,21 @@ def test_symmetric_self_knn_equals_general(spark, blocks, chunk, metric):
     b = sorted(tuple(r) for r in knn(df, df, 4, query_id="id", metric=metric, exclude_self=True,
                                      q_blocks=2, c_blocks=3).collect())
     assert a == b
+
+
+def test_stream_scoring_with_fitted_model(spark, sf_dir):
+    """The fitted pipeline scores a document stream; the result equals the
+    batch scoring of the same rows."""
+    from tessera.operators import classify as cl
+    from tessera.plans.ml_queries import _labelled_docs
+    from tessera.streaming import requests as st
+
+    model = cl.text_forest().fit(_labelled_docs(spark, sf_dir))
+    out = files.scratch_path(spark, "stream-model")
+    stream = st.stream_table(spark, sf_dir, "documents").select("doc_id", "text")
+    st.run_to_parquet(st.score_with_model(stream, model, "text", ["doc_id"]), out + "/data", out + "/ck")
+    got = sorted(tuple(r) for r in spark.read.parquet(out + "/data").collect())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    want = sorted(tuple(r) for r in cl.batch_predict_safe(model, docs, "text", ["doc_id"]).collect())
+    assert got == want
+    assert any(r[1] == cl.ERROR_LABEL for r in got) and any(r[1] != cl.ERROR_LABEL for r in got)
