@@ -105,6 +105,7 @@ def join_positional_zip(spark, sf_dir):
     p = qa_pairs(spark, sf_dir)
     left = F.create_map(F.lit("role"), F.lit("user"))
     right = F.create_map(F.lit("role"), F.lit("assistant"))
-    merged = F.map_concat(left, right)  # LAST_WIN dedup policy: right side wins
+    # right side wins, independent of spark.sql.mapKeyDedupPolicy
+    merged = F.map_concat(F.map_filter(left, lambda k, _v: ~F.array_contains(F.map_keys(right), k)), right)
     return p.select("pair_id", merged["role"].alias("role"), F.char_length("question").alias("question_chars"),
                     F.char_length("answer").alias("answer_chars"))

@@ -23,7 +23,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
