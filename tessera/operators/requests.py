@@ -93,24 +93,32 @@ def keep_newest(df: DataFrame, key: str, order_desc: list[str], n: int) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def running_mean(df: DataFrame, key: str, order: list[str], value: str, parts: int = 16) -> DataFrame:
-    """Cumulative mean of ``value`` per key in ``order`` (rows frame), as a
-    distributed prefix sum: range-partition on (key, order) so that a hot key
+def running_sum(df: DataFrame, keys: list[str], order: list, value: str, parts: int = 16) -> DataFrame:
+    """Adds ``running_sum`` / ``running_count`` of ``value`` per key in
+    ``order`` (rows frame, unbounded preceding .. current row), as a
+    distributed prefix sum: range-partition on (keys, order) so that a hot key
     is spread over several partitions, take running sums inside each
     (partition, key) slice, then add the totals of the key's earlier slices.
-    The range-partitioned frame is checkpointed so that slice ids are stable
-    if a task is recomputed."""
-    ranged = cut(df.repartitionByRange(parts, key, *order).withColumn("_slice", F.spark_partition_id()))
-    w_in = Window.partitionBy("_slice", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ``order`` items are column names or sort expressions.  The
+    range-partitioned frame is checkpointed so that slice ids are stable if a
+    task is recomputed."""
+    sort = [F.col(o) if isinstance(o, str) else o for o in order]
+    ranged = cut(df.repartitionByRange(parts, *keys, *sort).withColumn("_slice", F.spark_partition_id()))
+    w_in = Window.partitionBy("_slice", *keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_s", F.sum(value).over(w_in)).withColumn("_c", F.count(value).over(w_in))
-    totals = ranged.groupBy(key, "_slice").agg(F.sum(value).alias("_ts"), F.count(value).alias("_tc"))
-    w_prev = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_slice", F.coalesce(F.sum("_ts").over(w_prev), F.lit(0.0)).alias("_os"),
+    totals = ranged.groupBy(*keys, "_slice").agg(F.sum(value).alias("_ts"), F.count(value).alias("_tc"))
+    w_prev = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_slice", F.coalesce(F.sum("_ts").over(w_prev), F.lit(0)).alias("_os"),
                             F.coalesce(F.sum("_tc").over(w_prev), F.lit(0)).alias("_oc"))
-    out = local.join(offsets, [key, "_slice"])
-    out = out.withColumn("running_sum", F.col("_s") + F.col("_os")).withColumn("running_count", F.col("_c") + F.col("_oc"))
-    return out.withColumn("running_mean", F.try_divide(F.col("running_sum"), F.col("running_count"))).drop(
-        "_slice", "_s", "_c", "_os", "_oc")
+    out = local.join(offsets, [*keys, "_slice"])
+    return out.withColumn("running_sum", F.col("_s") + F.col("_os")).withColumn(
+        "running_count", F.col("_c") + F.col("_oc")).drop("_slice", "_s", "_c", "_os", "_oc")
+
+
+def running_mean(df: DataFrame, key: str, order: list[str], value: str, parts: int = 16) -> DataFrame:
+    """Cumulative mean of ``value`` per key in ``order`` (see ``running_sum``)."""
+    out = running_sum(df, [key], order, value, parts)
+    return out.withColumn("running_mean", F.try_divide(F.col("running_sum"), F.col("running_count")))
 
 
 def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us: int, parts: int = 16) -> DataFrame:

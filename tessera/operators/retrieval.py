@@ -70,34 +70,21 @@ def context_budget(df: DataFrame, partition: list[str], order: list[str], length
     length stays <= limit and stop at the first that does not fit.
 
     Lengths are >= 0, so the running sum never falls back under the limit and
-    the ``break`` is a filter on the running sum.  A hot partition key cannot
-    overload one task: rows of positive length are first cut to the first
-    ``limit + 1`` per partition (a partial ``WindowGroupLimit`` runs before
-    the shuffle), since no more than ``limit`` of them can fit; zero-length
-    rows are then kept when they come before the partition's cut-off row.
+    the ``break`` is a filter on the running sum.  The running sum is the
+    distributed prefix sum of ``running_sum`` (range-partitioned slices plus
+    per-slice offsets), so a hot partition key is spread over many tasks.
     ``rows_per_key_bounded=True`` is for callers whose keys hold at most a
-    few rows by construction."""
-    sort, order_key = _order(order)
+    few rows by construction (one plain window, no range partitioning)."""
+    sort, _ = _order(order)
     if rows_per_key_bounded:
-        # each key holds few rows by construction (e.g. the k hits of one
-        # question): one running-sum window, no split
         w = Window.partitionBy(*partition).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn("_run", F.sum(F.coalesce(F.col(length), F.lit(0))).over(w)).filter(
             F.col("_run") <= limit).drop("_run")
-    positive = df.filter(F.col(length) > 0)
-    zero = df.filter(F.coalesce(F.col(length), F.lit(0)) <= 0)
-    w_rank = Window.partitionBy(*partition).orderBy(*sort)
-    head = positive.withColumn("_rn", F.row_number().over(w_rank)).filter(F.col("_rn") <= limit + 1)
-    w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head = head.withColumn("_run", F.sum(length).over(w_run))
-    kept = head.filter(F.col("_run") <= limit).drop("_rn", "_run")
-    cut = head.filter(F.col("_run") > limit).groupBy(*partition).agg(F.min(order_key).alias("_cut"))
-    zero_kept = (
-        zero.join(cut, on=partition, how="left")
-        .filter(F.col("_cut").isNull() | (order_key < F.col("_cut")))
-        .drop("_cut")
-    )
-    return kept.unionByName(zero_kept)
+    from tessera.operators.requests import running_sum
+
+    with_len = df.withColumn("_len", F.coalesce(F.col(length), F.lit(0)))
+    run = running_sum(with_len, partition, sort, "_len")
+    return run.filter(F.col("running_sum") <= limit).drop("_len", "running_sum", "running_count")
 
 
 def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid",
