@@ -103,3 +103,49 @@ def test_advice_default_and_thresholds(spark):
                      "mean_rougeL": F.col("l")})
     got = [r["a"] for r in df.select(adv.alias("a")).collect()]
     assert got[0] == ev.ADVICE_DEFAULT and got[1] == ev.ADVICE[0][2]
+
+
+def test_compatible_join_on_pizza_shaped_graph(spark):
+    """{A1 (equivalentClass/intersectionOf) UNION A2 (subClassOf NamedPizza)}
+    joined with {B1 (list members' someValuesFrom) UNION B2 (subClassOf
+    restriction)}: bound+bound must agree, unbound matches anything; the
+    CONSTRUCT is a set; != excludes the IRI only (not its subclasses)."""
+    from tessera.operators import triples as tp
+
+    T = [  # (s, p, o)
+        ("Marg", "subClassOf", "NamedPizza"), ("Marg", "label", "Margherita"),
+        ("Marg", "subClassOf", "r1"), ("r1", "someValuesFrom", "Tomato"),
+        ("Marg", "subClassOf", "r2"), ("r2", "someValuesFrom", "Mozzarella"),
+        ("Amer", "subClassOf", "NamedPizza"), ("Amer", "label", "American"),
+        ("Amer", "subClassOf", "r3"), ("r3", "someValuesFrom", "Pepperoni"),
+        ("Pepperoni", "subClassOf", "MeatTopping"),
+        ("Veg", "equivalentClass", "c1"), ("c1", "intersectionOf", "l0"), ("Veg", "label", "Vegetarian"),
+        ("l0", "first", "Pizza"), ("l0", "rest", "l1"), ("l1", "first", "r4"), ("l1", "rest", "nil"),
+        ("r4", "someValuesFrom", "Tomato"),
+        ("Meat", "subClassOf", "NamedPizza"), ("Meat", "label", "Meaty"),
+        ("Meat", "subClassOf", "r5"), ("r5", "someValuesFrom", "MeatTopping"),
+    ]
+    df = spark.createDataFrame([(s, p, o, "iri", "") for s, p, o in T], "s string, p string, o string, o_kind string, lang string")
+    t = tp.Triples(df)
+    a = tp.union(t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Pizza")),
+                 t.bgp(("?x", "subClassOf", "NamedPizza")))
+    heads = t.pattern("?c", "intersectionOf", "?i").select("i").distinct()
+    members = tp.path_star_then(df, heads, "rest", "first", start_col="i", out_col="r")
+    b = tp.union(tp.join_all([t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i")), members,
+                              t.pattern("?r", "someValuesFrom", "?t")]),
+                 t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t")))
+    j = tp.compatible_join(a, b, ["x"])
+    pairs = sorted((r["x"], r["t"]) for r in j.select("x", "t").collect())
+    assert pairs == [("Amer", "Pepperoni"), ("Marg", "Mozzarella"), ("Marg", "Tomato"), ("Meat", "MeatTopping"),
+                     ("Veg", "Tomato")]
+    counts = {r["t"]: r["n"] for r in j.groupBy("t").agg(F.count("x").alias("n")).collect()}
+    assert counts["Tomato"] == 2
+    veg = tp.construct(j.filter(F.col("t") != "MeatTopping"),
+                       [("?x", "isVegetarian", ("true", "lit")), ("?x", "hasTopping", "?t")])
+    subjects = {r["s"] for r in veg.filter(F.col("p") == "isVegetarian").collect()}
+    assert subjects == {"Amer", "Marg", "Veg"}          # American kept: only the IRI is excluded
+    assert veg.count() == 3 + 4                          # set semantics: one isVegetarian per pizza
+    closure = tp.subclass_closure(df, spark.createDataFrame([("MeatTopping",)], "root string")).select(
+        F.col("cls").alias("t"))
+    strict = j.join(closure, "t", "left_semi").select("x").distinct()
+    assert {r["x"] for r in strict.collect()} == {"Amer", "Meat"}  # closure catches Pepperoni
