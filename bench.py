@@ -12,6 +12,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,22 +34,51 @@ HEADLINE = [
 ]
 
 
+def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
+    """Sum of task shuffle bytes written per job group, from the event log."""
+    stage_group, out = {}, {}
+    paths = [os.path.join(d, f) for d, _, fs in os.walk(log_dir) for f in fs if f.startswith(("events", "local"))]
+    for path in paths:
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    written = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    if group:
+                        out[group] = out.get(group, 0) + written
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus * 2), app="tessera-bench")
+    log_dir = tempfile.mkdtemp(prefix="tessera-bench-events-")  # local bench only
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus * 2), app="tessera-bench",
+                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                                 "spark.eventLog.compress": "false"})
     ensure_checkpoint_dir(spark)
     load_all()
     # warm-up: JVM code paths and Python workers
     QUERIES["agg_value_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     # each query runs twice: the first run pays one-off JIT/codegen/Python
     # worker start-up (reported as "cold"), the second is the steady state
-    times, cold = {}, {}
+    times, cold, rows = {}, {}, {}
+    sc = spark.sparkContext
     for key in HEADLINE:
         for attempt in (0, 1):
+            sc.setJobGroup(f"{key}#{attempt}", key)
             t0 = time.perf_counter()
             QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
             (cold if attempt == 0 else times)[key] = round(time.perf_counter() - t0, 3)
+        sc.setJobGroup("rows", "rows")
+        rows[key] = QUERIES[key](spark, sf_dir).count()
     # per-request scoring time, comparable to the published mean request time
     # of the prediction service (TF-IDF + 10-tree forest): fit once, then
     # score every document of the table through the batch path
@@ -65,6 +95,9 @@ def main() -> None:
         cl.batch_predict_safe(model, docs, "text", ["doc_id"]).write.format("noop").mode("overwrite").save()
         per_request = (time.perf_counter() - t0) / max(n_docs, 1)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    spark.stop()  # flushes the event log
+    by_group = shuffle_bytes_by_group(log_dir)
+    shuffle = {k: by_group.get(f"{k}#1", 0) for k in HEADLINE}
     print(json.dumps({
         "metric": "headline_total_seconds",
         "value": round(sum(times.values()), 3),
@@ -72,12 +105,13 @@ def main() -> None:
         "queries": times,
         "cold_total": round(sum(cold.values()), 3),
         "cold_queries": cold,
+        "rows": rows,
+        "shuffle_bytes": shuffle,
         "batch_prediction_sec_per_request": round(per_request, 7),
         "batch_prediction_requests": n_docs,
         "baseline_batch_prediction_sec_per_request": 0.0015876293,
         "sf": float(m.group(1)) if m else sf_dir,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":

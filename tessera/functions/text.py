@@ -14,6 +14,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def by_key(df, key: str):
+    """Hash-partition rows by ``key`` into the session's shuffle-partition
+    count.  The count is explicit so that AQE does not coalesce the (small)
+    text shuffle into a few partitions: the token work after it is several
+    times larger than the text that moved."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
 def nonempty(arr: Column) -> Column:
     return F.array_remove(arr, "")
 

@@ -131,7 +131,10 @@ def clipped_overlap(pairs: DataFrame, key: str, pred_tokens: str, ref_tokens: st
 
 def rouge_n(pairs: DataFrame, key: str, pred: str, ref: str, orders=(1, 2), mode: str = "ascii") -> DataFrame:
     """ROUGE-n F-measure per pair, one column ``rouge{n}`` per order."""
-    toks = pairs.select(key, tx.rouge_tokens(F.col(pred), mode).alias("pt"), tx.rouge_tokens(F.col(ref), mode).alias("rt"))
+    # partitioned by pair once: the n-gram aggregations and the grid join
+    # below are then co-partitioned (only the texts move, not the n-grams)
+    toks = tx.by_key(pairs.select(key, pred, ref), key).select(
+        key, tx.rouge_tokens(F.col(pred), mode).alias("pt"), tx.rouge_tokens(F.col(ref), mode).alias("rt"))
     ov = clipped_overlap(toks, key, "pt", "rt", list(orders))
     p = safe_div(F.col("overlap"), F.col("pred_total"))
     r = safe_div(F.col("overlap"), F.col("ref_total"))
@@ -146,7 +149,8 @@ def bleu(pairs: DataFrame, key: str, pred: str, ref: str, max_order: int = 4) ->
     geometric mean of clipped n-gram precisions (0 if any is 0) times the
     brevity penalty exp(1 - r/c) when the prediction is not longer."""
     orders = list(range(1, max_order + 1))
-    toks = pairs.select(key, tx.bleu_tokens(F.col(pred)).alias("pt"), tx.bleu_tokens(F.col(ref)).alias("rt"))
+    toks = tx.by_key(pairs.select(key, pred, ref), key).select(  # see rouge_n
+        key, tx.bleu_tokens(F.col(pred)).alias("pt"), tx.bleu_tokens(F.col(ref)).alias("rt"))
     ov = clipped_overlap(toks, key, "pt", "rt", orders)
     p = safe_div(F.col("overlap"), F.col("pred_total"))
     per = ov.groupBy(key).agg(  # one pass: precisions and the unigram lengths

@@ -50,7 +50,13 @@ def tfidf(docs: DataFrame, key: str, text: str, vocab_size: int = 1000) -> DataF
 
     The vocabulary is a global top-k (bounded by ``vocab_size``), so it is the
     only side that is broadcast; every other step is keyed by document or term."""
-    tok = docs.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)).alias("term"))
+    # hash-partition the documents once: the (doc, term) aggregation, the
+    # per-document window and the vocabulary join then need no further
+    # shuffle of tokens (which outnumber the text several times)
+    from tessera.functions.text import by_key
+
+    by_doc = by_key(docs.select(key, text), key)
+    tok = by_doc.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)).alias("term"))
     tf = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     # one pass over (doc, term) rows gives both the corpus frequency and the
     # document frequency of every term; the vocabulary keeps its df

@@ -8,7 +8,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tessera",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way the library expects a cluster to be:
     AQE on (coalesce + skew join), Arrow on, UTC session zone, UI off."""
     builder = (
@@ -24,6 +25,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
