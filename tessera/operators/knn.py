@@ -15,6 +15,12 @@ Physical shape (no cross join, nothing through the driver):
 Block counts come from the row counts, so each group holds a bounded number
 of vectors whatever the table size; a hot metadata value cannot create a
 large group because blocks are assigned by id hash, not by metadata.
+
+``knn_self`` is the same idea when the queries are the collection: both
+metrics are symmetric, so each unordered block pair is scored once and one
+chunked matrix gives the top-k in both directions.  ``knn_lsh`` restricts
+candidates to shared random-hyperplane buckets and scores them with the same
+group function (approximate by design).
 """
 
 from __future__ import annotations

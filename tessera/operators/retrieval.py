@@ -50,18 +50,9 @@ def stable_desc_position(hits: DataFrame, key: str = "qid", score: str = "score"
     return hits.withColumn("pos", F.row_number().over(w))
 
 
-def _order(order: list[str]) -> tuple[list[Column], Column]:
-    """``["-score", "rank"]`` -> sort expressions and one comparable struct key
-    (a leading '-' means descending; such keys must be numeric)."""
-    sort, key = [], []
-    for o in order:
-        if o.startswith("-"):
-            sort.append(F.col(o[1:]).desc())
-            key.append(-F.col(o[1:]))
-        else:
-            sort.append(F.col(o).asc())
-            key.append(F.col(o))
-    return sort, F.struct(*key)
+def _order(order: list[str]) -> list[Column]:
+    """``["-score", "rank"]`` -> sort expressions (a leading '-' means descending)."""
+    return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
 def context_budget(df: DataFrame, partition: list[str], order: list[str], length: str,
@@ -75,7 +66,7 @@ def context_budget(df: DataFrame, partition: list[str], order: list[str], length
     per-slice offsets), so a hot partition key is spread over many tasks.
     ``rows_per_key_bounded=True`` is for callers whose keys hold at most a
     few rows by construction (one plain window, no range partitioning)."""
-    sort, _ = _order(order)
+    sort = _order(order)
     if rows_per_key_bounded:
         w = Window.partitionBy(*partition).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn("_run", F.sum(F.coalesce(F.col(length), F.lit(0))).over(w)).filter(
