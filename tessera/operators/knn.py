@@ -327,21 +327,27 @@ def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, bits * tables))
 
 
-def lsh_buckets(vec: str, planes: np.ndarray, bits: int, tables: int):
-    """Column of ``tables`` bucket ids (sign pattern of ``bits`` random
-    hyperplanes each); cosine-similar vectors share buckets with high probability."""
+def lsh_buckets(vec: str, planes: np.ndarray, bits: int, tables: int, probe: bool = False):
+    """Column of encoded (table, bucket) ids, ``table << bits | bucket``: the
+    sign pattern of ``bits`` random hyperplanes per table.  With ``probe`` the
+    buckets at Hamming distance 1 are added (multi-probe, for queries), which
+    raises recall without more tables."""
     from pyspark.sql.functions import pandas_udf
 
     weights = (1 << np.arange(bits)).astype(np.int64)
+    flips = np.concatenate([[0], 1 << np.arange(bits)]).astype(np.int64) if probe else np.array([0], np.int64)
+    offsets = (np.arange(tables, dtype=np.int64) << bits)
 
-    @pandas_udf("array<int>")
+    @pandas_udf("array<long>")
     def _bucket(s: pd.Series) -> pd.Series:
         if len(s) == 0:
             return pd.Series([], dtype=object)
         v = np.vstack(s.to_numpy()).astype(np.float64)
         signs = (v @ planes > 0).reshape(len(s), tables, bits)
-        ids = (signs * weights).sum(axis=2).astype(np.int32)
-        return pd.Series(list(ids))
+        ids = (signs * weights).sum(axis=2)                       # (n, tables)
+        probed = (ids[:, :, None] ^ flips[None, None, :])          # (n, tables, probes)
+        enc = (probed + offsets[None, :, None]).reshape(len(s), -1)
+        return pd.Series(list(enc))
 
     return _bucket(F.col(vec))
 
@@ -358,10 +364,12 @@ def knn_lsh(
     bits: int = 6,
     tables: int = 8,
     seed: int = 42,
+    probe: bool = True,
     exclude_self: bool = False,
 ) -> DataFrame:
     """Approximate cosine top-k: a candidate is any collection vector sharing
-    a bucket with the query in at least one of ``tables`` hash tables.
+    a bucket with the query (or, with ``probe``, a bucket one bit away) in at
+    least one of ``tables`` hash tables.
 
     Candidates are scored exactly, group by group, with the same Arrow
     matrix-product function as ``knn`` (no pair is materialised); a bucket
@@ -371,8 +379,11 @@ def knn_lsh(
     planes = _hyperplanes(dim, bits, tables, seed)
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
     c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
-    q = q.select("qid", "qvec", F.posexplode(lsh_buckets("qvec", planes, bits, tables)).alias("tbl", "bkt"))
-    c = c.select("id", "cvec", F.posexplode(lsh_buckets("cvec", planes, bits, tables)).alias("tbl", "bkt"))
+    mask = (1 << bits) - 1
+    q = q.select("qid", "qvec", F.explode(lsh_buckets("qvec", planes, bits, tables, probe)).alias("_tb")).select(
+        "qid", "qvec", F.shiftright("_tb", bits).cast("int").alias("tbl"), (F.col("_tb").bitwiseAND(mask)).cast("int").alias("bkt"))
+    c = c.select("id", "cvec", F.explode(lsh_buckets("cvec", planes, bits, tables)).alias("_tb")).select(
+        "id", "cvec", F.shiftright("_tb", bits).cast("int").alias("tbl"), (F.col("_tb").bitwiseAND(mask)).cast("int").alias("bkt"))
     q_rows, c_rows = block_rows(c, "cvec")
     sizes = (
         q.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nq"))

@@ -200,7 +200,7 @@ def test_lsh_recall_against_exact(spark, sf_dir):
     recall = found / exact.count()
     # every approximate hit is a true cosine score of a real pair
     assert approx.filter((F.col("score") > 1.0000001) | (F.col("score") < -1.0000001)).count() == 0
-    assert recall > 0.3, recall
+    assert recall > 0.7, recall  # multi-probe LSH, 8 tables x 6 bits
 
 
 def test_ttl_cache_batch_form_matches_walk(spark, sf_dir):
