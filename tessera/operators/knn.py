@@ -182,9 +182,8 @@ def _self_group_fn(k: int, metric: str, out_schema: pa.Schema, chunk_rows: int =
         out_q, out_c, out_s = [], [], []  # finished column-direction results
         for start in range(0, len(b_ids), chunk_rows):
             sc = scores(a, b[start:start + chunk_rows])
-            if diagonal:
-                idx = np.arange(start, start + sc.shape[1])  # the chunk's columns are rows idx of block i
-                sc[idx, idx - start] = -np.inf
+            if diagonal:  # equal ids share a block, so self pairs only occur here
+                sc[a_ids[:, None] == b_ids[None, start:start + chunk_rows]] = -np.inf
             r, cc = candidates(sc)
             rq.append(r); rc.append(cc + start); rs.append(sc[r, cc])
             if not diagonal:  # columns of this chunk are complete over block i

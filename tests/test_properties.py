@@ -316,3 +316,13 @@ def test_stream_scoring_with_fitted_model(spark, sf_dir):
     want = sorted(tuple(r) for r in cl.batch_predict_safe(model, docs, "text", ["doc_id"]).collect())
     assert got == want
     assert any(r[1] == cl.ERROR_LABEL for r in got) and any(r[1] != cl.ERROR_LABEL for r in got)
+
+
+def test_self_knn_excludes_duplicate_ids_like_general(spark):
+    from tessera.operators.knn import knn_self
+
+    vecs = [(1, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.9, 0.1]), (3, [0.0, 1.0])]
+    df = spark.createDataFrame(vecs, "id long, embedding array<double>")
+    a = sorted(tuple(r) for r in knn_self(df, 2, chunk_rows=3).collect())
+    b = sorted(tuple(r) for r in knn(df, df, 2, query_id="id", exclude_self=True).collect())
+    assert a == b and all(q != i for q, i, _, _ in a)
