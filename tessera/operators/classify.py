@@ -123,3 +123,12 @@ def sweep(df: DataFrame, estimator: LogisticRegression, param: str, values: list
     )
     fitted = tvs.fit(df)
     return fitted, list(fitted.validationMetrics)
+
+
+def hash_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """Adds ``split`` = 'test' / 'train' from a seeded hash of the key: stable
+    across runs and partitionings, no global ordering (an exact share would
+    need a ranking over all rows in one partition); the share converges to
+    ``test_fraction`` as the table grows."""
+    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    return df.withColumn("split", F.when(bucket < int(round(test_fraction * 10_000)), "test").otherwise("train"))

@@ -56,3 +56,15 @@ def trails(edges: DataFrame, start: Column, max_edges: int = 64) -> DataFrame:
                         F.concat("used", F.array("edge_id")).alias("used"))
 
     return expand(seed, step, max_rounds=max_edges)
+
+
+def import_nodes(existing: DataFrame, incoming: DataFrame, key: str, mode: str = "create") -> DataFrame:
+    """Node import: ``create`` appends every incoming row (re-importing
+    duplicates, like a plain CREATE); ``merge`` appends only rows whose key is
+    not present yet (an anti join, so re-importing changes nothing)."""
+    if mode == "create":
+        return existing.unionByName(incoming, allowMissingColumns=True)
+    if mode == "merge":
+        fresh = incoming.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
+        return existing.unionByName(fresh, allowMissingColumns=True)
+    raise ValueError(mode)

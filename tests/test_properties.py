@@ -326,3 +326,25 @@ def test_self_knn_excludes_duplicate_ids_like_general(spark):
     a = sorted(tuple(r) for r in knn_self(df, 2, chunk_rows=3).collect())
     b = sorted(tuple(r) for r in knn(df, df, 2, query_id="id", exclude_self=True).collect())
     assert a == b and all(q != i for q, i, _, _ in a)
+
+
+def test_import_nodes_create_and_merge(spark):
+    from tessera.operators.graph import import_nodes
+
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "name string, h int")
+    new = spark.createDataFrame([("b", 3), ("c", 4)], "name string, h int")
+    assert import_nodes(old, new, "name").count() == 4
+    merged = import_nodes(old, new, "name", mode="merge")
+    assert sorted(tuple(r) for r in merged.collect()) == [("a", 1), ("b", 2), ("c", 4)]
+    assert import_nodes(merged, new, "name", mode="merge").count() == 3
+
+
+def test_hash_split_is_stable_and_near_share(spark, sf_dir):
+    from tessera.operators.classify import hash_split
+
+    d = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    a = {r["vec_id"]: r["split"] for r in hash_split(d, "vec_id").collect()}
+    b = {r["vec_id"]: r["split"] for r in hash_split(d.repartition(7), "vec_id").collect()}
+    assert a == b
+    share = sum(v == "test" for v in a.values()) / len(a)
+    assert 0.12 < share < 0.28
