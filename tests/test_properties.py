@@ -348,3 +348,25 @@ def test_hash_split_is_stable_and_near_share(spark, sf_dir):
     assert a == b
     share = sum(v == "test" for v in a.values()) / len(a)
     assert 0.12 < share < 0.28
+
+
+def test_ttl_cache_state_across_micro_batches(spark, sf_dir):
+    """Events arrive as four time-ordered files, one per micro-batch: the
+    keyed state (last miss time, event-time timeout) carries the walk across
+    batches and the result equals the sequential walk."""
+    from oracle import compare, duck
+    from tessera.plans.stream_queries import TTL_SECONDS
+    from tessera.streaming import requests as st
+
+    base = files.scratch_path(spark, "ttl-batches")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    bounds = ev.selectExpr("percentile_approx(unix_micros(cast(ts as timestamp)), array(0.25, 0.5, 0.75))").first()[0]
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    parts = [t < bounds[0], (t >= bounds[0]) & (t < bounds[1]), (t >= bounds[1]) & (t < bounds[2]), t >= bounds[2]]
+    for i, cond in enumerate(parts):
+        ev.filter(cond).coalesce(1).write.parquet(f"{base}/in/part{i}")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    out = st.ttl_cache(stream, ["user_id", "event_type"], TTL_SECONDS)
+    st.run_to_parquet(out, base + "/data", base + "/ck")
+    res = compare(spark.read.parquet(base + "/data"), duck(sf_dir), se.oracle_sql()["stm_ttl_cache"])
+    assert res["ok"], res
