@@ -1,6 +1,9 @@
 """Exact k-nearest-neighbour join between a query frame and a vector collection.
 
-Physical shape (no cross join, nothing through the driver):
+A query batch whose size is checked to be small (``BROADCAST_QUERY_BYTES``)
+is broadcast and the collection is scored in place by ``mapInArrow`` (the
+collection is never shuffled).  Otherwise the physical shape is (no cross
+join, nothing through the driver):
 
 * each query row is given a query block ``qb`` and copied once per collection
   block; each collection row is given a collection block ``cb`` and copied once
@@ -44,6 +47,10 @@ COLLECTION_BLOCK_ROWS = 65536
 COLLECTION_BLOCK_BYTES = 32 << 20
 QUERY_BLOCK_BYTES = 16 << 20
 CHUNK_ROWS = 2048
+# A query batch at most this large (count x dim x 8 bytes, checked before
+# anything is collected) is broadcast and the collection is scored where it
+# lies, without being shuffled; larger batches take the cogroup path.
+BROADCAST_QUERY_BYTES = 64 << 20
 # Scores are ranked after rounding to this many decimals, so that
 # mathematically equal scores (duplicate or collinear vectors) tie exactly
 # and fall back to the id order instead of to floating-point noise.
@@ -246,6 +253,75 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
     raise TypeError(f"unsupported id type {dt}")
 
 
+def _knn_broadcast(q: DataFrame, c: DataFrame, k: int, metric: str, exclude_self: bool) -> DataFrame:
+    """Size-checked query batch broadcast to every task; each task scores its
+    slice of the collection in chunks and keeps a running per-query top-k
+    (ties by id), emitting at most k rows per query per task."""
+    qpdf = q.toPandas()  # bounded by the caller's size check
+    q_ids = qpdf["qid"].to_numpy()
+    qm = np.vstack(qpdf["qvec"].to_numpy()).astype(np.float64) if len(qpdf) else np.zeros((0, 1))
+    if metric == "cosine":
+        n = np.linalg.norm(qm, axis=1, keepdims=True)
+        qm = np.divide(qm, n, out=np.zeros_like(qm), where=n > 0)
+    bc = q.sparkSession.sparkContext.broadcast((q_ids, qm))
+    id_type = c.schema["id"].dataType
+    out_arrow = pa.schema([("qid", _arrow_type(q.schema["qid"].dataType)), ("id", _arrow_type(id_type)),
+                           ("score", pa.float64())])
+    out_spark = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", id_type),
+                              T.StructField("score", T.DoubleType())])
+
+    def reduce(rows, ids, scores):
+        sel, sel_rows = _topk_sparse(rows, scores, _order_codes(ids), k)
+        return sel_rows, ids[sel], scores[sel]
+
+    def part(batches):
+        qids, qmat = bc.value
+        if len(qids) == 0:
+            return
+        q_sq = np.einsum("ij,ij->i", qmat, qmat)
+        acc_r, acc_i, acc_s = [np.zeros(0, np.int64)], [], [np.zeros(0)]
+        acc_n = 0
+        for rb in batches:
+            tbl = pa.Table.from_batches([rb])
+            if tbl.num_rows == 0:
+                continue
+            cm_all, c_ids_all = _matrix(tbl, "cvec"), _ids(tbl, "id")
+            for start in range(0, tbl.num_rows, CHUNK_ROWS):
+                cm, c_ids = cm_all[start:start + CHUNK_ROWS], c_ids_all[start:start + CHUNK_ROWS]
+                if metric == "cosine":
+                    n = np.linalg.norm(cm, axis=1, keepdims=True)
+                    cm = np.divide(cm, n, out=np.zeros_like(cm), where=n > 0)
+                    sc = qmat @ cm.T
+                else:
+                    sc = -(q_sq[:, None] - 2.0 * (qmat @ cm.T) + np.einsum("ij,ij->i", cm, cm)[None, :])
+                sc = np.round(sc, RANK_DECIMALS)
+                if exclude_self:
+                    sc[qids[:, None] == c_ids[None, :]] = -np.inf
+                m = sc.shape[1]
+                if m > k:
+                    thr = -np.partition(-sc, k - 1, axis=1)[:, k - 1]
+                    mask = sc >= thr[:, None]
+                else:
+                    mask = np.ones_like(sc, dtype=bool)
+                mask &= np.isfinite(sc)
+                r, cc = np.nonzero(mask)
+                acc_r.append(r); acc_i.append(c_ids[cc]); acc_s.append(sc[r, cc])
+                acc_n += len(r)
+                if acc_n > 8 * k * len(qids):  # keep the running state at about k per query
+                    rr, ii, ss = reduce(np.concatenate(acc_r), np.concatenate(acc_i), np.concatenate(acc_s))
+                    acc_r, acc_i, acc_s, acc_n = [rr], [ii], [ss], len(rr)
+        if not acc_i:
+            return
+        rr, ii, ss = reduce(np.concatenate(acc_r), np.concatenate(acc_i), np.concatenate(acc_s))
+        if metric != "cosine":
+            ss = -ss
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(qids[rr], type=out_arrow.field("qid").type), pa.array(ii, type=out_arrow.field("id").type),
+             pa.array(ss, type=pa.float64())], schema=out_arrow)
+
+    return c.mapInArrow(part, out_spark)
+
+
 def block_rows(vectors: DataFrame, col: str) -> tuple[int, int]:
     """(query rows, collection rows) per block for the vectors' dimension
     (read from one row)."""
@@ -269,6 +345,7 @@ def knn(
     exclude_self: bool = False,
     q_blocks: int | None = None,
     c_blocks: int | None = None,
+    broadcast_bytes: int = BROADCAST_QUERY_BYTES,
 ) -> DataFrame:
     """Exact top-k per query: ``(qid, id, score, rank)``.
 
@@ -281,6 +358,12 @@ def knn(
     # a row without a vector cannot be ranked
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
     c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
+    if q_blocks is None and c_blocks is None:
+        first = q.select(F.size("qvec").alias("d")).first()
+        n_q = q.count()
+        if first is not None and n_q * max(1, first["d"]) * 8 <= broadcast_bytes:
+            partial = _knn_broadcast(q, c, k, metric, exclude_self)
+            return _merge_topk(partial, k, metric)
     if q_blocks is None or c_blocks is None:
         q_rows, c_rows = block_rows(c, "cvec")
         if q_blocks is None:
@@ -299,13 +382,15 @@ def knn(
     )
     fn = _score_group_fn("qid", "id", "qvec", "cvec", k, metric, exclude_self, out_arrow)
     partial = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(fn, out_spark)
+    return _merge_topk(partial, k, metric)
+
+
+def _merge_topk(partial: DataFrame, k: int, metric: str) -> DataFrame:
+    """Per query, the k best of the partial lists (scores arrive rounded, ties by id)."""
     order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
-    w = Window.partitionBy("qid").orderBy(order, F.col("id").asc())  # scores arrive rounded
-    return (
-        partial.withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= k)
-        .select("qid", "id", "score", "rank")
-    )
+    w = Window.partitionBy("qid").orderBy(order, F.col("id").asc())
+    return partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
+        "qid", "id", "score", "rank")
 
 
 def metadata_filter(df: DataFrame, where: dict, metadata_col: str = "metadata") -> DataFrame:

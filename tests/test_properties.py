@@ -180,8 +180,8 @@ def test_knn_plan_is_grouped_arrow_with_partial_topk(spark, sf_dir):
     p = _plan(se.queries()["join_knn_exact"](spark, sf_dir))
     assert "FlatMapGroupsInArrow" in p and "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    p = _plan(se.queries()["join_knn_filtered"](spark, sf_dir))
-    assert "FlatMapCoGroupsInArrow" in p and "WindowGroupLimit" in p
+    p = _plan(se.queries()["join_knn_filtered"](spark, sf_dir))  # small query batch: broadcast, no collection shuffle
+    assert "MapInArrow" in p and "FlatMapCoGroupsInArrow" not in p and "WindowGroupLimit" in p
 
 
 @pytest.mark.parametrize("key", sorted(se.queries()))
@@ -370,3 +370,27 @@ def test_ttl_cache_state_across_micro_batches(spark, sf_dir):
     st.run_to_parquet(out, base + "/data", base + "/ck")
     res = compare(spark.read.parquet(base + "/data"), duck(sf_dir), se.oracle_sql()["stm_ttl_cache"])
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_broadcast_query_path_equals_cogroup_path(spark, metric):
+    rng = random.Random(5)
+    coll = spark.createDataFrame([(i, [float(rng.choice([0, 1, 2])) for _ in range(4)]) for i in range(300)],
+                                 "id long, embedding array<double>").repartition(4)
+    qs = coll.filter(F.col("id") < 40)
+    a = sorted(tuple(r) for r in knn(qs, coll, 3, query_id="id", metric=metric, exclude_self=True).collect())
+    b = sorted(tuple(r) for r in knn(qs, coll, 3, query_id="id", metric=metric, exclude_self=True,
+                                     q_blocks=2, c_blocks=3).collect())
+    assert a == b and len(a) == 40 * 3
+    p = _plan(knn(qs, coll, 3, query_id="id", metric=metric))
+    assert "MapInArrow" in p and "FlatMapCoGroupsInArrow" not in p
+
+
+def test_broadcast_query_path_string_ids(spark):
+    rng = random.Random(9)
+    coll = spark.createDataFrame([(f"d{i:03d}", [float(rng.choice([0, 1])) for _ in range(3)]) for i in range(120)],
+                                 "id string, embedding array<double>").repartition(3)
+    qs = coll.filter(F.col("id") < "d010")
+    a = sorted(tuple(r) for r in knn(qs, coll, 4, query_id="id", exclude_self=True).collect())
+    b = sorted(tuple(r) for r in knn(qs, coll, 4, query_id="id", exclude_self=True, q_blocks=1, c_blocks=2).collect())
+    assert a == b
