@@ -149,3 +149,16 @@ def test_compatible_join_on_pizza_shaped_graph(spark):
         F.col("cls").alias("t"))
     strict = j.join(closure, "t", "left_semi").select("x").distinct()
     assert {r["x"] for r in strict.collect()} == {"Amer", "Meat"}  # closure catches Pepperoni
+
+
+def test_rouge_ascii_mode_zeros_on_cyrillic(spark):
+    """The scorer's default tokenizer keeps only [a-z0-9], so Russian answers
+    score 0 (as in the published report); the unicode mode scores them."""
+    pairs = spark.createDataFrame([("p1", "Машинное обучение это раздел ИИ", "Машинное обучение это раздел ИИ")],
+                                  "pair_id string, answer string, question string")
+    ascii_ = ev.rouge_n(pairs, "pair_id", "answer", "question", (1, 2)).first()
+    uni = ev.rouge_n(pairs, "pair_id", "answer", "question", (1, 2), mode="unicode").first()
+    assert (ascii_["rouge1"], ascii_["rouge2"]) == (0.0, 0.0)
+    assert (uni["rouge1"], uni["rouge2"]) == (1.0, 1.0)
+    lcs = ev.rouge_l(pairs, "pair_id", "answer", "question", mode="unicode").first()
+    assert lcs["lcs"] == 5 and lcs["rougeL"] == 1.0
