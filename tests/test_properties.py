@@ -394,3 +394,33 @@ def test_broadcast_query_path_string_ids(spark):
     a = sorted(tuple(r) for r in knn(qs, coll, 4, query_id="id", exclude_self=True).collect())
     b = sorted(tuple(r) for r in knn(qs, coll, 4, query_id="id", exclude_self=True, q_blocks=1, c_blocks=2).collect())
     assert a == b
+
+
+def test_collection_api_get_and_filtered_query(spark, sf_dir):
+    from tessera.sources.collection import Collection, get_or_create
+
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), "embedding",
+        F.create_map(F.lit("label"), F.col("label").cast("string")).alias("metadata"))
+    c = get_or_create(spark, files.scratch_path(spark, "coll"), e)
+    assert c.count() == e.count()
+    c.add(e.filter(F.col("id") < 10))                      # replay: nothing new
+    assert c.count() == e.count()
+    got = sorted(r["id"] for r in c.get([1, 2, 3]).collect())
+    assert got == [1, 2, 3]
+    q = e.filter(F.col("id") < 5).select(F.col("id").alias("qid"), "embedding")
+    hits = c.query(q, 3, where={"label": "3"}).collect()
+    labels = {r["id"]: r["metadata"]["label"] for r in c.get([h["id"] for h in hits]).collect()}
+    assert hits and all(labels[h["id"]] == "3" for h in hits)
+
+
+def test_json_report_keeps_non_ascii(spark):
+    from tessera.operators import evaluation as ev
+
+    df = spark.createDataFrame([("overall", ev.ADVICE[0][2])], "group_type string, advice string")
+    path = files.scratch_path(spark, "json-ru")
+    files.write_json_lines(df, path)
+    raw = spark.read.text(path).first()["value"]
+    assert "Улучшить" in raw and "\\u" not in raw
+    back = files.read_json_lines(spark, path, "group_type string, advice string").first()
+    assert back["advice"] == ev.ADVICE[0][2]
