@@ -358,6 +358,7 @@ def knn(
     # a row without a vector cannot be ranked
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
     c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
+    n_q = None
     if q_blocks is None and c_blocks is None:
         first = q.select(F.size("qvec").alias("d")).first()
         n_q = q.count()
@@ -367,7 +368,7 @@ def knn(
     if q_blocks is None or c_blocks is None:
         q_rows, c_rows = block_rows(c, "cvec")
         if q_blocks is None:
-            q_blocks = max(1, math.ceil(q.count() / q_rows))
+            q_blocks = max(1, math.ceil((q.count() if n_q is None else n_q) / q_rows))
         if c_blocks is None:
             c_blocks = max(1, math.ceil(c.count() / c_rows))
     qb = F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).cast("int")
