@@ -424,3 +424,19 @@ def test_json_report_keeps_non_ascii(spark):
     assert "Улучшить" in raw and "\\u" not in raw
     back = files.read_json_lines(spark, path, "group_type string, advice string").first()
     assert back["advice"] == ev.ADVICE[0][2]
+
+
+def test_keywords_match_python_definition(spark):
+    from tessera.functions import text as tx
+
+    rng = random.Random(17)
+    alphabet = list("abcdeéèüßжщя") + ["😀", "𝔸"]
+    vocab = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 7))) for _ in range(60)] + tx.KEYWORD_STOP_WORDS
+    texts = [" \t\n".join("".join(rng.choice([w, w.upper()]) for w in [rng.choice(vocab)]) + rng.choice(["", " ", "\n"])
+                          for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["k"] for r in df.select("i", tx.keywords(F.col("t")).alias("k")).collect()}
+    stop = set(tx.KEYWORD_STOP_WORDS)
+    for i, t in enumerate(texts):
+        want = sorted({w for w in t.lower().split() if len(w) > 3 and w not in stop})[:10]
+        assert got[i] == want, (t, got[i], want)
