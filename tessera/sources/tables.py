@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -10,11 +12,17 @@ TABLES = (
 ).split()
 
 
+def literal(path: str) -> str:
+    """Escape Hadoop glob characters so that a folder such as ``lab [3-4]`` is
+    read literally."""
+    return re.sub(r"([\[\]*?{}\\])", r"\\\1", path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazily read one table; Catalyst prunes columns and pushes filters into the scan."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{literal(sf_dir.rstrip('/'))}/{name}.parquet")
 
 
 class Tables:

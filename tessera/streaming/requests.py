@@ -21,11 +21,13 @@ from tessera.sources.collection import Collection
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A driver table as a file stream.  The glob's character class matches
     exactly ``<name>.parquet`` inside the folder of all tables."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    from tessera.sources.tables import literal, table
+
+    schema = table(spark, sf_dir, name).schema
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+    return reader.parquet(f"{literal(sf_dir.rstrip('/'))}/{name}.parque[t]")  # folder literal, file by glob
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:

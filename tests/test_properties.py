@@ -440,3 +440,18 @@ def test_keywords_match_python_definition(spark):
     for i, t in enumerate(texts):
         want = sorted({w for w in t.lower().split() if len(w) > 3 and w not in stop})[:10]
         assert got[i] == want, (t, got[i], want)
+
+
+def test_table_folder_with_glob_characters(spark, sf_dir):
+    from tessera.sources.tables import table
+    from tessera.streaming import requests as st
+
+    base = files.scratch_path(spark, "globdir")
+    base = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(base)
+    link = os.path.join(base, "lab [3-4]")
+    os.symlink(sf_dir, link)
+    assert table(spark, str(link), "nation").count() == 25
+    out = files.scratch_path(spark, "glob-stream")
+    st.run_to_parquet(st.stream_table(spark, str(link), "region"), out + "/data", out + "/ck")
+    assert spark.read.parquet(out + "/data").count() == 5
