@@ -364,23 +364,37 @@ PAIRS_SQL = """qa AS (
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
 
-@register(
-    "rag_eval_report",
-    sql=f"""WITH {CASE_SQL}, {PAIRS_SQL},
-firstp AS (SELECT conv_id AS case_id, arg_min(answer, turn) AS answer FROM qa GROUP BY conv_id)
+def _eval_report_sql() -> str:
+    from tessera.plans.text_queries import f_sql, overlap_sql, rouge_tok_sql
+
+    return f"""WITH {CASE_SQL}, {PAIRS_SQL},
+firstp AS (SELECT conv_id AS pair_id, arg_min(question, turn) AS question, arg_min(answer, turn) AS answer
+           FROM qa GROUP BY conv_id),
+{overlap_sql('firstp', rouge_tok_sql('answer'), rouge_tok_sql('question'), [1, 2])},
+rg AS (SELECT pair_id, max(CASE WHEN n = 1 THEN {f_sql()} END) AS rouge1,
+              max(CASE WHEN n = 2 THEN {f_sql()} END) AS rouge2 FROM ov GROUP BY pair_id)
 SELECT cm.qid AS case_id, round(cm.precision, 6) AS precision, round(cm.recall, 6) AS recall,
        round(cm.f1_score, 6) AS f1_score, round(cm.mrr, 6) AS mrr,
+       round(rg.rouge1, 6) AS rouge1, round(rg.rouge2, 6) AS rouge2,
        CAST(len(list_filter(string_split_regex(firstp.answer, '\\s+'), lambda w: w <> '')) AS INTEGER) AS answer_length
-FROM cm JOIN firstp ON firstp.case_id = cm.qid""",
-)
+FROM cm JOIN firstp ON firstp.pair_id = cm.qid JOIN rg ON rg.pair_id = cm.qid"""
+
+
+@register("rag_eval_report", sql=_eval_report_sql())
 def rag_eval_report(spark, sf_dir):
+    """One row per case: retrieval metrics of question ``case_id`` joined on
+    the explicit case id with generation metrics (ROUGE-1/2, answer length)
+    of the first question/answer pair of conversation ``case_id``."""
     from tessera.functions.text import word_count
 
     cm = case_metrics(spark, sf_dir).withColumnRenamed("qid", "case_id")
-    first = qa_pairs(spark, sf_dir).groupBy(F.col("conv_id").alias("case_id")).agg(F.min_by("answer", "turn").alias("answer"))
-    return cm.join(first, "case_id").select(
-        "case_id", *[F.round(c, 6).alias(c) for c in _METRICS], word_count(F.col("answer")).alias("answer_length")
-    )
+    first = qa_pairs(spark, sf_dir).groupBy(F.col("conv_id").alias("case_id")).agg(
+        F.min_by("question", "turn").alias("question"), F.min_by("answer", "turn").alias("answer"))
+    rouge = ev.rouge_n(first, "case_id", "answer", "question", (1, 2))
+    return cm.join(first, "case_id").join(rouge, "case_id").select(
+        "case_id", *[F.round(c, 6).alias(c) for c in _METRICS],
+        F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"),
+        word_count(F.col("answer")).alias("answer_length"))
 
 
 @register("join_knn_lsh")  # approximate by design: rows-only check, recall against the exact join in tests
