@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import topk_search, url_filter
+from tessera.llm import decontaminate, line_dedup, mixing, topk_search, url_filter
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,103 @@ FROM r"""
 @query("op8_url_filter", _url_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.default_rules())
+
+
+DECONTAMINATION_SQL = f"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+bw AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n,
+    array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i) WHERE len(w) > 0),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM documents),
+starts AS (
+  SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM d, (SELECT DISTINCT n FROM bw), LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)),
+hits AS (SELECT rid, n, i, item_id FROM starts JOIN bw USING (n, win)),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (
+  SELECT DISTINCT rid, n, i FROM hits), LATERAL (SELECT unnest(range(i, i + n)) AS p) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
+
+def decontamination_digest(found: DataFrame) -> DataFrame:
+    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(ids, 256).alias("items_sha256"),
+                        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+@query("op6_decontaminate", DECONTAMINATION_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def _permutation_sql(source: str, x: str, n: str, key: str, salt: int, tag: str) -> tuple[str, str]:
+    """CTEs that repeat ``mixing.permuted`` round by round; the last one's name."""
+    p, out, at = mixing.PRIME, [], source
+    for r in range(mixing.ROUNDS):
+        a, b, c = (mixing._factor(r, salt + j) for j in (1, 2, 3))
+        k = f"(((({key}) + {r}) % {p} * {a}) % {p} * {p} + ((({key}) + {b}) % {p} * {c}) % {p}) % {n}"
+        y = f"(({k}) - {x} + {n}) % {n}"
+        bit = f"(((greatest({x}, {y}) % {p} * {b} + {a} + ({key})) % {p}) // 65536) % 2"
+        out.append(f"{tag}{r} AS (SELECT * REPLACE (CASE WHEN {bit} = 1 THEN {y} ELSE {x} END AS {x}) FROM {at})")
+        at = f"{tag}{r}"
+    return ",\n".join(out), at
+
+
+def _mixing_sql() -> str:
+    size_b, most, p = mixing.BLOCK_WORDS, mixing.MOST, mixing.PRIME
+    blocks, last = _permutation_sql("slots0", "block", "blocks", "no * 4 + pass", 0, "pb")
+    return f"""
+WITH d AS (SELECT doc_id, source,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+n AS (SELECT count(*) // {mixing.SLICE_DOCS} + 1 AS n_slices FROM (SELECT DISTINCT * FROM d)),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no, {most} * source_size AS lim FROM s0),
+s2 AS (SELECT *, no % 3 + 1 AS weight FROM s1),
+s3 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(lim) OVER (ORDER BY lim / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY lim / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lev FROM s2),
+s4 AS (SELECT *, least(CAST(lim AS DOUBLE), max(lev) OVER () * weight) AS target, (source_size + {size_b - 1}) // {size_b} AS blocks FROM s3),
+src AS (SELECT no, source, source_size, target, blocks,
+    CASE WHEN source_size > 0 THEN least(CAST(floor(target * blocks / source_size + 0.5) AS BIGINT), {most} * blocks) ELSE 0 END AS n_slots FROM s4),
+u AS (SELECT d.*, no, source_size, target, ((coalesce(doc_id, 0) % {p} + {p}) % {p} * 48271) % {p} % n_slices AS slice,
+    row_number() OVER () AS rid FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source, n),
+placed AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY no ORDER BY slice, doc_id NULLS FIRST, size, rid
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM u),
+pieces AS (SELECT rid, no, block, least(pos + size, (block + 1) * {size_b}) - greatest(pos, block * {size_b}) AS words
+  FROM placed, LATERAL (SELECT unnest(range(pos // {size_b}, (pos + size - 1) // {size_b} + 1)) AS block) WHERE size > 0),
+slots0 AS (SELECT no, blocks, i % blocks AS block, i // blocks AS pass
+  FROM src, LATERAL (SELECT unnest(range(0, n_slots)) AS i) WHERE n_slots > 0),
+{blocks},
+uses AS (SELECT no, block, count(*) AS times FROM {last} GROUP BY no, block),
+got AS (SELECT rid, sum(words * times) AS taken FROM pieces JOIN uses USING (no, block) GROUP BY rid)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM u LEFT JOIN got USING (rid)"""
+
+
+@query("op7_mix_sources", _mixing_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_line_dedup", f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS doc, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM l),
+dup AS (SELECT key, max(doc) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc) >= 3),
+j AS (SELECT rid, pos, line, top IS NOT NULL AND top <> doc AS gone FROM k LEFT JOIN dup USING (key))
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM d JOIN (
+  SELECT rid, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+    string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM j GROUP BY rid) USING (rid)""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
