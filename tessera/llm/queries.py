@@ -118,7 +118,7 @@ def _permutation_sql(source: str, x: str, n: str, key: str, salt: int, tag: str)
         k = f"(((({key}) + {r}) % {p} * {a}) % {p} * {p} + ((({key}) + {b}) % {p} * {c}) % {p}) % {n}"
         y = f"(({k}) - {x} + {n}) % {n}"
         bit = f"(((greatest({x}, {y}) % {p} * {b} + {a} + ({key})) % {p}) // 65536) % 2"
-        out.append(f"{tag}{r} AS (SELECT * REPLACE (CASE WHEN {bit} = 1 THEN {y} ELSE {x} END AS {x}) FROM {at})")
+        out.append(f"{tag}{r} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {bit} = 1 THEN {y} ELSE {x} END AS {x}) FROM {at})")
         at = f"{tag}{r}"
     return ",\n".join(out), at
 
