@@ -77,11 +77,11 @@ def scan(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc: str = "doc_id"
         known = known.unionByName(p)
     known = known.distinct().withColumn("_known", F.lit(True))
 
-    base = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc).alias("_doc"),
+    base = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc).alias("_doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text_hash"),
                        normalised(F.col(text)).alias("_norm"))
     first = chunks(F.col("_norm"), sizes[0])
     cut = base.withColumn("_first", first).select(
-        "_row", "_doc", "_norm",
+        "_row", "_doc", "_text_hash", "_norm",
         F.when(F.size("_first") == 0, F.lit(0)).otherwise(
             (F.size("_first") - 1) * sizes[0] + F.size(F.split(F.element_at("_first", F.lit(-1)), " "))).cast("long").alias("n_words"),
         F.col("_first").alias(f"_a{sizes[0]}"))
@@ -91,32 +91,40 @@ def scan(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc: str = "doc_id"
         cut = cut.withColumnRenamed(f"_a{sizes[0]}", "_all").withColumn("_k", F.lit(sizes[0]))
     else:
         cut = cut.withColumn("_s", F.explode(F.array(*[F.struct(F.lit(k).alias("_k"), F.col(f"_a{k}").alias("_all")) for k in sizes])))
-        cut = cut.select("_row", "_doc", "n_words", "_s._k", "_s._all")
-    rows = cut.select("_row", "_doc", "n_words", "_k", "_all", F.posexplode_outer("_all").alias("_at", "_chunk"))
+        cut = cut.select("_row", "_doc", "_text_hash", "n_words", "_s._k", "_s._all")
+    rows = cut.select("_row", "_doc", "_text_hash", "n_words", "_k", "_all", F.posexplode_outer("_all").alias("_at", "_chunk"))
     looked = rows.join(small(known), ["_k", "_chunk"], "left")
     # the first chunk of a document keeps its row, found or not
     looked = looked.filter(F.col("_known") | (F.coalesce("_at", F.lit(0)) == 0))
     around = F.when(F.col("_known"), F.concat_ws(" ", F.get("_all", F.col("_at") - 1), "_chunk", F.get("_all", F.col("_at") + 1)))
-    around = looked.select("_row", "_doc", "n_words", (F.greatest(F.col("_at") - 1, F.lit(0)) * F.col("_k")).alias("_from"),
+    around = looked.select("_row", "_doc", "_text_hash", "n_words", (F.greatest(F.col("_at") - 1, F.lit(0)) * F.col("_k")).alias("_from"),
                            "_k", around.alias("_around"))
     by_length = F.array(*[F.struct(F.lit(x).alias("length"), F.when(F.col("_k") == (x + 1) // 2, grams(F.col("_around"), x)).alias("w"))
                           for x in lengths or [n]])
-    tried = around.select("_row", "_doc", "n_words", "_from", F.explode(by_length).alias("_w"))
-    tried = tried.select("_row", "_doc", "n_words", "_from", "_w.length", F.posexplode_outer("_w.w").alias("_off", "window"))
+    tried = around.select("_row", "_doc", "_text_hash", "n_words", "_from", F.explode(by_length).alias("_w"))
+    tried = tried.select("_row", "_doc", "_text_hash", "n_words", "_from", "_w.length", F.posexplode_outer("_w.w").alias("_off", "window"))
     hits = tried.join(small(windows), ["length", "window"], "left")
     hits = hits.filter(F.col("items").isNotNull() | (F.coalesce(F.col("_from") + F.col("_off"), F.lit(0)) == 0))
     start = F.col("_from") + F.col("_off")
     span = F.when(F.col("items").isNotNull(), F.struct(start.cast("int").alias("from"), (start + F.col("length")).cast("int").alias("to")))
     per_doc = hits.groupBy("_row").agg(
-        F.first("_doc").alias(doc), F.first("n_words").alias("n_words"), F.sort_array(F.collect_set(span)).alias("spans"),
+        F.first("_doc").alias(doc), F.first("_text_hash").alias("_text_hash"), F.first("n_words").alias("n_words"), F.sort_array(F.collect_set(span)).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate("spans", zero, lambda a, s: F.struct(
         (a["n"] + F.greatest(F.lit(0), s["to"] - F.greatest(s["from"], a["end"]))).alias("n"),
         F.greatest(a["end"], s["to"]).alias("end")), lambda a: a["n"])
-    return per_doc.select(doc, "n_words", covered.alias("n_hit"), "spans", "items", "_row")
+    return per_doc.select(doc, "n_words", covered.alias("n_hit"), "spans", "items", "_text_hash")
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:
     """At least one hit word in twenty."""
     return (n_hit > 0) & (n_hit * 20 >= n_words)
+
+
+def remove(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns."""
+    bad = scan(docs, items, n, doc, text).filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(
+        F.col(doc).alias("_d"), F.col("_text_hash").alias("_h")).distinct()
+    same = docs[doc].eqNullSafe(bad["_d"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == bad["_h"])
+    return docs.join(bad, same, "left_anti")

@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, line_dedup, mixing, pii, simhash_dedup, token_counts, topk_search, url_filter
+from tessera.llm import brown_lm, decontaminate, line_dedup, mixing, pii, quality_qda, simhash_dedup, token_counts, topk_search, url_filter
+from tessera.llm.common import fold
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +193,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
                         F.size(F.filter("found", lambda s: s["added"])).cast("long").alias("n_added"))
+
+
+@query("op1_quality_qda")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id")) == 0
+    scored = quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", (~F.col("trains")).alias("held_out"), "score",
+                         (F.col("score") >= quality_qda.KEEP_AT).cast("int").alias("predicted"))
+
+
+@query("op4_brown_lm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id")) == 1)
+    model = brown_lm.train(docs.filter(~F.col("held_out")).select(F.col("text").cast("binary").alias("_t")))
+    scored = brown_lm.score(docs, model, ["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
+                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -263,9 +263,12 @@ def components(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle
 def keep_one(docs: DataFrame, found: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, one for each component: the one with the smallest
     (id, text hash), null ids last; of repeated rows one."""
-    first = found.groupBy("root").agg(F.min(F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("d"), F.col("_text_hash").alias("h"))).alias("w"))
-    winners = first.select(F.col("w.d").alias("_d"), F.col("w.h").alias("_h")).distinct()
+    order = F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("d"), F.col("_text_hash").alias("h"))
+    first = found.groupBy("root").agg(F.min(order).alias("w"))
+    winners = stored(first.select(F.col("w.d").alias("_d"), F.col("w.h").alias("_wh")), "simhash-winners")
     hashed = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    one = hashed.dropDuplicates([doc, "_h"])
-    w = winners.withColumnRenamed("_h", "_wh")
-    return one.join(w, one[doc].eqNullSafe(w["_d"]) & (one["_h"] == w["_wh"]), "left_semi").drop("_h")
+    one = hashed.join(winners, hashed[doc].eqNullSafe(winners["_d"]) & (hashed["_h"] == winners["_wh"]), "left_semi")
+    repeats = found.groupBy(doc, "_text_hash").count().filter("count > 1")
+    if not repeats.isEmpty():
+        one = one.dropDuplicates([doc, "_h"])
+    return one.drop("_h")
