@@ -146,7 +146,8 @@ def mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str =
 def mixed(m: Mix) -> DataFrame:
     """The mix in detail: (shard, position, no, block, doc_id, size, copy,
     from_word, words), one row for each document piece of each slot."""
-    return m.slots.join(m.pieces, ["no", "block"])
+    # the planner takes exploded slots for as small as the table of sources and would broadcast them
+    return m.slots.hint("merge").join(m.pieces, ["no", "block"])
 
 
 def taken(m: Mix) -> DataFrame:
