@@ -27,7 +27,7 @@ columns pass through untouched, columns named like the results are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WHITE, lower_ascii, partitions, stored
@@ -37,16 +37,19 @@ MIN_DOCS = 3
 NO_ID = -(2**63)  # stands for a null id
 
 
-def _ids(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """Adds what names a row in the bitmaps: its document and a hash of its text."""
-    return docs.withColumn("_doc", F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID))).withColumn(
-        "_text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+def document(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
+
+
+def text_hash(text: Column) -> Column:
+    """Tells apart the texts under one document id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def line_hashes(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(_doc, _text_hash, _pos, _h1, _h2) of each line that has a key."""
-    rows = _ids(docs.select(doc, text), doc, text).select(
-        "_doc", "_text_hash", F.posexplode(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), "\n")).alias("_pos", "_line"))
+    rows = docs.select(
+        document(F.col(doc)).alias("_doc"), text_hash(F.col(text)).alias("_text_hash"), F.posexplode(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), "\n")).alias("_pos", "_line"))
     keyed = rows.withColumn("_key", F.btrim("_line", F.lit(WHITE))).filter(F.char_length("_key") >= min_chars)
     return keyed.select("_doc", "_text_hash", "_pos", F.xxhash64("_key").alias("_h1"),
                         F.xxhash64(F.lit("second"), "_key").alias("_h2"))
@@ -83,17 +86,21 @@ def kept(docs: DataFrame, bitmaps: DataFrame, doc: str = "doc_id", text: str = "
     """All rows and columns of ``docs`` with ``n_lines`` (before), ``n_dropped``
     and ``kept_text``.  Texts move once; the bitmap side is the hash-table side
     of the join, and skewed ids are left to AQE."""
-    left = _ids(docs.drop("n_lines", "n_dropped", "kept_text", "_doc", "_text_hash", "_drops"), doc, text)
-    joined = left.join(bitmaps.hint("shuffle_hash"), ["_doc", "_text_hash"], "left")
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    by_word = F.map_from_entries("_drops")
+    # names that no table has, so that the documents may bring any column
+    mine = {"_doc": "__line_doc", "_text_hash": "__line_text_hash", "_drops": "__line_drops"}
+    left = docs.drop("n_lines", "n_dropped", "kept_text").withColumns(
+        {mine["_doc"]: document(F.col(doc)), mine["_text_hash"]: text_hash(F.col(text))})
+    right = bitmaps.select(*[F.col(c).alias(n) for c, n in mine.items()])
+    joined = left.join(right.hint("shuffle_hash"), [mine["_doc"], mine["_text_hash"]], "left")
+    lines, drops = F.split(F.coalesce(F.col(text), F.lit("")), "\n"), F.col(mine["_drops"])
+    by_word = F.map_from_entries(drops)
     bit = lambda i: F.coalesce(F.try_element_at(by_word, F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
     stays = lambda line, i: F.getbit(bit(i), i % 64) == 0
-    return joined.withColumn("n_lines", F.size(lines).cast("long")).withColumn(
-        "n_dropped", F.when(F.col("_drops").isNull(), F.lit(0).cast("long")).otherwise(
-            F.aggregate("_drops", F.lit(0).cast("long"), lambda a, x: a + F.bit_count(x["bits"])))).withColumn(
-        "kept_text", F.when(F.col("_drops").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
-            F.array_join(F.filter(lines, stays), "\n"))).drop("_doc", "_text_hash", "_drops")
+    gone = F.aggregate(drops, F.lit(0).cast("long"), lambda a, x: a + F.bit_count(x["bits"]))
+    return joined.withColumns({
+        "n_lines": F.size(lines).cast("long"), "n_dropped": F.coalesce(gone, F.lit(0).cast("long")),
+        "kept_text": F.when(drops.isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(F.filter(lines, stays), "\n")),
+    }).drop(*mine.values())
 
 
 def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
