@@ -190,7 +190,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: ~s["added"])
     joined = lambda spans: F.array_join(F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["from"].cast("string"), s["to"].cast("string"))), ",")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    of_kind = lambda k: F.filter(base, lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
                         F.size(F.filter("found", lambda s: s["added"])).cast("long").alias("n_added"))
 
