@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import lower_ascii
+from tessera.llm.common import lower_ascii, stored
 
 WINDOW = 13
 BROADCAST_BYTES = 64 << 20
@@ -64,7 +64,7 @@ def scan(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc: str = "doc_id"
          item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document row: (doc, n_words, n_hit, spans, items): ``spans``
     are the occurrences [from, to) in words, ``items`` the sorted item ids."""
-    windows = benchmark_windows(items, n, item, item_text).cache()
+    windows = stored(benchmark_windows(items, n, item, item_text), "benchmark-windows")
     lengths, size = windows.agg(
         F.sort_array(F.collect_set("length")),
         F.coalesce(F.sum(F.octet_length("window") + 8 * F.size("items") + 64), F.lit(0))).first()

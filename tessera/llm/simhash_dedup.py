@@ -266,9 +266,9 @@ def keep_one(docs: DataFrame, found: DataFrame, doc: str = "doc_id", text: str =
     order = F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("d"), F.col("_text_hash").alias("h"))
     first = found.groupBy("root").agg(F.min(order).alias("w"))
     winners = stored(first.select(F.col("w.d").alias("_d"), F.col("w.h").alias("_wh")), "simhash-winners")
-    hashed = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    one = hashed.join(winners, hashed[doc].eqNullSafe(winners["_d"]) & (hashed["_h"] == winners["_wh"]), "left_semi")
+    hashed = docs.withColumn("_simhash_h", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    one = hashed.join(winners, hashed[doc].eqNullSafe(winners["_d"]) & (hashed["_simhash_h"] == winners["_wh"]), "left_semi")
     repeats = found.groupBy(doc, "_text_hash").count().filter("count > 1")
     if not repeats.isEmpty():
-        one = one.dropDuplicates([doc, "_h"])
-    return one.drop("_h")
+        one = one.dropDuplicates([doc, "_simhash_h"])
+    return one.drop("_simhash_h")
