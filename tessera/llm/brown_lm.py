@@ -241,18 +241,21 @@ def score(docs: DataFrame, m: Model, keep: list[str], text: str = "text") -> Dat
                 for i, (row, x) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                     words = words_of(x)
                     c = classes[np.array([end, *map(symbol.__getitem__, words), end])]
-                    found = list(filter(None.__ne__, map(value.get, words)))
-                    rare = Counter(w for w in words if w not in value) if len(found) < len(words) else {}
-                    emit = math.fsum(found)  # numerators of the rare words come by the join
+                    values = list(map(value.get, words))
+                    found = [v for v in values if v is not None]
+                    rare = Counter([w for w, v in zip(words, values) if v is None]) if len(found) < len(words) else {}
+                    emit = sum(found)  # numerators of the rare words come by the join
                     score = transition[c[:-1], c[1:]].sum() + emit - totals[c[1:-1]].sum()
                     base = emit - len(words) * base_total + end_base
-                    # the document's own row; its key is no word, as it holds a space
-                    cells = [(b" %d" % row, 0, len(words) + 1, len(found) + (ends > 0), base, score)]
-                    cells += [(w, k, 0, 0, 0.0, 0.0) for w, k in rare.items()]
-                    ids += [row] * len(cells)
-                    kept += [i] + [None] * (len(cells) - 1)
-                    for col, v in zip(out, zip(*cells)):
-                        col.extend(v)
+                    # the document's own row, whose key is no word as it holds a space; then its rare words
+                    k = len(rare)
+                    ids += [row] * (k + 1)
+                    kept += [i] + [None] * k
+                    out[0] += [b" %d" % row, *rare]
+                    out[1] += [0, *rare.values()]
+                    for col, own, none in zip(out[2:], (len(words) + 1, len(found) + (ends > 0), base, score), (0, 0, 0.0, 0.0)):
+                        col.append(own)
+                        col += [none] * k
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), batch.column(1).take(pa.array(kept, pa.int64())), *(pa.array(c, k) for c, k in zip(out, kinds))],
                     names=["_row", "_keep", "word", "times", "n_tokens", "n_known", "base_score", "score"])
