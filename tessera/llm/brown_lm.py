@@ -253,8 +253,8 @@ def score(docs: DataFrame, m: Model, keep: list[str], text: str = "text") -> Dat
                     kept += [i] + [None] * k
                     out[0] += [b" %d" % row, *rare]
                     out[1] += [0, *rare.values()]
-                    for col, own, none in zip(out[2:], (len(words) + 1, len(found) + (ends > 0), base, score), (0, 0, 0.0, 0.0)):
-                        col.append(own)
+                    for col, mine, none in zip(out[2:], (len(words) + 1, len(found) + (ends > 0), base, score), (0, 0, 0.0, 0.0)):
+                        col.append(mine)
                         col += [none] * k
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), batch.column(1).take(pa.array(kept, pa.int64())), *(pa.array(c, k) for c, k in zip(out, kinds))],
