@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 # The stop words of the keyword extractor (Russian function words).
 KEYWORD_STOP_WORDS = ["и", "в", "на", "с", "по", "для", "это", "что", "как"]
 KEYWORDS_KEPT = 10
+# The white space of Python's str.strip and str.split, as a
+# character class that Java and RE2 read alike (their \\s is ASCII only), and
+# the characters of a word in any script.
+SPACE = "\\t-\\r\\x1c-\\x20\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WORD = r"\p{L}\p{N}_"
 
 
 def _c(x) -> Column:
@@ -29,7 +34,7 @@ def nonempty(arr: Column) -> Column:
 
 def whitespace_tokens(text) -> Column:
     """Python ``str.split()``: split on whitespace runs, no empty tokens."""
-    return nonempty(F.split(_c(text), r"\s+"))
+    return nonempty(F.split(_c(text), f"[{SPACE}]+"))
 
 
 def rouge_tokens(text, mode: str = "ascii") -> Column:
@@ -48,7 +53,7 @@ def rouge_tokens(text, mode: str = "ascii") -> Column:
 
 def bleu_tokens(text) -> Column:
     """Word runs and single punctuation marks as separate tokens (case kept)."""
-    return F.regexp_extract_all(_c(text), F.lit(r"(\w+|[^\w\s])"), 1)
+    return F.regexp_extract_all(_c(text), F.lit(f"([{WORD}]+|[^{WORD}{SPACE}])"), 1)
 
 
 def ngrams(tokens, n: int) -> Column:
@@ -74,5 +79,6 @@ def keywords(text, kept: int = KEYWORDS_KEPT) -> Column:
     stop = F.array(*[F.lit(w) for w in KEYWORD_STOP_WORDS])
     # maximal runs of >= 4 non-whitespace characters (code points) = the
     # whitespace tokens longer than 3; a codegen'd regex, no per-word lambda
-    words = F.regexp_extract_all(F.lower(_c(text)), F.lit(r"(?<!\S)\S{4,}(?!\S)"), 0)
+    run = f"(?<![^{SPACE}])[^{SPACE}]{{4,}}(?![^{SPACE}])"
+    words = F.regexp_extract_all(F.lower(_c(text)), F.lit(run), 0)
     return F.slice(F.array_sort(F.array_except(words, stop)), 1, kept)  # array_except also de-duplicates

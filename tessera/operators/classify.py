@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 LABEL_NAMES = ["sadness", "joy", "love", "anger", "fear", "surprise"]
 ERROR_LABEL = "error"
 # Request bounds of the prediction endpoint.
-TEXT_MIN_CHARS, TEXT_MAX_CHARS = 1, 1000
 
 
 def accuracy(df: DataFrame, y: str, p: str, group: list[str] | None = None) -> DataFrame:
@@ -68,7 +67,7 @@ def label_name(idx: Column) -> Column:
 
 
 def valid_text(text: Column) -> Column:
-    return text.isNotNull() & F.char_length(text).between(TEXT_MIN_CHARS, TEXT_MAX_CHARS)
+    return F.coalesce(text.rlike(r"\S"), F.lit(False))
 
 
 # --- Spark ML ------------------------------------------------------------------------
@@ -96,8 +95,9 @@ def predict_with_confidence(model: PipelineModel, df: DataFrame, keep: list[str]
 
 
 def batch_predict_safe(model: PipelineModel, df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Per-text result; a text the request rules reject (null, empty, longer
-    than 1000 characters) gives ("error", 0.0) and does not stop the batch."""
+    """Per-text result; a text without content (null, empty, blank) gives
+    ("error", 0.0) and does not stop the batch.  The length bound of a request
+    is ``operators.requests.validate_text``, not a rule of batch scoring."""
     ok = valid_text(F.col(text))
     good = predict_with_confidence(model, df.filter(ok), keep)
     bad = df.filter(~ok).select(*keep, F.lit(ERROR_LABEL).alias("prediction"), F.lit(0.0).alias("confidence"))

@@ -40,10 +40,11 @@ def connect(sources: DataFrame, target_id: Column, rel_type: str) -> DataFrame:
         F.col("dst").isNotNull())
 
 
-def trails(edges: DataFrame, start: Column, max_edges: int = 64) -> DataFrame:
+def trails(edges: DataFrame, start: Column, max_edges: int | None = None) -> DataFrame:
     """Every directed walk from the start nodes that uses no relationship
     twice (nodes may repeat): rows ``(start, node, nodes, used)``.  The walk
-    ends because each step consumes an unused edge; ``max_edges`` bounds it."""
+    ends because each step consumes an unused edge; ``max_edges``, if given, asks
+    for walks of at most that many edges."""
     e = cut(edges.select("edge_id", "src", "dst"))
     seed = e.filter(start).select(
         F.col("src").alias("start"), F.col("dst").alias("node"),
@@ -55,7 +56,7 @@ def trails(edges: DataFrame, start: Column, max_edges: int = 64) -> DataFrame:
         return j.select("start", F.col("dst").alias("node"), F.concat("nodes", F.array("dst")).alias("nodes"),
                         F.concat("used", F.array("edge_id")).alias("used"))
 
-    return expand(seed, step, max_rounds=max_edges)
+    return expand(seed, step, None if max_edges is None else max_edges - 1)
 
 
 def import_nodes(existing: DataFrame, incoming: DataFrame, key: str, mode: str = "create") -> DataFrame:

@@ -51,6 +51,7 @@ CHUNK_ROWS = 2048
 # anything is collected) is broadcast and the collection is scored where it
 # lies, without being shuffled; larger batches take the cogroup path.
 BROADCAST_QUERY_BYTES = 64 << 20
+LSH_BUCKET = 64  # vectors of a hash bucket that ``knn_lsh`` aims at
 # Scores are ranked after rounding to this many decimals, so that
 # mathematically equal scores (duplicate or collinear vectors) tie exactly
 # and fall back to the id order instead of to floating-point noise.
@@ -446,7 +447,7 @@ def knn_lsh(
     query_vec: str = "embedding",
     id_col: str = "id",
     vec_col: str = "embedding",
-    bits: int = 6,
+    bits: int | None = None,
     tables: int = 8,
     seed: int = 42,
     probe: bool = True,
@@ -454,13 +455,17 @@ def knn_lsh(
 ) -> DataFrame:
     """Approximate cosine top-k: a candidate is any collection vector sharing
     a bucket with the query (or, with ``probe``, a bucket one bit away) in at
-    least one of ``tables`` hash tables.
+    least one of ``tables`` hash tables.  ``bits`` follows the collection's size
+    unless given (buckets of about ``LSH_BUCKET`` vectors), so that the candidates
+    of a query stay about as many while the collection grows.
 
     Candidates are scored exactly, group by group, with the same Arrow
     matrix-product function as ``knn`` (no pair is materialised); a bucket
     holding many vectors is split into sub-blocks sized from the bucket-count
     table, which has at most ``tables * 2**bits`` rows and is broadcast."""
     dim = collection.select(F.size(vec_col).alias("d")).first()["d"]
+    if bits is None:
+        bits = max(6, math.ceil(math.log2(max(1, collection.count() / LSH_BUCKET))))
     planes = _hyperplanes(dim, bits, tables, seed)
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
     c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)

@@ -85,6 +85,12 @@ def cache_metrics(requests: DataFrame, success: Column, seconds: str, hit: str =
     )
 
 
+def _slices(df: DataFrame) -> int:
+    """Slices of a range-partitioned frame: the session's shuffle-partition
+    count, which a cluster sizes to its data."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def keep_newest(df: DataFrame, key: str, order_desc: list[str], n: int) -> DataFrame:
     """At most ``n`` newest rows per key.  ``row_number <= n`` becomes a
     partial ``WindowGroupLimit`` before the shuffle, so no key ships more
@@ -93,7 +99,7 @@ def keep_newest(df: DataFrame, key: str, order_desc: list[str], n: int) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list, value: str, parts: int = 16) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], order: list, value: str, parts: int | None = None) -> DataFrame:
     """Adds ``running_sum`` / ``running_count`` of ``value`` per key in
     ``order`` (rows frame, unbounded preceding .. current row), as a
     distributed prefix sum: range-partition on (keys, order) so that a hot key
@@ -103,6 +109,7 @@ def running_sum(df: DataFrame, keys: list[str], order: list, value: str, parts:
     range-partitioned frame is checkpointed so that slice ids are stable if a
     task is recomputed."""
     sort = [F.col(o) if isinstance(o, str) else o for o in order]
+    parts = parts or _slices(df)
     ranged = cut(df.repartitionByRange(parts, *keys, *sort).withColumn("_slice", F.spark_partition_id()))
     w_in = Window.partitionBy("_slice", *keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_s", F.sum(value).over(w_in)).withColumn("_c", F.count(value).over(w_in))
@@ -115,18 +122,21 @@ def running_sum(df: DataFrame, keys: list[str], order: list, value: str, parts:
         "running_count", F.col("_c") + F.col("_oc")).drop("_slice", "_s", "_c", "_os", "_oc")
 
 
-def running_mean(df: DataFrame, key: str, order: list[str], value: str, parts: int = 16) -> DataFrame:
+def running_mean(df: DataFrame, key: str, order: list[str], value: str, parts: int | None = None) -> DataFrame:
     """Cumulative mean of ``value`` per key in ``order`` (see ``running_sum``)."""
     out = running_sum(df, [key], order, value, parts)
     return out.withColumn("running_mean", F.try_divide(F.col("running_sum"), F.col("running_count")))
 
 
-def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us: int, parts: int = 16) -> DataFrame:
+def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us: int, parts: int | None = None,
+                   success: Column | None = None) -> DataFrame:
     """Batch form of the TTL cache, exact and safe for hot keys.
 
-    Per key, in (time, event) order, the first request is a miss and the next
-    miss is the first request at least ``ttl_us`` after the previous miss;
-    every other request is a hit.  So the misses are the chain
+    Only requests with ``success`` (all, if not given) fill the cache.  Per key,
+    in (time, event) order, the first of them is a miss and fills it, and the
+    next fill is the first of them at least ``ttl_us`` after the last; the
+    others are hits.  A request without success is a hit when a fill of its key
+    is less than ``ttl_us`` old, and otherwise a miss that fills nothing.  So the misses are the chain
     ``first -> nxt(first) -> ...`` where ``nxt(e)`` is the first request of
     the key at or after ``t(e) + ttl``.
 
@@ -140,7 +150,10 @@ def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us
        successor of every request; each round is two joins on the request
        id (uniformly distributed), and there are log2(chain length) rounds.
     Returns ``(event, hit)``."""
-    ev = df.select(*key, F.col(ts_us).alias("_t"), F.col(event).alias("_e"))
+    parts = parts or _slices(df)
+    every = df.select(*key, F.col(ts_us).alias("_t"), F.col(event).alias("_e"),
+                      (F.lit(True) if success is None else F.coalesce(success, F.lit(False))).alias("_ok"))
+    ev = every.filter("_ok").drop("_ok")
     probes = ev.select(*key, (F.col("_t") + F.lit(ttl_us)).alias("_t"), F.col("_e").alias("_src"),
                        F.lit(None).cast(ev.schema["_e"].dataType).alias("_e"), F.lit(0).alias("_kind"))
     rows = ev.select(*key, "_t", F.lit(None).cast(ev.schema["_e"].dataType).alias("_src"), "_e", F.lit(1).alias("_kind"))
@@ -175,5 +188,15 @@ def ttl_cache_hits(df: DataFrame, key: list[str], ts_us: str, event: str, ttl_us
         jump = cut(jump.alias("a").join(jump.alias("b"), F.col("a._n") == F.col("b._e")).select(
             F.col("a._e").alias("_e"), F.col("b._n").alias("_n")))
     misses = reach.withColumn("_miss", F.lit(True))
-    return ev.select("_e").join(misses, "_e", "left").select(
-        F.col("_e").alias(event), F.col("_miss").isNull().alias("hit"))
+    hits = ev.select("_e").join(misses, "_e", "left").select(F.col("_e").alias(event), F.col("_miss").isNull().alias("hit"))
+    if success is None:
+        return hits
+    # fills of a key are ttl apart, so at most two matter to a request: those of its ttl-long bucket and the one before
+    bucket = F.floor(F.col("_t") / ttl_us)
+    fills = ev.join(reach, "_e").select(*key, F.col("_t").alias("_fill"), F.explode(F.array(bucket, bucket + 1)).alias("_bucket"))
+    failed = every.filter("NOT _ok").withColumn("_bucket", bucket)
+    served = failed.join(fills, [*key, "_bucket"]).filter(
+        (F.col("_fill") <= F.col("_t")) & (F.col("_t") < F.col("_fill") + ttl_us)).select("_e").distinct()
+    failed_hits = failed.select("_e").join(served.withColumn("_hit", F.lit(True)), "_e", "left").select(
+        F.col("_e").alias(event), F.col("_hit").isNotNull().alias("hit"))
+    return hits.unionByName(failed_hits)

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.text import SPACE
+
 # Fixed values (texts the original pipeline answers with, in Russian as there).
 NO_CONTEXT_ANSWER = "К сожалению, я не нашел достаточно информации для ответа на этот вопрос."
 SHORT_ANSWER_APOLOGY = "Извините, не удалось сгенерировать содержательный ответ на основе найденной информации."
@@ -36,7 +38,7 @@ MAX_CONTEXT_LENGTH = 2000
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: drop leading/trailing whitespace of any kind."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
 
 
 def similarity_threshold(hits: DataFrame, threshold: float = SIMILARITY_THRESHOLD, score: str = "score") -> DataFrame:
@@ -162,5 +164,5 @@ def after_last_marker(generated: Column, marker: str) -> Column:
 
 def postprocess(answer: Column) -> Column:
     """Collapse whitespace runs; answers shorter than 10 chars become the apology."""
-    collapsed = strip_ws(F.regexp_replace(answer, r"\s+", " "))
+    collapsed = strip_ws(F.regexp_replace(answer, f"[{SPACE}]+", " "))
     return F.when(F.char_length(collapsed) < 10, F.lit(SHORT_ANSWER_APOLOGY)).otherwise(collapsed)

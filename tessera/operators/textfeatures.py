@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.text import WORD
 from tessera.operators.retrieval import strip_ws
 
 # Phrases marking an uncertain answer, and the compared models.
@@ -35,7 +36,7 @@ def tokenize_pad(text, max_len: int = 128) -> Column:
     """Word tokens (lower-cased, split on non-word runs), truncated to
     ``max_len`` and padded with ``[PAD]``; the attention mask marks real tokens.
     Returns struct(input_tokens, attention_mask, n_tokens)."""
-    toks = F.array_remove(F.split(F.lower(_c(text)), r"\W+"), "")
+    toks = F.array_remove(F.split(F.lower(_c(text)), f"[^{WORD}]+"), "")
     head = F.slice(toks, 1, max_len)
     n = F.size(head)
     padded = F.concat(head, F.array_repeat(F.lit(PAD_TOKEN), F.lit(max_len) - n))

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.fixpoint import cut, fixpoint
+from tessera.operators.fixpoint import cut, fixpoint, reach
 
 
 def is_var(term) -> bool:
@@ -87,10 +87,31 @@ def join_all(frames: list[DataFrame]) -> DataFrame:
     return acc
 
 
-def optional(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``OPTIONAL {right}``: left outer join on the shared variables."""
+def _compatible(left: DataFrame, right: DataFrame, always_bound: list[str] | None) -> tuple[DataFrame, Column, list[str]]:
+    """(right with prefixed columns, join condition, shared variables).  Shared
+    variables outside ``always_bound`` (default: none is) agree when one side
+    leaves them unbound; the others are the equi-join key."""
     shared = [c for c in right.columns if c in left.columns]
-    return left.join(right, on=shared, how="left")
+    keys = shared if always_bound is None else [c for c in shared if c in always_bound]
+    if not keys:
+        raise ValueError("no variable is bound on both sides (would compare all pairs)")
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
+    cond = F.lit(True)
+    for c in shared:
+        x, y = left[c], renamed[f"_r_{c}"]
+        cond = cond & ((x == y) if c in keys else (x == y) | x.isNull() | y.isNull())
+    return renamed, cond, shared
+
+
+def optional(left: DataFrame, right: DataFrame, always_bound: list[str] | None = None) -> DataFrame:
+    """``OPTIONAL {right}``: left outer join on the shared variables; name
+    those that every row binds in ``always_bound`` when others may be unbound
+    (an unbound variable is then compatible with, and takes, any value)."""
+    renamed, cond, shared = _compatible(left, right, always_bound)
+    new = [c for c in right.columns if c not in shared]
+    return left.join(renamed, cond, "left").select(
+        *[F.coalesce(left[c], F.col(f"_r_{c}")).alias(c) if c in shared else left[c] for c in left.columns],
+        *[F.col(f"_r_{c}").alias(c) for c in new])
 
 
 def union(*branches: DataFrame) -> DataFrame:
@@ -98,10 +119,10 @@ def union(*branches: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
 
-def not_exists(left: DataFrame, inner: DataFrame) -> DataFrame:
-    """``FILTER NOT EXISTS {inner}`` correlated on the shared variables."""
-    shared = [c for c in inner.columns if c in left.columns]
-    return left.join(inner, on=shared, how="left_anti")
+def not_exists(left: DataFrame, inner: DataFrame, always_bound: list[str] | None = None) -> DataFrame:
+    """``FILTER NOT EXISTS {inner}`` correlated on the shared variables (see ``optional``)."""
+    renamed, cond, _ = _compatible(left, inner, always_bound)
+    return left.join(renamed, cond, "left_anti")
 
 
 def compatible_join(a: DataFrame, b: DataFrame, always_bound: list[str]) -> DataFrame:
@@ -132,15 +153,10 @@ def path_star_then(triples: DataFrame, starts: DataFrame, step_pred: str, last_p
     """Property path ``step_pred* / last_pred`` from each start node: zero or
     more ``step_pred`` edges (duplicate-free nodes, start included), then one
     ``last_pred`` edge.  ``starts`` has one column ``start_col``."""
-    steps = cut(triples.filter(F.col("p") == step_pred).select(F.col("s").alias("node"), F.col("o").alias("next")))
-    seed = starts.select(F.col(start_col).alias("start"), F.col(start_col).alias("node"))
-    reach = fixpoint(
-        seed,
-        lambda d: d.join(steps, "node").select("start", F.col("next").alias("node")),
-        key=["start", "node"],
-    )
+    steps = triples.filter(F.col("p") == step_pred).select(F.col("s").alias("node"), F.col("o").alias("next"))
+    reached = reach(starts.select(F.col(start_col).alias("start"), F.col(start_col).alias("node")), steps)
     last = triples.filter(F.col("p") == last_pred).select(F.col("s").alias("node"), F.col("o").alias(out_col))
-    return reach.join(last, "node").select(F.col("start").alias(start_col), out_col).distinct()
+    return reached.join(last, "node").select(F.col("start").alias(start_col), out_col).distinct()
 
 
 def subclass_closure(triples: DataFrame, roots: DataFrame, pred: str = "subClassOf") -> DataFrame:
@@ -150,6 +166,27 @@ def subclass_closure(triples: DataFrame, roots: DataFrame, pred: str = "subClass
     return fixpoint(seed, lambda d: d.join(sub, "cls").select("root", F.col("child").alias("cls")), key=["root", "cls"])
 
 
+def depths(roots: DataFrame, sub: DataFrame) -> DataFrame:
+    """(root, depth): classes on the longest way down from each root, itself
+    included, over ``sub`` (child, parent).  Heights grow from the leaves: a
+    round settles the classes whose children are all settled, so a class is
+    settled once, whatever the number of ways to it.  A root above a cycle has
+    no finite depth: null."""
+    open_ = cut(sub.select("parent", "child").distinct())
+    nodes = open_.select(F.col("parent").alias("node")).unionByName(open_.select(F.col("child").alias("node"))).unionByName(
+        roots.select(F.col("root").alias("node"))).distinct()
+    done = cut(nodes.join(open_.select(F.col("parent").alias("node")), "node", "left_anti").withColumn("depth", F.lit(1)))
+    while not open_.isEmpty():
+        known = open_.join(done.select(F.col("node").alias("child"), "depth"), "child", "left")
+        ready = known.groupBy("parent").agg(F.count_if(F.col("depth").isNull()).alias("wait"), F.max("depth").alias("below"))
+        new = cut(ready.filter("wait = 0").select(F.col("parent").alias("node"), (F.col("below") + 1).alias("depth")))
+        if new.isEmpty():
+            break
+        done = cut(done.unionByName(new))
+        open_ = cut(open_.join(new.select(F.col("node").alias("parent")), "parent", "left_anti"))
+    return roots.select("root").distinct().join(done.withColumnRenamed("node", "root"), "root", "left")
+
+
 def construct(bindings: DataFrame, templates: list[tuple]) -> DataFrame:
     """``CONSTRUCT {templates}``: each solution yields one triple per template;
     a template with an unbound variable yields nothing; the result is a set.

@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 from tessera.operators import classify as cl
 from tessera.plans.registry import register
 from tessera.sources import files
-from tessera.sources.runs import RunLog, best_run, latest_per_key
+from tessera.sources.runs import RunLog, best_run, run_table
 from tessera.sources.tables import Tables
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
 
 @register("agg_accuracy", sql="SELECT round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM labels")
 def agg_accuracy(spark, sf_dir):
@@ -94,16 +92,25 @@ def ml_split(spark, sf_dir):
     return e.select("vec_id", F.when(F.col("vec_id") % 5 == 0, "test").otherwise("train").alias("split"))
 
 
-SCORES_SQL = """s AS (SELECT vec_id, CAST(embedding AS DOUBLE[])[1:6] AS l FROM embeddings),
+SCORES_SQL = "s AS (SELECT vec_id, [" + ", ".join(
+    f"list_sum([CAST(embedding[i] AS DOUBLE) for i in range(1, len(embedding) + 1) if i % 6 = {(j + 1) % 6}])" for j in range(6)
+) + """] AS l FROM embeddings),
 pr AS (SELECT vec_id, l, list_transform(l, lambda x: exp(x - list_max(l))) AS ex FROM s),
 sm AS (SELECT vec_id, l, list_transform(ex, lambda v: v / list_sum(ex)) AS p FROM pr)"""
 
 
+def six_scores(vec: str):
+    """One score for each of the six labels from the whole vector: the sum of every sixth component."""
+    v = F.transform(vec, lambda x: x.cast("double"))
+    part = lambda j: F.aggregate(F.filter(v, lambda x, i: i % 6 == j), F.lit(0.0), lambda a, x: a + x)
+    return F.array(*[part(j) for j in range(6)])
+
+
 @register("ml_predict_confidence", sql=f"""WITH {SCORES_SQL}
 SELECT vec_id, {'[' + ', '.join(repr(n) for n in cl.LABEL_NAMES) + ']'}[list_position(l, list_max(l))] AS emotion,
        round(p[list_position(l, list_max(l))], 6) AS confidence FROM sm""")
 def ml_predict_confidence(spark, sf_dir):
-    e = Tables(spark, sf_dir).embeddings.select("vec_id", F.slice("embedding", 1, 6).alias("l"))
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", six_scores("embedding").alias("l"))
     p = e.select("vec_id", "l", cl.softmax("l").alias("p"))
     i = cl.argmax_first("l")
     return p.select("vec_id", cl.label_name(i).alias("emotion"), F.round(F.element_at("p", i + 1), 6).alias("confidence"))
@@ -112,7 +119,7 @@ def ml_predict_confidence(spark, sf_dir):
 @register("ml_softmax", sql=f"WITH {SCORES_SQL} SELECT vec_id, "
           + ", ".join(f"round(p[{i + 1}], 6) AS p{i}" for i in range(6)) + " FROM sm")
 def ml_softmax(spark, sf_dir):
-    e = Tables(spark, sf_dir).embeddings.select("vec_id", cl.softmax(F.slice("embedding", 1, 6)).alias("p"))
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", cl.softmax(six_scores("embedding")).alias("p"))
     return e.select("vec_id", *[F.round(F.element_at("p", i + 1), 6).alias(f"p{i}") for i in range(6)])
 
 
@@ -124,22 +131,29 @@ def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.unix_micros(F.col("ts").cast("timestamp")).alias("step"), "event_id")
 
 
-RUNS_SQL = "runs AS (SELECT user_id AS run_id, " + ", ".join(
-    f"arg_max(value, (ts, event_id)) FILTER (WHERE event_type = '{k}') AS {k}" for k in EVENT_TYPES
-) + " FROM events GROUP BY user_id)"
+RUNS_SQL = """runs AS (SELECT user_id AS run_id, event_type AS key, arg_max(value, (ts, event_id)) AS value
+  FROM events GROUP BY user_id, event_type)"""
 
 
-@register("src_runs_search", sql=f"WITH {RUNS_SQL} SELECT * FROM runs")
+@register("src_runs_search", sql=f"""WITH {RUNS_SQL} SELECT run_id, 'metric' AS kind, key, value FROM runs
+UNION ALL SELECT user_id, 'param', 'n_events', CAST(count(*) AS DOUBLE) FROM events GROUP BY user_id""")
 def src_runs_search(spark, sf_dir):
+    """Every run with its last metrics and its parameters as maps, whatever
+    their names, listed as one row for each entry."""
     m = _metric_log(spark, sf_dir)
-    return latest_per_key(m, EVENT_TYPES, F.struct("step", "event_id"))
+    params = m.groupBy("run_id").agg(F.count(F.lit(1)).cast("string").alias("value")).withColumn("key", F.lit("n_events"))
+    runs = run_table(m, params, F.struct("step", "event_id"))
+    entries = lambda kind, col: runs.select("run_id", F.lit(kind).alias("kind"), F.explode(col).alias("key", "value"))
+    return entries("metric", "metrics").unionByName(
+        entries("param", "params").withColumn("value", F.col("value").cast("double")))
 
 
 @register("agg_best_run", sql=f"""WITH {RUNS_SQL}
-SELECT run_id, error AS eval_loss FROM runs ORDER BY coalesce(error, 'inf'::DOUBLE), run_id LIMIT 1""")
+SELECT run_id, max(value) FILTER (WHERE key = 'error') AS eval_loss FROM runs GROUP BY run_id
+ORDER BY coalesce(eval_loss, 'inf'::DOUBLE), run_id LIMIT 1""")
 def agg_best_run(spark, sf_dir):
-    runs = latest_per_key(_metric_log(spark, sf_dir), EVENT_TYPES, F.struct("step", "event_id"))
-    return best_run(runs.withColumnRenamed("error", "eval_loss"), "eval_loss")
+    runs = run_table(_metric_log(spark, sf_dir), None, F.struct("step", "event_id"))
+    return best_run(runs.select("run_id", F.try_element_at("metrics", F.lit("error")).alias("eval_loss")), "eval_loss")
 
 
 @register("snk_run_log", sql="""SELECT 'metric' AS kind, user_id AS run_id, event_type AS key, value, epoch_us(ts) AS step FROM events

@@ -38,14 +38,14 @@ def src_request_json(spark, sf_dir):
 CACHE_TTL_SECONDS = 3600  # the pipeline's default cache TTL
 
 WALK_SQL = f"""e AS (
-  SELECT user_id, event_type, event_id, value, epoch_us(ts) AS t,
+  SELECT user_id, event_type, event_id, value, epoch_us(ts) AS t, event_type <> 'error' AS ok,
          row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events),
 walk AS (
-  SELECT user_id, event_type, rn, event_id, t AS miss, false AS hit FROM e WHERE rn = 1
+  SELECT user_id, event_type, rn, event_id, CASE WHEN ok THEN t END AS miss, false AS hit FROM e WHERE rn = 1
   UNION ALL
   SELECT e.user_id, e.event_type, e.rn, e.event_id,
-         CASE WHEN e.t - w.miss < {CACHE_TTL_SECONDS * 1_000_000} THEN w.miss ELSE e.t END,
-         e.t - w.miss < {CACHE_TTL_SECONDS * 1_000_000}
+         CASE WHEN coalesce(e.t - w.miss < {CACHE_TTL_SECONDS * 1_000_000}, false) THEN w.miss WHEN e.ok THEN e.t END,
+         coalesce(e.t - w.miss < {CACHE_TTL_SECONDS * 1_000_000}, false)
   FROM walk w JOIN e ON e.user_id = w.user_id AND e.event_type = w.event_type AND e.rn = w.rn + 1),
 r AS (SELECT e.event_type, e.value, walk.hit FROM e JOIN walk USING (event_id))"""
 
@@ -59,10 +59,11 @@ SELECT count(*) AS total_requests,
 FROM r""")
 def agg_request_metrics(spark, sf_dir):
     """Pipeline counters with the real cache: a request is a hit when its key
-    (user_id, event_type) was computed less than an hour before; hits count
+    (user_id, event_type) was computed with success less than an hour before; hits count
     in the total, only computed successes in the success count and mean time."""
     ev = Tables(spark, sf_dir).events.withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    hits = rq.ttl_cache_hits(ev, ["user_id", "event_type"], "t_us", "event_id", CACHE_TTL_SECONDS * 1_000_000)
+    hits = rq.ttl_cache_hits(ev, ["user_id", "event_type"], "t_us", "event_id", CACHE_TTL_SECONDS * 1_000_000,
+                             success=F.col("event_type") != "error")
     m = rq.cache_metrics(ev.join(hits, "event_id"), F.col("event_type") != "error", "value")
     return m.select("total_requests", "successful_requests", F.round("average_processing_time", 6).alias("average_processing_time"),
                     "cache_hits", F.round("cache_hit_rate", 6).alias("cache_hit_rate"))

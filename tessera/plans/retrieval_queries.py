@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import SPACE
 from tessera.operators import evaluation as ev
 from tessera.operators import retrieval as rt
 from tessera.operators.knn import knn, knn_self
@@ -376,7 +377,7 @@ rg AS (SELECT pair_id, max(CASE WHEN n = 1 THEN {f_sql()} END) AS rouge1,
 SELECT cm.qid AS case_id, round(cm.precision, 6) AS precision, round(cm.recall, 6) AS recall,
        round(cm.f1_score, 6) AS f1_score, round(cm.mrr, 6) AS mrr,
        round(rg.rouge1, 6) AS rouge1, round(rg.rouge2, 6) AS rouge2,
-       CAST(len(list_filter(string_split_regex(firstp.answer, '\\s+'), lambda w: w <> '')) AS INTEGER) AS answer_length
+       CAST(len(list_filter(string_split_regex(firstp.answer, '[{SPACE}]+'), lambda w: w <> '')) AS INTEGER) AS answer_length
 FROM cm JOIN firstp ON firstp.pair_id = cm.qid JOIN rg ON rg.pair_id = cm.qid"""
 
 

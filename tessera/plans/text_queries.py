@@ -18,6 +18,7 @@ from tessera.sources.tables import Tables
 
 # --- SQL helpers (DuckDB) ----------------------------------------------------------
 
+STRIP = f"^[{tx.SPACE}]+|[{tx.SPACE}]+$"
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in tx.KEYWORD_STOP_WORDS) + "]"
 
 
@@ -26,11 +27,11 @@ def rouge_tok_sql(x: str) -> str:
 
 
 def bleu_tok_sql(x: str) -> str:
-    return f"regexp_extract_all({x}, '(\\w+|[^\\w\\s])', 1)"
+    return f"regexp_extract_all({x}, '([{tx.WORD}]+|[^{tx.WORD}{tx.SPACE}])', 1)"
 
 
 def ws_tok_sql(x: str) -> str:
-    return f"list_filter(string_split_regex({x}, '\\s+'), lambda w: w <> '')"
+    return f"list_filter(string_split_regex({x}, '[{tx.SPACE}]+'), lambda w: w <> '')"
 
 
 def keywords_sql(x: str) -> str:
@@ -150,7 +151,7 @@ UNCERTAINTY_SQL = " OR ".join(f"contains(lower({{x}}), '{p}')" for p in tf.UNCER
 
 @register(
     "prj_answer_flags",
-    sql="SELECT conv_id, turn, length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) > 10 AS answer_has_content, "
+    sql=f"SELECT conv_id, turn, length(regexp_replace(text, '{STRIP}', '', 'g')) > 10 AS answer_has_content, "
     f"({UNCERTAINTY_SQL.format(x='text')}) AS contains_uncertainty FROM conversations WHERE role = 'assistant'",
 )
 def prj_answer_flags(spark, sf_dir):
@@ -166,7 +167,7 @@ MODELS_SQL = "[" + ", ".join(f"'{m}'" for m in tf.BENCHMARK_MODELS) + "]"
     "rag_benchmark_frame",
     sql=f"""WITH {COVERAGE_SQL}
 SELECT unnest({MODELS_SQL}) AS model, pair_id, CAST(length(answer) AS INTEGER) AS answer_length, true AS success,
-       length(regexp_replace(answer, '^\\s+|\\s+$', '', 'g')) > 10 AS answer_has_content,
+       length(regexp_replace(answer, '{STRIP}', '', 'g')) > 10 AS answer_has_content,
        ({UNCERTAINTY_SQL.format(x='answer')}) AS contains_uncertainty,
        round(kc, 6) AS keyword_coverage, matched_keywords_count
 FROM cov2""",
@@ -261,8 +262,8 @@ def rag_prompt(spark, sf_dir):
     sql=f"""WITH {PAIRS_SQL}
 SELECT pair_id,
   CASE WHEN starts_with(question || answer, question)
-       THEN regexp_replace(substr(question || answer, length(question) + 1), '^\\s+|\\s+$', '', 'g') END AS after_prompt,
-  regexp_replace(string_split(question || ' SPARQL: ' || answer, 'SPARQL:')[-1], '^\\s+|\\s+$', '', 'g') AS after_marker
+       THEN regexp_replace(substr(question || answer, length(question) + 1), '{STRIP}', '', 'g') END AS after_prompt,
+  regexp_replace(string_split(question || ' SPARQL: ' || answer, 'SPARQL:')[-1], '{STRIP}', '', 'g') AS after_marker
 FROM qa""",
 )
 def rag_extract_answer(spark, sf_dir):
@@ -276,7 +277,7 @@ def rag_extract_answer(spark, sf_dir):
 @register(
     "rag_postprocess",
     sql=f"""SELECT conv_id, turn, CASE WHEN length(c) < 10 THEN '{rt.SHORT_ANSWER_APOLOGY}' ELSE c END AS answer
-FROM (SELECT conv_id, turn, regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS c
+FROM (SELECT conv_id, turn, regexp_replace(regexp_replace(text, '[{tx.SPACE}]+', ' ', 'g'), '{STRIP}', '', 'g') AS c
       FROM conversations)""",
 )
 def rag_postprocess(spark, sf_dir):
@@ -288,7 +289,7 @@ def rag_postprocess(spark, sf_dir):
 
 @register(
     "txt_tokenize_pad",
-    sql="""WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\W+'), lambda w: w <> '') AS tok FROM documents),
+    sql="""WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '') AS tok FROM documents),
 p AS (SELECT doc_id, least(len(tok), 128) AS n,
              list_concat(tok[1:128], list_transform(range(128 - least(len(tok), 128)), lambda i: '[PAD]')) AS padded FROM t)
 SELECT doc_id, CAST(n AS INTEGER) AS n_tokens, CAST(n AS INTEGER) AS mask_sum, CAST(len(padded) AS INTEGER) AS seq_len,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import triples as tp
-from tessera.operators.fixpoint import cut, fixpoint
+from tessera.operators.fixpoint import cut
 from tessera.plans import views
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
@@ -281,15 +281,7 @@ walk(root, node, depth) AS (SELECT root, root, 1 FROM roots
   UNION SELECT w.root, sub.child, w.depth + 1 FROM walk w JOIN sub ON sub.parent = w.node)
 SELECT root, max(depth) AS depth FROM walk GROUP BY root""", recursive=True))
 def graph_depth(spark, sf_dir):
-    roots, sub = hierarchy(spark, sf_dir)
-    sub = cut(sub)
-    seed = roots.select("root", F.col("root").alias("node"), F.lit(1).alias("depth"))
-    walk = fixpoint(
-        seed,
-        lambda d: d.join(sub, d.node == sub.parent).select("root", F.col("child").alias("node"), (F.col("depth") + 1).alias("depth")),
-        key=["root", "node", "depth"],
-    )
-    return walk.groupBy("root").agg(F.max("depth").alias("depth"))
+    return tp.depths(*hierarchy(spark, sf_dir))
 
 
 @register("graph_closure_filter", sql=W("""sub AS (SELECT s AS child, o AS parent FROM T WHERE p = 'subClassOf'),

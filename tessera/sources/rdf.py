@@ -55,11 +55,16 @@ def _local(c: Column, ns: str) -> Column:
     return F.when(F.startswith(bare, F.lit(ns)), F.substring(bare, len(ns) + 1, 1 << 30)).otherwise(bare)
 
 
+def _scoped(term: Column) -> Column:
+    """Blank nodes of two files are different nodes: prefix them by their file."""
+    return F.when(F.startswith(term, F.lit("_:")), F.concat("scope", F.substring(term, 3, 1 << 30))).otherwise(term)
+
+
 def read_ntriples(spark: SparkSession, path: str, ns: str = DEFAULT_NS) -> DataFrame:
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).select("value", F.concat(F.lit("_:f"), F.hex(F.xxhash64(F.input_file_name())), F.lit("_")).alias("scope"))
     g = lambda i: F.regexp_extract("value", NT_LINE, i)
     parsed = lines.filter(F.col("value").rlike(NT_LINE)).select(
-        _local(g(1), ns).alias("s"), _local(g(2), ns).alias("p"), g(3).alias("o_iri"), g(4).alias("o_lit"),
+        _scoped(_local(g(1), ns)).alias("s"), _local(g(2), ns).alias("p"), _scoped(g(3)).alias("o_iri"), g(4).alias("o_lit"),
         g(5).alias("lang"))
     is_iri = F.col("o_iri") != ""
     return parsed.select(

@@ -30,10 +30,17 @@ class RunLog:
         return self.spark.read.parquet(f"{self.root}/params")
 
 
-def latest_per_key(metrics: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """One row per run, one column per metric key: the last logged value
-    (``order`` decides "last"; a key never logged is NULL)."""
-    return metrics.groupBy("run_id").pivot("key", keys).agg(F.max_by("value", order))
+def run_table(metrics: DataFrame, params: DataFrame | None, order: Column) -> DataFrame:
+    """One row per run: ``metrics`` map<string,double> with the last logged value
+    of each key (``order`` decides "last") and ``params`` map<string,string>.
+    Any metric name is kept.  A run's maps hold as many entries as it has names."""
+    last = metrics.groupBy("run_id", "key").agg(F.max_by("value", order).alias("value"))
+    named = lambda: F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value"))))
+    runs = last.groupBy("run_id").agg(named().alias("metrics"))
+    if params is None:
+        return runs.withColumn("params", F.lit(None).cast("map<string,string>"))
+    kept = params.groupBy("run_id", "key").agg(F.max("value").alias("value")).groupBy("run_id").agg(named().alias("params"))
+    return runs.join(kept, "run_id", "full")
 
 
 def best_run(runs: DataFrame, metric: str) -> DataFrame:

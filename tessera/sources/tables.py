@@ -13,7 +13,7 @@ TABLES = (
 
 
 def literal(path: str) -> str:
-    """Escape Hadoop glob characters so that a folder such as ``lab [3-4]`` is
+    """Escape Hadoop glob characters so that a folder such as ``part [3-4]`` is
     read literally."""
     return re.sub(r"([\[\]*?{}\\])", r"\\\1", path)
 
