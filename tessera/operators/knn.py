@@ -178,11 +178,13 @@ def _self_group_fn(k: int, metric: str, out_schema: pa.Schema, chunk_rows: int =
         mask &= np.isfinite(sc)
         return np.nonzero(mask)
 
-    def fn(tbl: pa.Table) -> pa.Table:
+    def fn(key: tuple[pa.Scalar, ...], tbl: pa.Table) -> pa.Table:
         side = tbl.column("side").to_numpy()
         a, a_ids = prep(tbl.filter(pa.array(side == 0)))
         b_tbl = tbl.filter(pa.array(side == 1))
-        diagonal = b_tbl.num_rows == 0
+        diagonal = key[0].as_py() == key[1].as_py()
+        if not len(a_ids) or not (diagonal or b_tbl.num_rows):
+            return out_schema.empty_table()  # a block without rows
         b, b_ids = (a, a_ids) if diagonal else prep(b_tbl)
         b_codes = _order_codes(b_ids)
         a_codes = _order_codes(a_ids)
@@ -227,7 +229,9 @@ def knn_self(vectors: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "
     v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).filter(F.size("vec") > 0)
     if blocks is None:
         _, rows = block_rows(v, "vec")
-        blocks = max(1, math.ceil(v.count() / min(SELF_BLOCK_ROWS, rows)))
+        n = v.count()
+        # bounded blocks; a few of them also for small tables, so that more than one task works
+        blocks = max(1, math.ceil(n / min(SELF_BLOCK_ROWS, rows)), min(4, n // 128))
     b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     j = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     rep = v.withColumn("b", b).withColumn("j", j)
@@ -292,22 +296,24 @@ def _knn_broadcast(q: DataFrame, c: DataFrame, k: int, metric: str, exclude_self
                 if metric == "cosine":
                     n = np.linalg.norm(cm, axis=1, keepdims=True)
                     cm = np.divide(cm, n, out=np.zeros_like(cm), where=n > 0)
-                    sc = qmat @ cm.T
-                else:
-                    sc = -(q_sq[:, None] - 2.0 * (qmat @ cm.T) + np.einsum("ij,ij->i", cm, cm)[None, :])
-                sc = np.round(sc, RANK_DECIMALS)
-                if exclude_self:
-                    sc[qids[:, None] == c_ids[None, :]] = -np.inf
-                m = sc.shape[1]
-                if m > k:
-                    thr = -np.partition(-sc, k - 1, axis=1)[:, k - 1]
-                    mask = sc >= thr[:, None]
-                else:
-                    mask = np.ones_like(sc, dtype=bool)
-                mask &= np.isfinite(sc)
-                r, cc = np.nonzero(mask)
-                acc_r.append(r); acc_i.append(c_ids[cc]); acc_s.append(sc[r, cc])
-                acc_n += len(r)
+                for at in range(0, len(qids), CHUNK_ROWS):  # chunks of queries too: scores stay within CHUNK_ROWS^2
+                    some = slice(at, at + CHUNK_ROWS)
+                    sc = qmat[some] @ cm.T
+                    if metric != "cosine":
+                        sc = -(q_sq[some, None] - 2.0 * sc + np.einsum("ij,ij->i", cm, cm)[None, :])
+                    sc = np.round(sc, RANK_DECIMALS)
+                    if exclude_self:
+                        sc[qids[some, None] == c_ids[None, :]] = -np.inf
+                    m = sc.shape[1]
+                    if m > k:
+                        thr = -np.partition(-sc, k - 1, axis=1)[:, k - 1]
+                        mask = sc >= thr[:, None]
+                    else:
+                        mask = np.ones_like(sc, dtype=bool)
+                    mask &= np.isfinite(sc)
+                    r, cc = np.nonzero(mask)
+                    acc_r.append(r + at); acc_i.append(c_ids[cc]); acc_s.append(sc[r, cc])
+                    acc_n += len(r)
                 if acc_n > 8 * k * len(qids):  # keep the running state at about k per query
                     rr, ii, ss = reduce(np.concatenate(acc_r), np.concatenate(acc_i), np.concatenate(acc_s))
                     acc_r, acc_i, acc_s, acc_n = [rr], [ii], [ss], len(rr)

@@ -190,9 +190,10 @@ def case_metrics(spark: SparkSession, sf_dir: str, k: int = 5, hits: DataFrame |
     h = self_knn(spark, sf_dir, k) if hits is None else hits
     q = e.select(F.col("vec_id").alias("qid"), F.col("label").alias("qlabel"))
     c = e.select(F.col("vec_id").alias("id"), F.col("label").alias("clabel"))
-    hits = h.join(q, "qid").join(c, "id").withColumn("is_relevant", F.col("qlabel") == F.col("clabel"))
+    hits = h.join(q, "qid").join(c, "id").withColumn("is_relevant", F.coalesce(F.col("qlabel") == F.col("clabel"), F.lit(False)))
     per_label = e.groupBy("label").agg((F.count(F.lit(1)) - 1).alias("n_relevant"))
-    relevant = q.join(per_label, q.qlabel == per_label.label).select("qid", "n_relevant")
+    # a question without a label has no relevant document and scores 0
+    relevant = q.join(per_label, q.qlabel == per_label.label, "left").select("qid", F.coalesce("n_relevant", F.lit(0)).alias("n_relevant"))
     return ev.retrieval_metrics(hits, relevant, "qid")
 
 
@@ -202,12 +203,12 @@ hl AS (SELECT h.qid, h.id, h.rank, (qe.label = ce.label) AS rel
        FROM hits h JOIN embeddings qe ON qe.vec_id = h.qid JOIN embeddings ce ON ce.vec_id = h.id),
 pc AS (SELECT qid, count(DISTINCT id) AS ret, count(DISTINCT CASE WHEN rel THEN id END) AS ov,
               min(CASE WHEN rel THEN rank END) AS fr FROM hl GROUP BY qid),
-cm0 AS (SELECT q.vec_id AS qid, CAST(coalesce(pc.ret, 0) AS BIGINT) AS retrieved_count, CAST(lab.n_rel AS BIGINT) AS relevant_count,
+cm0 AS (SELECT q.vec_id AS qid, CAST(coalesce(pc.ret, 0) AS BIGINT) AS retrieved_count, CAST(coalesce(lab.n_rel, 0) AS BIGINT) AS relevant_count,
                CAST(coalesce(pc.ov, 0) AS BIGINT) AS overlap,
                CASE WHEN coalesce(pc.ret, 0) = 0 THEN 0.0 ELSE coalesce(pc.ov, 0) / pc.ret END AS precision,
-               CASE WHEN lab.n_rel = 0 THEN 0.0 ELSE coalesce(pc.ov, 0) / lab.n_rel END AS recall,
+               CASE WHEN coalesce(lab.n_rel, 0) = 0 THEN 0.0 ELSE coalesce(pc.ov, 0) / lab.n_rel END AS recall,
                coalesce(1.0 / pc.fr, 0.0) AS mrr
-        FROM embeddings q JOIN lab ON lab.label = q.label LEFT JOIN pc ON pc.qid = q.vec_id),
+        FROM embeddings q LEFT JOIN lab ON lab.label = q.label LEFT JOIN pc ON pc.qid = q.vec_id),
 cm AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1_score FROM cm0)"""
 
 
@@ -378,21 +379,22 @@ SELECT cm.qid AS case_id, round(cm.precision, 6) AS precision, round(cm.recall,
        round(cm.f1_score, 6) AS f1_score, round(cm.mrr, 6) AS mrr,
        round(rg.rouge1, 6) AS rouge1, round(rg.rouge2, 6) AS rouge2,
        CAST(len(list_filter(string_split_regex(firstp.answer, '[{SPACE}]+'), lambda w: w <> '')) AS INTEGER) AS answer_length
-FROM cm JOIN firstp ON firstp.pair_id = cm.qid JOIN rg ON rg.pair_id = cm.qid"""
+FROM cm LEFT JOIN firstp ON firstp.pair_id = cm.qid LEFT JOIN rg ON rg.pair_id = cm.qid"""
 
 
 @register("rag_eval_report", sql=_eval_report_sql())
 def rag_eval_report(spark, sf_dir):
-    """One row per case: retrieval metrics of question ``case_id`` joined on
-    the explicit case id with generation metrics (ROUGE-1/2, answer length)
-    of the first question/answer pair of conversation ``case_id``."""
+    """One row for every case: retrieval metrics of question ``case_id`` joined
+    on the explicit case id with generation metrics (ROUGE-1/2, answer length)
+    of the first question/answer pair of conversation ``case_id``; a case
+    without an answer keeps its row, with nulls there."""
     from tessera.functions.text import word_count
 
     cm = case_metrics(spark, sf_dir).withColumnRenamed("qid", "case_id")
     first = qa_pairs(spark, sf_dir).groupBy(F.col("conv_id").alias("case_id")).agg(
         F.min_by("question", "turn").alias("question"), F.min_by("answer", "turn").alias("answer"))
     rouge = ev.rouge_n(first, "case_id", "answer", "question", (1, 2))
-    return cm.join(first, "case_id").join(rouge, "case_id").select(
+    return cm.join(first, "case_id", "left").join(rouge, "case_id", "left").select(
         "case_id", *[F.round(c, 6).alias(c) for c in _METRICS],
         F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"),
         word_count(F.col("answer")).alias("answer_length"))
