@@ -48,7 +48,8 @@ KNOWN_SHARE = 2e-6
 ROUNDS = 10
 ADD = 0.5  # to every word count
 BACK = 2.0  # weight of the class unigram in a transition
-FLUSH = 200_000
+FLUSH = 200_000  # distinct words that a task holds
+TEXTS_AT_ONCE = 2_048
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -104,15 +105,16 @@ def bigrams(texts: DataFrame, own: dict[bytes, int], groups: int = GROUPS) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbol = Symbols(own, groups)
         end, width = symbol.end, symbol.end + 1
-        for batch in batches:
-            row: list[int] = [end]
-            for x in batch.column(0).to_pylist():
-                row += map(symbol.__getitem__, words_of(x))
-                row.append(end)
-            s = np.array(row, dtype=np.int64)
-            code, n = np.unique(s[:-1] * width + s[1:], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array((code // width).astype(np.int32)), pa.array((code % width).astype(np.int32)),
-                                              pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                row: list[int] = [end]
+                for x in whole.column(0).slice(at, TEXTS_AT_ONCE).to_pylist():
+                    row += map(symbol.__getitem__, words_of(x))
+                    row.append(end)
+                s = np.array(row, dtype=np.int64)
+                code, n = np.unique(s[:-1] * width + s[1:], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((code // width).astype(np.int32)), pa.array((code % width).astype(np.int32)),
+                                                  pa.array(n.astype(np.int64))], names=["a", "b", "n"])
 
     return texts.select("_t").mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
