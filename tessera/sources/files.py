@@ -36,9 +36,11 @@ def write_csv(df: DataFrame, path: str, index: str | None = None, order: list[st
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """``LOAD CSV WITH HEADERS``: every field a string (no inference)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """``LOAD CSV WITH HEADERS``: fields by the names of the header row, in
+    whatever order the file has them, every one a string (no inference); a
+    name that the header lacks is null."""
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def to_integer(col: str):

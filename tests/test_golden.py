@@ -230,3 +230,16 @@ def test_failed_requests_do_not_fill_the_cache(spark):
     df = spark.createDataFrame([r for r, _ in log], "e int, k string, t long, ok boolean")
     got = {r["e"]: r["hit"] for r in ttl_cache_hits(df, ["k"], "t", "e", 100, success=F.col("ok")).collect()}
     assert got == {r[0]: hit for r, hit in log}
+
+
+def test_csv_fields_go_by_the_header(spark):
+    import os
+    import tempfile
+
+    from tessera.sources import files
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-csv-"), "nodes.csv")
+    with open(path, "w") as fh:
+        fh.write("name,extra,id\nPort,x,7\n")
+    row = files.read_csv_strings(spark, "file://" + path, ["id", "name", "label"]).first()
+    assert tuple(row) == ("7", "Port", None)
