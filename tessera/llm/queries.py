@@ -181,7 +181,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.piece_scores())
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, token_counts.estimate(docs, token_counts.piece_scores()))
 
 
 @query("op9_pii")

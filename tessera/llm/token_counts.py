@@ -1,8 +1,14 @@
 """Token counts: unigram segmentation with one dynamic programme per shared prefix.
 
-The vocabulary is a public piece list with a score for each piece; a pre-token
-(a run of non-white characters, led by the word mark) is cut into the pieces
-with the largest score sum, ties to fewer pieces.  A task inserts the distinct
+The vocabulary is a public piece list.  Its file belongs to a BPE model and
+holds merge ranks, no probabilities, so the pieces' log-probabilities are
+estimated here by expectation maximisation over the distinct pre-tokens of all
+documents, weighted by their counts: each round sums in Spark the expected
+count of every piece (forward-backward over all segmentations), from equal
+probabilities on, until the likelihood gains less than ``GAIN``.
+
+A pre-token (a run of non-white characters, led by the word mark) is cut into
+the pieces with the largest score sum, ties to fewer pieces.  A task inserts the distinct
 pre-tokens of its rows in a trie - as a walk over them in sorted order, where
 the stack of states is the current path - and computes the forward score of
 each trie node once, for all pre-tokens that share the prefix.  The count at a
@@ -14,6 +20,8 @@ piece table (tens of thousands of entries, a file of fixed size) travels with
 the function.
 
 Defined cases: null, empty and white texts have 0 pre-tokens and 0 tokens; a
+piece that no document needs keeps the probability of ``ADD`` occurrences, and
+without documents all pieces are equally likely; a
 character outside the vocabulary costs ``UNKNOWN`` under the worst piece and
 counts one token per UTF-8 byte (byte fallback); repeated rows are counted one
 by one; an empty table gives an empty result; extra columns are ignored.
@@ -21,21 +29,31 @@ by one; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import os
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+
 MARK = "▁"
 UNKNOWN = 10.0
 TRIE_ENTRIES = 300_000
+ADD = 0.5  # to every expected count
+GAIN = 1e-3  # of the log-likelihood, below which the rounds end
+FLUSH = 200_000  # distinct pre-tokens that a task counts at once
+CHARS = 200_000  # characters of pre-tokens in one forward-backward pass
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def piece_scores(model: str = MODEL) -> dict[str, float]:
-    """Ordinary pieces of a sentencepiece model with their scores."""
+    """Ordinary pieces of a sentencepiece model with the scores of the file
+    (merge ranks if it is a BPE model: ``estimate`` uses the pieces only)."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=os.path.realpath(model))
@@ -43,6 +61,148 @@ def piece_scores(model: str = MODEL) -> dict[str, float]:
             if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))}
 
 
+def pretoken_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word binary, n): the distinct pre-tokens of all documents."""
+    def emit(c: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c: Counter = Counter()
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                c.update((x or b"").split())
+                if len(c) > FLUSH:
+                    yield emit(c)
+                    c = Counter()
+        yield emit(c)
+
+    return docs.select(F.col(text).cast("binary").alias("_t")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+class Lattice:
+    """Expected piece counts of many words at once: the edges (pieces at their
+    places) of all words are found by one walk down the trie of pieces, then
+    forward and backward sums go over the word positions, all words together."""
+
+    def __init__(self, scores: dict[str, float]):
+        self.names = list(scores)
+        self.logp = np.array([scores[p] for p in self.names])
+        self.unknown = min(scores.values(), default=0.0) - UNKNOWN
+        chars = sorted({ord(c) for p in self.names for c in p})
+        self.chars = np.array(chars, dtype=np.int64)
+        self.width = len(chars) + 1
+        code = {c: i for i, c in enumerate(chars)}
+        step, piece = {}, [-1]
+        for no, p in enumerate(self.names):
+            at = 0
+            for c in p:
+                key = at * self.width + code[ord(c)]
+                if key not in step:
+                    step[key] = len(piece)
+                    piece.append(-1)
+                at = step[key]
+            piece[at] = no
+        self.keys = np.array(sorted(step), dtype=np.int64)
+        self.next = np.array([step[k] for k in sorted(step)], dtype=np.int64)
+        self.piece = np.array(piece, dtype=np.int64)
+
+    def edges(self, words: list[str]):
+        """(first node, last node, piece or -1) sorted by last node's depth, and the
+        start node of each word; word i has the nodes start[i] ... start[i] + length."""
+        marked = [MARK + w for w in words]
+        size = np.array([len(w) for w in marked], dtype=np.int64)
+        start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+        text = np.frombuffer("\0".join([*marked, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        depth = np.arange(len(text)) - np.repeat(start, size + 1)
+        inside = np.ones(len(text), dtype=bool)
+        inside[start + size] = False  # the last node of a word has no character
+        place = np.searchsorted(self.chars, text)
+        code = np.where((place < len(self.chars)) & (np.append(self.chars, -1)[place] == text) & inside, place, self.width - 1)
+        first = np.flatnonzero(inside)
+        single = np.full(len(text), -1, dtype=np.int64)
+        froms, tos, pieces = [], [], []
+        at, node, long = first, np.zeros(len(first), dtype=np.int64), 0
+        while len(at) and len(self.keys):
+            key = node * self.width + code[at + long]
+            found = np.searchsorted(self.keys, key)
+            ok = (found < len(self.keys)) & (self.keys[np.minimum(found, len(self.keys) - 1)] == key)
+            at, node, long = at[ok], self.next[found[ok]], long + 1
+            is_piece = self.piece[node] >= 0
+            if long == 1:
+                single[at[is_piece]] = self.piece[node[is_piece]]
+            else:
+                froms.append(at[is_piece])
+                tos.append(at[is_piece] + long)
+                pieces.append(self.piece[node[is_piece]])
+        a = np.concatenate([first, *froms])
+        b = np.concatenate([first + 1, *tos])
+        p = np.concatenate([single[first], *pieces])
+        return a, b, p, depth, start, start + size
+
+    def expected(self, words: list[str], times: np.ndarray) -> tuple[np.ndarray, float]:
+        a, b, p, depth, start, end = self.edges(words)
+        w = np.where(p >= 0, self.logp[p], self.unknown)
+
+        def sweep(source, target, level):
+            order = np.lexsort((target, level))
+            src, dst, lev, add = source[order], target[order], level[order], w[order]
+            total = np.zeros(len(depth))
+            heads = np.flatnonzero(np.diff(dst, prepend=-1))  # one run of edges for each node
+            cuts = np.flatnonzero(np.diff(lev[heads], prepend=-1))
+            for i, j in zip(cuts, [*cuts[1:], len(heads)]):
+                lo, hi = heads[i], heads[j] if j < len(heads) else len(dst)
+                run = heads[i:j] - lo
+                value = total[src[lo:hi]] + add[lo:hi]
+                top = np.maximum.reduceat(value, run)
+                value = np.exp(value - np.repeat(top, np.diff(run, append=hi - lo)))
+                total[dst[heads[i:j]]] = top + np.log(np.add.reduceat(value, run))
+            return total
+
+        ahead = sweep(a, b, depth[b])
+        left = np.repeat(end, end - start + 1) - np.arange(len(depth))
+        behind = sweep(b, a, left[a])
+        word = np.repeat(np.arange(len(words)), end - start + 1)[a]
+        share = np.exp(ahead[a] + w + behind[b] - ahead[end][word]) * times[word]
+        known = p >= 0
+        return np.bincount(p[known], weights=share[known], minlength=len(self.names)), float(ahead[end] @ times)
+
+
+def estimate(docs: DataFrame, pieces: Iterable[str], text: str = "text") -> dict[str, float]:
+    """Log-probability of each piece, from all documents.  At most one row for
+    each piece of the vocabulary reaches the driver in a round."""
+    names = sorted(pieces)
+    words = stored(pretoken_counts(docs, text), "token-words")
+    scores = dict.fromkeys(names, -math.log(max(1, len(names))))
+    before = -math.inf
+    while names:
+        def run(batches: Iterator[pa.RecordBatch], scores=scores) -> Iterator[pa.RecordBatch]:
+            lattice, counts, value = Lattice(scores), np.zeros(len(names)), 0.0
+            for batch in batches:
+                rows = sorted(((w.decode("utf-8", "replace"), n) for w, n in zip(*(c.to_pylist() for c in batch.columns))),
+                              key=lambda r: len(r[0]))
+                lo = 0
+                while lo < len(rows):
+                    hi, chars = lo, 0
+                    while hi < len(rows) and (hi == lo or chars + len(rows[hi][0]) < CHARS):
+                        chars += len(rows[hi][0])
+                        hi += 1
+                    more, gain = lattice.expected([r[0] for r in rows[lo:hi]], np.array([float(r[1]) for r in rows[lo:hi]]))
+                    counts, value, lo = counts + more, value + gain, hi
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int32()), pa.array([value, *counts[some]], pa.float64())],
+                                             names=["piece", "n"])
+
+        got = {r.piece: r.n for r in words.mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+        value = got.pop(-1, 0.0) + ADD * sum(scores.values())
+        if value - before <= GAIN * abs(value):
+            break
+        before = value
+        total = math.log(sum(got.values()) + ADD * len(names))
+        # multiples of 2^-20: their sums are exact, so the order of additions decides no tie
+        scores = {p: round((math.log(got.get(i, 0.0) + ADD) - total) * 2**20) / 2**20 for i, p in enumerate(names)}
+    return scores
+
+
 class Segmenter:
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces

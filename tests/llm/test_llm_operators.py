@@ -257,6 +257,37 @@ def test_token_counts_match_a_programme_per_word(spark, docs, empty, sf_dir):
     assert token_counts.count_tokens(docs.filter("doc_id = 8"), pieces).first().n_tokens > 0
 
 
+def test_token_scores_are_estimated_from_the_documents(spark, empty):
+    rng = random.Random(9)
+    names = ["▁", *"abc", "▁a", "ab", "▁ab", "bc", "abc", "cab", "▁abca"]
+    scores = {p: -rng.uniform(0.5, 4) for p in names}
+    words = ["abc", "abcabc", "b", "axb", "cab", "é", "a" * 9]
+
+    def cuts(w):
+        if not w:
+            yield []
+        for i in range(1, len(w) + 1):
+            if w[:i] in scores or i == 1:
+                yield from ([w[:i], *rest] for rest in cuts(w[i:]))
+
+    want, value, times = Counter(), 0.0, np.arange(1.0, len(words) + 1)
+    for w, n in zip(words, times):
+        every = [(c, math.exp(sum(scores.get(p, min(scores.values()) - token_counts.UNKNOWN) for p in c))) for c in cuts("▁" + w)]
+        total = sum(p for _, p in every)
+        value += n * math.log(total)
+        for c, p in every:
+            want.update({x: n * p / total * k for x, k in Counter(c).items() if x in scores})
+    got, likelihood = token_counts.Lattice(scores).expected(words, times)
+    assert likelihood == pytest.approx(value) and dict(zip(names, got)) == pytest.approx({p: want[p] for p in names})
+
+    text = "the language of distributed processing is the international language "
+    df = spark.createDataFrame([(i, text * 400) for i in range(20)] + [(99, None)], "doc_id long, text string")
+    found = token_counts.estimate(df, token_counts.piece_scores())
+    assert sum(map(math.exp, found.values())) == pytest.approx(1, abs=1e-4)
+    assert token_counts.count_tokens(df, found).filter("doc_id = 0").first().n_tokens == 9 * 400
+    assert len(set(token_counts.estimate(empty, names).values())) == 1
+
+
 # --- decontamination -------------------------------------------------------
 
 def words13(t):
