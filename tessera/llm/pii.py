@@ -8,7 +8,9 @@ character it writes, the source characters it stands for:
 
 1. characters: full-width and other compatible forms, look-alikes of Latin
    letters, digits of any script, odd spaces and dashes; invisible ones vanish;
-2. disguises: bracketed ``[at]`` / ``(dot)``, ``name at host dot tld``, and runs
+2. disguises: bracketed ``[at]`` / ``(dot)``, ``name at host.tld`` (any name; the
+   whole host, its dots plain, bracketed or spelled in any mix, tells it from
+   prose - ``look at example.com`` reads like an address), and runs
    of three or more spelled digits (with ``dot`` and ``plus`` inside a run).
 
 An added span is kept unless a base span of its kind overlaps it without lying
@@ -57,9 +59,16 @@ _DOT = r"(?:dot|point|punkt|punto)"
 _GAP = r"[\s,-]{0,3}"
 RUN = re.compile(rf"\b(?:plus{_GAP})?{_W}(?:(?:[\s,-]{{1,3}}{_DOT})?[\s,-]{{1,3}}{_W}){{2,}}\b", re.I)
 RUN_PART = re.compile(rf"(?P<plus>plus{_GAP})|(?P<dot>[\s,-]{{1,3}}{_DOT}[\s,-]{{1,3}})|(?P<digit>{_W})|(?P<gap>[\s,-]{{1,3}})", re.I)
+# Between two labels of a host: a dot that is plain, bracketed or spelled.
+_ANY_DOT = rf"(?:\.|[ \t]{{0,3}}[\[({{<][ \t]{{0,2}}(?:{_DOT}|\.)[ \t]{{0,2}}[\])}}>][ \t]{{0,3}}|[ \t]{{1,3}}{_DOT}[ \t]{{1,3}})"
+_LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?+"
+# Words of running text that are no top-level domain.
+_PROSE = r"(?:the|then|that|this|there|they|of|on|and|or|but|if|when|where|which|who|what|for|from|with|was|were|are|we|he|she|his|her|its|not)"
+_TLD = rf"(?!{_PROSE}\b)(?:[A-Za-z]{{2,63}}|xn--[A-Za-z0-9-]{{1,59}})"
+# A whole host (at most 127 labels, as names have): the last label is alphabetic, and no label or address goes on after it.
+HOST = rf"{_LABEL}(?:{_ANY_DOT}{_LABEL}){{0,125}}?{_ANY_DOT}{_TLD}(?!-*[A-Za-z0-9@])(?!{_ANY_DOT}[A-Za-z0-9])"
 AT = (r"(?P<at>[ \t]{0,3}[\[({<][ \t]{0,2}(?:at|@|arroba)[ \t]{0,2}[\])}>][ \t]{0,3}"
-      rf"|(?<=[A-Za-z0-9])[ \t]{{1,3}}at[ \t]{{1,3}}(?=[A-Za-z0-9-]{{1,63}}(?:[ \t]{{1,3}}{_DOT}[ \t]{{1,3}}|[ \t]{{0,3}}[\[({{<][ \t]{{0,2}}(?:{_DOT}|\.)[ \t]{{0,2}}[\])}}>])[ \t]{{0,3}}[A-Za-z])"
-      r"|(?:(?<=[0-9])|(?<=[._+%-][A-Za-z]))[ \t]{1,3}at[ \t]{1,3}(?=[A-Za-z0-9-]{1,63}\.[A-Za-z0-9-]+\.?[A-Za-z]))")
+      rf"|(?<=[A-Za-z0-9._%+-])[ \t]{{1,3}}at[ \t]{{1,3}}(?={HOST}))")
 DOT = (rf"(?P<dot>[ \t]{{0,3}}[\[({{<][ \t]{{0,2}}(?:{_DOT}|\.)[ \t]{{0,2}}[\])}}>][ \t]{{0,3}}"
        rf"|(?<=[A-Za-z0-9])[ \t]{{1,3}}{_DOT}[ \t]{{1,3}}(?=[A-Za-z0-9]))")
 SIGNS = re.compile(f"{AT}|{DOT}", re.I)

@@ -440,6 +440,20 @@ def test_clean_text_gets_no_added_span(text):
     assert pii.added_spans(text, pii.detect(text)) == []
 
 
+@pytest.mark.parametrize("address", [
+    "jane.doe at example.com", "ann at example.com", "jane_smith at mail.example.org", "ann at mail.example dot com", "ann at mail dot example.com",
+    "ann at mail [dot] example.com", "ann at x-y.example (dot) co.uk", "Bob AT EXAMPLE.COM", "ann at " + "a." * 20 + "com", "ann at a.xn--p1ai"])
+def test_any_name_at_a_whole_host_is_an_address(address):
+    for text in (address, f"write: {address}, or call.", f"{address}. Then"):
+        assert [(k, text[a:b]) for k, a, b in pii.added_spans(text, pii.detect(text))] == [("email", address)]
+
+
+@pytest.mark.parametrize("text", ["arrived at 9.30 today", "sold at 3.50 each", "meet at home.Then go", "it stood at the dot on the map", "look at the point of it",
+                                  "we met at noon. Then we left", "v at 1.2.3.4", "seen at section 2.a now", "at example.com"])
+def test_prose_with_at_gets_no_added_span(text):
+    assert pii.added_spans(text, pii.detect(text)) == []
+
+
 def test_pii_edge_cases(spark, docs, empty):
     rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(
         [(30, "9" * 60_000), (31, "a" * 60_000 + "@"), (32, "+1" * 30_000), (33, "😀 a@b.co 😀 c@d.ef")], "doc_id long, text string"))
