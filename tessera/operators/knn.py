@@ -29,6 +29,7 @@ group function (approximate by design).
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -415,6 +416,12 @@ def metadata_filter(df: DataFrame, where: dict, metadata_col: str = "metadata")
 
 # --- approximate neighbours: random-hyperplane LSH over the same blocked scoring ------------
 
+# A neighbour at this cosine is a candidate with this probability, at every collection size.
+LSH_COSINE, LSH_RECALL = 0.8, 0.9
+LSH_TABLES, LSH_TABLES_MOST = 8, 16
+LSH_BROADCAST_ROWS = 1 << 20
+
+
 def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, bits * tables))
 
@@ -444,6 +451,25 @@ def lsh_buckets(vec: str, planes: np.ndarray, bits: int, tables: int, probe: boo
     return _bucket(F.col(vec))
 
 
+def lsh_plan(bits: int, tables: int | None = None, probe: bool = True) -> tuple[int, int]:
+    """(tables, probe radius) with which a neighbour at cosine ``LSH_COSINE`` is a
+    candidate with probability ``LSH_RECALL`` or more, whatever ``bits`` is: a
+    plane separates the two with probability acos(cosine) / pi, and a probed
+    table finds it if at most ``radius`` planes do.  The radius grows once more
+    than ``LSH_TABLES_MOST`` tables (copies of the collection) would be needed,
+    or as far as given ``tables`` need; without ``probe`` only tables grow."""
+    miss = math.acos(LSH_COSINE) / math.pi
+    found = 0.0
+    for radius in range(bits + 1):
+        found += math.comb(bits, radius) * (1 - miss) ** (bits - radius) * miss**radius
+        need = 1 if found >= LSH_RECALL else math.ceil(math.log(1 - LSH_RECALL) / math.log1p(-found))
+        if not probe:
+            return tables or max(LSH_TABLES, need), 0
+        if radius and need <= (tables or LSH_TABLES_MOST):
+            break
+    return tables or max(LSH_TABLES, need), radius
+
+
 def knn_lsh(
     queries: DataFrame,
     collection: DataFrame,
@@ -454,29 +480,34 @@ def knn_lsh(
     id_col: str = "id",
     vec_col: str = "embedding",
     bits: int | None = None,
-    tables: int = 8,
+    tables: int | None = None,
     seed: int = 42,
     probe: bool = True,
     exclude_self: bool = False,
 ) -> DataFrame:
     """Approximate cosine top-k: a candidate is any collection vector sharing
-    a bucket with the query (or, with ``probe``, a bucket one bit away) in at
+    a bucket with the query (or, with ``probe``, a bucket a few bits away) in at
     least one of ``tables`` hash tables.  ``bits`` follows the collection's size
-    unless given (buckets of about ``LSH_BUCKET`` vectors), so that the candidates
-    of a query stay about as many while the collection grows.
+    unless given (buckets of about ``LSH_BUCKET`` vectors); tables and probe radius
+    follow ``bits`` (``lsh_plan``), so that the recall holds while the collection grows.
 
     Candidates are scored exactly, group by group, with the same Arrow
     matrix-product function as ``knn`` (no pair is materialised); a bucket
     holding many vectors is split into sub-blocks sized from the bucket-count
-    table, which has at most ``tables * 2**bits`` rows and is broadcast."""
+    table, which has at most ``tables * 2**bits`` rows and is broadcast while that
+    is at most ``LSH_BROADCAST_ROWS``."""
     dim = collection.select(F.size(vec_col).alias("d")).first()["d"]
     if bits is None:
         bits = max(6, math.ceil(math.log2(max(1, collection.count() / LSH_BUCKET))))
+    tables, radius = lsh_plan(bits, tables, probe)
     planes = _hyperplanes(dim, bits, tables, seed)
+    flips = [sum(1 << b for b in some) for r in range(radius + 1) for some in combinations(range(bits), r)]
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
     c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
     mask = (1 << bits) - 1
-    q = q.select("qid", "qvec", F.explode(lsh_buckets("qvec", planes, bits, tables, probe)).alias("_tb")).select(
+    q = q.select("qid", "qvec", F.explode(lsh_buckets("qvec", planes, bits, tables)).alias("_tb"))
+    q = q.select("qid", "qvec", "_tb", F.explode(F.lit(np.array(flips, dtype=np.int64))).alias("_flip")).select(
+        "qid", "qvec", F.col("_tb").bitwiseXOR(F.col("_flip")).alias("_tb")).select(
         "qid", "qvec", F.shiftright("_tb", bits).cast("int").alias("tbl"), (F.col("_tb").bitwiseAND(mask)).cast("int").alias("bkt"))
     c = c.select("id", "cvec", F.explode(lsh_buckets("cvec", planes, bits, tables)).alias("_tb")).select(
         "id", "cvec", F.shiftright("_tb", bits).cast("int").alias("tbl"), (F.col("_tb").bitwiseAND(mask)).cast("int").alias("bkt"))
@@ -488,7 +519,8 @@ def knn_lsh(
                 F.ceil(F.col("nq") / q_rows).cast("int").alias("nqb"),
                 F.ceil(F.col("nc") / c_rows).cast("int").alias("ncb"))
     )
-    sizes = F.broadcast(sizes)  # <= tables * 2**bits rows
+    if tables << bits <= LSH_BROADCAST_ROWS:
+        sizes = F.broadcast(sizes)
     q = q.join(sizes, ["tbl", "bkt"]).select(
         "qid", "qvec", "tbl", "bkt", F.pmod(F.xxhash64("qid"), F.col("nqb")).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), F.col("ncb") - 1)).alias("cb"))

@@ -5,6 +5,7 @@ import os
 import random
 from itertools import accumulate
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -447,3 +448,18 @@ def test_table_folder_with_glob_characters(spark, sf_dir):
     out = files.scratch_path(spark, "glob-stream")
     st.run_to_parquet(st.stream_table(spark, str(link), "region"), out + "/data", out + "/ck")
     assert spark.read.parquet(out + "/data").count() == 5
+
+
+@pytest.mark.parametrize("bits", [14, 18, 21])  # as for 1e6, 1e7 and 1e8 vectors
+def test_lsh_recall_holds_with_the_bits_of_large_collections(spark, bits):
+    from tessera.operators.knn import knn_lsh
+
+    rng = np.random.default_rng(bits)
+    a = rng.standard_normal((100, 32))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.standard_normal((100, 32))
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, embedding array<double>")
+    got = knn_lsh(frame(a), frame(0.8 * a + 0.6 * b), 1, query_id="id", bits=bits).collect()
+    assert sum(r.qid == r.id for r in got) >= 80  # 0.9 stated, less the spread of 100 pairs
