@@ -9,8 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import brown_lm, decontaminate, line_dedup, mixing, pii, quality_qda, simhash_dedup, token_counts, topk_search, url_filter
-from tessera.llm.common import fold
+from tessera.llm import (
+    brown_lm, decontaminate, lexical_search, line_dedup, mixing, pii, quality_qda, simhash_dedup, spelling, token_counts, topk_search, url_filter,
+    vector_dedup,
+)
+from tessera.llm.common import fold, stored
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +215,51 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = brown_lm.score(docs, model, ["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
                          "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+
+@query("op11_vector_dedup", """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e,
+    embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS able
+  FROM embeddings),
+u AS (SELECT rid, vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE able),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM u a JOIN u b ON a.rid <> b.rid AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+degree AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a),
+reach AS (
+  WITH RECURSIVE r AS (SELECT rid AS a, rid AS b FROM u UNION SELECT r.a, links.b FROM r JOIN links ON r.b = links.a) SELECT * FROM r),
+low AS (SELECT a AS rid, min(vec_id) AS component_id FROM reach JOIN v ON v.rid = b GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+  CASE WHEN able THEN component_id ELSE vec_id END AS component_id,
+  vec_id IS NOT DISTINCT FROM CASE WHEN able THEN component_id ELSE vec_id END AS kept
+FROM v LEFT JOIN degree USING (rid) LEFT JOIN low USING (rid)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+_TERMS = f"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op12_lexical_search", f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+b AS (SELECT row_number() OVER () AS no, item_id, {_TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+q AS (SELECT no, item_id, term, count(*) AS qtf FROM (SELECT no, item_id, unnest(w) AS term FROM b) GROUP BY no, item_id, term),
+scored AS (
+  SELECT no, item_id, doc_id, rid, CAST(sum(qtf * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+      * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(w) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN d USING (rid), s GROUP BY no, item_id, doc_id, rid)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(stored(spelling.word_counts(table(spark, sf_dir, "documents")), "spelling-counts"))
