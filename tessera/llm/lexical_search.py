@@ -54,7 +54,7 @@ SPREAD = 12
 MAPPINGS = 3
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 #: Terms whose counts a task holds before it passes them on.
-FLUSH = 300_000
+FLUSH = 150_000
 TEXTS_AT_ONCE = 256
 #: Most queries of a block, and bytes of their texts.
 QUERY_BLOCK = 512
@@ -131,7 +131,7 @@ def build(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Index:
     spark = docs.sparkSession
     path = scratch_path(spark, "lexical-index")
     made = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(_index, _INDEX)
-    made.write.partitionBy("part").parquet(path)
+    made.write.parquet(path)  # terms and documents share files, not columns: each reader takes its own
     stored = spark.read.schema(_INDEX).parquet(path)
     counts = stored.filter("part = 'term'").groupBy("term").agg(F.sum("df").alias("df"))
     return Index(stored.filter("part = 'doc'").drop("part", "term", "df"), counts)
