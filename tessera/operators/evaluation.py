@@ -1,18 +1,17 @@
 """Evaluation of retrieval and of generated text, as Spark jobs.
 
 Retrieval metrics are computed per case from a hit frame and a relevance
-frame (never a Python loop); n-gram metrics explode the n-grams of each pair,
-count them per (pair, n, gram) and join the two sides, so the work is one
-shuffle keyed by the pair and scales with the total text size."""
+frame (never a Python loop); n-gram and sequence metrics are computed in the
+row of each pair, so only the texts themselves move; all metrics meet in one
+long table (case, metric, value), which one aggregation rolls up."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import text as tx
+from tessera.functions import vector as vx
 
 # Overall-score weights and advice thresholds of the evaluator.
 OVERALL_WEIGHTS = {"precision": 0.3, "recall": 0.2, "semantic_similarity": 0.3, "rougeL": 0.2}
@@ -101,99 +100,181 @@ def advice(metrics: dict[str, Column]) -> Column:
     return F.when(F.size(items) == 0, F.lit(ADVICE_DEFAULT)).otherwise(F.array_join(items, "\n"))
 
 
-# --- n-gram metrics ------------------------------------------------------------
-
-def _grams(pairs: DataFrame, key: str, tokens: str, orders: list[int], side: int) -> DataFrame:
-    return pairs.select(
-        key,
-        F.explode(F.array(*[F.struct(F.lit(n).alias("n"), tx.ngrams(F.col(tokens), n).alias("g")) for n in orders])).alias("x"),
-    ).select(key, F.col("x.n").alias("n"), F.explode("x.g").alias("gram"), F.lit(side).alias("side"))
-
-
-def clipped_overlap(pairs: DataFrame, key: str, pred_tokens: str, ref_tokens: str, orders: list[int]) -> DataFrame:
-    """(key, n, pred_total, ref_total, overlap) for each pair and n in ``orders``;
-    overlap = sum over n-grams of min(count in pred, count in ref).
-
-    Both sides' n-grams go through one aggregation keyed by (pair, n, gram);
-    the totals are sums of the same counts, so the texts are tokenised once.
-    Pairs or orders without any n-gram get zeros from the key grid."""
-    grams = _grams(pairs, key, pred_tokens, orders, 0).unionByName(_grams(pairs, key, ref_tokens, orders, 1))
-    counts = grams.groupBy(key, "n", "gram").agg(
-        F.count_if(F.col("side") == 0).alias("cp"), F.count_if(F.col("side") == 1).alias("cr"))
-    per = counts.groupBy(key, "n").agg(
-        F.sum("cp").cast("long").alias("pred_total"),
-        F.sum("cr").cast("long").alias("ref_total"),
-        F.sum(F.least("cp", "cr")).cast("long").alias("overlap"),
-    )
-    grid = pairs.select(key, F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
-    return grid.join(per, [key, "n"], "left").fillna(0, ["pred_total", "ref_total", "overlap"])
+# --- n-gram and sequence metrics, in the row ------------------------------------
+#
+# The tokens of a pair are made once; everything after that is array functions
+# on the pair's own row: no n-gram leaves it, nothing is joined back.
+
+def _bind(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns in a projection of their own, so that the next step refers to
+    their values instead of repeating the expressions."""
+    return df.select("*", *[c.alias(name) for name, c in cols.items()])
+
+
+def _repeats(ordered: str) -> Column:
+    """The elements of a sorted array that equal the one before."""
+    return F.filter(ordered, lambda x, i: x == F.get(F.col(ordered), i - 1))
+
+
+def _occurrences(sorted_repeats: str) -> Column:
+    """Repeats of a sorted array told apart: each with its place among its equals."""
+    return F.transform(sorted_repeats, lambda x, i: F.concat_ws(
+        " ", x, (i - F.array_position(F.col(sorted_repeats), x)).cast("string")))
+
+
+def with_overlaps(df: DataFrame, pred: str, ref: str, orders: list[int]) -> DataFrame:
+    """Adds ``pred_total{n}``, ``ref_total{n}`` and ``overlap{n}`` (sum over the
+    n-grams of the smaller of their two counts) for the token arrays ``pred`` and
+    ``ref``: distinct grams that both hold, plus those of their repeats."""
+    sides = [(c, t, n) for n in orders for c, t in (("p", pred), ("r", ref))]
+    gram, more = "_{0}g{1}".format, "_{0}m{1}".format
+    out = _bind(df, **{gram(c, n): F.array_sort(tx.ngrams(t, n)) for c, t, n in sides})
+    out = _bind(out, **{more(c, n): _repeats(gram(c, n)) for c, _, n in sides})
+    totals = {f"{side}_total{n}": F.size(gram(c, n)).cast("long") for n in orders for c, side in (("p", "pred"), ("r", "ref"))}
+    both = {f"overlap{n}": (F.size(F.array_intersect(gram("p", n), gram("r", n)))
+                            + F.size(F.array_intersect(_occurrences(more("p", n)), _occurrences(more("r", n))))).cast("long") for n in orders}
+    return _bind(out, **totals, **both).drop(*[f(c, n) for c, _, n in sides for f in (gram, more)])
+
+
+#: Positions of a word of the bit vectors: sums of two words and a carry stay within a long.
+LCS_BITS = 62
+_FULL = (1 << LCS_BITS) - 1
+
+
+def with_lcs(df: DataFrame, pred: str, ref: str, out: str = "lcs") -> DataFrame:
+    """Adds the length of the longest common subsequence of two token arrays.
+
+    A column of the dynamic programme is a bit vector over the reference's
+    positions, kept in ``LCS_BITS`` bits a long; each predicted token updates it by
+    one addition with carries from word to word (Hyyrö 2004), so the work is
+    |pred| * |ref| / 62 steps and the row holds the places of the tokens that both
+    texts have: (shared distinct tokens) * |ref| / 62 longs."""
+    words = F.sequence(F.lit(0), F.greatest(F.expr(f"cast((size({ref}) + {LCS_BITS - 1}) div {LCS_BITS} as int)") - 1, F.lit(0)))
+    at = _bind(df, _shared=F.array_intersect(ref, pred), _words=words,
+               _places=F.array_sort(F.transform(ref, lambda t, i: F.struct(t.alias("t"), i.alias("i")))))
+    at = _bind(at, _in_order=F.col("_places.t"), _positions=F.col("_places.i"))
+    at = _bind(at, _reversed=F.reverse("_in_order"))
+
+    def mask(token: Column) -> Column:
+        first = F.array_position("_in_order", token)
+        last = F.size("_in_order") - F.array_position("_reversed", token) + 1
+        own = F.slice("_positions", first.cast("int"), (last - first + 1).cast("int"))
+        bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), p % LCS_BITS)
+        in_word = lambda w: F.aggregate(own, F.lit(0).cast("long"), lambda m, p: F.when(
+            F.floor(p / LCS_BITS) == w, m.bitwiseOR(bit(p))).otherwise(m))
+        return F.transform("_words", in_word)
+
+    at = _bind(at, _masks=F.map_from_arrays("_shared", F.transform("_shared", mask)))
+    full = F.lit(_FULL).cast("long")
+
+    def word(v: Column, m: Column):
+        def step(s: Column, w: Column) -> Column:
+            own, hit = F.get(v, w), F.get(m, w)
+            total = own + own.bitwiseAND(hit) + s["carry"]
+            left = total.bitwiseAND(full).bitwiseOR(own.bitwiseAND(F.bitwise_not(hit)))
+            return F.struct(F.concat(s["v"], F.array(left)).alias("v"), F.shiftright(total, LCS_BITS).alias("carry"))
+        return step
+
+    def token(v: Column, t: Column) -> Column:
+        start = F.struct(F.array().cast("array<bigint>").alias("v"), F.lit(0).cast("long").alias("carry"))
+        mask_of = F.try_element_at("_masks", t)
+        moved = F.transform(F.array(mask_of), lambda m: F.aggregate("_words", start, word(v, m), lambda s: s["v"]))
+        return F.when(mask_of.isNull(), v).otherwise(F.get(moved, F.lit(0)))
+
+    zeros = lambda v: F.aggregate(v, F.lit(0), lambda n, w: n + F.bit_count(F.bitwise_not(w).bitwiseAND(full)))
+    lcs = F.aggregate(pred, F.transform("_words", lambda w: full), token, zeros)
+    return _bind(at, **{out: lcs.cast("long")}).drop("_shared", "_words", "_places", "_in_order", "_positions", "_reversed", "_masks")
+
+
+def f_measure(overlap: Column, pred_total: Column, ref_total: Column) -> Column:
+    return harmonic(safe_div(overlap, pred_total), safe_div(overlap, ref_total))
+
+
+def _tokens(pairs: DataFrame, pred: str, ref: str, tokens) -> DataFrame:
+    return _bind(pairs, _pt=tokens(F.coalesce(F.col(pred), F.lit(""))), _rt=tokens(F.coalesce(F.col(ref), F.lit(""))))
+
+
+def with_rouge(pairs: DataFrame, pred: str, ref: str, orders=(1, 2), longest: bool = False, mode: str = "ascii") -> DataFrame:
+    """Adds ``rouge{n}`` for each order and, with ``longest``, ``lcs`` and ``rougeL``
+    (F-measures; a missing text counts as empty)."""
+    out = _tokens(pairs, pred, ref, lambda x: tx.rouge_tokens(x, mode))
+    counts = [f"{c}{n}" for n in orders for c in ("pred_total", "ref_total", "overlap")]
+    if orders:
+        out = with_overlaps(out, "_pt", "_rt", list(orders))
+        out = _bind(out, **{f"rouge{n}": f_measure(F.col(f"overlap{n}"), F.col(f"pred_total{n}"), F.col(f"ref_total{n}")) for n in orders})
+    if longest:
+        out = with_lcs(out, "_pt", "_rt")
+        out = _bind(out, rougeL=f_measure(F.col("lcs"), F.size("_pt"), F.size("_rt")))
+    return out.drop("_pt", "_rt", *counts)
+
+
+def with_bleu(pairs: DataFrame, pred: str, ref: str, max_order: int = 4) -> DataFrame:
+    """Adds ``bleu``: corpus BLEU of one (prediction, reference) pair, no smoothing:
+    geometric mean of clipped n-gram precisions (0 if any is 0) times the
+    brevity penalty exp(1 - r/c) when the prediction is not longer."""
+    orders = list(range(1, max_order + 1))
+    out = with_overlaps(_tokens(pairs, pred, ref, tx.bleu_tokens), "_pt", "_rt", orders)
+    precision = [safe_div(F.col(f"overlap{n}"), F.col(f"pred_total{n}")) for n in orders]
+    logs = sum((F.log(p) for p in precision[1:]), F.log(precision[0]))
+    geo = F.when(F.least(*precision) > 0, F.exp(logs / F.lit(float(max_order)))).otherwise(F.lit(0.0))
+    c, r = F.col("pred_total1"), F.col("ref_total1")
+    penalty = F.when(c == 0, F.lit(0.0)).when(c > r, F.lit(1.0)).otherwise(F.exp(1.0 - r.cast("double") / c.cast("double")))
+    counts = [f"{x}{n}" for n in orders for x in ("pred_total", "ref_total", "overlap")]
+    return _bind(out, bleu=geo * penalty).drop("_pt", "_rt", *counts)
 
 
 def rouge_n(pairs: DataFrame, key: str, pred: str, ref: str, orders=(1, 2), mode: str = "ascii") -> DataFrame:
     """ROUGE-n F-measure per pair, one column ``rouge{n}`` per order."""
-    # partitioned by pair once: the n-gram aggregations and the grid join
-    # below are then co-partitioned (only the texts move, not the n-grams)
-    toks = tx.by_key(pairs.select(key, pred, ref), key).select(
-        key, tx.rouge_tokens(F.col(pred), mode).alias("pt"), tx.rouge_tokens(F.col(ref), mode).alias("rt"))
-    ov = clipped_overlap(toks, key, "pt", "rt", list(orders))
-    p = safe_div(F.col("overlap"), F.col("pred_total"))
-    r = safe_div(F.col("overlap"), F.col("ref_total"))
-    scored = ov.select(key, "n", harmonic(p, r).alias("f"))
-    return scored.groupBy(key).pivot("n", list(orders)).agg(F.first("f")).select(
-        key, *[F.col(str(n)).alias(f"rouge{n}") for n in orders]
-    )
+    return with_rouge(pairs, pred, ref, orders, mode=mode).select(key, *[f"rouge{n}" for n in orders])
+
+
+def rouge_l(pairs: DataFrame, key: str, pred: str, ref: str, mode: str = "ascii") -> DataFrame:
+    """ROUGE-L F-measure per pair: P = lcs/|pred|, R = lcs/|ref| over whole texts."""
+    return with_rouge(pairs, pred, ref, (), longest=True, mode=mode).select(key, "lcs", "rougeL")
 
 
 def bleu(pairs: DataFrame, key: str, pred: str, ref: str, max_order: int = 4) -> DataFrame:
-    """Corpus BLEU of one (prediction, reference) pair per row, no smoothing:
-    geometric mean of clipped n-gram precisions (0 if any is 0) times the
-    brevity penalty exp(1 - r/c) when the prediction is not longer."""
-    orders = list(range(1, max_order + 1))
-    toks = tx.by_key(pairs.select(key, pred, ref), key).select(  # see rouge_n
-        key, tx.bleu_tokens(F.col(pred)).alias("pt"), tx.bleu_tokens(F.col(ref)).alias("rt"))
-    ov = clipped_overlap(toks, key, "pt", "rt", orders)
-    p = safe_div(F.col("overlap"), F.col("pred_total"))
-    per = ov.groupBy(key).agg(  # one pass: precisions and the unigram lengths
-        F.min(p).alias("pmin"),
-        F.sum(F.log(F.when(p > 0, p))).alias("logsum"),
-        F.max(F.when(F.col("n") == 1, F.col("pred_total"))).alias("c"),
-        F.max(F.when(F.col("n") == 1, F.col("ref_total"))).alias("r"),
-    )
-    geo = F.when(F.col("pmin") > 0, F.exp(F.col("logsum") / F.lit(float(max_order)))).otherwise(F.lit(0.0))
-    bp = F.when(F.col("c") == 0, F.lit(0.0)).when(F.col("c") > F.col("r"), F.lit(1.0)).otherwise(
-        F.exp(1.0 - F.col("r").cast("double") / F.col("c").cast("double"))
-    )
-    return per.select(key, (geo * bp).alias("bleu"))
+    return with_bleu(pairs, pred, ref, max_order).select(key, "bleu")
 
 
-def _lcs_len(a: list, b: list) -> int:
-    """Length of the longest common subsequence, bit-parallel (Hyyrö 2004):
-    O(len(a) * len(b) / wordsize) using Python's arbitrary-width integers."""
-    if not a or not b:
-        return 0
-    masks: dict = {}
-    for j, tok in enumerate(b):
-        masks[tok] = masks.get(tok, 0) | (1 << j)
-    full = (1 << len(b)) - 1
-    v = full
-    for tok in a:
-        u = v & masks.get(tok, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(b) - bin(v).count("1")
+GENERATION_METRICS = ["rouge1", "rouge2", "rougeL", "bleu", "semantic_similarity"]
 
 
-@F.pandas_udf(T.LongType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_lcs_len(list(x) if x is not None else [], list(y) if y is not None else []) for x, y in zip(a, b)])
+def generation_metrics(pairs: DataFrame, pred: str, ref: str, pred_vec: str | None = None, ref_vec: str | None = None) -> DataFrame:
+    """Adds every metric of a generated answer against its reference: ROUGE-1/2/L,
+    BLEU, the cosine of the stored vectors (null without both) and the answer's
+    length in words."""
+    out = with_bleu(with_rouge(pairs, pred, ref, (1, 2), longest=True), pred, ref)
+    similarity = vx.cosine(pred_vec, ref_vec) if pred_vec and ref_vec else F.lit(None).cast("double")
+    return _bind(out, semantic_similarity=similarity, answer_length=tx.word_count(F.coalesce(F.col(pred), F.lit("")))).drop("lcs")
 
 
-def rouge_l(pairs: DataFrame, key: str, pred: str, ref: str, mode: str = "ascii") -> DataFrame:
-    """ROUGE-L F-measure per pair: P = lcs/|pred|, R = lcs/|ref| over whole texts."""
-    toks = pairs.select(key, tx.rouge_tokens(F.col(pred), mode).alias("pt"), tx.rouge_tokens(F.col(ref), mode).alias("rt"))
-    with_lcs = toks.select(key, F.size("pt").alias("np"), F.size("rt").alias("nr"), lcs_length("pt", "rt").alias("lcs"))
-    p = safe_div(F.col("lcs"), F.col("np"))
-    r = safe_div(F.col("lcs"), F.col("nr"))
-    return with_lcs.select(key, "lcs", harmonic(p, r).alias("rougeL"))
+# --- one long metric table, rolled up once ---------------------------------------
+
+def metric_rows(df: DataFrame, keep: list[str], metrics: list[str]) -> DataFrame:
+    """(keep..., metric, value): one row for every metric that a row of ``df`` has."""
+    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return df.select(*keep, F.inline(each)).filter("value is not null")
+
+
+def rollup(rows: DataFrame, dimensions: list[str]) -> DataFrame:
+    """(group_type, group_value, metric, n, mean, std, min, max) of a long metric
+    table, overall and for each dimension alone, in one aggregation.  std is the
+    population's."""
+    sets = [["metric"], *[["metric", d] for d in dimensions]]
+    in_set = [F.grouping(d) == 0 for d in dimensions]
+    out = rows.groupingSets(sets, "metric", *dimensions).agg(
+        F.coalesce(*[F.when(c, F.lit(d)) for c, d in zip(in_set, dimensions)], F.lit("overall")).alias("group_type"),
+        F.coalesce(*[F.when(c, F.col(d).cast("string")) for c, d in zip(in_set, dimensions)]).alias("group_value"),
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    return out.select("group_type", "group_value", "metric", "n", "mean", "std", "min", "max")
+
+
+def means(rolled: DataFrame, metrics: list[str]) -> DataFrame:
+    """One row a group with ``mean_{metric}``; null where the group has no such metric."""
+    return rolled.groupBy("group_type", "group_value").agg(
+        *[F.max(F.when(F.col("metric") == m, F.col("mean"))).alias(f"mean_{m}") for m in metrics])
 
 
 def keyword_coverage(context_text: Column, answer_text: Column) -> tuple[Column, Column]:

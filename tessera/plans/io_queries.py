@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import evaluation as ev
 from tessera.plans import views
 from tessera.plans.registry import register
-from tessera.plans.retrieval_queries import GROUPED_SQL, grouped_eval
+from tessera.plans.retrieval_queries import METRIC_SQL, grouped_eval
 from tessera.sources import files, rdf
 from tessera.sources.collection import Collection, get_or_create
 from tessera.sources.tables import Tables
@@ -64,19 +65,18 @@ def snk_csv_report(spark, sf_dir):
     return back
 
 
-@register("snk_json_report", sql=f"WITH {GROUPED_SQL} SELECT group_type, group_value, n_cases, "
-          "round(mean_precision, 6) AS mean_precision, round(mean_recall, 6) AS mean_recall FROM gg")
+_REPORTED = ["precision", "recall", "f1_score", "mrr", "rouge1", "rouge2", "rougeL", "bleu", "semantic_similarity", "answer_length"]
+
+
+@register("snk_json_report", sql=f"WITH {METRIC_SQL} SELECT group_type, group_value, "
+          + ", ".join(f"round(mean_{m}, 6) AS mean_{m}" for m in _REPORTED) + " FROM gg")
 def snk_json_report(spark, sf_dir):
-    """Nested report (group + metrics struct) as JSON lines, read back with its schema."""
-    g = grouped_eval(spark, sf_dir)
-    nested = g.select("group_type", "group_value", F.struct(
-        "n_cases", F.round("mean_precision", 6).alias("mean_precision"),
-        F.round("mean_recall", 6).alias("mean_recall")).alias("metrics"))
+    """Nested report (group + struct of all means) as JSON lines, read back with its schema."""
+    g = ev.means(grouped_eval(spark, sf_dir), _REPORTED)
+    nested = g.select("group_type", "group_value", F.struct(*[F.round(f"mean_{m}", 6).alias(f"mean_{m}") for m in _REPORTED]).alias("metrics"))
     path = files.scratch_path(spark, "report-json")
     files.write_json_lines(nested, path)
-    schema = ("group_type string, group_value string, "
-              "metrics struct<n_cases: long, mean_precision: double, mean_recall: double>")
-    back = files.read_json_lines(spark, path, schema)
+    back = files.read_json_lines(spark, path, nested.schema)
     return back.select("group_type", "group_value", "metrics.*")
 
 

@@ -265,142 +265,216 @@ def agg_dataset_stats(spark, sf_dir):
     return g.select(stat.alias("stat"), F.col("lang").alias("category"), F.col("source").alias("difficulty"), "n")
 
 
-# --- grouped evaluation, overall score, advice -----------------------------------
+# --- evaluation of cases: retrieval and generated answers, one long metric table -------
 
-def grouped_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-case metrics computed once, rolled up overall / per category /
-    per difficulty with GROUPING SETS (the original re-runs everything per group)."""
-    t = Tables(spark, sf_dir)
-    cm = case_metrics(spark, sf_dir).withColumnRenamed("top_score", "semantic_similarity")  # best hit = top-1 score
-    cases = (
-        cm
-        .join(t.documents.select(F.col("doc_id").alias("qid"), F.col("lang").alias("category"),
-                                 F.col("source").alias("difficulty")), "qid", "left")
-    )
-    g = cases.groupingSets([[], ["category"], ["difficulty"]], "category", "difficulty").agg(
-        F.grouping_id("category", "difficulty").alias("gid"),
-        F.count(F.lit(1)).alias("n_cases"),
-        *[F.avg(m).alias(f"mean_{m}") for m in _METRICS + ["semantic_similarity"]],
+def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user turn and the assistant turn right after it (equi-join on
+    (conv_id, turn + 1); no window, so no conversation is gathered whole)."""
+    c = Tables(spark, sf_dir).conversations
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    return u.join(a, ["conv_id", "turn"]).withColumn(
+        "pair_id", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     )
-    gtype = F.when(F.col("gid") == 3, "overall").when(F.col("gid") == 1, "category").otherwise("difficulty")
-    gval = F.when(F.col("gid") == 1, F.col("category")).when(F.col("gid") == 2, F.col("difficulty"))
-    return g.select(gtype.alias("group_type"), gval.alias("group_value"), "n_cases",
-                    *[f"mean_{m}" for m in _METRICS + ["semantic_similarity"]])
 
 
-GROUPED_SQL = f"""{CASE_SQL},
-top1 AS (SELECT qid, score AS semantic_similarity FROM hits WHERE rank = 1),
-cases AS (SELECT cm.*, top1.semantic_similarity, d.lang AS category, d.source AS difficulty
-          FROM cm LEFT JOIN top1 ON top1.qid = cm.qid LEFT JOIN documents d ON d.doc_id = cm.qid),
-g AS (SELECT grouping(category, difficulty) AS gid, category, difficulty, count(*) AS n_cases,
-             avg(precision) AS mean_precision, avg(recall) AS mean_recall, avg(f1_score) AS mean_f1_score,
-             avg(mrr) AS mean_mrr, avg(semantic_similarity) AS mean_semantic_similarity
-      FROM cases GROUP BY GROUPING SETS ((), (category), (difficulty))),
-gg AS (SELECT CASE gid WHEN 3 THEN 'overall' WHEN 1 THEN 'category' ELSE 'difficulty' END AS group_type,
-              CASE gid WHEN 1 THEN category WHEN 2 THEN difficulty END AS group_value, * FROM g)"""
+PAIRS_SQL = """qa AS (
+  SELECT u.conv_id, u.turn, CAST(u.conv_id AS VARCHAR) || ':' || CAST(u.turn AS VARCHAR) AS pair_id,
+         u.text AS question, a.text AS answer
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant')"""
+
+
+GENERATION = [*ev.GENERATION_METRICS, "answer_length"]
 
 
-@register(
-    "agg_eval_by_group",
-    sql=f"WITH {GROUPED_SQL} SELECT group_type, group_value, n_cases, "
-    + ", ".join(f"round(mean_{m}, 6) AS mean_{m}" for m in _METRICS + ["semantic_similarity"])
-    + " FROM gg",
-)
+def generation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(case_id, turn, generation metrics) of every question/answer pair.  The
+    case is the conversation; the stored vector of the question is that of the
+    case, the answer's the one ``turn + 1`` places after it."""
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", F.col("embedding").alias("vec"))
+    pairs = qa_pairs(spark, sf_dir).select(F.col("conv_id").alias("case_id"), "turn", "question", "answer")
+    asked = e.select(F.col("vec_id").alias("case_id"), F.col("vec").alias("question_vec"))
+    told = e.select(F.col("vec_id").alias("_answer_id"), F.col("vec").alias("answer_vec"))
+    with_vectors = pairs.join(asked, "case_id", "left").join(told, F.col("case_id") + F.col("turn") + 1 == F.col("_answer_id"), "left")
+    return ev.generation_metrics(with_vectors, "answer", "question", "answer_vec", "question_vec").select("case_id", "turn", *GENERATION)
+
+
+def case_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category and difficulty of a case: language and source of its document."""
+    return Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("case_id"), F.col("lang").alias("category"), F.col("source").alias("difficulty"))
+
+
+def metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(case_id, turn, category, difficulty, metric, value): retrieval metrics of
+    every question, generation metrics of every answer (``turn`` says which)."""
+    found = case_metrics(spark, sf_dir).select(F.col("qid").alias("case_id"), F.lit(None).cast("long").alias("turn"), *_METRICS)
+    rows = ev.metric_rows(found, ["case_id", "turn"], _METRICS).unionByName(
+        ev.metric_rows(generation_cases(spark, sf_dir), ["case_id", "turn"], GENERATION))
+    return rows.join(case_groups(spark, sf_dir), "case_id", "left").select("case_id", "turn", "category", "difficulty", "metric", "value")
+
+
+def grouped_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.rollup(metric_table(spark, sf_dir), ["category", "difficulty"])
+
+
+def _metric_table_sql() -> str:
+    """CTEs ending in ``mt`` (the metric table) and ``ru`` (its rollup)."""
+    from tessera.plans.text_queries import bleu_sql, bleu_tok_sql, f_sql, lcs_sql, overlap_sql, rouge_l_sql, rouge_tok_sql
+
+    dot = "list_dot_product({0}, {1})".format
+    retrieval = " UNION ALL ".join(f"SELECT qid AS case_id, NULL::BIGINT AS turn, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM cm" for m in _METRICS)
+    generation = " UNION ALL ".join(f"SELECT case_id, turn, '{m}', CAST({m} AS DOUBLE) FROM gen" for m in GENERATION)
+    stats = "count(*) AS n, avg(value) AS mean, stddev_pop(value) AS std, min(value) AS min, max(value) AS max"
+    return f"""{CASE_SQL}, {PAIRS_SQL},
+{overlap_sql('qa', rouge_tok_sql('answer'), rouge_tok_sql('question'), [1, 2])}, {lcs_sql()},
+{overlap_sql('qa', bleu_tok_sql('answer'), bleu_tok_sql('question'), [1, 2, 3, 4], 'b')}, {bleu_sql('b')},
+rg AS (SELECT pair_id, max(CASE WHEN n = 1 THEN {f_sql()} END) AS rouge1, max(CASE WHEN n = 2 THEN {f_sql()} END) AS rouge2 FROM ov GROUP BY pair_id),
+ev AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+gen AS (
+  SELECT qa.conv_id AS case_id, qa.turn, rouge1, rouge2, {rouge_l_sql()} AS rougeL, bleu,
+         {dot('a.v', 'b.v')} / (sqrt({dot('a.v', 'a.v')}) * sqrt({dot('b.v', 'b.v')})) AS semantic_similarity,
+         len(list_filter(string_split_regex(answer, '[{SPACE}]+'), lambda w: w <> '')) AS answer_length
+  FROM qa JOIN rg USING (pair_id) JOIN lcs USING (pair_id) JOIN bl USING (pair_id)
+  LEFT JOIN ev b ON b.vec_id = qa.conv_id LEFT JOIN ev a ON a.vec_id = qa.conv_id + qa.turn + 1),
+mt AS (SELECT case_id, turn, d.lang AS category, d.source AS difficulty, metric, value
+       FROM ({retrieval} UNION ALL {generation}) m LEFT JOIN documents d ON d.doc_id = m.case_id WHERE value IS NOT NULL),
+ru AS (SELECT 'overall' AS group_type, NULL AS group_value, metric, {stats} FROM mt GROUP BY metric
+  UNION ALL SELECT 'category', category, metric, {stats} FROM mt GROUP BY metric, category
+  UNION ALL SELECT 'difficulty', difficulty, metric, {stats} FROM mt GROUP BY metric, difficulty),
+gg AS (SELECT group_type, group_value, """ + ", ".join(f"max(mean) FILTER (metric = '{m}') AS mean_{m}" for m in (*_METRICS, *GENERATION)) + """
+       FROM ru GROUP BY group_type, group_value)"""
+
+
+METRIC_SQL = _metric_table_sql()
+_STATS = ["mean", "std", "min", "max"]
+
+
+@register("agg_eval_by_group", sql=f"WITH {METRIC_SQL} SELECT group_type, group_value, metric, n, "
+          + ", ".join(f"round({c}, 6) AS {c}" for c in _STATS) + " FROM ru")
 def agg_eval_by_group(spark, sf_dir):
-    g = grouped_eval(spark, sf_dir)
-    return g.select("group_type", "group_value", "n_cases",
-                    *[F.round(f"mean_{m}", 6).alias(f"mean_{m}") for m in _METRICS + ["semantic_similarity"]])
+    """Every retrieval and generation metric overall, by category and by
+    difficulty: per-case metrics computed once, rolled up once."""
+    return grouped_eval(spark, sf_dir).select("group_type", "group_value", "metric", "n", *[F.round(c, 6).alias(c) for c in _STATS])
 
 
-@register(
-    "agg_overall_score",
-    sql=f"WITH {GROUPED_SQL} SELECT group_type, group_value, round(0.3 * coalesce(mean_precision, 0) + "
-    "0.2 * coalesce(mean_recall, 0) + 0.3 * coalesce(mean_semantic_similarity, 0) + 0.2 * 0.0, 6) AS overall_score FROM gg",
-)
+OVERALL_SQL = " + ".join(f"{w} * coalesce(mean_{m}, 0)" for m, w in ev.OVERALL_WEIGHTS.items())
+
+
+def overall(rolled: DataFrame) -> DataFrame:
+    """(group_type, group_value, overall_score) of a rollup."""
+    by_group = ev.means(rolled, list(ev.OVERALL_WEIGHTS))
+    return by_group.select("group_type", "group_value", ev.overall_score(*[F.col(f"mean_{m}") for m in ev.OVERALL_WEIGHTS]).alias("overall_score"))
+
+
+@register("agg_overall_score", sql=f"WITH {METRIC_SQL} SELECT group_type, group_value, round({OVERALL_SQL}, 6) AS overall_score FROM gg")
 def agg_overall_score(spark, sf_dir):
-    g = grouped_eval(spark, sf_dir)
-    score = ev.overall_score(F.col("mean_precision"), F.col("mean_recall"), F.col("mean_semantic_similarity"), F.lit(None))
-    return g.select("group_type", "group_value", F.round(score, 6).alias("overall_score"))
+    return overall(grouped_eval(spark, sf_dir)).withColumn("overall_score", F.round("overall_score", 6))
 
 
 def _advice_sql() -> str:
-    parts = []
-    for name, thr, text in ev.ADVICE:
-        col = "0.0" if name == "mean_rougeL" else f"coalesce({name}, 0.0)"
-        parts.append(f"CASE WHEN {col} < {thr} THEN '{text}' END")
+    parts = [f"CASE WHEN coalesce({name}, 0.0) < {level} THEN '{text}' END" for name, level, text in ev.ADVICE]
     arr = "list_filter([" + ", ".join(parts) + "], lambda x: x IS NOT NULL)"
-    return (f"WITH {GROUPED_SQL} SELECT group_type, group_value, CASE WHEN len({arr}) = 0 THEN '{ev.ADVICE_DEFAULT}' "
+    return (f"WITH {METRIC_SQL} SELECT group_type, group_value, CASE WHEN len({arr}) = 0 THEN '{ev.ADVICE_DEFAULT}' "
             f"ELSE array_to_string({arr}, chr(10)) END AS advice FROM gg")
 
 
-@register("val_threshold_advice", sql=_advice_sql())
-def val_threshold_advice(spark, sf_dir):
-    g = grouped_eval(spark, sf_dir)
-    z = F.lit(0.0)
-    metrics = {
-        "mean_precision": F.coalesce("mean_precision", z),
-        "mean_recall": F.coalesce("mean_recall", z),
-        "mean_semantic_similarity": F.coalesce("mean_semantic_similarity", z),
-        "mean_rougeL": z,  # no generated answers in the fixture: missing counts as 0
-    }
-    return g.select("group_type", "group_value", ev.advice(metrics).alias("advice"))
-
-
-# --- per-case report: retrieval row x generation row on an explicit case id -------
-
-def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user turn and the assistant turn right after it (equi-join on
-    (conv_id, turn + 1); no window, so no conversation is gathered whole)."""
-    c = Tables(spark, sf_dir).conversations
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
-    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    return u.join(a, ["conv_id", "turn"]).withColumn(
-        "pair_id", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    )
+def advise(rolled: DataFrame) -> DataFrame:
+    """(group_type, group_value, advice) of a rollup; a missing metric counts as 0."""
+    names = [name for name, _, _ in ev.ADVICE]
+    by_group = ev.means(rolled, [n.removeprefix("mean_") for n in names])
+    return by_group.select("group_type", "group_value", ev.advice({n: F.coalesce(F.col(n), F.lit(0.0)) for n in names}).alias("advice"))
 
 
-PAIRS_SQL = """qa AS (
-  SELECT u.conv_id, u.turn, CAST(u.conv_id AS VARCHAR) || ':' || CAST(u.turn AS VARCHAR) AS pair_id,
-         u.text AS question, a.text AS answer
-  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-  WHERE u.role = 'user' AND a.role = 'assistant')"""
+@register("val_threshold_advice", sql=_advice_sql())
+def val_threshold_advice(spark, sf_dir):
+    return advise(grouped_eval(spark, sf_dir))
 
 
 def _eval_report_sql() -> str:
-    from tessera.plans.text_queries import f_sql, overlap_sql, rouge_tok_sql
-
-    return f"""WITH {CASE_SQL}, {PAIRS_SQL},
-firstp AS (SELECT conv_id AS pair_id, arg_min(question, turn) AS question, arg_min(answer, turn) AS answer
-           FROM qa GROUP BY conv_id),
-{overlap_sql('firstp', rouge_tok_sql('answer'), rouge_tok_sql('question'), [1, 2])},
-rg AS (SELECT pair_id, max(CASE WHEN n = 1 THEN {f_sql()} END) AS rouge1,
-              max(CASE WHEN n = 2 THEN {f_sql()} END) AS rouge2 FROM ov GROUP BY pair_id)
-SELECT cm.qid AS case_id, round(cm.precision, 6) AS precision, round(cm.recall, 6) AS recall,
-       round(cm.f1_score, 6) AS f1_score, round(cm.mrr, 6) AS mrr,
-       round(rg.rouge1, 6) AS rouge1, round(rg.rouge2, 6) AS rouge2,
-       CAST(len(list_filter(string_split_regex(firstp.answer, '[{SPACE}]+'), lambda w: w <> '')) AS INTEGER) AS answer_length
-FROM cm LEFT JOIN firstp ON firstp.pair_id = cm.qid LEFT JOIN rg ON rg.pair_id = cm.qid"""
+    dims = ("category", "difficulty")
+    counts = " UNION ALL ".join(
+        f"SELECT 'statistics', '{g}', {v}, NULL, NULL, 'cases', CAST(count(DISTINCT case_id) AS DOUBLE) FROM mt" + (f" GROUP BY {v}" if g != "overall" else "")
+        for g, v in (("overall", "NULL"), *[(d, d) for d in dims]))
+    stats = " UNION ALL ".join(f"SELECT 'aggregate', group_type, group_value, NULL, NULL, '{c}_' || metric, {c} FROM ru" for c in _STATS)
+    return f"""WITH {METRIC_SQL},
+report(section, group_type, group_value, case_id, turn, metric, value) AS (
+  SELECT 'case', NULL, NULL, case_id, turn, metric, value FROM mt
+  UNION ALL {stats}
+  UNION ALL SELECT 'aggregate', group_type, group_value, NULL, NULL, 'overall_score', {OVERALL_SQL} FROM gg
+  UNION ALL {counts})
+SELECT section, group_type, group_value, case_id, turn, metric, round(value, 6) AS value FROM report"""
 
 
 @register("rag_eval_report", sql=_eval_report_sql())
 def rag_eval_report(spark, sf_dir):
-    """One row for every case: retrieval metrics of question ``case_id`` joined
-    on the explicit case id with generation metrics (ROUGE-1/2, answer length)
-    of the first question/answer pair of conversation ``case_id``; a case
-    without an answer keeps its row, with nulls there."""
-    from tessera.functions.text import word_count
-
-    cm = case_metrics(spark, sf_dir).withColumnRenamed("qid", "case_id")
-    first = qa_pairs(spark, sf_dir).groupBy(F.col("conv_id").alias("case_id")).agg(
-        F.min_by("question", "turn").alias("question"), F.min_by("answer", "turn").alias("answer"))
-    rouge = ev.rouge_n(first, "case_id", "answer", "question", (1, 2))
-    return cm.join(first, "case_id", "left").join(rouge, "case_id", "left").select(
-        "case_id", *[F.round(c, 6).alias(c) for c in _METRICS],
-        F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"),
-        word_count(F.col("answer")).alias("answer_length"))
-
-
-@register("join_knn_lsh")  # approximate by design: rows-only check, recall against the exact join in tests
+    """The whole report as one long table: the metrics of every case (of each of
+    its answers), their aggregates and the overall score of every group, and the
+    numbers of cases."""
+    from tessera.sources.files import stored
+
+    rows = stored(metric_table(spark, sf_dir), "eval-metrics")  # read by the three sections
+    rolled = ev.rollup(rows, ["category", "difficulty"])
+    none = F.lit(None)
+    cases = rows.select(F.lit("case").alias("section"), none.cast("string").alias("group_type"), none.cast("string").alias("group_value"),
+                        "case_id", "turn", "metric", "value")
+    group = [F.lit("aggregate").alias("section"), "group_type", "group_value", none.cast("long").alias("case_id"), none.cast("long").alias("turn")]
+    entries = F.array(*[F.struct(F.concat(F.lit(f"{c}_"), F.col("metric")).alias("metric"), F.col(c).alias("value")) for c in _STATS])
+    aggregates = rolled.select(*group, F.inline(entries))
+    scores = overall(rolled).select(*group, F.lit("overall_score").alias("metric"), F.col("overall_score").alias("value"))
+    of_case = ev.metric_rows(rows.select("case_id", "category", "difficulty").distinct().withColumn("cases", F.lit(1)),
+                             ["category", "difficulty"], ["cases"])
+    counts = ev.rollup(of_case, ["category", "difficulty"]).select(
+        F.lit("statistics").alias("section"), *group[1:], "metric", F.col("n").cast("double").alias("value"))
+    report = cases.unionByName(aggregates).unionByName(scores).unionByName(counts)
+    return report.withColumn("value", F.round("value", 6))
+
+
+def _approximate_sql(k: int) -> str:
+    """The fitted limits and the candidates, integer for integer, then the exact ranking."""
+    from tessera.operators import knn as m
+
+    x = f"(j * dim + i - 1 + {42 * 7919 + 1}) % {m.PRIME}"
+    for _ in range(3):
+        y = f"(({x}) * {m.FACTOR} + 12345) % {m.PRIME}"
+        x = f"xor({y}, ({y}) >> 13)"
+    step, bits = m.PLANE_STEP, 16 * -(-m.SKETCH_BITS // 16)
+    cosine = "round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 12)"
+    return f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, len(embedding) AS dim FROM embeddings WHERE len(embedding) > 0),
+u AS (SELECT *, list_transform(v, lambda x: CASE WHEN n = 0 THEN 0 ELSE floor(x / n * {m.UNIT} + 0.5) END) AS u,
+        row_number() OVER (ORDER BY (vec_id % {m.PRIME}) * {m.FACTOR} % {m.PRIME}, vec_id) AS no
+      FROM (SELECT *, sqrt(list_dot_product(v, v)) AS n FROM e)),
+size AS (SELECT max(dim) AS dim, greatest(1, CAST(floor(sqrt(count(*))) AS BIGINT)) AS centres FROM u),
+comp AS (SELECT vec_id, no, generate_subscripts(u, 1) AS i, CAST(unnest(u) AS BIGINT) AS x FROM u),
+middle AS (SELECT i, CAST(floor(avg(x) + 0.5) AS BIGINT) AS mid FROM comp, size WHERE no <= greatest(centres, {m.SAMPLE_QUERIES}) GROUP BY i),
+planes AS (SELECT j, i, x % {step} + (x // {step}) % {step} - {step - 1} AS w FROM (
+  SELECT j, i, {x} AS x FROM size, (SELECT unnest(range(0, {bits})) AS j), LATERAL (SELECT unnest(range(1, dim + 1)) AS i))),
+sides AS (SELECT vec_id, j, sum((x - mid) * w) > 0 AS side FROM comp JOIN middle USING (i) JOIN planes USING (i) GROUP BY vec_id, j),
+words AS (SELECT vec_id, j // 62 AS place, CAST(sum(CASE WHEN side THEN 1::BIGINT << (j % 62) ELSE 0 END) AS BIGINT) AS word FROM sides GROUP BY ALL),
+sketch AS (SELECT vec_id, list(word ORDER BY place) AS words FROM words GROUP BY vec_id),
+prod AS (SELECT a.vec_id, c.no AS cell, list_dot_product(a.u, c.u) AS p FROM u a, u c, size WHERE c.no <= centres),
+best AS (SELECT vec_id, cell, p FROM prod QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, cell) = 1),
+true_pairs AS (
+  SELECT a.vec_id AS qid, b.vec_id AS id FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE a.no <= {m.SAMPLE_QUERIES}
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY {cosine} DESC, b.vec_id) <= {k}),
+apart AS (
+  SELECT a.vec_id AS qid, b.vec_id AS id,
+    list_sum(list_transform(range(1, len(a.words) + 1), lambda i: bit_count(xor(a.words[i], b.words[i])))) AS bits,
+    top.p - prod.p AS border
+  FROM sketch a JOIN sketch b ON a.vec_id <> b.vec_id JOIN best own ON own.vec_id = b.vec_id
+  JOIN best top ON top.vec_id = a.vec_id JOIN prod ON prod.vec_id = a.vec_id AND prod.cell = own.cell),
+ranked AS (
+  SELECT row_number() OVER (ORDER BY bits) AS bits_no, bits, row_number() OVER (ORDER BY border) AS border_no, border, count(*) OVER () AS n
+  FROM true_pairs JOIN apart USING (qid, id)),
+limits AS (SELECT max(bits) FILTER (bits_no = ({m.LSH_KEEP} * n + 99) // 100) AS most_bits,
+                  max(border) FILTER (border_no = ({m.LSH_KEEP} * n + 99) // 100) AS most_border FROM ranked)
+SELECT qid, id AS vec_id, round({cosine}, 6) AS score,
+  CAST(row_number() OVER (PARTITION BY qid ORDER BY {cosine} DESC, id) AS INTEGER) AS rank
+FROM apart, limits, u a, u b WHERE a.vec_id = qid AND b.vec_id = id AND bits <= most_bits AND border <= most_border
+QUALIFY rank <= {k}"""
+
+
+@register("join_knn_lsh", sql=_approximate_sql(5))
 def join_knn_lsh(spark, sf_dir):
     from tessera.operators.knn import knn_lsh
 

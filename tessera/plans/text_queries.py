@@ -39,19 +39,48 @@ def keywords_sql(x: str) -> str:
             f"lambda w: length(w) > 3 AND NOT list_contains({STOP_SQL}, w))))[1:10]")
 
 
-def overlap_sql(src: str, pred: str, ref: str, orders: list[int]) -> str:
-    """CTEs ending in ``ov(pair_id, n, pred_total, ref_total, overlap)``."""
+def overlap_sql(src: str, pred: str, ref: str, orders: list[int], tag: str = "") -> str:
+    """CTEs ending in ``ov(pair_id, n, pred_total, ref_total, overlap)``, names with ``tag``."""
     o = ", ".join(str(n) for n in orders)
     gram = "unnest(list_transform(range(1, len({t}) - n + 2), lambda i: array_to_string({t}[i:i + n - 1], ' ')))"
-    return f"""tk AS (SELECT pair_id, {pred} AS pt, {ref} AS rt FROM {src}),
-ord AS (SELECT unnest([{o}]) AS n),
-gp AS (SELECT pair_id, n, {gram.format(t='pt')} AS gram FROM tk, ord),
-gr AS (SELECT pair_id, n, {gram.format(t='rt')} AS gram FROM tk, ord),
-cp AS (SELECT pair_id, n, gram, count(*) AS c FROM gp GROUP BY ALL),
-cr AS (SELECT pair_id, n, gram, count(*) AS c FROM gr GROUP BY ALL),
-ovl AS (SELECT cp.pair_id, cp.n, sum(least(cp.c, cr.c)) AS overlap FROM cp JOIN cr USING (pair_id, n, gram) GROUP BY ALL),
-tot AS (SELECT pair_id, n, greatest(len(pt) - n + 1, 0) AS pred_total, greatest(len(rt) - n + 1, 0) AS ref_total FROM tk, ord),
-ov AS (SELECT tot.*, coalesce(ovl.overlap, 0) AS overlap FROM tot LEFT JOIN ovl USING (pair_id, n))"""
+    return f"""tk{tag} AS (SELECT pair_id, {pred} AS pt, {ref} AS rt FROM {src}),
+ord{tag} AS (SELECT unnest([{o}]) AS n),
+gp{tag} AS (SELECT pair_id, n, {gram.format(t='pt')} AS gram FROM tk{tag}, ord{tag}),
+gr{tag} AS (SELECT pair_id, n, {gram.format(t='rt')} AS gram FROM tk{tag}, ord{tag}),
+cp{tag} AS (SELECT pair_id, n, gram, count(*) AS c FROM gp{tag} GROUP BY ALL),
+cr{tag} AS (SELECT pair_id, n, gram, count(*) AS c FROM gr{tag} GROUP BY ALL),
+ovl{tag} AS (SELECT pair_id, n, sum(least(cp{tag}.c, cr{tag}.c)) AS overlap FROM cp{tag} JOIN cr{tag} USING (pair_id, n, gram) GROUP BY ALL),
+tot{tag} AS (SELECT pair_id, n, greatest(len(pt) - n + 1, 0) AS pred_total, greatest(len(rt) - n + 1, 0) AS ref_total FROM tk{tag}, ord{tag}),
+ov{tag} AS (SELECT tot{tag}.*, coalesce(ovl{tag}.overlap, 0) AS overlap FROM tot{tag} LEFT JOIN ovl{tag} USING (pair_id, n))"""
+
+
+def lcs_sql(tokens: str = "tk") -> str:
+    """CTEs ending in ``lcs(pair_id, lcs, n_pred, n_ref)``: the dynamic programme
+    of the longest common subsequence, one predicted token a step.  A cell is the
+    largest up to its place of what the token gives there or leaves."""
+    return f"""dp AS (
+  WITH RECURSIVE steps AS (
+    SELECT pair_id, pt, rt, 0 AS i, list_transform(rt, lambda x: 0) AS cells FROM {tokens}
+    UNION ALL
+    SELECT pair_id, pt, rt, i + 1, list_transform(range(1, len(rt) + 1), lambda j: list_max(own[1:j])) FROM (
+      SELECT *, list_transform(range(1, len(rt) + 1), lambda j:
+                  CASE WHEN rt[j] = pt[i + 1] THEN coalesce(cells[j - 1], 0) + 1 ELSE cells[j] END) AS own
+      FROM steps WHERE i < len(pt)))
+  SELECT * FROM steps),
+lcs AS (SELECT pair_id, CAST(coalesce(cells[len(rt)], 0) AS BIGINT) AS lcs, len(pt) AS n_pred, len(rt) AS n_ref FROM dp WHERE i = len(pt))"""
+
+
+def bleu_sql(tag: str = "") -> str:
+    """CTEs ending in ``bl(pair_id, bleu)`` over those of ``overlap_sql``."""
+    return f"""prec AS (SELECT pair_id, n, CASE WHEN pred_total = 0 THEN 0.0 ELSE overlap / pred_total END AS p FROM ov{tag}),
+geo AS (SELECT pair_id, CASE WHEN min(p) > 0 THEN exp(sum(ln(p)) / 4.0) ELSE 0.0 END AS geo FROM prec GROUP BY pair_id),
+bl AS (SELECT pair_id, coalesce(geo, 0.0) * CASE WHEN len(pt) = 0 THEN 0.0 WHEN len(pt) > len(rt) THEN 1.0 ELSE exp(1 - len(rt) / len(pt)) END AS bleu
+       FROM tk{tag} LEFT JOIN geo USING (pair_id))"""
+
+
+def rouge_l_sql() -> str:
+    p, r = "CASE WHEN n_pred = 0 THEN 0.0 ELSE lcs / n_pred END", "CASE WHEN n_ref = 0 THEN 0.0 ELSE lcs / n_ref END"
+    return f"CASE WHEN lcs = 0 THEN 0.0 ELSE 2 * ({p}) * ({r}) / (({p}) + ({r})) END"
 
 
 def f_sql(ov: str = "ov") -> str:
@@ -74,7 +103,11 @@ def txt_rouge_n(spark, sf_dir):
     return r.select("pair_id", F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"))
 
 
-@register("txt_rouge_l")  # quadratic LCS: checked against a brute-force DP in tests
+@register(
+    "txt_rouge_l",
+    sql=f"""WITH {PAIRS_SQL}, tk AS (SELECT pair_id, {rouge_tok_sql('answer')} AS pt, {rouge_tok_sql('question')} AS rt FROM qa), {lcs_sql()}
+SELECT pair_id, lcs, round({rouge_l_sql()}, 6) AS rougeL FROM lcs""",
+)
 def txt_rouge_l(spark, sf_dir):
     r = ev.rouge_l(qa_pairs(spark, sf_dir), "pair_id", "answer", "question")
     return r.select("pair_id", "lcs", F.round("rougeL", 6).alias("rougeL"))
@@ -82,13 +115,8 @@ def txt_rouge_l(spark, sf_dir):
 
 @register(
     "txt_bleu",
-    sql=f"""WITH {PAIRS_SQL}, {overlap_sql('qa', bleu_tok_sql('answer'), bleu_tok_sql('question'), [1, 2, 3, 4])},
-prec AS (SELECT pair_id, n, CASE WHEN pred_total = 0 THEN 0.0 ELSE overlap / pred_total END AS p FROM ov),
-geo AS (SELECT pair_id, CASE WHEN min(p) > 0 THEN exp(sum(ln(p)) / 4.0) ELSE 0.0 END AS geo FROM prec GROUP BY pair_id),
-lens AS (SELECT pair_id, len(pt) AS c, len(rt) AS r FROM tk)
-SELECT lens.pair_id, round(coalesce(geo.geo, 0.0) *
-       CASE WHEN c = 0 THEN 0.0 WHEN c > r THEN 1.0 ELSE exp(1 - r / c) END, 6) AS bleu
-FROM lens LEFT JOIN geo USING (pair_id)""",
+    sql=f"""WITH {PAIRS_SQL}, {overlap_sql('qa', bleu_tok_sql('answer'), bleu_tok_sql('question'), [1, 2, 3, 4])}, {bleu_sql()}
+SELECT pair_id, round(bleu, 6) AS bleu FROM bl""",
 )
 def txt_bleu(spark, sf_dir):
     b = ev.bleu(qa_pairs(spark, sf_dir), "pair_id", "answer", "question")

@@ -19,6 +19,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-io/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back:
+    several readers do the work once, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, index: str | None = None, order: list[str] | None = None) -> None:
     """CSV with a header row.  ``index`` adds an explicit row-number column
     (pandas' index) computed from ``order`` — a global ordering, so only for
