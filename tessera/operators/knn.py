@@ -1,58 +1,57 @@
-"""Exact k-nearest-neighbour join between a query frame and a vector collection.
-
-A query batch whose size is checked to be small (``BROADCAST_QUERY_BYTES``)
-is broadcast and the collection is scored in place by ``mapInArrow`` (the
-collection is never shuffled).  Otherwise the physical shape is (no cross
-join, nothing through the driver):
-
-* each query row is given a query block ``qb`` and copied once per collection
-  block; each collection row is given a collection block ``cb`` and copied once
-  per query block;
-* ``cogroup`` on ``(qb, cb)`` brings one query block and one collection block
-  together; an Arrow function scores them with one matrix product per chunk
-  and keeps only the per-query top-k (ties broken by id), so at most
-  ``k`` rows per query leave each group;
-* a ``row_number`` window per query merges the partial top-k lists (Spark
-  inserts a partial ``WindowGroupLimit`` before the shuffle).
-
-Block counts come from the row counts, so each group holds a bounded number
-of vectors whatever the table size; a hot metadata value cannot create a
-large group because blocks are assigned by id hash, not by metadata.
-
-``knn_self`` is the same idea when the queries are the collection: both
-metrics are symmetric, so each unordered block pair is scored once and one
-chunked matrix gives the top-k in both directions.  ``knn_lsh`` restricts
-candidates to shared random-hyperplane buckets and scores them with the same
-group function (approximate by design).
+"""Exact and approximate k-nearest-neighbour joins between a query frame and a
+vector collection.
+
+*Exact* (``knn``, ``knn_self``).  A query batch whose size is checked to be small
+(``BROADCAST_QUERY_BYTES``) is broadcast and the collection is scored in place
+by ``mapInArrow``: it is never shuffled, and at most k rows a query leave a
+task.  Larger batches meet the collection in *pivot cells*:
+
+* pivots are a bounded sample of the collection; every vector goes to the cell of
+  its nearest pivot, once;
+* a query is scored in its own cell first; the k-th best score there bounds
+  how far its neighbours can be;
+* a cell can be passed over when no vector in it can be as near as that bound:
+  by the triangle inequality with the cell's smallest and largest distance to its
+  pivot, or by the plane half-way between the two pivots.  A query is copied
+  to the remaining cells only; the collection is not copied (only a cell that
+  very many queries want is dealt to several tasks).
+
+*Approximate* (``knn_lsh``).  Same cells, but the routing and a filter are fitted
+on a sample: from the exact neighbours of ``SAMPLE_QUERIES`` queries come the
+distance to a cell's border within which neighbours lie, and the Hamming distance
+of bit sketches (signs on planes through the collection's mean direction) within
+which they lie.  Only pairs inside both are scored.  Planes, centres and sketches
+are integers, so every engine computes the same candidates.
+
+The cosine of a zero vector is 0 with everything.  Rows without a vector take no
+part.  Scores are ranked after rounding to ``RANK_DECIMALS``, equal ones by id.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows of one query block / one collection block inside a cogroup group, and
-# collection rows scored per matrix product.  A 2048 x 2048 float64 score
-# chunk is 32 MiB.  Blocks are also capped by memory: a collection block
-# holds at most COLLECTION_BLOCK_BYTES of float64 vectors (65 536 rows at
-# 64 dimensions, 2 730 rows at 1 536).
-QUERY_BLOCK_ROWS = 2048
-COLLECTION_BLOCK_ROWS = 65536
-COLLECTION_BLOCK_BYTES = 32 << 20
-QUERY_BLOCK_BYTES = 16 << 20
+from tessera.sources.files import stored
+
+# Rows scored per matrix product: a 2048 x 2048 float64 score chunk is 32 MiB.
 CHUNK_ROWS = 2048
 # A query batch at most this large (count x dim x 8 bytes, checked before
 # anything is collected) is broadcast and the collection is scored where it
-# lies, without being shuffled; larger batches take the cogroup path.
+# lies, without being shuffled; larger batches take the pivot cells.
 BROADCAST_QUERY_BYTES = 64 << 20
-LSH_BUCKET = 64  # vectors of a hash bucket that ``knn_lsh`` aims at
+# Vectors a cell aims at, most vectors and most bytes of a block of a cell, queries
+# of a cell that one task scores, most bytes of all pivots (they are broadcast).
+CELL_ROWS = 2048
+BLOCK_ROWS, BLOCK_BYTES = 4096, 32 << 20
+QUERY_ROWS = 65_536
+PIVOT_BYTES = 64 << 20
 # Scores are ranked after rounding to this many decimals, so that
 # mathematically equal scores (duplicate or collinear vectors) tie exactly
 # and fall back to the id order instead of to floating-point noise.
@@ -89,164 +88,25 @@ def _topk_sparse(rows: np.ndarray, scores: np.ndarray, codes: np.ndarray, k: int
     return order[keep], rows[keep]
 
 
-def _score_group_fn(qid: str, cid: str, qvec: str, cvec: str, k: int, metric: str, exclude_self: bool,
-                    out_schema: pa.Schema):
-    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return out_schema.empty_table()
-        q = _matrix(left, qvec)
-        q_ids = _ids(left, qid)
-        if metric == "cosine":
-            qn = np.linalg.norm(q, axis=1, keepdims=True)
-            q = np.divide(q, qn, out=np.zeros_like(q), where=qn > 0)
-        else:
-            q_sq = np.einsum("ij,ij->i", q, q)
-        c_all = _matrix(right, cvec)
-        c_ids_all = _ids(right, cid)
-        c_codes_all = _order_codes(c_ids_all)
-        cand_rows, cand_scores, cand_cols = [], [], []
-        for start in range(0, right.num_rows, CHUNK_ROWS):
-            c = c_all[start:start + CHUNK_ROWS]
-            if metric == "cosine":
-                cn = np.linalg.norm(c, axis=1, keepdims=True)
-                c = np.divide(c, cn, out=np.zeros_like(c), where=cn > 0)
-                s = q @ c.T
-            else:  # negative squared L2, so that larger is better everywhere
-                s = -(q_sq[:, None] - 2.0 * (q @ c.T) + np.einsum("ij,ij->i", c, c)[None, :])
-            s = np.round(s, RANK_DECIMALS)
-            if exclude_self:
-                s[q_ids[:, None] == c_ids_all[None, start:start + CHUNK_ROWS]] = -np.inf
-            m = s.shape[1]
-            if m > k:
-                thr = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-                mask = s >= thr[:, None]
-            else:
-                mask = np.ones_like(s, dtype=bool)
-            mask &= np.isfinite(s)
-            r, cc = np.nonzero(mask)
-            cand_rows.append(r)
-            cand_scores.append(s[r, cc])
-            cand_cols.append(cc + start)
-        rows = np.concatenate(cand_rows)
-        scores = np.concatenate(cand_scores)
-        cols = np.concatenate(cand_cols)
-        sel, sel_rows = _topk_sparse(rows, scores, c_codes_all[cols], k)
-        out_scores = scores[sel]
-        if metric != "cosine":
-            out_scores = -out_scores
-        return pa.table(
-            {
-                "qid": pa.array(q_ids[sel_rows], type=out_schema.field("qid").type),
-                "id": pa.array(c_ids_all[cols[sel]], type=out_schema.field("id").type),
-                "score": pa.array(out_scores, type=pa.float64()),
-            },
-            schema=out_schema,
-        )
-
-    return fn
-
-
-SELF_BLOCK_ROWS = 4096
-
-
-def _self_group_fn(k: int, metric: str, out_schema: pa.Schema, chunk_rows: int = CHUNK_ROWS):
-    """Symmetric self-join group (i, j): side 0 = rows of block i, side 1 =
-    rows of block j (absent on the diagonal).  Each score chunk serves both
-    directions: its rows feed the running top-k of block-i queries among
-    block-j vectors, its columns (complete over block i) give the top-k of
-    those block-j queries directly.  Memory: one |block| x CHUNK_ROWS chunk."""
-    def prep(tbl: pa.Table):
-        x = _matrix(tbl, "vec")
-        if metric == "cosine":
-            n = np.linalg.norm(x, axis=1, keepdims=True)
-            x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
-        return x, _ids(tbl, "id")
-
-    def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        if metric == "cosine":
-            sc = a @ b.T
-        else:
-            sc = -(np.einsum("ij,ij->i", a, a)[:, None] - 2.0 * (a @ b.T) + np.einsum("ij,ij->i", b, b)[None, :])
-        return np.round(sc, RANK_DECIMALS)
-
-    def candidates(sc: np.ndarray):
-        m = sc.shape[1]
-        if m > k:
-            thr = -np.partition(-sc, k - 1, axis=1)[:, k - 1]
-            mask = sc >= thr[:, None]
-        else:
-            mask = np.ones_like(sc, dtype=bool)
-        mask &= np.isfinite(sc)
-        return np.nonzero(mask)
-
-    def fn(key: tuple[pa.Scalar, ...], tbl: pa.Table) -> pa.Table:
-        side = tbl.column("side").to_numpy()
-        a, a_ids = prep(tbl.filter(pa.array(side == 0)))
-        b_tbl = tbl.filter(pa.array(side == 1))
-        diagonal = key[0].as_py() == key[1].as_py()
-        if not len(a_ids) or not (diagonal or b_tbl.num_rows):
-            return out_schema.empty_table()  # a block without rows
-        b, b_ids = (a, a_ids) if diagonal else prep(b_tbl)
-        b_codes = _order_codes(b_ids)
-        a_codes = _order_codes(a_ids)
-        rq, rc, rs = [], [], []          # row direction candidates: (a row, b col, score)
-        out_q, out_c, out_s = [], [], []  # finished column-direction results
-        for start in range(0, len(b_ids), chunk_rows):
-            sc = scores(a, b[start:start + chunk_rows])
-            if diagonal:  # equal ids share a block, so self pairs only occur here
-                sc[a_ids[:, None] == b_ids[None, start:start + chunk_rows]] = -np.inf
-            r, cc = candidates(sc)
-            rq.append(r); rc.append(cc + start); rs.append(sc[r, cc])
-            if not diagonal:  # columns of this chunk are complete over block i
-                t = np.ascontiguousarray(sc.T)
-                r2, c2 = candidates(t)
-                sel, sel_rows = _topk_sparse(r2, t[r2, c2], a_codes[c2], k)
-                out_q.append(b_ids[start + sel_rows]); out_c.append(a_ids[c2[sel]]); out_s.append(t[r2, c2][sel])
-        rows, cols, sv = np.concatenate(rq), np.concatenate(rc), np.concatenate(rs)
-        sel, sel_rows = _topk_sparse(rows, sv, b_codes[cols], k)
-        out_q.append(a_ids[sel_rows]); out_c.append(b_ids[cols[sel]]); out_s.append(sv[sel])
-        q, c, v = np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_s)
-        if metric != "cosine":
-            v = -v
-        return pa.table({"qid": pa.array(q, type=out_schema.field("qid").type),
-                         "id": pa.array(c, type=out_schema.field("id").type),
-                         "score": pa.array(v, type=pa.float64())}, schema=out_schema)
+def _unit(x: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
 
-    return fn
 
+def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of which the larger are better: cosine of unit vectors, or the
+    negative squared distance."""
+    s = q @ c.T
+    if metric != "cosine":
+        s = -(np.einsum("ij,ij->i", q, q)[:, None] - 2.0 * s + np.einsum("ij,ij->i", c, c)[None, :])
+    return np.round(s, RANK_DECIMALS)
 
-def knn_self(vectors: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "embedding",
-             metric: str = "cosine", blocks: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Exact top-k of every vector among all the others (self excluded):
-    ``(qid, id, score, rank)``.
 
-    Both metrics are symmetric, so each unordered block pair {i, j} is scored
-    once: a row of block b is copied to the groups (min(b, j), max(b, j)) for
-    every block j, i.e. ``blocks`` copies per row and blocks*(blocks+1)/2
-    groups -- half the matrix products and half the shuffle of the
-    query-vs-collection form."""
-    if metric not in ("cosine", "l2"):
-        raise ValueError(metric)
-    v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).filter(F.size("vec") > 0)
-    if blocks is None:
-        _, rows = block_rows(v, "vec")
-        n = v.count()
-        # bounded blocks; a few of them also for small tables, so that more than one task works
-        blocks = max(1, math.ceil(n / min(SELF_BLOCK_ROWS, rows)), min(4, n // 128))
-    b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    j = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rep = v.withColumn("b", b).withColumn("j", j)
-    rep = rep.select("id", "vec", F.least("b", "j").alias("g1"), F.greatest("b", "j").alias("g2"),
-                     F.when((F.col("b") == F.col("j")) | (F.col("b") == F.least("b", "j")), F.lit(0))
-                     .otherwise(F.lit(1)).alias("side"))
-    id_type = v.schema["id"].dataType
-    out_arrow = pa.schema([("qid", _arrow_type(id_type)), ("id", _arrow_type(id_type)), ("score", pa.float64())])
-    out_spark = T.StructType([T.StructField("qid", id_type), T.StructField("id", id_type),
-                              T.StructField("score", T.DoubleType())])
-    partial = rep.groupBy("g1", "g2").applyInArrow(_self_group_fn(k, metric, out_arrow, chunk_rows), out_spark)
-    order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
-    w = Window.partitionBy("qid").orderBy(order, F.col("id").asc())
-    return partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("qid", "id", "score", "rank")
+def _best(s: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the finite scores that reach their row's k-th best."""
+    if s.shape[1] > k:
+        return (s >= -np.partition(-s, k - 1, axis=1)[:, k - 1][:, None]) & np.isfinite(s)
+    return np.isfinite(s)
 
 
 def _arrow_type(dt: T.DataType) -> pa.DataType:
@@ -265,10 +125,8 @@ def _knn_broadcast(q: DataFrame, c: DataFrame, k: int, metric: str, exclude_self
     (ties by id), emitting at most k rows per query per task."""
     qpdf = q.toPandas()  # bounded by the caller's size check
     q_ids = qpdf["qid"].to_numpy()
-    qm = np.vstack(qpdf["qvec"].to_numpy()).astype(np.float64) if len(qpdf) else np.zeros((0, 1))
-    if metric == "cosine":
-        n = np.linalg.norm(qm, axis=1, keepdims=True)
-        qm = np.divide(qm, n, out=np.zeros_like(qm), where=n > 0)
+    qm = np.vstack(qpdf["vec"].to_numpy()).astype(np.float64) if len(qpdf) else np.zeros((0, 1))
+    qm = _unit(qm) if metric == "cosine" else qm
     bc = q.sparkSession.sparkContext.broadcast((q_ids, qm))
     id_type = c.schema["id"].dataType
     out_arrow = pa.schema([("qid", _arrow_type(q.schema["qid"].dataType)), ("id", _arrow_type(id_type)),
@@ -284,35 +142,22 @@ def _knn_broadcast(q: DataFrame, c: DataFrame, k: int, metric: str, exclude_self
         qids, qmat = bc.value
         if len(qids) == 0:
             return
-        q_sq = np.einsum("ij,ij->i", qmat, qmat)
         acc_r, acc_i, acc_s = [np.zeros(0, np.int64)], [], [np.zeros(0)]
         acc_n = 0
         for rb in batches:
             tbl = pa.Table.from_batches([rb])
             if tbl.num_rows == 0:
                 continue
-            cm_all, c_ids_all = _matrix(tbl, "cvec"), _ids(tbl, "id")
+            cm_all, c_ids_all = _matrix(tbl, "vec"), _ids(tbl, "id")
             for start in range(0, tbl.num_rows, CHUNK_ROWS):
                 cm, c_ids = cm_all[start:start + CHUNK_ROWS], c_ids_all[start:start + CHUNK_ROWS]
-                if metric == "cosine":
-                    n = np.linalg.norm(cm, axis=1, keepdims=True)
-                    cm = np.divide(cm, n, out=np.zeros_like(cm), where=n > 0)
+                cm = _unit(cm) if metric == "cosine" else cm
                 for at in range(0, len(qids), CHUNK_ROWS):  # chunks of queries too: scores stay within CHUNK_ROWS^2
                     some = slice(at, at + CHUNK_ROWS)
-                    sc = qmat[some] @ cm.T
-                    if metric != "cosine":
-                        sc = -(q_sq[some, None] - 2.0 * sc + np.einsum("ij,ij->i", cm, cm)[None, :])
-                    sc = np.round(sc, RANK_DECIMALS)
+                    sc = _scores(qmat[some], cm, metric)
                     if exclude_self:
                         sc[qids[some, None] == c_ids[None, :]] = -np.inf
-                    m = sc.shape[1]
-                    if m > k:
-                        thr = -np.partition(-sc, k - 1, axis=1)[:, k - 1]
-                        mask = sc >= thr[:, None]
-                    else:
-                        mask = np.ones_like(sc, dtype=bool)
-                    mask &= np.isfinite(sc)
-                    r, cc = np.nonzero(mask)
+                    r, cc = np.nonzero(_best(sc, k))
                     acc_r.append(r + at); acc_i.append(c_ids[cc]); acc_s.append(sc[r, cc])
                     acc_n += len(r)
                 if acc_n > 8 * k * len(qids):  # keep the running state at about k per query
@@ -330,14 +175,213 @@ def _knn_broadcast(q: DataFrame, c: DataFrame, k: int, metric: str, exclude_self
     return c.mapInArrow(part, out_spark)
 
 
-def block_rows(vectors: DataFrame, col: str) -> tuple[int, int]:
-    """(query rows, collection rows) per block for the vectors' dimension
-    (read from one row)."""
-    first = vectors.select(F.size(col).alias("d")).first()
-    dim = max(1, first["d"]) if first else 1
-    q_rows = max(64, min(QUERY_BLOCK_ROWS, QUERY_BLOCK_BYTES // (8 * dim)))
-    c_rows = max(256, min(COLLECTION_BLOCK_ROWS, COLLECTION_BLOCK_BYTES // (8 * dim)))
-    return q_rows, c_rows
+# --- pivot cells -----------------------------------------------------------------
+
+def _result(qid_type, id_type) -> T.StructType:
+    return T.StructType([T.StructField("qid", qid_type), T.StructField("id", id_type), T.StructField("score", T.DoubleType())])
+
+
+def pivots(vectors: DataFrame, count: int) -> np.ndarray:
+    """A sample of ``count`` vectors by a hash of their id (a top-n, not a sort)."""
+    rows = vectors.select("vec").orderBy(F.xxhash64("id"), "id").limit(count).toArrow()
+    return _matrix(rows, "vec")
+
+
+def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    d = np.einsum("ij,ij->i", x, x)[:, None] - 2.0 * (x @ p.T) + np.einsum("ij,ij->i", p, p)[None, :]
+    return np.sqrt(np.maximum(d, 0.0))
+
+
+def _assigned(vectors: DataFrame, centres: np.ndarray, metric: str) -> DataFrame:
+    """Adds (cell, far): the nearest pivot and the distance to it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(pa.Table.from_batches([batch]), "vec")
+            x = _unit(x) if metric == "cosine" else x
+            cell, far = np.empty(len(x), dtype=np.int32), np.empty(len(x))
+            for at in range(0, len(x), CHUNK_ROWS):
+                d = _distances(x[at:at + CHUNK_ROWS], centres)
+                cell[at:at + CHUNK_ROWS] = d.argmin(axis=1)
+                far[at:at + CHUNK_ROWS] = d.min(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=[*batch.schema.names, "cell", "far"])
+
+    schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())])
+    return vectors.mapInArrow(run, schema)
+
+
+def _stream_scorer(k: int, metric: str, exclude_self: bool, out_schema: pa.Schema, cut: int | None = None):
+    """Scores rows sorted by (cell, block, part, side): the block's vectors (side 0)
+    are held while its queries (side 1) pass in batches, however many they are.
+    With ``cut`` only pairs of sketches within that Hamming distance count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, block, waiting = None, None, []
+
+        def load() -> tuple:
+            t = pa.concat_tables(waiting).combine_chunks()
+            x = _matrix(t, "vec")
+            ids = _ids(t, "id")
+            return _unit(x) if metric == "cosine" else x, ids, _order_codes(ids), _words(t) if cut is not None else None
+
+        def score(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            x, ids, codes, words = block
+            for at in range(0, t.num_rows, CHUNK_ROWS // 2):
+                part = t.slice(at, CHUNK_ROWS // 2)
+                q, q_ids = _matrix(part, "vec"), _ids(part, "qid")
+                q = _unit(q) if metric == "cosine" else q
+                if cut is None:
+                    s = _scores(q, x, metric)
+                else:
+                    own = _words(part)
+                    s = np.full((len(q), len(x)), -np.inf)
+                    near = sum(np.bitwise_count(own[:, w][:, None] ^ words[:, w][None, :]).astype(np.int16) for w in range(own.shape[1])) <= cut
+                    i, j = np.nonzero(near)
+                    for p in range(0, len(i), 1 << 18):
+                        a, b = i[p:p + (1 << 18)], j[p:p + (1 << 18)]
+                        s[a, b] = np.round(np.einsum("ij,ij->i", q[a], x[b]), RANK_DECIMALS)
+                if exclude_self:
+                    s[q_ids[:, None] == ids[None, :]] = -np.inf
+                s[s < part["floor"].to_numpy()[:, None]] = -np.inf
+                r, c = np.nonzero(_best(s, k))
+                sel, rows = _topk_sparse(r, s[r, c], codes[c], k)
+                found = s[r, c][sel] if metric == "cosine" else -s[r, c][sel]
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows], out_schema.field("qid").type), pa.array(ids[c[sel]], out_schema.field("id").type),
+                                                  pa.array(found, pa.float64())], schema=out_schema)
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            keys = np.stack([t[c].to_numpy() for c in ("cell", "block", "part", "side")])
+            starts = np.concatenate(([0], np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1, [t.num_rows])) if t.num_rows else []
+            for a, b in zip(starts[:-1], starts[1:]):
+                group, run_of = tuple(keys[:3, a]), t.slice(a, b - a)
+                if group != here:
+                    here, block, waiting = group, None, []
+                if keys[3, a] == 0:
+                    waiting.append(run_of)
+                elif waiting or block is not None:
+                    if block is None:
+                        block, waiting = load(), []
+                    yield from score(run_of)
+
+    return run
+
+
+def _words(t: pa.Table) -> np.ndarray:
+    return t["words"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).reshape(t.num_rows, -1)
+
+
+def _score_in_cells(routed: DataFrame, wanted: DataFrame, cells: DataFrame, members: DataFrame, k: int, metric: str, exclude_self: bool,
+                    cut: int | None = None) -> DataFrame:
+    """Partial top-k (qid, id, score) of queries in the cells they are routed to.
+
+    ``routed``: (qid, vec, floor, cell); ``wanted``: (cell, queries); ``cells``:
+    (id, vec, cell); ``members``: (cell, rows).  A cell is cut into blocks of
+    bounded size, and the queries of one into parts beyond ``QUERY_ROWS``.  The two
+    small tables have a row for each pivot."""
+    dim = max(1, (cells.select(F.size("vec")).first() or [1])[0])
+    rows = max(256, min(BLOCK_ROWS, BLOCK_BYTES // (8 * dim)))
+    plan = members.join(wanted, "cell").select("cell", F.ceil(F.col("rows") / rows).cast("int").alias("blocks"),
+                                               F.ceil(F.col("queries") / QUERY_ROWS).cast("int").alias("parts"))
+    extra = ["words"] if cut is not None else []
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = cells.join(F.broadcast(plan), "cell").withColumn("part", every("parts")).select(
+        "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "part", F.lit(0).alias("side"),
+        F.lit(None).cast(routed.schema["qid"].dataType).alias("qid"), "id", "vec", F.lit(None).cast("double").alias("floor"), *extra)
+    asked = routed.join(F.broadcast(plan), "cell").withColumn("block", every("blocks")).select(
+        "cell", "block", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"),
+        "qid", F.lit(None).cast(cells.schema["id"].dataType).alias("id"), "vec", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), *extra)
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = held.unionByName(asked).repartition(n, "cell", "block", "part").sortWithinPartitions("cell", "block", "part", "side")
+    out = _result(routed.schema["qid"].dataType, cells.schema["id"].dataType)
+    out_arrow = pa.schema([(f.name, _arrow_type(f.dataType) if f.name != "score" else pa.float64()) for f in out.fields])
+    return both.mapInArrow(_stream_scorer(k, metric, exclude_self, out_arrow, cut), out)
+
+
+def _router(centres: np.ndarray, table: dict[str, np.ndarray], metric: str, keep: list[str]):
+    """Copies a query to each cell, other than its own, that may hold a vector as
+    near as its bound.  With ``keep`` empty only the cells are returned."""
+    between = None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nonlocal between
+        if between is None:
+            between = _distances(centres, centres)
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if not t.num_rows:
+                continue
+            x = _matrix(t, "vec")
+            x = _unit(x) if metric == "cosine" else x
+            own, floor = t["cell"].to_numpy(), t["floor"].to_numpy(zero_copy_only=False).astype(float)
+            reach = np.sqrt(np.maximum(2.0 - 2.0 * floor if metric == "cosine" else -floor, 0.0))  # nan: no bound yet
+            reach = np.where(np.isnan(reach), np.inf, reach)
+            where, to = [], []
+            for at in range(0, len(x), CHUNK_ROWS):
+                some = slice(at, at + CHUNK_ROWS)
+                d, o = _distances(x[some], centres), own[some]
+                low = np.maximum(d - table["far"], table["near"] - d)
+                gap = between[o]
+                plane = np.divide(d**2 - np.take_along_axis(d, o[:, None], 1)**2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+                slack = 1e-6 * (1.0 + d + table["far"])  # rounding of scores and distances
+                open_ = (np.maximum(low, plane) <= reach[some, None] + slack) & (table["rows"] > 0)
+                open_[np.arange(len(o)), o] = False
+                i, c = np.nonzero(open_)
+                where.append(i + at)
+                to.append(c)
+            i, c = np.concatenate(where), np.concatenate(to).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*[t[name].combine_chunks().take(pa.array(i)) for name in keep], pa.array(c)], names=[*keep, "cell"])
+
+    return run
+
+
+def knn_cells(q: DataFrame, c: DataFrame, k: int, metric: str, exclude_self: bool, cells: int | None = None) -> DataFrame:
+    """Exact partial top-k lists of ``q`` (qid, vec) in ``c`` (id, vec) by pivot
+    cells; a query without k hits in its own cell is routed to all of them."""
+    empty = q.sparkSession.createDataFrame([], _result(q.schema["qid"].dataType, c.schema["id"].dataType))
+    if metric == "cosine":  # the angle of a zero vector is undefined, its score is not
+        zero = ~F.exists("vec", lambda x: x != 0)
+        zeros_q, zeros_c = q.filter(zero), c.filter(zero)
+        empty = _zero_scores(zeros_q, c, k, exclude_self, empty).unionByName(
+            _zero_scores(q.filter(~zero), zeros_c, k, exclude_self, empty))
+        q, c = q.filter(~zero), c.filter(~zero)
+    n = c.count()
+    if not n:
+        return empty
+    dim = c.select(F.size("vec")).first()[0]
+    count = max(1, min(cells or -(-n // CELL_ROWS), n, PIVOT_BYTES // (8 * dim)))
+    centres = pivots(c, count)
+    centres = _unit(centres) if metric == "cosine" else centres
+    held = stored(_assigned(c, centres, metric), "knn-cells")
+    asked = stored(_assigned(q, centres, metric).drop("far"), "knn-queries")
+    members = held.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.min("far").alias("near"), F.max("far").alias("far"))
+    table = {name: np.zeros(len(centres)) for name in ("rows", "near", "far")}
+    for r in members.collect():
+        for name in table:
+            table[name][r.cell] = r[name]
+    size = members.select("cell", "rows")
+    own = asked.withColumn("floor", F.lit(None).cast("double"))
+    near = stored(_merge_topk(_score_in_cells(own, asked.groupBy("cell").agg(F.count(F.lit(1)).alias("queries")), held, size, k, metric, exclude_self),
+                              k, metric).drop("rank"), "knn-near")
+    worst = F.min("score") if metric == "cosine" else -F.max("score")
+    bound = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, worst).alias("floor"))
+    bounded = stored(asked.join(bound, "qid", "left"), "knn-bounds")
+    wanted = bounded.mapInArrow(_router(centres, table, metric, []), "cell int").groupBy("cell").agg(F.count(F.lit(1)).alias("queries"))
+    routed = bounded.select("qid", "vec", "cell", "floor").mapInArrow(
+        _router(centres, table, metric, ["qid", "vec", "floor"]),
+        T.StructType([bounded.schema["qid"], bounded.schema["vec"], T.StructField("floor", T.DoubleType()), T.StructField("cell", T.IntegerType())]))
+    return near.unionByName(_score_in_cells(routed, wanted, held, size, k, metric, exclude_self)).unionByName(empty)
+
+
+def _zero_scores(q: DataFrame, c: DataFrame, k: int, exclude_self: bool, empty: DataFrame) -> DataFrame:
+    """Pairs whose cosine is 0 because one vector is zero: the k smallest ids (one
+    more, as one may be the query's own) are all that can be returned."""
+    if q.isEmpty():
+        return empty
+    few = [r.id for r in c.groupBy("id").count().orderBy("id").limit(k + 1).collect()]
+    ids = F.array(*[F.lit(i) for i in few]).cast(T.ArrayType(empty.schema["id"].dataType))
+    pairs = q.select("qid", F.explode(ids).alias("id"), F.lit(0.0).alias("score"))
+    return pairs.filter(F.col("qid") != F.col("id")) if exclude_self else pairs
 
 
 def knn(
@@ -351,8 +395,7 @@ def knn(
     vec_col: str = "embedding",
     metric: str = "cosine",
     exclude_self: bool = False,
-    q_blocks: int | None = None,
-    c_blocks: int | None = None,
+    cells: int | None = None,
     broadcast_bytes: int = BROADCAST_QUERY_BYTES,
 ) -> DataFrame:
     """Exact top-k per query: ``(qid, id, score, rank)``.
@@ -360,38 +403,28 @@ def knn(
     ``metric="cosine"``: score = cosine similarity (= 1 - cosine distance), best first.
     ``metric="l2"``: score = squared Euclidean distance, smallest first.
     ``exclude_self`` drops the pair whose ids are equal (query set = collection).
+    ``cells`` asks for the pivot cells, so many, whatever the size of the batch.
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(metric)
     # a row without a vector cannot be ranked
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
-    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
-    n_q = None
-    if q_blocks is None and c_blocks is None:
-        first = q.select(F.size("qvec").alias("d")).first()
-        n_q = q.count()
-        if first is not None and n_q * max(1, first["d"]) * 8 <= broadcast_bytes:
-            partial = _knn_broadcast(q, c, k, metric, exclude_self)
-            return _merge_topk(partial, k, metric)
-    if q_blocks is None or c_blocks is None:
-        q_rows, c_rows = block_rows(c, "cvec")
-        if q_blocks is None:
-            q_blocks = max(1, math.ceil((q.count() if n_q is None else n_q) / q_rows))
-        if c_blocks is None:
-            c_blocks = max(1, math.ceil(c.count() / c_rows))
-    qb = F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).cast("int")
-    cb = F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")
-    q = q.withColumn("qb", qb).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-    c = c.withColumn("cb", cb).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-    qid_type = q.schema["qid"].dataType
-    id_type = c.schema["id"].dataType
-    out_arrow = pa.schema([("qid", _arrow_type(qid_type)), ("id", _arrow_type(id_type)), ("score", pa.float64())])
-    out_spark = T.StructType(
-        [T.StructField("qid", qid_type), T.StructField("id", id_type), T.StructField("score", T.DoubleType())]
-    )
-    fn = _score_group_fn("qid", "id", "qvec", "cvec", k, metric, exclude_self, out_arrow)
-    partial = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(fn, out_spark)
-    return _merge_topk(partial, k, metric)
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("vec")).filter(F.size("vec") > 0)
+    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).filter(F.size("vec") > 0)
+    if cells is None:
+        n, dim = q.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+        if n * (dim or 1) * 8 <= broadcast_bytes:
+            spread = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            if n and c.rdd.getNumPartitions() < spread:  # one file of a small collection is work for several tasks
+                c = c.repartition(spread, "id")
+            return _merge_topk(_knn_broadcast(q, c, k, metric, exclude_self), k, metric)
+    return _merge_topk(knn_cells(q, c, k, metric, exclude_self, cells), k, metric)
+
+
+def knn_self(vectors: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "embedding", metric: str = "cosine",
+             cells: int | None = None, broadcast_bytes: int = BROADCAST_QUERY_BYTES) -> DataFrame:
+    """Exact top-k of every vector among all the others (its own id excluded)."""
+    return knn(vectors, vectors, k, query_id=id_col, query_vec=vec_col, id_col=id_col, vec_col=vec_col, metric=metric,
+               exclude_self=True, cells=cells, broadcast_bytes=broadcast_bytes)
 
 
 def _merge_topk(partial: DataFrame, k: int, metric: str) -> DataFrame:
@@ -414,60 +447,120 @@ def metadata_filter(df: DataFrame, where: dict, metadata_col: str = "metadata")
     return df.filter(cond)
 
 
-# --- approximate neighbours: random-hyperplane LSH over the same blocked scoring ------------
+# --- approximate neighbours: cells and sketches fitted on a sample ------------------
+
+# Hundredths of the sample's true neighbours that each of the two limits keeps.
+LSH_KEEP = 98
+SKETCH_BITS = 512
+SAMPLE_QUERIES = 256
+# The integers of vectors and of planes, and the multiplicative
+# generator (Lehmer's, modulo a Mersenne prime) that spreads ids and draws planes.
+UNIT = 1 << 14
+PRIME, FACTOR = 2_147_483_647, 48_271
+PLANE_STEP = 15
 
-# A neighbour at this cosine is a candidate with this probability, at every collection size.
-LSH_COSINE, LSH_RECALL = 0.8, 0.9
-LSH_TABLES, LSH_TABLES_MOST = 8, 16
-LSH_BROADCAST_ROWS = 1 << 20
 
+def spread_key(id_col: str) -> F.Column:
+    """Orders integer ids without regard to their size."""
+    return F.pmod(F.pmod(F.col(id_col), F.lit(PRIME)) * FACTOR, F.lit(PRIME))
 
-def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((dim, bits * tables))
 
+def planes(dim: int, count: int, seed: int) -> np.ndarray:
+    """(count, dim) small integers: the sum of two digits of a product generator."""
+    j, i = np.arange(count, dtype=np.int64)[:, None], np.arange(dim, dtype=np.int64)[None, :]
+    x = (j * dim + i + seed * 7_919 + 1) % PRIME
+    for _ in range(3):
+        x = (x * FACTOR + 12_345) % PRIME
+        x ^= x >> 13
+    return x % PLANE_STEP + (x // PLANE_STEP) % PLANE_STEP - (PLANE_STEP - 1)
 
-def lsh_buckets(vec: str, planes: np.ndarray, bits: int, tables: int, probe: bool = False):
-    """Column of encoded (table, bucket) ids, ``table << bits | bucket``: the
-    sign pattern of ``bits`` random hyperplanes per table.  With ``probe`` the
-    buckets at Hamming distance 1 are added (multi-probe, for queries), which
-    raises recall without more tables."""
-    from pyspark.sql.functions import pandas_udf
 
-    weights = (1 << np.arange(bits)).astype(np.int64)
-    flips = np.concatenate([[0], 1 << np.arange(bits)]).astype(np.int64) if probe else np.array([0], np.int64)
-    offsets = (np.arange(tables, dtype=np.int64) << bits)
+def integer_units(x: np.ndarray) -> np.ndarray:
+    """Unit vectors in ``UNIT``-ths, rounded: their products are exact."""
+    return np.floor(_unit(x) * UNIT + 0.5)
 
-    @pandas_udf("array<long>")
-    def _bucket(s: pd.Series) -> pd.Series:
-        if len(s) == 0:
-            return pd.Series([], dtype=object)
-        v = np.vstack(s.to_numpy()).astype(np.float64)
-        signs = (v @ planes > 0).reshape(len(s), tables, bits)
-        ids = (signs * weights).sum(axis=2)                       # (n, tables)
-        probed = (ids[:, :, None] ^ flips[None, None, :])          # (n, tables, probes)
-        enc = (probed + offsets[None, :, None]).reshape(len(s), -1)
-        return pd.Series(list(enc))
 
-    return _bucket(F.col(vec))
+def _words_of(units: np.ndarray, normals: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    side = (units - middle) @ normals.T > 0
+    side = np.pad(side, ((0, 0), (0, -side.shape[1] % 62)))
+    return side.reshape(len(units), -1, 62) @ (1 << np.arange(62, dtype=np.int64))
 
 
-def lsh_plan(bits: int, tables: int | None = None, probe: bool = True) -> tuple[int, int]:
-    """(tables, probe radius) with which a neighbour at cosine ``LSH_COSINE`` is a
-    candidate with probability ``LSH_RECALL`` or more, whatever ``bits`` is: a
-    plane separates the two with probability acos(cosine) / pi, and a probed
-    table finds it if at most ``radius`` planes do.  The radius grows once more
-    than ``LSH_TABLES_MOST`` tables (copies of the collection) would be needed,
-    or as far as given ``tables`` need; without ``probe`` only tables grow."""
-    miss = math.acos(LSH_COSINE) / math.pi
-    found = 0.0
-    for radius in range(bits + 1):
-        found += math.comb(bits, radius) * (1 - miss) ** (bits - radius) * miss**radius
-        need = 1 if found >= LSH_RECALL else math.ceil(math.log(1 - LSH_RECALL) / math.log1p(-found))
-        if not probe:
-            return tables or max(LSH_TABLES, need), 0
-        if radius and need <= (tables or LSH_TABLES_MOST):
-            break
-    return tables or max(LSH_TABLES, need), radius
+def _sketched(vectors: DataFrame, centres: np.ndarray, normals: np.ndarray, middle: np.ndarray) -> DataFrame:
+    """Adds (cell, words): the centre with the largest product (the first of
+    equals) and the sketch, 62 bits a long."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if not t.num_rows:
+                continue
+            u = integer_units(_matrix(t, "vec"))
+            words = _words_of(u, normals, middle)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, words.size + 1, words.shape[1]), pa.int32()), pa.array(words.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((u @ centres.T).argmax(axis=1).astype(np.int32)), lists],
+                                             names=[*batch.schema.names, "cell", "words"])
+
+    schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("words", T.ArrayType(T.LongType()))])
+    return vectors.mapInArrow(run, schema)
+
+
+def _border_router(centres: np.ndarray, border: float, keep: list[str]):
+    """Copies a query to every cell whose centre is at most ``border`` farther (in
+    products) than the nearest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if not t.num_rows:
+                continue
+            u = integer_units(_matrix(t, "vec"))
+            where, to = [], []
+            for at in range(0, len(u), CHUNK_ROWS):
+                p = u[at:at + CHUNK_ROWS] @ centres.T
+                i, c = np.nonzero(p >= p.max(axis=1, keepdims=True) - border)
+                where.append(i + at)
+                to.append(c)
+            i, c = np.concatenate(where), np.concatenate(to).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*[t[name].combine_chunks().take(pa.array(i)) for name in keep], pa.array(c)], names=[*keep, "cell"])
+
+    return run
+
+
+def _limits(q: DataFrame, c: DataFrame, k: int, exclude_self: bool, centres: np.ndarray, normals: np.ndarray, middle: np.ndarray,
+            keep: int) -> tuple[float, int]:
+    """(border, Hamming distance) within which the true neighbours of a sample of
+    queries lie, ``keep`` hundredths of them each."""
+    some = q.orderBy(spread_key("qid"), "qid").limit(SAMPLE_QUERIES)
+    true = _merge_topk(_knn_broadcast(some, c, k, "cosine", exclude_self), k, "cosine").select("qid", "id")
+    both = true.join(some.select("qid", F.col("vec").alias("qv")), "qid").join(c.select("id", F.col("vec").alias("cv")), "id")
+    rows = both.select("qv", "cv").toArrow()  # k rows for each query of the sample
+    if not rows.num_rows:
+        return math.inf, normals.shape[0]
+    a, b = integer_units(_matrix(rows, "qv")), integer_units(_matrix(rows, "cv"))
+    p = a @ centres.T
+    border = p.max(axis=1) - p[np.arange(len(p)), (b @ centres.T).argmax(axis=1)]
+    apart = np.bitwise_count(_words_of(a, normals, middle) ^ _words_of(b, normals, middle)).sum(axis=1)
+    at = -(-keep * len(p) // 100) - 1
+    return float(np.sort(border)[at]), int(np.sort(apart)[at])
+
+
+def lsh_model(q: DataFrame, c: DataFrame, k: int, bits: int | None, tables: int | None, seed: int, keep: int,
+              exclude_self: bool) -> dict:
+    """Centres, planes, the collection's middle and the two limits; q (qid, vec),
+    c (id, vec)."""
+    n, dim = c.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    bits = bits or 16
+    normals = planes(dim, bits * (tables or -(-SKETCH_BITS // bits)), seed).astype(np.float64)
+    count = max(1, min(math.isqrt(n), PIVOT_BYTES // (8 * dim)))
+    rows = c.orderBy(spread_key("id"), "id").limit(max(count, SAMPLE_QUERIES)).select("vec").toArrow()
+    sample = integer_units(_matrix(rows, "vec"))
+    middle, centres = np.floor(sample.mean(axis=0) + 0.5), sample[:count]
+    border, cut = _limits(q, c, k, exclude_self, centres, normals, middle, keep)
+    return {"centres": centres, "normals": normals, "middle": middle, "border": border, "cut": cut}
+
+
+def _integer_ids(df: DataFrame, name: str) -> None:
+    if not isinstance(df.schema[name].dataType, (T.LongType, T.IntegerType)):
+        raise TypeError(f"{name}: approximate neighbours take integer ids")
 
 
 def knn_lsh(
@@ -482,59 +575,30 @@ def knn_lsh(
     bits: int | None = None,
     tables: int | None = None,
     seed: int = 42,
-    probe: bool = True,
+    keep: int = LSH_KEEP,
     exclude_self: bool = False,
 ) -> DataFrame:
-    """Approximate cosine top-k: a candidate is any collection vector sharing
-    a bucket with the query (or, with ``probe``, a bucket a few bits away) in at
-    least one of ``tables`` hash tables.  ``bits`` follows the collection's size
-    unless given (buckets of about ``LSH_BUCKET`` vectors); tables and probe radius
-    follow ``bits`` (``lsh_plan``), so that the recall holds while the collection grows.
-
-    Candidates are scored exactly, group by group, with the same Arrow
-    matrix-product function as ``knn`` (no pair is materialised); a bucket
-    holding many vectors is split into sub-blocks sized from the bucket-count
-    table, which has at most ``tables * 2**bits`` rows and is broadcast while that
-    is at most ``LSH_BROADCAST_ROWS``."""
-    dim = collection.select(F.size(vec_col).alias("d")).first()["d"]
-    if bits is None:
-        bits = max(6, math.ceil(math.log2(max(1, collection.count() / LSH_BUCKET))))
-    tables, radius = lsh_plan(bits, tables, probe)
-    planes = _hyperplanes(dim, bits, tables, seed)
-    flips = [sum(1 << b for b in some) for r in range(radius + 1) for some in combinations(range(bits), r)]
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).filter(F.size("qvec") > 0)
-    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("cvec")).filter(F.size("cvec") > 0)
-    mask = (1 << bits) - 1
-    q = q.select("qid", "qvec", F.explode(lsh_buckets("qvec", planes, bits, tables)).alias("_tb"))
-    q = q.select("qid", "qvec", "_tb", F.explode(F.lit(np.array(flips, dtype=np.int64))).alias("_flip")).select(
-        "qid", "qvec", F.col("_tb").bitwiseXOR(F.col("_flip")).alias("_tb")).select(
-        "qid", "qvec", F.shiftright("_tb", bits).cast("int").alias("tbl"), (F.col("_tb").bitwiseAND(mask)).cast("int").alias("bkt"))
-    c = c.select("id", "cvec", F.explode(lsh_buckets("cvec", planes, bits, tables)).alias("_tb")).select(
-        "id", "cvec", F.shiftright("_tb", bits).cast("int").alias("tbl"), (F.col("_tb").bitwiseAND(mask)).cast("int").alias("bkt"))
-    q_rows, c_rows = block_rows(c, "cvec")
-    sizes = (
-        q.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nq"))
-        .join(c.groupBy("tbl", "bkt").agg(F.count(F.lit(1)).alias("nc")), ["tbl", "bkt"])
-        .select("tbl", "bkt",
-                F.ceil(F.col("nq") / q_rows).cast("int").alias("nqb"),
-                F.ceil(F.col("nc") / c_rows).cast("int").alias("ncb"))
-    )
-    if tables << bits <= LSH_BROADCAST_ROWS:
-        sizes = F.broadcast(sizes)
-    q = q.join(sizes, ["tbl", "bkt"]).select(
-        "qid", "qvec", "tbl", "bkt", F.pmod(F.xxhash64("qid"), F.col("nqb")).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.col("ncb") - 1)).alias("cb"))
-    c = c.join(sizes, ["tbl", "bkt"]).select(
-        "id", "cvec", "tbl", "bkt", F.pmod(F.xxhash64("id"), F.col("ncb")).cast("int").alias("cb"),
-        F.explode(F.sequence(F.lit(0), F.col("nqb") - 1)).alias("qb"))
-    qid_type = q.schema["qid"].dataType
-    id_type = c.schema["id"].dataType
-    out_arrow = pa.schema([("qid", _arrow_type(qid_type)), ("id", _arrow_type(id_type)), ("score", pa.float64())])
-    out_spark = T.StructType(
-        [T.StructField("qid", qid_type), T.StructField("id", id_type), T.StructField("score", T.DoubleType())])
-    fn = _score_group_fn("qid", "id", "qvec", "cvec", k, "cosine", exclude_self, out_arrow)
-    keys = ["tbl", "bkt", "qb", "cb"]
-    partial = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(fn, out_spark)
-    merged = partial.groupBy("qid", "id").agg(F.max("score").alias("score"))  # same pair from several tables
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
-    return merged.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("qid", "id", "score", "rank")
+    """Approximate cosine top-k: ``(qid, id, score, rank)``.
+
+    Sketches have ``bits`` planes in each of ``tables`` groups (``SKETCH_BITS`` in
+    all unless given).  A query visits the cells within the fitted border and scores
+    there the vectors within the fitted Hamming distance, exactly; so recall follows
+    from the sample's neighbours (about ``keep`` hundredths squared) whatever the data,
+    the bits and the size, and the share of pairs scored is what the data allow."""
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("vec")).filter(F.size("vec") > 0)
+    c = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).filter(F.size("vec") > 0)
+    _integer_ids(q, "qid")
+    _integer_ids(c, "id")
+    if c.isEmpty():
+        return _merge_topk(q.sparkSession.createDataFrame([], _result(q.schema["qid"].dataType, c.schema["id"].dataType)), k, "cosine")
+    m = lsh_model(q, c, k, bits, tables, seed, keep, exclude_self)
+    held = stored(_sketched(c, m["centres"], m["normals"], m["middle"]), "lsh-cells")
+    asked = stored(_sketched(q, m["centres"], m["normals"], m["middle"]).drop("cell").withColumn("floor", F.lit(None).cast("double")), "lsh-queries")
+    wanted = asked.select("vec").mapInArrow(_border_router(m["centres"], m["border"], []), "cell int").groupBy("cell").agg(
+        F.count(F.lit(1)).alias("queries"))
+    fields = [asked.schema[x] for x in ("qid", "vec", "floor", "words")]
+    routed = asked.select("qid", "vec", "floor", "words").mapInArrow(
+        _border_router(m["centres"], m["border"], ["qid", "vec", "floor", "words"]), T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
+    members = held.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+    found = _score_in_cells(routed, wanted, held, members, k, "cosine", exclude_self, m["cut"])
+    return _merge_topk(found, k, "cosine")
