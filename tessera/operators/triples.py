@@ -12,6 +12,8 @@ variables bound on both sides plus a residual that lets NULL match anything."""
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,22 +27,59 @@ def is_var(term) -> bool:
 
 
 class Triples:
-    def __init__(self, df: DataFrame):
-        self.df = df
+    """A triple set read by predicate.
+
+    ``source`` is a triple frame, or a function that gives the triples of some
+    predicates (all for None), so that a pattern reads only what holds its
+    predicate.  ``stats`` (see ``measured``) let ``bgp`` order its joins."""
+
+    def __init__(self, source: DataFrame | Callable[[set[str] | None], DataFrame], stats: dict[str, tuple[int, int, int]] | None = None):
+        self.source = source if callable(source) else _filtered(source)
+        self.stats = stats
+
+    @property
+    def df(self) -> DataFrame:
+        return self.source(None)
 
     @classmethod
     def materialized(cls, df: DataFrame, path: str) -> "Triples":
         """Write the triple set partitioned by predicate and read it back:
         every pattern with a constant predicate then scans only that
-        predicate's folder (partition pruning), and a multi-pattern query
-        derives the triples once instead of once per pattern."""
+        predicate's folder (partition pruning), and the triples are derived
+        once.  Worth it for triples that are read many times (``opened``)."""
         df.write.mode("overwrite").partitionBy("p").parquet(path)
         return cls(df.sparkSession.read.schema(df.schema).parquet(path))  # no partition type inference
 
+    @classmethod
+    def opened(cls, source: Callable[[set[str] | None], DataFrame], patterns: list[tuple], path: str) -> "Triples":
+        """Triples for these patterns.  Predicates that at least ``STORED_READS`` of
+        them read are derived once, stored and measured; the others are
+        filtered where they lie.  Nothing is written for one or two patterns."""
+        reads = Counter(p for _, p, _ in patterns)
+        every = sum(n for p, n in reads.items() if is_var(p))  # a variable predicate reads them all
+        often = {p for p, n in reads.items() if not is_var(p) and n + every >= STORED_READS}
+        if every >= STORED_READS:
+            return cls.materialized(source(None), path).measured()
+        if not often:
+            return cls(source)
+        held = cls.materialized(source(often), path).measured()
+
+        def both(wanted: set[str] | None) -> DataFrame:
+            return held.source(wanted) if wanted is not None and wanted <= often else source(wanted)
+
+        return cls(both, held.stats)
+
+    def measured(self, predicates: set[str] | None = None) -> "Triples":
+        """With rows, distinct subjects and distinct objects of each predicate (one
+        aggregation; a row for each predicate comes back)."""
+        rows = self.source(predicates).groupBy("p").agg(
+            F.count(F.lit(1)).alias("n"), F.approx_count_distinct("s").alias("s"), F.approx_count_distinct("o").alias("o")).collect()
+        return Triples(self.source, {r.p: (r.n, max(1, min(r.n, r.s)), max(1, min(r.n, r.o))) for r in rows})
+
     def pattern(self, s, p, o, *, lang: str | None = None, kind: str | None = None) -> DataFrame:
         """Bindings of one triple pattern.  ``lang``/``kind`` name extra
         columns carrying the language tag / term kind of the object."""
-        df = self.df
+        df = self.source(None if is_var(p) else {p})
         bound: dict[str, str] = {}
         for pos, term in (("s", s), ("p", p), ("o", o)):
             if is_var(term):
@@ -58,12 +97,58 @@ class Triples:
             cols.append(F.col("o_kind").alias(kind))
         return df.select(*cols)
 
+    def estimate(self, pattern: tuple) -> tuple[float, dict[str, float]] | None:
+        """(rows, distinct values of each variable) of a pattern by the statistics;
+        None without any for its predicate."""
+        s, p, o = pattern
+        if not self.stats or not is_var(p) and p not in self.stats:
+            return None
+        n, subjects, objects = self.stats[p] if not is_var(p) else (
+            sum(x[0] for x in self.stats.values()), max(x[1] for x in self.stats.values()), max(x[2] for x in self.stats.values()))
+        rows = n / (1 if is_var(s) else subjects) / (1 if is_var(o) else objects)
+        distinct = {t[1:]: min(rows, d) for t, d in ((s, subjects), (o, objects)) if is_var(t)}
+        return rows, distinct | ({p[1:]: float(len(self.stats))} if is_var(p) else {})
+
     def bgp(self, *patterns: tuple) -> DataFrame:
-        """Basic graph pattern: patterns joined on shared variables.  Patterns
-        with more constants (more selective) are joined first."""
+        """Basic graph pattern: patterns joined on shared variables, in the order
+        that ``join_order`` gives."""
         frames = [self.pattern(*pt) if isinstance(pt, tuple) else pt for pt in patterns]
-        order = sorted(range(len(frames)), key=lambda i: -_constants(patterns[i]))
-        return join_all([frames[i] for i in order])
+        return join_all([frames[i] for i in self.join_order(patterns)])
+
+    def join_order(self, patterns) -> list[int]:
+        """The pattern of fewest rows first, then always the one that keeps the
+        joined rows fewest: |A| * |B| / the larger number of distinct values of the
+        shared variables.  Patterns with more constants go first where the
+        statistics say nothing."""
+        known = [self.estimate(pt) if isinstance(pt, tuple) else None for pt in patterns]
+        if any(k is None for k in known):
+            return sorted(range(len(patterns)), key=lambda i: -_constants(patterns[i]))
+        left = sorted(range(len(patterns)), key=lambda i: known[i][0])
+        order = [left.pop(0)]
+        rows, distinct = known[order[0]][0], dict(known[order[0]][1])
+        while left:
+            def joined(i: int) -> float:
+                shared = known[i][1].keys() & distinct.keys()
+                size = rows * known[i][0]
+                for v in shared:
+                    size /= max(distinct[v], known[i][1][v], 1.0)
+                return size if shared else float("inf")
+
+            best = min(left, key=joined)
+            rows = min(joined(best), rows * known[best][0])
+            left.remove(best)
+            order.append(best)
+            for v, d in known[best][1].items():
+                distinct[v] = min(d, distinct.get(v, d), max(rows, 1.0))
+        return order
+
+
+#: Reads of a predicate from which storing it pays.
+STORED_READS = 3
+
+
+def _filtered(df: DataFrame) -> Callable[[set[str] | None], DataFrame]:
+    return lambda wanted: df if wanted is None else df.filter(F.col("p").isin(sorted(wanted)))
 
 
 def _constants(pt) -> int:

@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import triples as tp
-from tessera.operators.fixpoint import cut
 from tessera.plans import views
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
 
 
-def store(spark: SparkSession, sf_dir: str) -> tp.Triples:
-    """The triple view, materialised for this query and partitioned by predicate."""
+def opened(spark: SparkSession, sf_dir: str, *patterns: tuple) -> tp.Triples:
+    """The triple view for a query with these patterns: each reads the tables of
+    its own predicate, predicates that many of them read are stored once."""
     from tessera.sources.files import scratch_path
 
-    return tp.Triples.materialized(views.triples(spark, sf_dir), scratch_path(spark, "triples"))
+    return tp.Triples.opened(lambda only: views.triples(spark, sf_dir, only), list(patterns), scratch_path(spark, "triples"))
 
 
 def W(body: str, recursive: bool = False) -> str:
@@ -35,18 +35,17 @@ def W(body: str, recursive: bool = False) -> str:
 FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T c ON c.s = a.s AND c.p = 'label'
 WHERE a.p = 'equivalentClass'"""))
 def join_bgp_chain(spark, sf_dir):
-    t = store(spark, sf_dir)
-    return t.bgp(("?r", "equivalentClass", "?q"), ("?q", "intersectionOf", "?l"), ("?r", "label", "?name")).select(
-        "r", "q", "l", "name")
+    chain = [("?r", "equivalentClass", "?q"), ("?q", "intersectionOf", "?l"), ("?r", "label", "?name")]
+    t = opened(spark, sf_dir, *chain).measured({p for _, p, _ in chain})
+    return t.bgp(*chain).select("r", "q", "l", "name")
 
 
 @register("join_bgp_var_predicate", sql=W("""SELECT a.s AS r, b.o AS l, c.p AS about
 FROM T a JOIN T b ON b.s = a.o AND b.p = 'intersectionOf' JOIN T c ON c.s = b.o AND c.o = 'Place'
 WHERE a.p = 'equivalentClass'"""))
 def join_bgp_var_predicate(spark, sf_dir):
-    t = store(spark, sf_dir)
-    return t.bgp(("?r", "equivalentClass", "?q"), ("?q", "intersectionOf", "?l"), ("?l", "?about", "Place")).select(
-        "r", "l", "about")
+    chain = [("?r", "equivalentClass", "?q"), ("?q", "intersectionOf", "?l"), ("?l", "?about", "Place")]
+    return opened(spark, sf_dir, *chain).bgp(*chain).select("r", "l", "about")
 
 
 @register("set_union_bag", sql=W("""SELECT a.s AS x, l.o AS name, a.o AS c
@@ -56,24 +55,26 @@ WHERE a.p = 'equivalentClass'
 UNION ALL
 SELECT a.s, l.o, NULL FROM T a JOIN T l ON l.s = a.s AND l.p = 'label' WHERE a.p = 'subClassOf' AND a.o = 'NamedPlace'"""))
 def set_union_bag(spark, sf_dir):
-    t = store(spark, sf_dir)
-    a = t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place"),
-              ("?x", "label", "?name"))
-    b = t.bgp(("?x", "subClassOf", "NamedPlace"), ("?x", "label", "?name"))
-    return tp.union(a, b).select("x", "name", "c")
+    first = [("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place"), ("?x", "label", "?name")]
+    second = [("?x", "subClassOf", "NamedPlace"), ("?x", "label", "?name")]
+    t = opened(spark, sf_dir, *first, *second)
+    return tp.union(t.bgp(*first), t.bgp(*second)).select("x", "name", "c")
+
+
+CLASS_LABELS = [("?class", "type", "Class"), ("?class", "label", "?label")]
 
 
 @register("set_distinct", sql=W("""SELECT DISTINCT a.s AS class, b.o AS label
 FROM T a LEFT JOIN T b ON b.s = a.s AND b.p = 'label' WHERE a.p = 'type' AND a.o = 'Class'"""))
 def set_distinct(spark, sf_dir):
-    t = store(spark, sf_dir)
-    return tp.optional(t.pattern("?class", "type", "Class"), t.pattern("?class", "label", "?label")).distinct()
+    t = opened(spark, sf_dir, *CLASS_LABELS)
+    return tp.optional(*[t.pattern(*pt) for pt in CLASS_LABELS]).distinct()
 
 
 @register("join_optional", sql=W("""SELECT a.s AS class, b.o AS label
 FROM T a LEFT JOIN T b ON b.s = a.s AND b.p = 'label' AND b.lang = 'en' WHERE a.p = 'type' AND a.o = 'Class'"""))
 def join_optional(spark, sf_dir):
-    t = store(spark, sf_dir)
+    t = opened(spark, sf_dir, *CLASS_LABELS)
     en = t.pattern("?class", "label", "?label", lang="lg").filter(F.col("lg") == "en").drop("lg")
     return tp.optional(t.pattern("?class", "type", "Class"), en)
 
@@ -81,8 +82,8 @@ def join_optional(spark, sf_dir):
 @register("join_not_exists", sql=W("""SELECT a.s AS class FROM T a
 WHERE a.p = 'type' AND a.o = 'Class' AND NOT EXISTS (SELECT 1 FROM T b WHERE b.s = a.s AND b.p = 'label')"""))
 def join_not_exists(spark, sf_dir):
-    t = store(spark, sf_dir)
-    return tp.not_exists(t.pattern("?class", "type", "Class"), t.pattern("?class", "label", "?l"))
+    t = opened(spark, sf_dir, *CLASS_LABELS)
+    return tp.not_exists(*[t.pattern(*pt) for pt in CLASS_LABELS])
 
 
 # --- the two-UNION compatible join and what is built on it ----------------------------
@@ -107,18 +108,19 @@ J AS (SELECT A.x, A.about, B.r, B.t, coalesce(A.c, B.c) AS c, coalesce(A.i, B.i)
 
 def compatible(spark: SparkSession, sf_dir: str, with_label: bool = False) -> DataFrame:
     """{A1} UNION {A2} joined with {B1} UNION {B2}; A1/B1 bind c and i, A2/B2 do not."""
-    t = store(spark, sf_dir)
     a1 = [("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place")]
     a2 = [("?x", "subClassOf", "NamedPlace")]
     if with_label:
         a1.append(("?x", "label", "?name"))
         a2.append(("?x", "label", "?name"))
+    b1, part = a1[:2], ("?r", "someValuesFrom", "?t")
+    b2 = [("?x", "subClassOf", "?r"), part]
+    t = opened(spark, sf_dir, *a1, *a2, *b1, *b2, part, a1[1], ("?n", "rest", "?m"), ("?n", "first", "?r"))
     a = tp.union(t.bgp(*a1), t.bgp(*a2))
-    heads = t.pattern("?c", "intersectionOf", "?i").select("i").distinct()
-    members = tp.path_star_then(t.df, heads, "rest", "first", start_col="i", out_col="r")
-    b1 = tp.join_all([t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i")), members,
-                      t.pattern("?r", "someValuesFrom", "?t")])
-    b2 = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t"))
+    heads = t.pattern(*a1[1]).select("i").distinct()
+    members = tp.path_star_then(t.source({"rest", "first"}), heads, "rest", "first", start_col="i", out_col="r")
+    b1 = tp.join_all([t.bgp(*b1), members, t.pattern(*part)])
+    b2 = t.bgp(*b2)
     return tp.compatible_join(a, tp.union(b1, b2), always_bound=["x"])
 
 
@@ -141,11 +143,11 @@ def flt_iri_neq(spark, sf_dir):
 
 @register("set_construct", sql=W(J5_SQL + """,
 K AS (SELECT * FROM J WHERE t <> 'n0' AND x IN (SELECT s FROM T WHERE p = 'label'))
-SELECT DISTINCT x AS s, 'isVegetarian' AS p, 'true' AS o, 'lit' AS o_kind FROM K
-UNION SELECT DISTINCT x, 'hasTopping', t, 'iri' FROM K""", recursive=True))
+SELECT DISTINCT x AS s, 'isLocated' AS p, 'true' AS o, 'lit' AS o_kind FROM K
+UNION SELECT DISTINCT x, 'inPlace', t, 'iri' FROM K""", recursive=True))
 def set_construct(spark, sf_dir):
     j = compatible(spark, sf_dir, with_label=True).filter(F.col("t") != "n0")
-    return tp.construct(j, [("?x", "isVegetarian", ("true", "lit")), ("?x", "hasTopping", "?t")])
+    return tp.construct(j, [("?x", "isLocated", ("true", "lit")), ("?x", "inPlace", "?t")])
 
 
 @register("flt_iri_suffix", sql=W("""A AS (
@@ -158,18 +160,18 @@ SELECT A.x, A.name, sv.o AS t
 FROM A JOIN T sc ON sc.s = A.x AND sc.p = 'subClassOf' JOIN T sv ON sv.s = sc.o AND sv.p = 'someValuesFrom'
 WHERE ends_with(sv.o, '3') AND A.lg = 'en'"""))
 def flt_iri_suffix(spark, sf_dir):
-    t = store(spark, sf_dir)
-    a1 = t.bgp(("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place"),
-               t.pattern("?x", "label", "?name", lang="lg"))
-    a2 = t.bgp(("?x", "subClassOf", "NamedPlace"), t.pattern("?x", "label", "?name", lang="lg"))
-    parts = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t"))
+    named, label = [("?x", "equivalentClass", "?c"), ("?c", "intersectionOf", "?i"), ("?i", "?about", "Place")], ("?x", "label", "?name")
+    place, part = ("?x", "subClassOf", "NamedPlace"), [("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t")]
+    t = opened(spark, sf_dir, *named, label, place, label, *part)
+    labels = t.pattern(*label, lang="lg")
+    a1, a2, parts = t.bgp(*named, labels), t.bgp(place, labels), t.bgp(*part)
     j = tp.join_all([tp.union(a1, a2), parts])
     return j.filter(F.col("t").endswith("3") & (F.col("lg") == "en")).select("x", "name", "t")
 
 
 @register("flt_lang_tag", sql=W("SELECT s AS x, o AS name FROM T WHERE p = 'label' AND lang = 'en'"))
 def flt_lang_tag(spark, sf_dir):
-    t = store(spark, sf_dir)
+    t = opened(spark, sf_dir, ("?x", "label", "?name"))
     return t.pattern("?x", "label", "?name", lang="lg").filter(F.col("lg") == "en").select("x", "name")
 
 
@@ -197,9 +199,9 @@ def agg_count_distinct_by_type(spark, sf_dir):
   UNION ALL SELECT NULL, NULL, s FROM T WHERE p = 'type' AND o = 'NamedIndividual')
 SELECT count(DISTINCT class) AS classes, count(DISTINCT prop) AS properties, count(DISTINCT ind) AS individuals FROM U"""))
 def agg_union_distinct_counts(spark, sf_dir):
-    t = store(spark, sf_dir)
-    u = tp.union(t.pattern("?class", "type", "Class"), t.pattern("?prop", "type", "ObjectProperty"),
-                 t.pattern("?ind", "type", "NamedIndividual"))
+    each = [("?class", "type", "Class"), ("?prop", "type", "ObjectProperty"), ("?ind", "type", "NamedIndividual")]
+    t = opened(spark, sf_dir, *each)
+    u = tp.union(*[t.pattern(*pt) for pt in each])
     return u.agg(F.count_distinct("class").alias("classes"), F.count_distinct("prop").alias("properties"),
                   F.count_distinct("ind").alias("individuals"))
 
@@ -245,9 +247,9 @@ def agg_graph_compare(spark, sf_dir):
 SELECT DISTINCT r.start AS head, f.o AS member FROM reach r JOIN T f ON f.s = r.node AND f.p = 'first'""",
                                       recursive=True))
 def graph_list_members(spark, sf_dir):
-    t = store(spark, sf_dir)
+    t = opened(spark, sf_dir, ("?c", "intersectionOf", "?head"), ("?n", "rest", "?m"), ("?n", "first", "?r"))
     heads = t.pattern("?c", "intersectionOf", "?head").select("head").distinct()
-    return tp.path_star_then(t.df, heads, "rest", "first", start_col="head", out_col="member")
+    return tp.path_star_then(t.source({"rest", "first"}), heads, "rest", "first", start_col="head", out_col="member")
 
 
 HIER_SQL = """cls AS (SELECT DISTINCT s FROM T WHERE (p = 'type' AND o = 'Class') OR p = 'subClassOf'),
@@ -258,7 +260,7 @@ roots AS (SELECT s AS root FROM cls WHERE s NOT IN (SELECT child FROM sub))"""
 def hierarchy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(roots, sub): classes without a named superclass, and the subclass
     edges between declared classes."""
-    t = store(spark, sf_dir).df
+    t = views.triples(spark, sf_dir, {"type", "subClassOf"})
     is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
     cls = t.filter(is_class).select("s").distinct()
     sub = (
@@ -291,8 +293,8 @@ SELECT DISTINCT x FROM parts p
 WHERE NOT EXISTS (SELECT 1 FROM parts q JOIN clos ON clos.c = q.t WHERE q.x = p.x)""", recursive=True))
 def graph_closure_filter(spark, sf_dir):
     """Things none of whose parts is the excluded class or any subclass of it."""
-    t = store(spark, sf_dir)
-    excluded = tp.subclass_closure(t.df, spark.createDataFrame([("r0",)], "root string")).select(F.col("cls").alias("t"))
+    t = opened(spark, sf_dir, ("?c", "subClassOf", "?d"), ("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t"))
+    excluded = tp.subclass_closure(t.source({"subClassOf"}), spark.createDataFrame([("r0",)], "root string")).select(F.col("cls").alias("t"))
     parts = t.bgp(("?x", "subClassOf", "?r"), ("?r", "someValuesFrom", "?t")).select("x", "t")
     bad = parts.join(excluded, "t", "left_semi").select("x")
     return parts.select("x").distinct().join(bad, "x", "left_anti")
@@ -345,7 +347,7 @@ SELECT gq.p_partkey, contains(q, 'x:') AND coalesce(miss.n, 0) = 0 AS valid,
        ELSE '{qg.MSG_TERMS_BAD}' END AS message
 FROM gq LEFT JOIN miss ON miss.p_partkey = gq.p_partkey"""))
 def val_ontology_terms(spark, sf_dir):
-    classes = store(spark, sf_dir).pattern("?cls", "type", "Class").distinct()
+    classes = opened(spark, sf_dir, ("?cls", "type", "Class")).pattern("?cls", "type", "Class").distinct()
     return qg.ontology_terms(generated_queries(spark, sf_dir), "p_partkey", "q", classes, "x")
 
 
@@ -379,5 +381,5 @@ def agg_result_score(spark, sf_dir):
 @register("set_union_distinct", sql=W("""SELECT s FROM T WHERE p = 'type' AND o = 'Class' UNION SELECT s FROM T WHERE p = 'subClassOf'"""))
 def set_union_distinct(spark, sf_dir):
     """Declared classes: subjects typed Class ∪ subjects of subClassOf, as a set."""
-    t = store(spark, sf_dir)
+    t = opened(spark, sf_dir, ("?s", "type", "Class"), ("?s", "subClassOf", "?o"))
     return t.pattern("?s", "type", "Class").union(t.pattern("?s", "subClassOf", "?o").select("s")).distinct()

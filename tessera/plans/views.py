@@ -8,6 +8,8 @@ into one task)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,24 +21,27 @@ def _s(prefix: str, col: str):
 
 
 def _t(s, p, o, kind="iri", lang="", when=None):
-    """One triple as a struct; ``when`` makes it conditional (NULL otherwise)."""
+    """(predicate, triple as a struct); ``when`` makes it conditional (NULL otherwise)."""
     st = F.struct(
         s.alias("s"),
-        (F.lit(p) if isinstance(p, str) else p).alias("p"),
+        F.lit(p).alias("p"),
         (F.lit(o) if isinstance(o, str) else o).alias("o"),
         F.lit(kind).alias("o_kind"),
         F.lit(lang).alias("lang"),
     )
-    return st if when is None else F.when(when, st)
+    return p, (st if when is None else F.when(when, st))
 
 
-def _emit(df: DataFrame, *triples) -> DataFrame:
+def _emit(df: DataFrame, only: set[str] | None, *triples) -> DataFrame | None:
     """Each input row emits its triples: one scan per source table, expanded
-    by a generator (conditional triples are NULL and dropped)."""
-    return df.select(F.inline(F.array_compact(F.array(*triples))))
+    by a generator (conditional triples are NULL and dropped).  With ``only`` just
+    those of the named predicates, from the columns they need."""
+    wanted = [st for p, st in triples if only is None or p in only]
+    return df.select(F.inline(F.array_compact(F.array(*wanted)))) if wanted else None
 
 
-def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def triples(spark: SparkSession, sf_dir: str, only: set[str] | None = None) -> DataFrame:
+    """The triple view, or the part of it that has the predicates ``only``."""
     t = Tables(spark, sf_dir)
     w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
     cell = t.nation.select(
@@ -49,35 +54,35 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n, r = _s("c", "c_custkey"), _s("n", "n_nationkey"), _s("r", "r_regionkey")
     l0 = F.concat(F.lit("l"), F.col("r_regionkey").cast("string"), F.lit("_0"))
     parts = [
-        _emit(t.customer,
+        _emit(t.customer, only,
               _t(c, "subClassOf", "NamedPlace"),
               _t(c, "subClassOf", _s("x", "c_nationkey")),
               _t(c, "type", "Class"),
               _t(c, "label", F.col("c_name"), "lit", "en"),
               _t(c, "label", F.lower("c_name"), "lit", "pt", when=F.col("c_custkey") % 2 == 0)),
-        _emit(t.nation,
+        _emit(t.nation, only,
               _t(_s("x", "n_nationkey"), "someValuesFrom", n),
               _t(n, "subClassOf", _s("r", "n_regionkey")),
               _t(n, "type", "Class"),
               _t(n, "label", F.col("n_name"), "lit", "en", when=F.col("n_nationkey") % 3 > 0)),
-        _emit(t.region,
+        _emit(t.region, only,
               _t(r, "type", "Class"),
               _t(r, "label", F.col("r_name"), "lit", "en"),
               _t(r, "equivalentClass", _s("q", "r_regionkey")),
               _t(_s("q", "r_regionkey"), "intersectionOf", l0),
               _t(l0, "first", "Place")),
-        _emit(cell,
+        _emit(cell, only,
               _t(cell_id(F.col("i")), "first", _s("x", "n_nationkey")),
               _t(cell_id(F.col("i") - 1), "rest", cell_id(F.col("i"))),
               _t(cell_id(F.col("i")), "rest", "nil", when=F.col("i") == F.col("k"))),
-        _emit(spark.createDataFrame([("placedBy",), ("inNation",)], "p string"),
+        _emit(spark.createDataFrame([("placedBy",), ("inNation",)], "p string"), only,
               _t(F.concat(F.lit("p_"), F.col("p")), "type", "ObjectProperty")),
-        _emit(t.supplier, _t(_s("s", "s_suppkey"), "type", "NamedIndividual")),
+        _emit(t.supplier, only, _t(_s("s", "s_suppkey"), "type", "NamedIndividual")),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [p for p in parts if p is not None]
+    if not parts:
+        return spark.createDataFrame([], "s string, p string, o string, o_kind string, lang string")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
