@@ -6,19 +6,18 @@ on a tiny frame, whatever the number of scored rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Class names of the 6-class emotion label dictionary (id order).
 LABEL_NAMES = ["sadness", "joy", "love", "anger", "fear", "surprise"]
 ERROR_LABEL = "error"
-# Request bounds of the prediction endpoint.
 
 
 def accuracy(df: DataFrame, y: str, p: str, group: list[str] | None = None) -> DataFrame:
@@ -104,6 +103,81 @@ def batch_predict_safe(model: PipelineModel, df: DataFrame, text: str, keep: lis
     return good.unionByName(bad)
 
 
+# --- fitted models as relations ---------------------------------------------------------
+#
+# A forest is a table of nodes, a linear model a table of coefficients; scoring
+# is a join with them.  Both tables are bounded by the model's own size (trees
+# times 2^(depth + 1) nodes; classes times features) and are broadcast.
+
+def forest_nodes(model: RandomForestClassificationModel, path: str) -> DataFrame:
+    """(tree, node, feature, threshold, below, above, votes): the stored form of a
+    fitted forest, written to ``path``.  A leaf has no ``below``; votes are the
+    class shares of the training rows in a node."""
+    model.write().overwrite().save(path)
+    n = F.col("nodeData")
+    total = F.aggregate(n["impurityStats"], F.lit(0.0), lambda s, x: s + x)
+    return SparkSession.active().read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), n["split"]["featureIndex"].alias("feature"),
+        F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        F.when(n["leftChild"] >= 0, n["leftChild"]).alias("below"), F.when(n["rightChild"] >= 0, n["rightChild"]).alias("above"),
+        F.transform(n["impurityStats"], lambda x: x / total).alias("votes"))
+
+
+def score_forest(nodes: DataFrame, trees: int, depth: int, rows: DataFrame, key: str, features: str) -> DataFrame:
+    """(key, probability array<double>): every row of ``rows`` (unique ``key``, a
+    vector column ``features``) walks down every tree, one join with the nodes a
+    level, and the votes of its leaves are averaged by class."""
+    dense = vector_to_array(features)
+    entries = F.map_from_entries(F.filter(F.transform(dense, lambda x, i: F.struct(i.alias("feature"), x.alias("x"))), lambda e: e["x"] != 0))
+    at = rows.select(key, entries.alias("_x")).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("node", F.lit(0))
+    splits = F.broadcast(nodes.filter("below is not null").drop("votes"))
+    for _ in range(depth):
+        value = F.coalesce(F.try_element_at("_x", F.col("feature")), F.lit(0.0))
+        next_ = F.when(F.col("below").isNull(), F.col("node")).when(value <= F.col("threshold"), F.col("below")).otherwise(F.col("above"))
+        at = at.join(splits, ["tree", "node"], "left").select(key, "_x", "tree", next_.alias("node"))
+    leaves = F.broadcast(nodes.select("tree", "node", "votes"))
+    votes = at.join(leaves, ["tree", "node"]).select(key, F.posexplode("votes").alias("class", "vote"))
+    return _by_class(votes, key, F.avg("vote"), "probability")
+
+
+def linear_coefficients(model: LogisticRegressionModel) -> DataFrame:
+    """(class, feature, weight) of a fitted multinomial model; the intercept is
+    the weight of feature -1."""
+    weights, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    rows = [(c, i, float(w)) for c, row in enumerate(weights) for i, w in enumerate(row)]
+    rows += [(c, -1, float(w)) for c, w in enumerate(intercepts)]
+    return SparkSession.active().createDataFrame(rows, "class int, feature int, weight double")
+
+
+def score_linear(coefficients: DataFrame, rows: DataFrame, key: str, vec: str) -> DataFrame:
+    """(key, probability array<double>): components join their weights, margins are
+    sums by class, probabilities their softmax."""
+    parts = rows.select(key, F.posexplode(F.concat(F.array(F.lit(1.0)), F.transform(vec, lambda x: x.cast("double")))).alias("at", "x"))
+    weighted = parts.withColumn("feature", F.col("at") - 1).join(F.broadcast(coefficients), "feature")
+    margins = _by_class(weighted, key, F.sum(F.col("x") * F.col("weight")), "margins")
+    return margins.select(key, softmax("margins").alias("probability"))
+
+
+def _by_class(rows: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+    """One row per key with ``value`` of its rows of each class, in class order."""
+    each = rows.groupBy(key, "class").agg(value.alias("v"))
+    return each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("class", "v"))), lambda s: s["v"]).alias(name))
+
+
+def decided(scored: DataFrame, keep: list[str], labels: list[str] | None = None) -> DataFrame:
+    """(keep..., prediction, confidence): the first class of the largest
+    probability, as its label or its number."""
+    best = argmax_first("probability")
+    named = F.element_at(F.array(*[F.lit(x) for x in labels]), best + 1) if labels else best
+    return scored.select(*keep, named.alias("prediction"), F.array_max("probability").alias("confidence"))
+
+
+def held_out_metrics(rows: DataFrame, y: str, p: str, group: str) -> DataFrame:
+    """(group, accuracy, precision, recall, f1) of the rows with a truth."""
+    known = rows.filter(F.col(y).isNotNull())
+    return accuracy(known, y, p, [group]).join(weighted_prf(known, y, p, [group]), group)
+
+
 def logistic(features: str = "features", label: str = "label") -> LogisticRegression:
     return LogisticRegression(featuresCol=features, labelCol=label, family="multinomial", maxIter=1000)
 
@@ -112,17 +186,18 @@ def with_vector(df: DataFrame, arr: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(arr)))
 
 
-def sweep(df: DataFrame, estimator: LogisticRegression, param: str, values: list[float], seed: int = 42,
-          metric: str = "accuracy") -> tuple[object, list[float]]:
-    """Train one model per parameter value (in parallel), score each on a
-    held-out 20 % split; returns the fitted search and the metrics."""
-    grid = ParamGridBuilder().addGrid(getattr(estimator, param), values).build()
-    tvs = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=grid, trainRatio=0.8, seed=seed, parallelism=len(values),
-        evaluator=MulticlassClassificationEvaluator(labelCol=estimator.getLabelCol(), metricName=metric),
-    )
-    fitted = tvs.fit(df)
-    return fitted, list(fitted.validationMetrics)
+def sweep(train: DataFrame, held_out: DataFrame, estimator: LogisticRegression, param: str, values: list[float]) -> DataFrame:
+    """(value, accuracy, precision, recall, f1, is_best): one model per parameter
+    value, each measured on the same held-out rows; the best has the largest
+    accuracy, the smaller value among equals."""
+    label = estimator.getLabelCol()
+    fitted = dict(estimator.fitMultiple(train, [{getattr(estimator, param): v} for v in values]))
+    scored = [fitted[i].transform(held_out).select(F.lit(v).alias("value"), F.col(label).alias("_y"), F.col("prediction").alias("_p"))
+              for i, v in enumerate(values)]
+    metrics = held_out_metrics(reduce(DataFrame.unionByName, scored), "_y", "_p", "value")
+    best = metrics.agg(F.max_by("value", F.struct("accuracy", -F.col("value"))).alias("best"))
+    return metrics.join(F.broadcast(best), F.lit(True)).select(
+        "value", "accuracy", "precision", "recall", "f1", (F.col("value") == F.col("best")).alias("is_best"))
 
 
 def hash_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:

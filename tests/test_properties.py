@@ -592,3 +592,36 @@ def test_lsh_finds_neighbours_at_any_angle(spark):
     frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, embedding array<double>")
     got = knn_lsh(frame(a), frame(0.8 * a + 0.6 * b), 1, query_id="id", bits=21).collect()
     assert sum(r.qid == r.id for r in got) >= 90
+
+
+@pytest.mark.parametrize("key", ["ml_train_forest", "ml_train_logistic"])
+def test_relational_scores_equal_spark_ml(spark, sf_dir, key):
+    """Every row: the walk by joins decides as the fitted model does; and the
+    metrics of a split are those of its rows."""
+    rows = se.queries()[key](spark, sf_dir).collect()
+    table = "documents" if key == "ml_train_forest" else "embeddings"
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/{table}.parquet").count() and all(r.agrees for r in rows)
+    for split in ("train", "test"):
+        known = [r for r in rows if r.split == split]
+        classes = {r.label for r in known} | {r.prediction for r in known}
+        f1 = 0.0
+        for c in classes:
+            tp = sum(r.label == c == r.prediction for r in known)
+            pred, sup = sum(r.prediction == c for r in known), sum(r.label == c for r in known)
+            f1 += sup * (2 * tp / (pred + sup)) / len(known)
+        assert known[0].accuracy == pytest.approx(sum(r.label == r.prediction for r in known) / len(known), abs=1e-6)
+        assert known[0].f1 == pytest.approx(f1, abs=1e-6)
+    assert all(r.accuracy is None for r in rows if r.split == "unlabelled")
+
+
+def test_sweep_measures_every_value_on_the_held_out_rows(spark, sf_dir):
+    rows = se.queries()["ml_lr_sweep"](spark, sf_dir).collect()
+    assert sorted(r.reg_param for r in rows) == [1e-5, 2e-5, 5e-5] and sum(r.is_best for r in rows) == 1
+    best = next(r for r in rows if r.is_best)
+    assert all((r.val_accuracy, -r.reg_param) <= (best.val_accuracy, -best.reg_param) for r in rows)
+
+
+def test_texts_without_content_are_answered_with_the_error_label(spark, sf_dir):
+    rows = se.queries()["ml_batch_predict_safe"](spark, sf_dir).collect()
+    for r in rows:
+        assert (r.prediction == "error") == (r.doc_id % 50 in (7, 8, 9)) and (r.confidence == 0.0) == (r.prediction == "error")
