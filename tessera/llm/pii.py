@@ -8,10 +8,10 @@ character it writes, the source characters it stands for:
 
 1. characters: full-width and other compatible forms, look-alikes of Latin
    letters, digits of any script, odd spaces and dashes; invisible ones vanish;
-2. disguises: bracketed ``[at]`` / ``(dot)``, ``name at host.tld`` (any name; the
-   whole host, its dots plain, bracketed or spelled in any mix, tells it from
-   prose - ``look at example.com`` reads like an address), and runs
-   of three or more spelled digits (with ``dot`` and ``plus`` inside a run).
+2. disguises: bracketed ``[at]`` / ``(dot)``, ``name at host.tld`` (the whole host,
+   its dots plain, bracketed or spelled in any mix; what tells it from prose is
+   said in ``_told_as_address``), and runs of three or more spelled digits (with
+   ``dot`` and ``plus`` inside a run).
 
 An added span is kept unless a base span of its kind overlaps it without lying
 wholly inside it; equal spans are reported once, as base.
@@ -62,9 +62,20 @@ RUN_PART = re.compile(rf"(?P<plus>plus{_GAP})|(?P<dot>[\s,-]{{1,3}}{_DOT}[\s,-]{
 # Between two labels of a host: a dot that is plain, bracketed or spelled.
 _ANY_DOT = rf"(?:\.|[ \t]{{0,3}}[\[({{<][ \t]{{0,2}}(?:{_DOT}|\.)[ \t]{{0,2}}[\])}}>][ \t]{{0,3}}|[ \t]{{1,3}}{_DOT}[ \t]{{1,3}})"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?+"
-# Words of running text that are no top-level domain.
-_PROSE = r"(?:the|then|that|this|there|they|of|on|and|or|but|if|when|where|which|who|what|for|from|with|was|were|are|we|he|she|his|her|its|not)"
-_TLD = rf"(?!{_PROSE}\b)(?:[A-Za-z]{{2,63}}|xn--[A-Za-z0-9-]{{1,59}})"
+_TLD = r"(?:[A-Za-z]{2,63}|xn--[A-Za-z0-9-]{1,59})"
+# Last labels of hosts (generic ones, then those of countries).
+SUFFIXES = frozenset("""
+com org net edu gov mil int info biz name pro io ai app dev xyz online site tech store blog shop club cloud page live media news email
+ac ad ae ar at au az ba be bg br by ca ch cl cn co cr cu cy cz de dk do ec ee eg es eu fi fr ge gr hk hr hu id ie il in ir is it jo jp ke kr kz
+lb li lk lt lu lv ma mc md me mk mt mx my ng nl no np nz om pa pe ph pk pl pt py qa ro rs ru sa se sg si sk sn th tn tr tv tw ua ug uk us uy uz
+ve vn za""".split())
+# Words that "at" follows in running text, and words that an address follows.
+BEFORE_AT = frozenset("""
+all am and are arrive arrived arrives be been being bought but buy call called came come find found get go goes going gone good had has have held
+here home is it join joined kept laugh laughed learn least live lived lives look looked looking looks made meet meeting meets met not now on only
+or order ordered out play played point read said sat see seen she shop sit smiled sold staff start started stay stayed stop stopped stood stand
+stands study studied team that them then there they this throw time up us visit visited was we went were work worked working works you""".split())
+CUES = frozenset("address contact e-mail email is mail me or reach reached send sent to via write write".split())
 # A whole host (at most 127 labels, as names have): the last label is alphabetic, and no label or address goes on after it.
 HOST = rf"{_LABEL}(?:{_ANY_DOT}{_LABEL}){{0,125}}?{_ANY_DOT}{_TLD}(?!-*[A-Za-z0-9@])(?!{_ANY_DOT}[A-Za-z0-9])"
 AT = (r"(?P<at>[ \t]{0,3}[\[({<][ \t]{0,2}(?:at|@|arroba)[ \t]{0,2}[\])}>][ \t]{0,3}"
@@ -72,6 +83,8 @@ AT = (r"(?P<at>[ \t]{0,3}[\[({<][ \t]{0,2}(?:at|@|arroba)[ \t]{0,2}[\])}>][ \t]{
 DOT = (rf"(?P<dot>[ \t]{{0,3}}[\[({{<][ \t]{{0,2}}(?:{_DOT}|\.)[ \t]{{0,2}}[\])}}>][ \t]{{0,3}}"
        rf"|(?<=[A-Za-z0-9])[ \t]{{1,3}}{_DOT}[ \t]{{1,3}}(?=[A-Za-z0-9]))")
 SIGNS = re.compile(f"{AT}|{DOT}", re.I)
+WHOLE_HOST = re.compile(HOST, re.I)
+LAST_LABEL = re.compile(r"[A-Za-z0-9-]+$")
 
 Span = tuple[str, int, int]
 
@@ -84,6 +97,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _byte(digits: str) -> bool:
+    """At most 255, whatever the number of leading zeros."""
+    significant = digits.lstrip("0")
+    return len(significant) < 3 or len(significant) == 3 and significant <= "255"
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -106,7 +125,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def detect(text: str) -> list[Span]:
     found = [("email", a, b) for a, b in emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.group().split("."))]
+        found += [("ip", *m.span()) for m in IP.finditer(text) if all(_byte(x) for x in m.group().split("."))]
         found += [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(d := _digits(m.group())) <= 19 and luhn(d)]
         if "+" in text:
             found += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
@@ -145,10 +164,35 @@ def fold_characters(text: str) -> tuple[str, list[int]] | None:
     return "".join(p for p, _ in kept), [i for _, i in kept]
 
 
+def _told_as_address(text: str, at: re.Match) -> bool:
+    """Whether ``name at host`` without brackets is meant as an address.  The host
+    must end in a known suffix (not in a word that begins a sentence).  Then a dot
+    that is spelled or bracketed tells it, or a name that no word looks like; a
+    plain word is one only after a cue: the text's or sentence's begin, punctuation
+    or a word that an address follows, and when "at" does not follow it in prose."""
+    host = WHOLE_HOST.match(text, at.end()).group()
+    last = LAST_LABEL.search(host).group()
+    if last.lower() not in SUFFIXES and not last.lower().startswith("xn--") or last[0].isupper() and last[1:].islower():
+        return False
+    start = at.start()
+    while start > 0 and text[start - 1] in LOCAL:
+        start -= 1
+    name = text[start:at.start()]
+    if not any(c.isalpha() for c in name):
+        return False
+    if any(c in "[({< \t" for c in host) or any(c in "0123456789._%+-" for c in name):
+        return True
+    before = text[max(0, start - 24):start].rstrip(" \t")
+    cue = not before or not (before[-1].isalnum() or before[-1] in "-'’") or re.split(r"[^\w-]", before)[-1].lower() in CUES
+    return cue and name.lower() not in BEFORE_AT
+
+
 def undo_disguises(text: str) -> tuple[str, list[int], list[int]] | None:
     """(text, first and last source index of each character), or None."""
     edits: list[tuple[int, int, str]] = []
     for m in SIGNS.finditer(text):
+        if m.lastgroup == "at" and m.group().strip(" \t").lower() == "at" and not _told_as_address(text, m):
+            continue
         edits.append((m.start(), m.end(), "@" if m.lastgroup == "at" else "."))
     for m in RUN.finditer(text):
         for p in RUN_PART.finditer(text, m.start(), m.end()):
