@@ -47,6 +47,8 @@ RECALL = 0.999
 #: Unrelated vectors expected in a bucket, and most rows of a block.
 BUCKET = 512
 BLOCK = 4_096
+#: Crowded buckets up to which their table is broadcast; beyond, it is joined by a shuffle.
+CROWDED = 100_000
 CHUNK = 256  # rows whose products are held at a time
 SEED = 11
 
@@ -129,7 +131,9 @@ def found_links(classes: DataFrame, threshold: float = THRESHOLD, block: int = B
     signed = stored(classes.mapInArrow(_signer(bits, tables), "key long, vec array<{}>, n long, signs array<int>".format(
         classes.schema["vec"].dataType.elementType.simpleString())), "vectors-signed")
     bucket = [F.size("vec").alias("width"), F.posexplode("signs").alias("tab", "bucket")]
-    many = signed.select(*bucket).groupBy("width", "tab", "bucket").agg(F.count(F.lit(1)).alias("_size")).filter(f"_size > {block}")
+    many = stored(signed.select(*bucket).groupBy("width", "tab", "bucket").agg(F.count(F.lit(1)).alias("_size")).filter(f"_size > {block}"),
+                  "vectors-crowded")
+    many = F.broadcast(many) if many.count() <= CROWDED else many.hint("merge")
     dealt = signed.select("key", "vec", "n", "signs", *bucket).join(many, ["width", "tab", "bucket"], "left")
     parts = F.expr(f"cast((coalesce(_size, 1L) + {block - 1}) div {block} as int)")
     cells = dealt.withColumn("_parts", parts).withColumn("own", F.pmod(F.xxhash64("key"), F.col("_parts")).cast("int")).withColumn(
