@@ -280,6 +280,11 @@ def test_token_scores_are_estimated_from_the_documents(spark, empty):
     got, likelihood = token_counts.Lattice(scores).expected(words, times)
     assert likelihood == pytest.approx(value) and dict(zip(names, got)) == pytest.approx({p: want[p] for p in names})
 
+    one_by_one = np.zeros(len(names))
+    lattice = token_counts.Lattice(scores)
+    assert sum(lattice._one(w, float(n), one_by_one) for w, n in zip(words, times)) == pytest.approx(value)
+    assert one_by_one == pytest.approx(got)
+
     text = "the language of distributed processing is the international language "
     df = spark.createDataFrame([(i, text * 400) for i in range(20)] + [(99, None)], "doc_id long, text string")
     found = token_counts.estimate(df, token_counts.piece_scores())
@@ -288,6 +293,23 @@ def test_token_scores_are_estimated_from_the_documents(spark, empty):
     assert len(set(token_counts.estimate(empty, names).values())) == 1
 
 
+def test_long_pretokens_count_like_short_ones(monkeypatch):
+    """Words beyond ``WIDE`` go one by one; 60 000 characters take seconds."""
+    rng = random.Random(2)
+    names = ["▁", *"abcé", "▁a", "ab", "▁ab", "bc", "abc", "cab", "▁abca", "bcab"]
+    scores = {p: round(-rng.uniform(0.5, 4) * 2**20) / 2**20 for p in names}
+    words = sorted({"".join(rng.choices("abcéx日", k=rng.randint(1, 30))) for _ in range(300)})
+    times = np.arange(1.0, len(words) + 1)
+    together, whole = token_counts.Segmenter(scores).counts(words), token_counts.Lattice(scores).expected(words, times)
+    monkeypatch.setattr(token_counts, "WIDE", 5)
+    assert token_counts.Segmenter(scores).counts(words) == together
+    apart = token_counts.Lattice(scores).expected(words, times)
+    assert apart[1] == pytest.approx(whole[1]) and apart[0] == pytest.approx(whole[0])
+    long = "abc日" * 15_000
+    assert token_counts.Segmenter(scores).counts([long])[long] > 15_000
+    assert token_counts.Lattice(scores).expected([long], np.ones(1))[0].sum() > 15_000
+
+
 # --- decontamination -------------------------------------------------------
 
 def words13(t):
