@@ -22,9 +22,9 @@ driver), and blocks are dealt by a hash of the row, so no id makes a hot block.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
 take no part; an empty vector scores 0 with all; vectors of different lengths
-meet on their common components (missing ones are 0); components beyond 2^40
-saturate there, scores at the limits of long; repeated rows (same id and vector)
-count once; of several vectors under one query id the smallest (array order) is
+meet on their common components (missing ones are 0); components and scores
+saturate at the limits of long; repeated rows (same id and vector) take a rank
+each; of several vectors under one query id the smallest (array order) is
 the query, and every row of that id is its own and no candidate; null ids take
 no part; equal scores are ordered by smaller id, then vector; fewer than k
 candidates give them all; extra columns are ignored.
@@ -40,7 +40,6 @@ from pyspark.sql import functions as F
 from tessera.llm.common import partitions, stored
 
 SCALE = 64
-LIMIT = 2**40
 #: Most bytes of vectors in a query block and in a candidate block.
 QUERY_BYTES = 8 << 20
 CANDIDATE_BYTES = 32 << 20
@@ -52,8 +51,9 @@ EXACT = 2**53
 def quantised(vec: Column) -> Column:
     """floor(64 * x) of every component as long; null when the vector takes no part."""
     ok = vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    clip = lambda x: F.greatest(F.least(x, F.lit(float(LIMIT))), F.lit(float(-LIMIT)))
-    return F.when(ok, F.transform(vec, lambda x: F.floor(clip(x.cast("double") * F.lit(float(SCALE))))))
+    top = F.lit(float(2**63))
+    whole = lambda x: F.when(x >= top, F.lit(2**63 - 1)).when(x <= -top, F.lit(-(2**63))).otherwise(F.floor(x))
+    return F.when(ok, F.transform(vec, lambda x: whole(x.cast("double") * F.lit(float(SCALE)))))
 
 
 def _matrix(vectors, width: int) -> np.ndarray:
@@ -67,7 +67,8 @@ def _pair(q: pd.DataFrame, c: pd.DataFrame):
     """Query and candidate matrices in a type that is exact for their products."""
     width = max(max(map(len, q["vec"])), max(map(len, c["vec"])), 1)
     a, b = _matrix(q["vec"], width), _matrix(c["vec"], width)
-    top = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * width
+    size = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    top = size(a) * size(b) * width
     if top < 2**24:
         return a.astype(np.float32), b.astype(np.float32)
     if top < EXACT:
@@ -114,11 +115,11 @@ def _gather(k: int, lists: int):
 
 def _resolve(k: int, lists: int):
     def phases23(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        cols = ["query_id", "vec_id", "score"]
+        cols = ["query_id", "vec_id", "score", "copies"]
         if not len(q) or not len(c):
             return pd.DataFrame({x: pd.Series(dtype="int64") for x in cols})
         a, b = _pair(q, c)
-        qid, cid = q["id"].to_numpy(), c["id"].to_numpy()
+        qid, cid, copies = q["id"].to_numpy(), c["id"].to_numpy(), c["copies"].to_numpy()
         cut = q["cutoff"].to_numpy(dtype=object)
         parts_of = _slices(a.shape[1], lists)
         out = []
@@ -144,7 +145,7 @@ def _resolve(k: int, lists: int):
                 if a.dtype != object:
                     scores = scores.astype(np.int64)
                 order = np.lexsort((cid[entries], -scores))[:k]
-                out += [(qid[at + i], cid[entries[j]], _long(scores[j])) for j in order]
+                out += [(qid[at + i], cid[entries[j]], _long(scores[j]), copies[entries[j]]) for j in order]
         return pd.DataFrame(out, columns=cols).astype("int64")
 
     return phases23
@@ -155,7 +156,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, lists: int = LIST
     """``vectors`` and ``queries`` hold (id long, vec array<long>).  Returns
     (query_id, rank, vec_id, score).  Blocks are bounded in bytes whatever the
     table size; small tables are cut finer, so that all cores have a block."""
-    c = stored(vectors.filter("id IS NOT NULL AND vec IS NOT NULL").select("id", "vec").distinct(), "topk-vectors")
+    c = stored(vectors.filter("id IS NOT NULL AND vec IS NOT NULL").groupBy("id", "vec").agg(
+        F.count(F.lit(1)).alias("copies")), "topk-vectors")
     q = stored(queries.filter("id IS NOT NULL AND vec IS NOT NULL").groupBy("id").agg(F.min("vec").alias("vec")), "topk-queries")
     n = partitions(c)
     rows, width = c.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
@@ -175,7 +177,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, lists: int = LIST
     cutoffs = heads.filter(F.col("_n") <= k).groupBy("query_id").agg(
         F.when(F.count("score") >= k, F.min("score")).alias("cutoff"))
     cut_q = stored(q.join(cutoffs, q["id"] == cutoffs["query_id"], "left").select("id", "vec", "cutoff"), "topk-cutoffs")
-    found = meet(cut_q, _resolve(k, lists), "query_id long, vec_id long, score long")
+    found = meet(cut_q, _resolve(k, lists), "query_id long, vec_id long, score long, copies long").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k)))))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

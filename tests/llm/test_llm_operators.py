@@ -97,15 +97,15 @@ def test_quality_held_out(spark, sf_dir):
 def test_topk_matches_brute_force_with_ties_and_odd_vectors(spark):
     rng = random.Random(3)
     rows = [(i, [float(rng.choice([-1, 0, 1, 0.5])) for _ in range(5)]) for i in range(300)]
+    rows += [(310, [2.0**30] * 5), (311, [2.0**34] * 5), (312, [-(2.0**57)] * 5), (313, [2.0**57, 1.0, 0.0, 0.0, 0.0]), (9, [0.5] * 5), (9, [0.5] * 5), (9, [0.5] * 5)]
     rows += [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0]), (302, [float("nan")] * 5), (303, [float("inf")] * 5), (304, []), (305, [1.0]),
              (None, [1.0] * 5), (306, [1e300] * 5), (7, rows[7][1]), (8, [0.25] * 5)]
     v = spark.createDataFrame(rows, "id long, e array<double>").select("id", topk_search.quantised(F.col("e")).alias("vec"))
     got = {}
     for r in topk_search.top_k(v, v.filter("id % 20 = 0"), k=7, lists=3, query_bytes=200, candidate_bytes=2_000).collect():
         got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
-    lim = 2**40
-    clean = {(i, tuple(max(-lim, min(lim, math.floor(64 * x) if abs(64 * x) < lim else int(math.copysign(lim, x)))) for x in e)) for i, e in rows
-             if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)}
+    clean = [(i, tuple(max(-(2**63), min(2**63 - 1, math.floor(64 * x))) for x in e)) for i, e in rows
+             if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
     clamp = lambda s: max(-(2**63), min(2**63 - 1, s))
     for q in {i for i, _ in clean if i % 20 == 0}:
         qv = min(e for i, e in clean if i == q)
