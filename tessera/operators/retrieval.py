@@ -22,6 +22,16 @@ PROMPT_TEMPLATE_HEAD = (
 )
 PROMPT_TEMPLATE_QUESTION = " Вопрос: "
 PROMPT_TEMPLATE_TAIL = " Ответ: "
+INSTRUCTED_HEAD = """Ты - AI-ассистент, который отвечает на вопросы на основе предоставленного контекста.
+        ИНСТРУКЦИИ:
+        1. Используй только информацию из предоставленного контекста
+        2. Если в контексте нет ответа, честно скажи об этом
+        3. Будь точным и информативным
+        4. Отвечай на русском языке
+        КОНТЕКСТ: """
+INSTRUCTED_QUESTION = "\n        ВОПРОС: "
+INSTRUCTED_TAIL = "\n        ОТВЕТ: "
+ERROR_ANSWER = "Произошла ошибка: "
 CONTEXT_DOC_LABEL = "Документ"
 CONTEXT_SIMILARITY_LABEL = "схожесть"
 STRUCTURED_TITLE = "Заголовок"
@@ -81,10 +91,11 @@ def context_budget(df: DataFrame, partition: list[str], order: list[str], length
 
 
 def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid",
-                      answers: DataFrame | None = None) -> DataFrame:
+                      answers: DataFrame | None = None, error: str | None = None) -> DataFrame:
     """One response row per question (questions with no surviving document
     get the fixed no-information answer; with ``answers`` = (qid, answer)
-    from a generator, the others get theirs)."""
+    from a generator, the others get theirs).  A question whose column ``error``
+    is set has failed: its response has no documents and tells the error."""
     per_q = kept.groupBy(qid).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.array_join(
@@ -93,7 +104,8 @@ def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid",
         F.sum("doc_length").cast("long").alias("context_chars"),
         F.round(F.max("score"), 6).alias("best_score"),
     )
-    out = questions.select(qid).join(per_q, on=qid, how="left")
+    failed = F.col(error) if error else F.lit(None).cast("string")
+    out = questions.select(qid, failed.alias("_error")).join(per_q, on=qid, how="left")
     generated = F.lit(None).cast("string")
     if answers is not None:
         out = out.join(answers.select(qid, F.col("answer").alias("_gen")), on=qid, how="left")
@@ -105,11 +117,35 @@ def assemble_response(questions: DataFrame, kept: DataFrame, qid: str = "qid",
         F.coalesce(F.col("doc_ids"), F.lit("")).alias("doc_ids"),
         F.coalesce(F.col("context_chars"), F.lit(0)).cast("long").alias("context_chars"),
         "best_score",
-        F.when(n == 0, F.lit("no_context")).otherwise(F.lit("ready")).alias("status"),
-        F.when(n == 0, F.lit(NO_CONTEXT_ANSWER)).otherwise(generated).alias("answer"),
+        F.when(F.col("_error").isNotNull(), F.lit("error")).when(n == 0, F.lit("no_context")).otherwise(F.lit("ready")).alias("status"),
+        F.when(F.col("_error").isNotNull(), F.concat(F.lit(ERROR_ANSWER), "_error"))
+        .when(n == 0, F.lit(NO_CONTEXT_ANSWER)).otherwise(generated).alias("answer"),
     )
 
 
+def _json_text(text: Column) -> Column:
+    """A string as JSON in ASCII: escapes for quotes, backslashes and controls,
+    ``\\uXXXX`` (of UTF-16) for every other character."""
+    quoted = F.to_json(F.array(text))
+    inside = F.substring(quoted, 2, F.char_length(quoted) - 2)
+
+    def escaped(done: Column, char: Column) -> Column:
+        code = F.lower(F.hex(F.encode(char, "UTF-16BE")))
+        units = F.transform(F.sequence(F.lit(0), (F.char_length(code) / 4 - 1).cast("int")), lambda i: F.concat(
+            F.lit("\\u"), F.substring(code, (i * 4 + 1).cast("int"), F.lit(4))))
+        return F.replace(done, char, F.array_join(units, ""))
+
+    return F.aggregate(F.array_distinct(F.regexp_extract_all(inside, F.lit(r"[^\x20-\x7E]"), 0)), inside, escaped)
+
+
+def canonical_json(fields: Column) -> Column:
+    """A map of strings as JSON text with sorted keys, ``", "`` and ``": "``
+    (the default form of Python's ``json.dumps``); no map is ``{}``."""
+    pairs = F.array_sort(F.map_entries(fields))
+    entry = lambda e: F.concat(_json_text(e["key"]), F.lit(": "), F.coalesce(_json_text(e["value"]), F.lit("null")))
+    return F.coalesce(F.concat(F.lit("{"), F.array_join(F.transform(pairs, entry), ", "), F.lit("}")), F.lit("{}"))
+
+
 def request_id(question: Column, context_json: Column | None = None) -> Column:
     """First 10 hex chars of md5(question + JSON of the user context); no
     context is the text ``{}``."""
@@ -152,6 +188,11 @@ def prompt(context: Column, question: Column) -> Column:
                     F.lit(PROMPT_TEMPLATE_TAIL))
 
 
+def instructed_prompt(structured: Column, question: Column) -> Column:
+    """The prompt with instructions, over a structured context."""
+    return F.concat(F.lit(INSTRUCTED_HEAD), structured, F.lit(INSTRUCTED_QUESTION), question, F.lit(INSTRUCTED_TAIL))
+
+
 def extract_after_prompt(generated: Column, prompt_text: Column) -> Column:
     """Text after the prompt (when the output starts with it), stripped."""
     rest = generated.substr(F.char_length(prompt_text) + 1, F.char_length(generated) + 1)

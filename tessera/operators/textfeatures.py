@@ -1,5 +1,5 @@
 """Text features: answer flags, token encoding with padding, TF-IDF, and the
-benchmark grid / model summary built from them."""
+quality columns and model summary built from them."""
 
 from __future__ import annotations
 
@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from tessera.functions.text import WORD
 from tessera.operators.retrieval import strip_ws
 
-# Phrases marking an uncertain answer, and the compared models.
+# Phrases marking an uncertain answer.
 UNCERTAINTY_PHRASES = ["не знаю", "нет информации"]
-BENCHMARK_MODELS = ["facebook/bart-base", "gpt2-medium", "microsoft/DialoGPT-medium", "t5-small"]
 PAD_TOKEN = "[PAD]"
 
 
@@ -51,14 +50,15 @@ def tfidf(docs: DataFrame, key: str, text: str, vocab_size: int = 1000) -> DataF
 
     The vocabulary is a global top-k (bounded by ``vocab_size``), so it is the
     only side that is broadcast; every other step is keyed by document or term."""
-    # hash-partition the documents once: the (doc, term) aggregation, the
-    # per-document window and the vocabulary join then need no further
-    # shuffle of tokens (which outnumber the text several times)
+    # hash-partition the documents once: the (doc, term) aggregation then needs no
+    # shuffle of tokens (which outnumber the text several times); its rows are
+    # stored, so that the texts are tokenised once for both readers
     from tessera.functions.text import by_key
+    from tessera.sources.files import stored
 
     by_doc = by_key(docs.select(key, text), key)
     tok = by_doc.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)).alias("term"))
-    tf = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = stored(tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")), "term-counts")
     # one pass over (doc, term) rows gives both the corpus frequency and the
     # document frequency of every term; the vocabulary keeps its df
     vocab = (
@@ -75,17 +75,14 @@ def tfidf(docs: DataFrame, key: str, text: str, vocab_size: int = 1000) -> DataF
     return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
-def benchmark_frame(coverage: DataFrame) -> DataFrame:
-    """models x questions grid: every model row carries the recorded answer's
-    quality columns (``coverage`` has pair_id, answer, keyword_coverage,
-    matched_keywords_count).  The models are a fixed list, expanded with
-    ``explode`` (a generator, not a join)."""
-    models = F.array(*[F.lit(m) for m in BENCHMARK_MODELS])
+def answer_quality(coverage: DataFrame) -> DataFrame:
+    """The quality columns of each recorded answer (``coverage`` has pair_id,
+    answer, keyword_coverage, matched_keywords_count); an answer without text is
+    no success."""
     return coverage.select(
-        F.explode(models).alias("model"),
         "pair_id",
         F.char_length("answer").alias("answer_length"),
-        F.lit(True).alias("success"),
+        (strip_ws(F.col("answer")) != "").alias("success"),
         has_content("answer").alias("answer_has_content"),
         contains_uncertainty("answer").alias("contains_uncertainty"),
         "keyword_coverage",

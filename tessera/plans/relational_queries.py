@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tessera.operators.knn import metadata_filter
 from tessera.plans.registry import register
-from tessera.plans.retrieval_queries import PAIRS_SQL, qa_pairs
 from tessera.sources.tables import TABLES, Tables
 
 RENAMES = {"o_orderkey": "order_id", "o_custkey": "customer_id", "o_orderstatus": "status",
@@ -96,16 +95,24 @@ def set_intersect(spark, sf_dir):
         t.supplier.select(F.col("s_nationkey").alias("nationkey")))
 
 
-@register("join_positional_zip", sql=f"""WITH {PAIRS_SQL}
-SELECT pair_id, 'assistant' AS role, CAST(length(question) AS INTEGER) AS question_chars,
-       CAST(length(answer) AS INTEGER) AS answer_chars FROM qa""")
+@register("join_positional_zip", sql="""SELECT CAST(u.conv_id AS VARCHAR) || ':' || CAST(u.turn AS VARCHAR) AS pair_id,
+  a.role AS role, CAST(a.turn AS VARCHAR) AS turn, CAST(length(u.text) AS INTEGER) AS question_chars, CAST(length(a.text) AS INTEGER) AS answer_chars
+FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""")
 def join_positional_zip(spark, sf_dir):
     """Pair each case with its answer on an explicit case key (never a
-    generated row number); on a shared field the right side wins."""
-    p = qa_pairs(spark, sf_dir)
-    left = F.create_map(F.lit("role"), F.lit("user"))
-    right = F.create_map(F.lit("role"), F.lit("assistant"))
-    # right side wins, independent of spark.sql.mapKeyDedupPolicy
-    merged = F.map_concat(F.map_filter(left, lambda k, _v: ~F.array_contains(F.map_keys(right), k)), right)
-    return p.select("pair_id", merged["role"].alias("role"), F.char_length("question").alias("question_chars"),
-                    F.char_length("answer").alias("answer_chars"))
+    generated row number); the two rows are maps of their fields, and on a shared
+    field the right side wins."""
+    c = Tables(spark, sf_dir).conversations
+    fields = lambda name: F.create_map(F.lit("role"), F.col("role"), F.lit("turn"), F.col("turn").cast("string"), F.lit(name), F.col("text"))
+    asked = c.filter(F.col("role") == "user").select("conv_id", F.col("turn").alias("at"), fields("question").alias("left"))
+    told = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("at"), fields("answer").alias("right"))
+    pairs = asked.join(told, ["conv_id", "at"]).select("conv_id", "at", merged(F.col("left"), F.col("right")).alias("m"))
+    return pairs.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("at").cast("string")).alias("pair_id"),
+                        F.col("m")["role"].alias("role"), F.col("m")["turn"].alias("turn"),
+                        F.char_length(F.col("m")["question"]).alias("question_chars"), F.char_length(F.col("m")["answer"]).alias("answer_chars"))
+
+
+def merged(left, right):
+    """Both maps in one; the right value where both have a key (also a null one),
+    whatever ``spark.sql.mapKeyDedupPolicy`` says."""
+    return F.map_concat(F.map_filter(left, lambda k, _v: ~F.array_contains(F.map_keys(right), k)), right)

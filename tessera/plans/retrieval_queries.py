@@ -14,6 +14,7 @@ from tessera.functions.text import SPACE
 from tessera.operators import evaluation as ev
 from tessera.operators import retrieval as rt
 from tessera.operators.knn import knn, knn_self
+from tessera.operators.requests import ERR_EMPTY, ERR_TOO_LONG, TEXT_MAX_CHARS, TEXT_MIN_CHARS, validate_text
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
 
@@ -119,13 +120,17 @@ def win_context_budget(spark, sf_dir):
 
 def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, threshold: float = THRESHOLD,
                       budget: int = rt.MAX_CONTEXT_LENGTH, generator_factory=None) -> DataFrame:
-    """Questions = every embedding (the text of document ``qid``).  With a
-    ``generator_factory`` the kept documents become a numbered context, the
+    """Questions = every embedding (the text of document ``qid``).  A question
+    without text, or beyond a request's length, fails: it is not searched for and
+    its response tells the error.  With a ``generator_factory`` the kept documents become a numbered context, the
     prompt goes through the user's generator (batched, ``mapInPandas``) and
     the answer is cut after the prompt and post-processed."""
     t = Tables(spark, sf_dir)
-    questions = t.embeddings.select(F.col("vec_id").alias("qid"))
-    hits = rt.similarity_threshold(self_knn(spark, sf_dir, k), threshold)
+    texts = t.documents.select(F.col("doc_id").alias("qid"), "text")
+    asked = t.embeddings.withColumnRenamed("vec_id", "qid").join(texts, "qid", "left").withColumn("error", validate_text(F.col("text"))[1])
+    questions = asked.select("qid", "error")
+    hits = knn(asked.filter("error is null"), t.embeddings, k, id_col="vec_id", exclude_self=True)
+    hits = rt.similarity_threshold(hits, threshold)
     hits = rt.stable_desc_position(hits)
     docs = t.documents.select(F.col("doc_id").alias("id"), F.col("n_chars").alias("doc_length"))
     hits = hits.join(docs, on="id", how="left").withColumn("doc_length", F.coalesce(F.col("doc_length"), F.lit(0)))
@@ -144,23 +149,25 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
         gen = hooks.generate(prompts, "prompt", generator_factory)
         raw = F.coalesce(rt.extract_after_prompt(F.col("generated"), F.col("prompt")), F.col("generated"))
         answers = gen.select("qid", rt.postprocess(raw).alias("answer"))
-    return rt.assemble_response(questions, kept, answers=answers)
+    return rt.assemble_response(questions, kept, answers=answers, error="error")
 
 
 RAG_SQL = f"""WITH {knn_sql(5)},
+asked AS (SELECT vec_id AS qid, CASE WHEN text IS NULL OR length(text) < {TEXT_MIN_CHARS} THEN '{ERR_EMPTY}'
+    WHEN length(text) > {TEXT_MAX_CHARS} THEN '{ERR_TOO_LONG}' END AS error FROM embeddings LEFT JOIN documents ON doc_id = vec_id),
 f AS (
   SELECT h.qid, h.id, h.score, coalesce(d.n_chars, 0) AS len,
          row_number() OVER (PARTITION BY h.qid ORDER BY h.score DESC, h.rank) AS pos
-  FROM hits h LEFT JOIN documents d ON d.doc_id = h.id WHERE h.score >= {THRESHOLD}),
+  FROM hits h JOIN asked ON asked.qid = h.qid AND error IS NULL LEFT JOIN documents d ON d.doc_id = h.id WHERE h.score >= {THRESHOLD}),
 b AS (SELECT *, sum(len) OVER (PARTITION BY qid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM f),
 k AS (SELECT qid, count(*) AS n_docs, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS doc_ids,
              CAST(sum(len) AS BIGINT) AS context_chars, round(max(score), 6) AS best_score
       FROM b WHERE run <= 2000 GROUP BY qid)
-SELECT q.vec_id AS qid, CAST(coalesce(k.n_docs, 0) AS BIGINT) AS n_docs, coalesce(k.doc_ids, '') AS doc_ids,
+SELECT q.qid, CAST(coalesce(k.n_docs, 0) AS BIGINT) AS n_docs, coalesce(k.doc_ids, '') AS doc_ids,
        CAST(coalesce(k.context_chars, 0) AS BIGINT) AS context_chars, k.best_score,
-       CASE WHEN coalesce(k.n_docs, 0) = 0 THEN 'no_context' ELSE 'ready' END AS status,
-       CASE WHEN coalesce(k.n_docs, 0) = 0 THEN '{rt.NO_CONTEXT_ANSWER}' END AS answer
-FROM embeddings q LEFT JOIN k ON k.qid = q.vec_id"""
+       CASE WHEN error IS NOT NULL THEN 'error' WHEN coalesce(k.n_docs, 0) = 0 THEN 'no_context' ELSE 'ready' END AS status,
+       CASE WHEN error IS NOT NULL THEN '{rt.ERROR_ANSWER}' || error WHEN coalesce(k.n_docs, 0) = 0 THEN '{rt.NO_CONTEXT_ANSWER}' END AS answer
+FROM asked q LEFT JOIN k ON k.qid = q.qid"""
 
 
 @register("rag_retrieve_pipeline", sql=RAG_SQL)

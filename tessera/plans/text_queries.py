@@ -188,20 +188,21 @@ def prj_answer_flags(spark, sf_dir):
                     tf.contains_uncertainty("text").alias("contains_uncertainty"))
 
 
-MODELS_SQL = "[" + ", ".join(f"'{m}'" for m in tf.BENCHMARK_MODELS) + "]"
-
-
 @register(
     "rag_benchmark_frame",
     sql=f"""WITH {COVERAGE_SQL}
-SELECT unnest({MODELS_SQL}) AS model, pair_id, CAST(length(answer) AS INTEGER) AS answer_length, true AS success,
+SELECT d.source AS category, pair_id, CAST(length(answer) AS INTEGER) AS answer_length,
+       regexp_replace(answer, '{STRIP}', '', 'g') <> '' AS success,
        length(regexp_replace(answer, '{STRIP}', '', 'g')) > 10 AS answer_has_content,
        ({UNCERTAINTY_SQL.format(x='answer')}) AS contains_uncertainty,
        round(kc, 6) AS keyword_coverage, matched_keywords_count
-FROM cov2""",
+FROM cov2 JOIN documents d ON CAST(d.doc_id AS VARCHAR) = string_split(pair_id, ':')[1]""",
 )
 def rag_benchmark_frame(spark, sf_dir):
-    return tf.benchmark_frame(_coverage_frame(spark, sf_dir))
+    """The quality columns of every recorded answer, with the source of its document to group by."""
+    d = Tables(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("_doc"), F.col("source").alias("category"))
+    frame = tf.answer_quality(_coverage_frame(spark, sf_dir))
+    return frame.join(d, F.substring_index("pair_id", ":", 1) == F.col("_doc")).select("category", *frame.columns)
 
 
 @register(
@@ -227,11 +228,19 @@ def agg_model_summary(spark, sf_dir):
 
 @register(
     "rag_request_id",
-    sql="SELECT conv_id, turn, substr(md5(text || '{}'), 1, 10) AS request_id FROM conversations WHERE role = 'user'",
+    sql="""SELECT conv_id, turn, substr(md5(c.text || CASE WHEN d.doc_id IS NULL THEN '{}' ELSE
+  '{"lang": ' || coalesce('"' || d.lang || '"', 'null') || ', "source": ' || coalesce('"' || d.source || '"', 'null')
+  || ', "turn": "' || CAST(turn AS VARCHAR) || '"}' END), 1, 10) AS request_id
+FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id WHERE role = 'user'""",
 )
 def rag_request_id(spark, sf_dir):
-    c = Tables(spark, sf_dir).conversations.filter(F.col("role") == "user")
-    return c.select("conv_id", "turn", rt.request_id(F.col("text")).alias("request_id"))
+    """The user context is a map made of the conversation's document and the turn."""
+    t = Tables(spark, sf_dir)
+    d = t.documents.select(F.col("doc_id").alias("conv_id"), "lang", "source", F.lit(True).alias("known"))
+    c = t.conversations.filter(F.col("role") == "user").join(d, "conv_id", "left")
+    context = F.when(F.col("known"), F.create_map(
+        F.lit("turn"), F.col("turn").cast("string"), F.lit("source"), F.col("source"), F.lit("lang"), F.col("lang")))
+    return c.select("conv_id", "turn", rt.request_id(F.col("text"), rt.canonical_json(context)).alias("request_id"))
 
 
 def _hits_with_docs(spark: SparkSession, sf_dir: str, k: int = 3) -> DataFrame:
@@ -257,13 +266,15 @@ def rag_context_string(spark, sf_dir):
     return c.select("qid", F.md5("context").alias("context_md5"), F.char_length("context").alias("context_chars"))
 
 
-@register(
-    "rag_structured_context",
-    sql=f"""WITH {HITS_DOCS_SQL},
-sc AS (SELECT qid, chr(10) || '{rt.RULE}' || string_agg(printf('{rt.CONTEXT_DOC_LABEL} %d:' || chr(10) ||
+STRUCTURED_SQL = f"""sc AS (SELECT qid, chr(10) || '{rt.RULE}' || string_agg(printf('{rt.CONTEXT_DOC_LABEL} %d:' || chr(10) ||
          '{rt.STRUCTURED_TITLE}: %s' || chr(10) || '{rt.STRUCTURED_CATEGORY}: %s' || chr(10) ||
          '{rt.STRUCTURED_RELEVANCE}: %.3f' || chr(10) || '{rt.STRUCTURED_CONTENT}: %s' || chr(10),
-         rank, title, category, score, content), chr(10) ORDER BY rank) || '{rt.RULE}' AS context FROM hd GROUP BY qid)
+         rank, title, category, score, content), chr(10) ORDER BY rank) || '{rt.RULE}' AS context FROM hd GROUP BY qid)"""
+
+
+@register(
+    "rag_structured_context",
+    sql=f"""WITH {HITS_DOCS_SQL}, {STRUCTURED_SQL}
 SELECT qid, md5(context) AS context_md5, CAST(length(context) AS INTEGER) AS context_chars FROM sc""",
 )
 def rag_structured_context(spark, sf_dir):
@@ -273,16 +284,24 @@ def rag_structured_context(spark, sf_dir):
 
 @register(
     "rag_prompt",
-    sql=f"""WITH {CTX_SQL},
-p AS (SELECT ctx.qid, '{rt.PROMPT_TEMPLATE_HEAD}' || ctx.context || '{rt.PROMPT_TEMPLATE_QUESTION}' || d.text
-             || '{rt.PROMPT_TEMPLATE_TAIL}' AS prompt FROM ctx JOIN documents d ON d.doc_id = ctx.qid)
-SELECT qid, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_length FROM p""",
+    sql=f"""WITH {CTX_SQL}, {STRUCTURED_SQL},
+p AS (SELECT ctx.qid, 'plain' AS template, '{rt.PROMPT_TEMPLATE_HEAD}' || ctx.context || '{rt.PROMPT_TEMPLATE_QUESTION}' || d.text
+             || '{rt.PROMPT_TEMPLATE_TAIL}' AS prompt FROM ctx JOIN documents d ON d.doc_id = ctx.qid
+      UNION ALL SELECT sc.qid, 'instructed', '{rt.INSTRUCTED_HEAD}' || sc.context || '{rt.INSTRUCTED_QUESTION}' || d.text
+             || '{rt.INSTRUCTED_TAIL}' FROM sc JOIN documents d ON d.doc_id = sc.qid)
+SELECT qid, template, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_length FROM p""",
 )
 def rag_prompt(spark, sf_dir):
-    ctx = rt.context_string(_hits_with_docs(spark, sf_dir), "qid", "rank", "title", "score", "content")
+    """Both templates for every question: the plain one over the context string and
+    the one with instructions over the structured context."""
+    hits = _hits_with_docs(spark, sf_dir)
     q = Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("qid"), F.col("text").alias("question"))
-    p = ctx.join(q, "qid").select("qid", rt.prompt(F.col("context"), F.col("question")).alias("prompt"))
-    return p.select("qid", F.md5("prompt").alias("prompt_md5"), F.char_length("prompt").alias("prompt_length"))
+    plain = rt.context_string(hits, "qid", "rank", "title", "score", "content")
+    structured = rt.structured_context(hits, "qid", "rank", "title", "category", "score", "content")
+    both = [(plain, "plain", rt.prompt), (structured, "instructed", rt.instructed_prompt)]
+    rows = [c.join(q, "qid").select("qid", F.lit(name).alias("template"), made(F.col("context"), F.col("question")).alias("prompt"))
+            for c, name, made in both]
+    return rows[0].unionByName(rows[1]).select("qid", "template", F.md5("prompt").alias("prompt_md5"), F.char_length("prompt").alias("prompt_length"))
 
 
 @register(

@@ -625,3 +625,29 @@ def test_texts_without_content_are_answered_with_the_error_label(spark, sf_dir):
     rows = se.queries()["ml_batch_predict_safe"](spark, sf_dir).collect()
     for r in rows:
         assert (r.prediction == "error") == (r.doc_id % 50 in (7, 8, 9)) and (r.confidence == 0.0) == (r.prediction == "error")
+
+
+def test_canonical_json_equals_json_dumps(spark):
+    import json
+
+    from tessera.operators import retrieval as rt
+
+    maps = [{}, {"b": "1", "a": 'x"y\\z'}, {"é": "日本😀\n\t\x01\x7f/", "Z": None, " ": "", "é2": "\u2028"}]
+    df = spark.createDataFrame(list(enumerate(maps)) + [(9, None)], "i int, m map<string,string>")
+    got = {r.i: r.j for r in df.select("i", rt.canonical_json(F.col("m")).alias("j")).collect()}
+    assert got == {i: json.dumps(m, sort_keys=True) for i, m in enumerate(maps)} | {9: "{}"}
+
+
+def test_merge_of_maps_takes_the_right_value(spark):
+    from tessera.plans.relational_queries import merged
+
+    df = spark.createDataFrame([({"a": "1", "b": "2"}, {"b": None, "c": "4"}), ({}, {"a": "1"}), ({"a": "1"}, {})], "l map<string,string>, r map<string,string>")
+    got = [r.m for r in df.select(merged(F.col("l"), F.col("r")).alias("m")).collect()]
+    assert got == [{"a": "1", "b": None, "c": "4"}, {"a": "1"}, {"a": "1"}]
+
+
+def test_failed_requests_are_answered_with_the_error(spark):
+    q = spark.createDataFrame([(1, None), (2, "boom"), (3, None)], "qid long, error string")
+    kept = spark.createDataFrame([(1, 7, 1, 5, 0.9), (2, 7, 1, 5, 0.9)], "qid long, id long, pos int, doc_length int, score double")
+    got = {r.qid: (r.status, r.answer) for r in rt.assemble_response(q, kept, error="error").collect()}
+    assert got == {1: ("ready", None), 2: ("error", rt.ERROR_ANSWER + "boom"), 3: ("no_context", rt.NO_CONTEXT_ANSWER)}
