@@ -95,9 +95,22 @@ def snk_ntriples(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-@register("src_rdf_triples", sql=views.with_views("SELECT DISTINCT s, p, o, o_kind, lang FROM T", views.T_SQL))
+XSD_INTEGER = "http://www.w3.org/2001/XMLSchema#integer"
+
+
+@register("src_rdf_triples", sql=views.with_views(f"""SELECT format, s, p, o, o_kind, lang, dtype FROM (
+  SELECT DISTINCT s, p, o, o_kind, lang, '' AS dtype FROM T
+  UNION SELECT DISTINCT 'c' || CAST(c_custkey AS VARCHAR), 'nationNumber', CAST(c_nationkey AS VARCHAR), 'lit', '', '{XSD_INTEGER}' FROM customer),
+  (SELECT unnest(['nt', 'rdf']) AS format)""", views.T_SQL))
 def src_rdf_triples(spark, sf_dir):
-    """Serialise the triple view as N-Triples, then load the files back as a triple set."""
-    path = files.scratch_path(spark, "ntriples")
-    rdf.write_ntriples(views.triples(spark, sf_dir), path)
-    return rdf.read_ntriples(spark, path)
+    """Write the triple view (and a typed literal per customer) as N-Triples and as
+    RDF/XML, then load each by its extension as a triple set."""
+    typed = Tables(spark, sf_dir).customer.select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("s"), F.lit("nationNumber").alias("p"), F.col("c_nationkey").cast("string").alias("o"),
+        F.lit("lit").alias("o_kind"), F.lit("").alias("lang"), F.lit(XSD_INTEGER).alias("dtype"))
+    triples = views.triples(spark, sf_dir).withColumn("dtype", F.lit("")).unionByName(typed)
+    path = files.scratch_path(spark, "triples")
+    rdf.write_ntriples(triples, path + ".nt")
+    rdf.write_rdfxml(triples, path + ".rdf")
+    read = [rdf.read_triples(spark, f"{path}.{x}").withColumn("format", F.lit(x)) for x in ("nt", "rdf")]
+    return read[0].unionByName(read[1])

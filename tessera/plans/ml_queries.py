@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.operators import classify as cl
 from tessera.plans.registry import register
 from tessera.sources import files
-from tessera.sources.runs import RunLog, best_run, run_table
+from tessera.sources.runs import RunLog, best_run, run_table, run_trees
 from tessera.sources.tables import Tables
 
 
@@ -157,18 +157,43 @@ def agg_best_run(spark, sf_dir):
     return best_run(runs.select("run_id", F.try_element_at("metrics", F.lit("error")).alias("eval_loss")), "eval_loss")
 
 
-@register("snk_run_log", sql="""SELECT 'metric' AS kind, user_id AS run_id, event_type AS key, value, epoch_us(ts) AS step FROM events
-UNION ALL SELECT 'param', user_id, 'n_events', CAST(count(*) AS DOUBLE), NULL FROM events GROUP BY user_id""")
+@register("snk_run_log", sql="""WITH RECURSIVE runs AS (
+  SELECT DISTINCT user_id AS run_id, CASE WHEN user_id >= 10 THEN user_id // 10 END AS parent FROM events),
+up AS (SELECT run_id, run_id AS root, parent FROM runs
+  UNION ALL SELECT up.run_id, up.parent, runs.parent FROM up LEFT JOIN runs ON runs.run_id = up.parent WHERE up.parent IS NOT NULL),
+tree AS (SELECT root, run_id FROM up WHERE parent IS NULL),
+log AS (SELECT DISTINCT user_id, 'types.txt' AS path, string_agg(DISTINCT event_type, chr(10) ORDER BY event_type) AS content FROM events GROUP BY user_id)
+SELECT 'metric' AS kind, user_id AS run_id, event_type AS key, value, epoch_us(ts) AS step FROM events
+UNION ALL SELECT 'param', user_id, 'n_events', CAST(count(*) AS DOUBLE), NULL FROM events GROUP BY user_id
+UNION ALL SELECT 'artifact', user_id, path || ':' || md5(content), CAST(strlen(content) AS DOUBLE), NULL FROM log
+UNION ALL SELECT 'parent', run_id, 'parent_run_id', CAST(parent AS DOUBLE), NULL FROM runs
+UNION ALL SELECT 'tree', root, 'runs', CAST(count(*) AS DOUBLE), NULL FROM tree GROUP BY root
+UNION ALL SELECT 'tree', root, 'sum_error', round(sum(value), 2), NULL FROM tree JOIN events ON user_id = run_id WHERE event_type = 'error' GROUP BY root""")
 def snk_run_log(spark, sf_dir):
-    """Append the run log (metrics per step, one parameter per run) and read it back."""
+    """Append the run log (metrics per step, one parameter, one artifact and the
+    parent of each run), read it back and roll the nested runs up: a user's run is
+    nested in that of the user whose number lacks the last digit."""
     log = RunLog(spark, files.scratch_path(spark, "runs"))
     m = _metric_log(spark, sf_dir)
     log.log_metrics(m)
     log.log_params(m.groupBy("run_id").agg(F.lit("n_events").alias("key"), F.count(F.lit(1)).alias("value")))
-    metrics = log.metrics().select(F.lit("metric").alias("kind"), "run_id", "key", "value", "step")
-    params = log.params().select(F.lit("param").alias("kind"), "run_id", "key", F.col("value").cast("double"),
-                                 F.lit(None).cast("long").alias("step"))
-    return metrics.unionByName(params)
+    log.log_runs(m.select("run_id", F.when(F.col("run_id") >= 10, F.expr("run_id div 10")).alias("parent_run_id")).distinct())
+    log.log_artifacts(m.groupBy("run_id").agg(F.array_join(F.array_sort(F.collect_set("key")), "\n").alias("content")).withColumn("path", F.lit("types.txt")))
+    row = lambda kind, run, key, value: [F.lit(kind).alias("kind"), F.col(run).alias("run_id"), key.alias("key"), value.cast("double").alias("value")]
+    metrics = log.metrics()
+    tree = run_trees(log.runs())
+    errors = tree.join(metrics.filter("key = 'error'"), "run_id").groupBy("root").agg(F.round(F.sum("value"), 2).alias("value"))
+    parts = [
+        log.params().select(*row("param", "run_id", F.col("key"), F.col("value"))),
+        log.artifacts().select(*row("artifact", "run_id", F.concat_ws(":", "path", F.md5("content")), F.octet_length("content"))),
+        log.runs().select(*row("parent", "run_id", F.lit("parent_run_id"), F.col("parent_run_id"))),
+        tree.groupBy("root").agg(F.count(F.lit(1)).alias("n")).select(*row("tree", "root", F.lit("runs"), F.col("n"))),
+        errors.select(*row("tree", "root", F.lit("sum_error"), F.col("value"))),
+    ]
+    rows = metrics.select(F.lit("metric").alias("kind"), "run_id", "key", "value", "step")
+    for part in parts:
+        rows = rows.unionByName(part.withColumn("step", F.lit(None).cast("long")))
+    return rows
 
 
 @register("snk_metric_text", sql="""WITH a AS (SELECT avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END) AS acc FROM labels),

@@ -43,23 +43,23 @@ def stm_ttl_cache(spark, sf_dir):
     return spark.read.parquet(out + "/data")
 
 
-@register("stm_request_metrics", sql="""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS total_requests,
-  count(*) FILTER (WHERE event_type <> 'error') AS successful_requests,
-  round(sum(value) FILTER (WHERE event_type <> 'error'), 2) AS success_seconds,
-  round(sum(value) FILTER (WHERE event_type <> 'error'), 2) / count(*) FILTER (WHERE event_type <> 'error')
-    AS average_processing_time
-FROM events GROUP BY 1""")
+@register("stm_request_metrics", sql="""WITH k AS (
+  SELECT date_trunc('day', ts) AS d, user_id, event_type, count(*) AS n, arg_min(value, (ts, event_id)) AS t FROM events GROUP BY ALL),
+m AS (SELECT d, CAST(sum(n) AS BIGINT) AS total_requests, count(*) FILTER (WHERE event_type <> 'error') AS successful_requests,
+  round(sum(t) FILTER (WHERE event_type <> 'error'), 2) AS success_seconds, CAST(sum(n) - count(*) AS BIGINT) AS cache_hits FROM k GROUP BY d)
+SELECT strftime(d, '%Y-%m-%d') AS day, total_requests, successful_requests, success_seconds,
+  success_seconds / successful_requests AS average_processing_time, cache_hits, cache_hits / total_requests AS cache_hit_rate FROM m""")
 def stm_request_metrics(spark, sf_dir):
-    """Daily windows with a watermark, complete output mode, each result
-    written (overwrite) by foreachBatch; the mean comes from the cent sum."""
+    """Daily windows with a watermark, complete output mode; a micro-batch's keyed
+    counts are rolled up and written (overwrite) by foreachBatch.  Within a day a
+    repeated key is a cache hit; the mean comes from the cent sum."""
     out = files.scratch_path(spark, "metrics")
-    m = st.windowed_metrics(st.stream_table(spark, sf_dir, "events"))
-    st.run_foreach_batch(m, lambda b, _e: b.write.mode("overwrite").parquet(out + "/data"), out + "/ck", mode="complete")
+    keyed = st.keyed_windows(st.stream_table(spark, sf_dir, "events"), ["user_id", "event_type"], F.col("event_type") != "error", "value", ["ts", "event_id"])
+    st.run_foreach_batch(keyed, lambda b, _e: st.window_metrics(b).write.mode("overwrite").parquet(out + "/data"), out + "/ck", mode="complete")
     r = spark.read.parquet(out + "/data")
     cents = F.round("success_seconds", 2)
     return r.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "total_requests", "successful_requests",
-                    cents.alias("success_seconds"),
-                    (cents / F.col("successful_requests")).alias("average_processing_time"))
+                    cents.alias("success_seconds"), (cents / F.col("successful_requests")).alias("average_processing_time"), "cache_hits", "cache_hit_rate")
 
 
 @register("stm_collection_ingest", sql="SELECT vec_id, label FROM embeddings")

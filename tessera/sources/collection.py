@@ -1,47 +1,99 @@
-"""A vector collection stored as a parquet table: ``id, content, embedding,
-metadata`` (any extra columns are kept).  Adding is idempotent on ``id``;
-querying is the exact kNN join."""
+"""A vector collection stored as a table: ``id, content, embedding, metadata``
+(any extra columns are kept).  Adding is idempotent on ``id``; querying is the
+exact kNN join.
+
+Layout: ``rows/commit=c`` holds the rows of a commit, ``ids/commit=c/bucket=b`` their
+ids alone, by a hash of the id, and ``log`` one line for each commit, written last.
+Readers see the commits of the log only, so an add that dies leaves nothing
+behind.  An add reads the ids of the buckets that its own ids fall into (two
+levels of folders are pruned), never the rows; so what it reads is bounded by its
+own size times the size of a bucket, and ``buckets`` is chosen for the table to
+come.  ``compact`` writes the ids of many commits as one."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.knn import knn, metadata_filter
+from tessera.sources.files import stored
+
+BUCKETS = 64
 
 
 class Collection:
-    def __init__(self, spark: SparkSession, path: str, id_col: str = "id"):
+    def __init__(self, spark: SparkSession, path: str, id_col: str = "id", buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
         self.id_col = id_col
+        self.buckets = buckets
 
-    def exists(self) -> bool:
+    def _log(self) -> DataFrame | None:
         try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018 - probes the path
-            return True
+            return self.spark.read.schema("commit string, ids string, epoch string").json(f"{self.path}/log")
         except AnalysisException:
-            return False
+            return None
+
+    def commits(self) -> list:
+        """(commit, ids, epoch) of each commit: where its rows and its ids lie."""
+        log = self._log()
+        return log.collect() if log is not None else []
+
+    def exists(self) -> bool:
+        return bool(self.commits())
 
     def frame(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        known = [r.commit for r in self.commits()]
+        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/rows/commit={c}" for c in known])
 
     def count(self) -> int:
         return self.frame().count() if self.exists() else 0
 
-    def add(self, batch: DataFrame, order: str | None = None) -> None:
-        """Append the rows whose id is not stored yet.  Inside the batch the
-        first row per id wins (by ``order``, else by id), so replaying a batch
-        changes nothing."""
-        key = F.struct(F.col(order)) if order else F.struct(F.col(self.id_col))
+    def isEmpty(self) -> bool:  # noqa: N802 - as a DataFrame's
+        return not self.exists() or self.frame().isEmpty()
+
+    def known_ids(self, buckets: list[int]) -> DataFrame:
+        """(id, bucket) of the stored rows in some buckets."""
+        places = sorted({r.ids for r in self.commits()})
+        ids = self.spark.read.option("basePath", f"{self.path}/ids").parquet(*[f"{self.path}/ids/commit={c}" for c in places])
+        return ids.filter(F.col("bucket").isin(buckets)).select(self.id_col, "bucket")
+
+    def add(self, batch: DataFrame, order: str | None = None, epoch: str | None = None) -> None:
+        """Append the rows whose id is not stored yet.  Inside the batch the row that
+        is first by ``order`` wins, among equals (or without it) the one whose JSON
+        text is smallest, so replaying a batch changes nothing.  A batch with an
+        ``epoch`` that the log has is not looked at again."""
+        commits = self.commits()
+        if epoch is not None and any(r.epoch == epoch for r in commits):
+            return
         cols = [c for c in batch.columns if c != self.id_col]
-        dedup = batch.groupBy(self.id_col).agg(
-            F.min_by(F.struct(*cols), key).alias("_r")).select(self.id_col, "_r.*") if cols else batch.distinct()
-        if self.exists():
-            stored = self.frame().select(self.id_col)
-            dedup = dedup.join(stored, self.id_col, "left_anti")
-        dedup.write.mode("append").parquet(self.path)
+        if cols:
+            key = F.struct(*([F.col(order).alias("o")] if order else []), F.to_json(F.struct(*cols)).alias("j"))
+            batch = batch.groupBy(self.id_col).agg(F.min_by(F.struct(*cols), key).alias("_r")).select(self.id_col, "_r.*")
+        else:
+            batch = batch.distinct()
+        name = uuid.uuid4().hex
+        fresh = stored(batch.withColumn("bucket", F.pmod(F.xxhash64(self.id_col), F.lit(self.buckets)).cast("int")), "collection-batch")
+        if commits:
+            touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most the number of buckets
+            fresh = stored(fresh.join(self.known_ids(touched), [self.id_col, "bucket"], "left_anti").select(*fresh.columns), "collection-new")
+        fresh.drop("bucket").write.parquet(f"{self.path}/rows/commit={name}")
+        fresh.select(self.id_col, "bucket").repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/ids/commit={name}")
+        self._commit(name, name, epoch)
+
+    def _commit(self, name: str, ids: str, epoch: str | None, mode: str = "append") -> None:
+        self.spark.createDataFrame([(name, ids, epoch)], "commit string, ids string, epoch string").coalesce(1).write.mode(mode).json(f"{self.path}/log")
+
+    def compact(self) -> None:
+        """One folder of ids for all commits so far (the rows stay where they are)."""
+        commits = self.commits()
+        name = uuid.uuid4().hex
+        self.known_ids(list(range(self.buckets))).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/ids/commit={name}")
+        again = self.spark.createDataFrame([(r.commit, name, r.epoch) for r in commits], "commit string, ids string, epoch string")
+        again.coalesce(1).write.mode("overwrite").json(f"{self.path}/log")
 
     def get(self, ids: DataFrame | list) -> DataFrame:
         if isinstance(ids, list):
@@ -57,6 +109,6 @@ def get_or_create(spark: SparkSession, path: str, seed: DataFrame, id_col: str =
     """Open the collection at ``path``, creating it; documents are loaded only
     when it holds none (running twice gives the same rows)."""
     c = Collection(spark, path, id_col)
-    if c.count() == 0:
+    if c.isEmpty():
         c.add(seed)
     return c

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -96,21 +96,31 @@ def ttl_cache(requests: DataFrame, key: list[str], ttl_seconds: int, watermark:
 
 # --- X3: windowed request metrics ------------------------------------------------------------
 
-def windowed_metrics(requests: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    ok = F.col("event_type") != "error"
-    return event_time(requests).withWatermark("ts", watermark).groupBy(F.window("ts", window)).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(ok).alias("successful_requests"),
-        F.sum(F.when(ok, F.col("value"))).alias("success_seconds"),
-    )
+def keyed_windows(requests: DataFrame, key: list[str], success: Column, seconds: str, order: list[str], window: str = "1 day",
+                  watermark: str = "1 hour") -> DataFrame:
+    """(window, key..., n, first): the requests of each key in each window and the
+    first of them - the one that is computed by a cache emptied with the window."""
+    first = F.min_by(F.struct(success.alias("ok"), F.col(seconds).alias("t")), F.struct(*order))
+    return event_time(requests).withWatermark("ts", watermark).groupBy(F.window("ts", window), *key).agg(
+        F.count(F.lit(1)).alias("n"), first.alias("first"))
+
+
+def window_metrics(keyed: DataFrame) -> DataFrame:
+    """Counters of each window from ``keyed_windows``: all requests, computed
+    successes with their time, cache hits and hit rate."""
+    return keyed.groupBy("window").agg(
+        F.sum("n").alias("total_requests"), F.count_if("first.ok").alias("successful_requests"),
+        F.sum(F.when(F.col("first.ok"), F.col("first.t"))).alias("success_seconds"),
+        (F.sum("n") - F.count(F.lit(1))).alias("cache_hits")).withColumn("cache_hit_rate", F.col("cache_hits") / F.col("total_requests"))
 
 
 # --- X4: incremental collection ingest -------------------------------------------------------
 
 def ingest(stream: DataFrame, collection: Collection, checkpoint: str) -> None:
     """Each micro-batch is added with the idempotent collection ``add``, so a
-    replayed batch (after a failure) leaves the table unchanged."""
-    run_foreach_batch(stream, lambda batch, _epoch: collection.add(batch), checkpoint)
+    replayed batch (after a failure) leaves the table unchanged; one that the
+    collection's log has under this checkpoint is not read again."""
+    run_foreach_batch(stream, lambda batch, epoch: collection.add(batch, epoch=f"{checkpoint}/{epoch}"), checkpoint)
 
 
 def score_with_model(requests: DataFrame, model, text: str, keep: list[str]) -> DataFrame:

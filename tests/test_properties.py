@@ -206,11 +206,108 @@ def test_rdfxml_reader_and_list_path(spark):
 
 
 def test_ntriples_roundtrip_keeps_escapes(spark):
-    rows = [("a", "label", 'say "hi"\nnow \\ ok', "lit", "en"), ("a", "type", "Class", "iri", "")]
-    df = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, lang string")
+    rows = [("a", "label", 'say "hi"\nnow \\ ok', "lit", "en", ""), ("a", "type", "Class", "iri", "", ""), ("a", "n", "1", "lit", "", ""),
+            ("a", "n", "1", "lit", "", "http://x/int"), ("a", "t", "tab\t cr\r \\n \\\\t <&> é日😀'", "lit", "", ""), ("a", "t", "", "lit", "", "")]
+    df = spark.createDataFrame(rows, rdf.TRIPLE)
     path = files.scratch_path(spark, "nt")
-    rdf.write_ntriples(df, path)
-    assert sorted(tuple(r) for r in rdf.read_ntriples(spark, path).collect()) == sorted(rows)
+    for suffix, write in ((".nt", rdf.write_ntriples), (".rdf", rdf.write_rdfxml)):
+        write(df.repartition(3), path + suffix)
+        assert sorted(tuple(r) for r in rdf.read_triples(spark, path + suffix).collect()) == sorted(rows), suffix
+    assert rdf.rejected_lines(spark, path + ".nt").count() == 0
+
+
+def write_file(spark, name, text):
+    path = files.scratch_path(spark, "given")
+    local = path.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, name), "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+    return f"{path}/{name}"
+
+
+def test_ntriples_terms_as_other_writers_give_them(spark):
+    ns = rdf.DEFAULT_NS
+    path = write_file(spark, "a.nt", "\n".join([
+        "# a comment", "", f'<{ns}a> <{ns}p> "tab\\t nl\\n q\\" a\\\' b\\b f\\f \\u00e9 \\U0001F600 \\\\u0041"@fr .',
+        f'<{ns}caf\\u00E9>   <{ns}p> "1"^^<http://x/int>.', f"_:x <{ns}p> _:x .", "no triple here .", f'<{ns}a> <{ns}p> "open .']))
+    got = {tuple(r) for r in rdf.read_triples(spark, path).collect()}
+    blank = next(r[0] for r in got if r[0].startswith("_:"))
+    assert got == {("a", "p", "tab\t nl\n q\" a' b\b f\f é 😀 \\u0041", "lit", "fr", ""), ("café", "p", "1", "lit", "", "http://x/int"),
+                   (blank, "p", blank, "iri", "", "")}
+    assert [r.value[:2] for r in rdf.rejected_lines(spark, path).collect()] == ["no", "<" + ns[0]]
+
+
+def test_rdfxml_terms_and_blank_nodes_of_two_files(spark):
+    ns = rdf.DEFAULT_NS
+    text = f"""<?xml version="1.0"?>
+<rdf:RDF xmlns:rdf="{rdf.RDF}" xmlns:t="{ns}" xml:base="http://base/doc" xml:lang="en">
+  <t:Kind rdf:about="#a" t:short="s"><t:label>hi &amp; bye</t:label><t:n rdf:datatype="http://x/int">1</t:n><t:n>1</t:n>
+    <t:in><rdf:Description rdf:nodeID="k"><t:label xml:lang="">none</t:label></rdf:Description></t:in></t:Kind>
+  <rdf:Description rdf:ID="b"><t:has rdf:parseType="Resource"><t:x rdf:resource="{ns}y"/></t:has><t:same rdf:nodeID="k"/>
+    <t:list rdf:parseType="Collection"><rdf:Description rdf:about="{ns}i"/><t:Kind/></t:list></rdf:Description>
+  <rdf:Seq rdf:about="{ns}s"><rdf:li>one</rdf:li><rdf:li rdf:resource=""/></rdf:Seq>
+</rdf:RDF>"""
+    path = write_file(spark, "one.owl", text)
+    t = rdf.read_triples(spark, path).collect()
+    plain = {tuple(r) for r in t if not r.s.startswith("_:") and not r.o.startswith("_:")}
+    a, b = "http://base/doc#a", "http://base/doc#b"
+    assert plain == {
+        (a, rdf.RDF + "type", "Kind", "iri", "", ""), (a, "short", "s", "lit", "en", ""), (a, "label", "hi & bye", "lit", "en", ""),
+        (a, "n", "1", "lit", "", "http://x/int"), (a, "n", "1", "lit", "en", ""), ("s", rdf.RDF + "type", rdf.RDF + "Seq", "iri", "", ""),
+        ("s", rdf.RDF + "_1", "one", "lit", "en", ""), ("s", rdf.RDF + "_2", "http://base/doc", "iri", "", "")}
+    assert len(t) == len(plain) + 11
+    k = {r.o for r in t if r.p == "in"} | {r.o for r in t if r.p == "same"}
+    assert len(k) == 1 and {(r.p, r.o, r.lang) for r in t if r.s in k} == {("label", "none", "")}
+    folder = path.rsplit("/", 1)[0]
+    with open(folder.removeprefix("file:") + "/two.owl", "w", encoding="utf-8") as fh:
+        fh.write(text)
+    both = rdf.read_rdfxml(spark, folder + "/*.owl").collect()
+    assert len(both) == len(plain) + 22 and len({r.o for r in both if r.p == "in"}) == 2
+
+
+def test_collection_adds_read_only_the_buckets_they_touch(spark):
+    from tessera.sources.collection import Collection
+
+    c = Collection(spark, files.scratch_path(spark, "buckets"), buckets=16)
+    rows = [(i, f"t{i}") for i in range(400)]
+    for lo in range(0, 400, 100):
+        c.add(spark.createDataFrame(rows[lo:lo + 100], "id long, content string"))
+    read = lambda: {r.f for r in c.known_ids([3]).select(F.input_file_name().alias("f")).distinct().collect()}
+    plan = _plan(c.known_ids([3]))
+    assert "PartitionFilters" in plan and "bucket#" in plan and "content" not in plan
+    assert read() and all("/ids/" in f and "/bucket=3/" in f for f in read())
+    c.add(spark.createDataFrame([(5, "other"), (400, "b"), (400, "a")], "id long, content string"))
+    got = {r.id: r.content for r in c.frame().collect()}
+    assert got == dict(rows) | {400: "a"}
+    c.compact()
+    c.add(spark.createDataFrame([(401, "x"), (400, "z")], "id long, content string"))
+    assert len(read()) <= 2 and c.count() == 402
+
+
+def test_collection_order_epochs_and_unfinished_adds(spark):
+    from tessera.sources.collection import Collection
+
+    c = Collection(spark, files.scratch_path(spark, "epochs"))
+    batch = spark.createDataFrame([(1, "late", 2), (1, "early", 1), (2, "x", 5)], "id long, content string, at int")
+    assert c.isEmpty() and c.count() == 0
+    c.add(batch, order="at", epoch="e/0")
+    c.add(spark.createDataFrame([(3, "y", 1)], "id long, content string, at int"), epoch="e/0")  # the same micro-batch again
+    assert sorted((r.id, r.content) for r in c.frame().collect()) == [(1, "early"), (2, "x")]
+    # an add that died before its line in the log leaves nothing to see
+    spark.createDataFrame([(9, "ghost", 1)], "id long, content string, at int").write.parquet(f"{c.path}/rows/commit=dead")
+    c.add(spark.createDataFrame([(9, "real", 1, True)], "id long, content string, at int, extra boolean"))
+    assert sorted((r.id, r.content, r.extra) for r in c.frame().collect()) == [(1, "early", None), (2, "x", None), (9, "real", True)]
+
+
+def test_run_trees_follow_parents(spark):
+    from tessera.sources.runs import RunLog, run_trees
+
+    runs = [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("x", "lost"), ("y", "x"), ("a", None)]
+    df = spark.createDataFrame(runs, "run_id string, parent_run_id string")
+    assert sorted(map(tuple, run_trees(df).collect())) == [("a", "a"), ("a", "b"), ("a", "c"), ("a", "d"), ("lost", "x"), ("lost", "y")]
+    log = RunLog(spark, files.scratch_path(spark, "log"))
+    log.log_artifacts(spark.createDataFrame([("a", "m.bin", bytearray(b"\x00\xff")), ("b", "e", bytearray(b""))], "run_id string, path string, content binary"))
+    assert {(r.run_id, r.path): bytes(r.content) for r in log.artifacts().collect()} == {("a", "m.bin"): b"\x00\xff", ("b", "e"): b""}
 
 
 # --- plan shape ------------------------------------------------------------------------------
