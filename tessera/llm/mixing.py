@@ -4,14 +4,17 @@
    of ``block_words``.  The order inside a source is (slice, doc_id, size),
    slices being hash buckets of ids, so the prefix sum that places documents
    runs per slice and a source with a third of all rows is no hot group.
-2. *Draw*: sources get output slots for their targets.  All slots of all
-   sources are tickets 0..G-1; a pseudorandom permutation of the tickets deals
-   them to output shards of ``shard_slots`` slots.  The source counts of a shard
-   are thus multinomial draws by target weight, conditional on every source
-   getting its exact total (draws without replacement), and each shard is full.
-3. *Map*: slot i of a source reads block perm(i mod blocks) with a fresh
-   permutation for every pass over the source, so a block is used
-   floor or ceil of slots/blocks times: never over the 3 that targets allow.
+2. *Draw*: the output is cut into shards of ``shard_slots`` slots, and every shard
+   draws its source counts by the target weights: a multinomial draw whose K
+   numbers are stratified, the j-th one uniform in [j/K, (j+1)/K).  Each count is
+   unbiased and within one of K times its weight, where free draws would miss
+   by the square root.  Only the numbers at the borders between two sources
+   decide anything, so a shard's counts come from as many hashes as sources.
+   What a source is given over all shards follows from these draws.
+3. *Map*: a source's slots are numbered through the shards; slot i reads block
+   perm(i mod blocks) with a fresh permutation for every pass over the source, so
+   a block is used floor or ceil of slots/blocks times.  Slots beyond three
+   passes stay empty: no document is taken more often.
 4. *Join*: slots and document pieces meet on (source, block index).
 
 Permutations are swap-or-not shuffles (each round swaps x with K-x or not, by a
@@ -36,6 +39,8 @@ from tessera.llm.common import partitions, stored, word_count
 
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4_096
+#: Shards grow beyond SHARD_SLOTS so that there are at most so many of them.
+MOST_SHARDS = 65_536
 SLICE_DOCS = 4_096
 WEIGHTS = (1, 2, 3)
 MOST = 3  # times a source's size
@@ -83,6 +88,16 @@ def with_targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataF
     return level.withColumn("target", F.least(F.col("_limit").cast("double"), F.col("_level") * F.col("weight"))).drop("_limit", "_level")
 
 
+def drawn(cumulative: str) -> str:
+    """SQL for the numbers of a shard (of ``size`` slots) that fall below a border,
+    ``cumulative`` of ``tickets``: those of whole strata, and that of the border's own
+    stratum if its hash, uniform in [0, tickets), is below the rest."""
+    at, rest = f"(size * {cumulative} div tickets)", f"(size * {cumulative} % tickets)"
+    mixed_ = lambda a, b, c: f"((((shard * {a} + {at} * {b}) % {PRIME} + {c}) * 48271) % {PRIME})"
+    x = f"({mixed_(69_621, 40_014, 7)} * {PRIME}L + {mixed_(39_373, 16_807, 101)}) % tickets"
+    return f"{at} + if({x} < {rest}, 1, 0)"
+
+
 @dataclass
 class Mix:
     """``sources``: one row each; ``pieces``: document words in blocks;
@@ -130,16 +145,25 @@ def mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str =
     start, end = F.greatest("_at", F.col("block") * block_words), F.least(F.col("_at") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = pieces.select("no", "block", "doc_id", "size", "copy", (start - F.col("_at")).alias("from_word"), (end - start).alias("words"))
 
-    # draw and map
-    step = 65_536
-    spans = sources.filter("n_slots > 0").withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1, F.lit(step).cast("long"))))
-    spans = spans.repartition(partitions(spans), "no", "_c")
-    slots = spans.withColumn("_i", F.explode(F.sequence(F.col("_c"), F.least(F.col("_c") + (step - 1), F.col("n_slots") - 1))))
-    slots = slots.select("no", "blocks", "tickets", (F.col("first_ticket") + F.col("_i")).alias("_g"),
+    # draw: a row for each source and shard
+    tickets = F.col("tickets")
+    shards = sources.filter("tickets > 0").withColumn("_full", F.greatest(F.lit(shard_slots), F.ceil(tickets / MOST_SHARDS)).cast("long"))
+    shards = shards.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(tickets - 1) div _full"))))
+    shards = shards.withColumn("size", F.least("_full", tickets - F.col("shard") * F.col("_full")))
+    shards = shards.withColumn("_from", F.expr(drawn("first_ticket"))).withColumn("_to", F.expr(drawn("(first_ticket + n_slots)")))
+    shards = shards.withColumn("_count", F.col("_to") - F.col("_from"))
+    before = Window.partitionBy("no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = shards.withColumn("_first", F.coalesce(F.sum("_count").over(before), F.lit(0)).cast("long"))
+    shards = shards.withColumn("_last", F.least(F.col("_first") + F.col("_count"), F.col("blocks") * MOST) - 1).filter("_last >= _first")
+
+    # map
+    spans = shards.select("no", "blocks", "shard", "size", "_from", "_first", "_last").repartition(partitions(shards), "no", "shard")
+    slots = spans.withColumn("_i", F.explode(F.sequence("_first", "_last")))
+    slots = slots.select("no", "blocks", "shard", "size", (F.col("_from") + F.col("_i") - F.col("_first")).alias("position"),
                          F.expr("_i % blocks").alias("block"), _div("_i", "blocks").alias("_pass"))
     slots = permuted(slots, "block", "blocks", "no * 4 + _pass", 0)
-    slots = permuted(slots, "_g", "tickets", "7L", 50)
-    slots = slots.select(_div("_g", str(shard_slots)).alias("shard"), F.expr(f"_g % {shard_slots}").alias("position"), "no", "block")
+    slots = permuted(slots, "position", "size", f"shard % {PRIME}", 50)
+    slots = slots.select("shard", "position", "no", "block")
     return Mix(units, sources, pieces, slots)
 
 

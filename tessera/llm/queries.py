@@ -130,6 +130,7 @@ def _permutation_sql(source: str, x: str, n: str, key: str, salt: int, tag: str)
 def _mixing_sql() -> str:
     size_b, most, p = mixing.BLOCK_WORDS, mixing.MOST, mixing.PRIME
     blocks, last = _permutation_sql("slots0", "block", "blocks", "no * 4 + pass", 0, "pb")
+    drawn = lambda c: mixing.drawn(c).replace("div", "//").replace(f"{p}L", str(p))
     return f"""
 WITH d AS (SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -148,8 +149,14 @@ placed AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY no ORDER BY slic
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM u),
 pieces AS (SELECT rid, no, block, least(pos + size, (block + 1) * {size_b}) - greatest(pos, block * {size_b}) AS words
   FROM placed, LATERAL (SELECT unnest(range(pos // {size_b}, (pos + size - 1) // {size_b} + 1)) AS block) WHERE size > 0),
+tk AS (SELECT *, CAST(sum(n_slots) OVER () AS BIGINT) AS tickets,
+    CAST(coalesce(sum(n_slots) OVER (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_ticket FROM src),
+fl AS (SELECT *, greatest({mixing.SHARD_SLOTS}, (tickets + {mixing.MOST_SHARDS - 1}) // {mixing.MOST_SHARDS}) AS whole FROM tk WHERE tickets > 0),
+sh AS (SELECT *, least(whole, tickets - shard * whole) AS size FROM fl, LATERAL (SELECT unnest(range(0, (tickets - 1) // whole + 1)) AS shard)),
+dr AS (SELECT no, blocks, shard, ({drawn('(first_ticket + n_slots)')}) - ({drawn('first_ticket')}) AS n FROM sh),
+ds AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY no ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS f FROM dr),
 slots0 AS (SELECT no, blocks, i % blocks AS block, i // blocks AS pass
-  FROM src, LATERAL (SELECT unnest(range(0, n_slots)) AS i) WHERE n_slots > 0),
+  FROM ds, LATERAL (SELECT unnest(range(f, least(f + n, {most} * blocks))) AS i)),
 {blocks},
 uses AS (SELECT no, block, count(*) AS times FROM {last} GROUP BY no, block),
 got AS (SELECT rid, sum(words * times) AS taken FROM pieces JOIN uses USING (no, block) GROUP BY rid)

@@ -336,7 +336,7 @@ def plain_scan(rows, items, n=13):
     return out
 
 
-def test_decontamination_matches_brute_force(spark, docs, empty):
+def test_decontamination_matches_brute_force(spark, docs, empty, monkeypatch):
     rng = random.Random(4)
     vocab = ["aa", "bb", "cc", "É", "d1", "e\u00a0e"]
     text = lambda n: " ".join(rng.choice(vocab) + rng.choice(["", ",", "-", "\n"]) for _ in range(n))
@@ -348,6 +348,10 @@ def test_decontamination_matches_brute_force(spark, docs, empty):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in decontaminate.scan(both, bench).collect())
     assert got == plain_scan([(d[0], d[1]) for d in DOCS] + rows, items)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)  # windows that are too many for a broadcast
+    shuffled = decontaminate.scan(both, bench)
+    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in shuffled.collect()) == got
+    monkeypatch.undo()
     assert decontaminate.scan(empty, bench).count() == 0
     assert decontaminate.scan(docs, bench.filter("false")).filter("n_hit > 0").count() == 0
     assert decontaminate.remove(docs, bench).columns == docs.columns
@@ -377,8 +381,11 @@ def test_mixing_targets_totals_and_edge_cases(spark, docs, empty):
             break
         capped |= {s: 3 * target[s][1] for s in over}
     assert {s: pytest.approx(t) for s, t in (capped | share).items()} == {s: t for s, (t, _) in target.items()}
+    # rounded slots and a shorter last block, and what the draws of the shards add: each border of a
+    # source moves by a Bernoulli number a shard, so four standard deviations of both borders
+    shards = 1 + max(r.shard for r in m.slots.collect())
     for s, (t, _) in target.items():
-        assert abs(sum(r.taken for r in rows if r.source == s) - t) <= 2 * 16
+        assert abs(sum(r.taken for r in rows if r.source == s) - t) <= 16 * (2 + 4 * math.sqrt(shards / 2))
     assert all(0 <= r.taken <= 3 * r["size"] for r in rows)
     again = mixing.taken(mixing.mix(docs.repartition(5), block_words=16, shard_slots=8, slice_docs=2)).collect()
     key = lambda r: (r.doc_id is None, r.doc_id, str(r.source), r["size"], r.taken)
@@ -389,6 +396,34 @@ def test_mixing_targets_totals_and_edge_cases(spark, docs, empty):
     assert {r.taken for r in mixing.taken(mixing.mix(docs.filter("doc_id < 3"))).collect()} == {0}
 
 
+def test_shard_counts_are_stratified_multinomial_draws(spark):
+    """Each shard is full, each count within one of its share, and their mean is the
+    share; what a source gets is the sum of its shards' draws."""
+    sizes = {"a": 30_000, "b": 8_000, "c": 500, "d": 90}
+    docs = spark.createDataFrame([(i, "w " * (n // 10), s) for s, n in sizes.items() for i in range(10)], "doc_id long, text string, source string")
+    m = mixing.mix(docs, block_words=4, shard_slots=32)
+    src = {r.no: r for r in m.sources.collect()}
+    tickets, slots = next(iter(src.values())).tickets, m.slots.collect()
+    count = Counter((r.shard, r.no) for r in slots)
+    shards = -(-tickets // 32)
+    moved = 0
+    for shard in range(shards - 1):
+        assert 30 <= sum(count[shard, no] for no in src) <= 32  # slots beyond three passes stay empty
+        for no, r in src.items():
+            share = 32 * r.n_slots / tickets
+            assert abs(count[shard, no] - share) < 2
+            moved += count[shard, no] != round(share)
+    assert moved > shards / 4  # the draws differ from shard to shard
+    for no, r in src.items():
+        total = sum(count[shard, no] for shard in range(shards))
+        assert abs(total - r.n_slots) <= 4 * math.sqrt(shards / 2) and total <= 3 * r.blocks
+    per_source = Counter()
+    for r in mixing.taken(m).collect():
+        per_source[r.source] += r.taken
+    assert per_source == Counter({src[no].source: 4 * sum(count[s, no] for s in range(shards)) - short for no in src
+                                  for short in [4 * sum(count[s, no] for s in range(shards)) - per_source[src[no].source]] if 0 <= short <= 12})
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 1000):
         df = spark.range(n).selectExpr("id as x", f"{n}L as m")
