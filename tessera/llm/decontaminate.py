@@ -13,7 +13,7 @@ words.  Verified windows give spans, spans give hit words and items.
 Only built-in functions run; the documents are read once and only verified
 hits and one row per document are shuffled.  The windows are broadcast when
 their measured bytes are within ``BROADCAST_BYTES``; beyond that the same joins
-shuffle.
+shuffle the chunks, each with its two neighbours: three times the text.
 
 Defined cases: null and empty texts have no words and are clean; items without
 words have no window; items without an id mark words but are not listed;
@@ -92,11 +92,17 @@ def scan(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc: str = "doc_id"
     else:
         cut = cut.withColumn("_s", F.explode(F.array(*[F.struct(F.lit(k).alias("_k"), F.col(f"_a{k}").alias("_all")) for k in sizes])))
         cut = cut.select("_row", "_doc", "_text_hash", "n_words", "_s._k", "_s._all")
-    rows = cut.select("_row", "_doc", "_text_hash", "n_words", "_k", "_all", F.posexplode_outer("_all").alias("_at", "_chunk"))
+    # a chunk goes with its neighbours, so that no join carries a whole document
+    none, n_all = F.array(F.lit(None).cast("string")), F.size("_all")
+    shifted = F.when(n_all > 0, F.arrays_zip(
+        F.col("_all").alias("_chunk"), F.concat(none, F.slice("_all", 1, F.greatest(n_all - 1, F.lit(0)))).alias("_before"),
+        F.concat(F.slice("_all", 2, F.greatest(n_all - 1, F.lit(0))), none).alias("_after")))
+    rows = cut.select("_row", "_doc", "_text_hash", "n_words", "_k", F.posexplode_outer(shifted).alias("_at", "_c")).select(
+        "_row", "_doc", "_text_hash", "n_words", "_k", "_at", "_c.*")
     looked = rows.join(small(known), ["_k", "_chunk"], "left")
     # the first chunk of a document keeps its row, found or not
     looked = looked.filter(F.col("_known") | (F.coalesce("_at", F.lit(0)) == 0))
-    around = F.when(F.col("_known"), F.concat_ws(" ", F.get("_all", F.col("_at") - 1), "_chunk", F.get("_all", F.col("_at") + 1)))
+    around = F.when(F.col("_known"), F.concat_ws(" ", "_before", "_chunk", "_after"))
     around = looked.select("_row", "_doc", "_text_hash", "n_words", (F.greatest(F.col("_at") - 1, F.lit(0)) * F.col("_k")).alias("_from"),
                            "_k", around.alias("_around"))
     by_length = F.array(*[F.struct(F.lit(x).alias("length"), F.when(F.col("_k") == (x + 1) // 2, grams(F.col("_around"), x)).alias("w"))
