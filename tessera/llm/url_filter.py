@@ -16,7 +16,8 @@ under the empty token, which every URL has.
 Defined cases: null URLs and URLs without ``://`` have empty host and path, fit
 no rule and are allowed; repeated rows are judged one by one; equally long
 host/path rules are decided by the longer host, then block before allow, then
-by text; an empty table gives an empty result; extra columns are ignored.
+by text; URLs of any length are judged whole; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import lower_ascii
+from tessera.llm.common import lower_ascii, stored
 
 # The rules of the contract.
 HOST_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -73,6 +74,32 @@ def default_rules() -> list[Rule]:
     return [host_rule(*r) for r in HOST_RULES] + [pattern_rule(*p) for p in PATTERNS]
 
 
+RULE_TABLE = ("rule_no int, kind string, name string, verdict string, regex string, tokens array<string>, length int, host_length int")
+
+
+def _quoted(text: Column) -> Column:
+    return F.regexp_replace(text, r"([^A-Za-z0-9])", r"\\$1")
+
+
+def rule_table(host_rules: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Rule sets that are tables themselves, of any size: ``host_rules`` holds
+    (verdict, host, path), ``patterns`` (name, regex, tokens)."""
+    inside = F.transform(F.regexp_extract_all("path", F.lit("([A-Za-z0-9]+)(?=[^A-Za-z0-9])"), 1), lambda t: F.lower(t))
+    hosts = host_rules.select(
+        F.lit("host").alias("kind"), F.concat("host", "path").alias("name"), "verdict",
+        F.concat(F.lit(r"^(?:[^/]*\.)?"), _quoted(F.col("host")), _quoted(F.col("path"))).alias("regex"),
+        F.concat(F.regexp_extract_all("host", F.lit("[a-z0-9]+"), 0), inside).alias("tokens"),
+        F.char_length(F.concat("host", "path")).alias("length"), F.char_length("host").alias("host_length"))
+    others = patterns.select(F.lit("pattern").alias("kind"), "name", F.lit("block").alias("verdict"), "regex", "tokens",
+                             F.lit(0).alias("length"), F.lit(0).alias("host_length"))
+    numbered = hosts.unionByName(others).withColumn("rule_no", F.xxhash64("kind", "name", "verdict", "regex"))
+    return numbered.select("rule_no", "kind", "name", "verdict", "regex", "tokens", "length", "host_length").dropDuplicates(["rule_no"])
+
+
+def _table(spark, rules: list[Rule]) -> DataFrame:
+    return spark.createDataFrame([(i, r.kind, r.name, r.verdict, r.regex, list(r.tokens), r.length, r.host_length) for i, r in enumerate(rules)], RULE_TABLE)
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(lower_ascii(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
 
@@ -81,21 +108,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per input row: id, host, path, ``rule`` (the winning host/path
     rule or null), ``patterns`` (names of the patterns that matched, sorted, comma-joined) and
-    ``verdict``."""
-    spark = pages.sparkSession
+    ``verdict``.  ``rules`` is a list, or a table made by ``rule_table``."""
+    table = stored(rules, "url-rules") if isinstance(rules, DataFrame) else _table(pages.sparkSession, rules)
+    n_rules = table.count() if isinstance(rules, DataFrame) else len(rules)
     urls = pages.select(F.col(id_col).alias("_id"), host_of(F.col(url_col)).alias("host"),
                         path_of(F.col(url_col)).alias("path"), F.monotonically_increasing_id().alias("_row"))
     key = F.concat("host", "path")
     # the empty token files rules without a literal token; it also keeps every URL in the stream below
     tokens = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(lower_ascii(key), F.lit("[a-z0-9]+"), 0)))
 
-    table = spark.createDataFrame(
-        [(i, r.kind, r.name, r.verdict, r.regex, list(r.tokens), r.length, r.host_length) for i, r in enumerate(rules)],
-        "rule_no int, kind string, name string, verdict string, regex string, tokens array<string>, length int, host_length int")
-    small = F.broadcast if len(rules) <= BROADCAST_RULES else (lambda d: d)
+    small = F.broadcast if n_rules <= BROADCAST_RULES else (lambda d: d)
     literal = table.select("rule_no", F.explode("tokens").alias("token"))
     # how many URLs hold each literal token (one partial sum per task and token), then the rarest per rule
     held = urls.select(F.explode(tokens).alias("token")).join(small(literal.select("token").distinct()), "token")

@@ -454,6 +454,38 @@ def test_url_rules(spark):
     assert {r.verdict for r in url_filter.judge(df, []).collect()} == {"allow"}
 
 
+def test_rule_sets_of_thousands_as_tables(spark, monkeypatch):
+    """Rules that are rows, against every rule on every URL; also beyond the broadcast bound."""
+    rng = random.Random(12)
+    part = lambda: "".join(rng.choices("abcde", k=rng.randint(1, 3)))
+    hosts = {(rng.choice(["allow", "block"]), ".".join(part() for _ in range(rng.randint(1, 3))), "/" + "/".join(part() for _ in range(rng.randint(0, 2))))
+             for _ in range(4_000)}
+    hosts = {(v, h, p + rng.choice(["", "/", "-x/"])) for v, h, p in hosts}
+    patterns = [(f"p{i}", rf"(?:^|[./-]){t}(?:[./-]|$)", [t]) for i, t in enumerate({part() for _ in range(1_500)})]
+    urls = [f"http://{'.'.join(part() for _ in range(rng.randint(1, 4)))}/{'/'.join(part() for _ in range(rng.randint(0, 3)))}{rng.choice(['', '/', '-x/y'])}" for _ in range(300)]
+    urls += [None, "http://" + "abc." * 2_000 + "com/", "x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = url_filter.rule_table(spark.createDataFrame(sorted(hosts), "verdict string, host string, path string"),
+                                  spark.createDataFrame(patterns, "name string, regex string, tokens array<string>"))
+    want = {}
+    for i, u in enumerate(urls):
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", u or "")
+        host, path = (ascii_lower(m.group(1)), m.group(2)) if m else ("", "")
+        fits = [(len(h + p), len(h), v, h + p) for v, h, p in hosts if m and (host == h or host.endswith("." + h)) and path.startswith(p)]
+        hit = sorted(n for n, rx, _ in patterns if re.search(rx, host + path))
+        best = max(fits, default=None)
+        want[i] = (best and best[3], best[2] if best else "block" if hit else "allow", ",".join(hit))
+    for most in (100_000, 100):
+        monkeypatch.setattr(url_filter, "BROADCAST_RULES", most)
+        got = {r.page_id: (r.rule, r.verdict, r.patterns) for r in url_filter.judge(pages, table).collect()}
+        assert got == want
+    as_list = [url_filter.host_rule(*h) for h in sorted(hosts)[:500]]
+    frame = url_filter.rule_table(spark.createDataFrame(sorted(hosts)[:500], "verdict string, host string, path string"),
+                                  spark.createDataFrame([], "name string, regex string, tokens array<string>"))
+    both = [sorted(map(str, url_filter.judge(pages, r).collect())) for r in (as_list, frame)]
+    assert both[0] == both[1]
+
+
 # --- personal data ---------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
