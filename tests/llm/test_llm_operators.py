@@ -84,6 +84,34 @@ def test_quality_factors_match_the_plain_density():
     assert np.allclose(m.log_odds(x), want)
 
 
+def test_quality_scores_match_an_independent_fit(spark):
+    """Means, both shrinkages and densities from the plain formulas."""
+    rng = random.Random(5)
+    good = lambda: " ".join(rng.choice(["the", "of", "language", "Word", "runs", "on."]) for _ in range(rng.randint(5, 60)))
+    bad = lambda: "".join(rng.choice("#$|AB12 \n") for _ in range(rng.randint(5, 200)))
+    rows = [(i, good() if i % 3 else bad(), int(i % 3 > 0) if i % 7 else 1 - int(i % 3 > 0)) for i in range(90)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(100, ""), (101, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality_qda.classify(docs, labels, F.col("doc_id") % 5 != 0).collect()}
+
+    x = {i: np.array(quality_qda.statistics((t or "").encode())) for i, t in [(i, t) for i, t, _ in rows] + [(100, ""), (101, None)]}
+    own = {k: np.array([x[i] for i, _, y in rows if y == k and i % 5]) for k in (0, 1)}
+    n = {k: len(v) for k, v in own.items()}
+    cov = {k: np.cov(v.T, bias=True) for k, v in own.items()}
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / (n[0] + n[1])
+    level = np.diag(np.maximum(np.diag(pooled), 1e-6))
+    shrunk = {k: (1 - quality_qda.TO_DIAGONAL) * ((1 - quality_qda.TO_POOLED) * cov[k] + quality_qda.TO_POOLED * pooled) + quality_qda.TO_DIAGONAL * level
+              for k in (0, 1)}
+
+    def log_density(v, k):
+        d = v - own[k].mean(axis=0)
+        return math.log(n[k] / (n[0] + n[1])) - 0.5 * (d @ np.linalg.solve(shrunk[k], d) + np.linalg.slogdet(shrunk[k])[1])
+
+    for i, v in x.items():
+        odds = log_density(v, 1) - log_density(v, 0)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-max(-700, min(700, odds)))), abs=1e-6)
+
+
 def test_quality_held_out(spark, sf_dir):
     got = {r.doc_id: r for r in se.queries()["op1_quality_qda"](spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
@@ -229,6 +257,43 @@ def test_lm_probabilities_sum_to_one(spark):
     assert np.allclose((10 ** m.transition).sum(axis=1), 1)
 
 
+def test_lm_scores_match_plain_probabilities(spark):
+    """Class transitions, emissions and totals from the training words themselves,
+    given the clustering; the words of a class and an unseen one share its mass."""
+    rng = random.Random(7)
+    text = lambda: " ".join(rng.choice(["the", "a", "cat", "dog", "runs", "sleeps", f"x{rng.randint(0, 40)}ing"]) for _ in range(rng.randint(0, 12)))
+    train, held = [text() for _ in range(80)], [text() + rng.choice(["", " unseenword", " The"]) for _ in range(15)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in train], "text string")
+    m = brown_lm.train(df.select(F.col("text").cast("binary").alias("_t")), n_classes=4, groups=5, symbol_share=2e-2, known_share=5e-2)
+    docs = spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in brown_lm.score(docs, m, ["doc_id"]).collect()}
+
+    symbol = brown_lm.Symbols(m.own, m.groups)
+    cls = lambda w: int(m.classes[symbol.end if w is None else symbol[w.encode()]])
+    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(t or ""))
+    count = Counter(w for t in train for w in words(t))
+    size, kinds = Counter(), Counter()
+    for w, n in count.items():
+        size[cls(w)] += n
+        kinds[cls(w)] += 1
+    follows, k = np.zeros((4, 4)), 4
+    for t in train:
+        path = [cls(None), *map(cls, words(t)), cls(None)]
+        for a, b in zip(path, path[1:]):
+            follows[a, b] += 1
+    share = (follows.sum(axis=0) + 1) / (follows.sum() + k)
+    step = lambda a, b: (follows[a, b] + brown_lm.BACK * share[b]) / (follows[a].sum() + brown_lm.BACK)
+    emit = lambda w: (count[w] + brown_lm.ADD) / (size[cls(w)] + brown_lm.ADD * (kinds[cls(w)] + 1))
+    for i, t in enumerate(held):
+        path = [None, *words(t), None]
+        want = sum(math.log10(step(cls(a), cls(b)) * (1 if b is None else emit(b))) for a, b in zip(path, path[1:]))
+        assert got[i] == pytest.approx(want)
+    assert all(sum(step(a, b) for b in range(k)) == pytest.approx(1) for a in range(k))
+    for c in {cls(w) for w in count}:
+        known = [w for w in count if cls(w) == c]
+        assert sum(map(emit, known)) + brown_lm.ADD / (size[c] + brown_lm.ADD * (kinds[c] + 1)) == pytest.approx(1)
+
+
 # --- token counts ----------------------------------------------------------
 
 def test_token_counts_match_a_programme_per_word(spark, docs, empty, sf_dir):
