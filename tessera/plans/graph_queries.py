@@ -98,7 +98,7 @@ def graph_all_paths(spark, sf_dir):
 
 # --- CSV import ------------------------------------------------------------------------------
 
-def _researchers_csv(spark: SparkSession, sf_dir: str) -> str:
+def _suppliers_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the supplier table as a header CSV of strings (the import file)."""
     s = Tables(spark, sf_dir).supplier
     rows = s.select(
@@ -106,7 +106,7 @@ def _researchers_csv(spark: SparkSession, sf_dir: str) -> str:
         F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("affiliation"),
         F.when(F.col("s_acctbal") < 0, F.lit("n/a")).otherwise(F.col("s_nationkey").cast("string")).alias("h_index"),
     )
-    path = files.scratch_path(spark, "researchers")
+    path = files.scratch_path(spark, "suppliers-csv")
     files.write_csv(rows, path)
     return path
 
@@ -117,18 +117,18 @@ CSV_SQL = """SELECT s_name AS name, 'Nation ' || CAST(s_nationkey AS VARCHAR) AS
 
 @register("src_csv_header", sql=CSV_SQL)
 def src_csv_header(spark, sf_dir):
-    raw = files.read_csv_strings(spark, _researchers_csv(spark, sf_dir), ["name", "affiliation", "h_index"])
+    raw = files.read_csv_strings(spark, _suppliers_csv(spark, sf_dir), ["name", "affiliation", "h_index"])
     return raw.select("name", "affiliation", files.to_integer("h_index").alias("h_index"))
 
 
-@register("graph_import_nodes", sql=f"""SELECT 'Researcher' AS labels, name, affiliation, h_index FROM ({CSV_SQL})
-UNION ALL SELECT 'Researcher', name, affiliation, h_index FROM ({CSV_SQL})""")
+@register("graph_import_nodes", sql=f"""SELECT 'Supplier' AS labels, name, affiliation, h_index FROM ({CSV_SQL})
+UNION ALL SELECT 'Supplier', name, affiliation, h_index FROM ({CSV_SQL})""")
 def graph_import_nodes(spark, sf_dir):
     """Plain CREATE per CSV row, imported twice: duplicates are kept (a
     ``merge`` import would anti-join on the name first)."""
-    path = _researchers_csv(spark, sf_dir)
+    path = _suppliers_csv(spark, sf_dir)
     raw = files.read_csv_strings(spark, path, ["name", "affiliation", "h_index"])
-    nodes = raw.select(F.lit("Researcher").alias("labels"), "name", "affiliation",
+    nodes = raw.select(F.lit("Supplier").alias("labels"), "name", "affiliation",
                        files.to_integer("h_index").alias("h_index"))
     return nodes.unionByName(nodes)
 

@@ -37,7 +37,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder must be the shared one named by
     ``spark.checkpoint.dir``; we only invent one (a fresh temp folder) when
-    the setting is absent *and* the master is local, as in tests."""
+    the setting is absent *and* driver and executors are one process, as in tests."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns spark.checkpoint.dir
@@ -52,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)

@@ -748,3 +748,11 @@ def test_failed_requests_are_answered_with_the_error(spark):
     kept = spark.createDataFrame([(1, 7, 1, 5, 0.9), (2, 7, 1, 5, 0.9)], "qid long, id long, pos int, doc_length int, score double")
     got = {r.qid: (r.status, r.answer) for r in rt.assemble_response(q, kept, error="error").collect()}
     assert got == {1: ("ready", None), 2: ("error", rt.ERROR_ANSWER + "boom"), 3: ("no_context", rt.NO_CONTEXT_ANSWER)}
+
+
+@pytest.mark.parametrize("key", ["sort_order_by", "agg_value_counts", "topk_desc_limit", "limit_any"])
+def test_rows_come_in_the_order_of_the_sql(spark, sf_dir, key):
+    from oracle import duck
+
+    rows = [tuple(r) for r in se.queries()[key](spark, sf_dir).collect()]
+    assert rows == duck(sf_dir).execute(se.oracle_sql()[key]).fetchall()
