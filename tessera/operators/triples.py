@@ -15,11 +15,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.fixpoint import cut, fixpoint, reach
+from tessera.operators.fixpoint import CHECKPOINT_EVERY, cut, fixpoint, reach
 
 
 def is_var(term) -> bool:
@@ -261,13 +262,14 @@ def depths(roots: DataFrame, sub: DataFrame) -> DataFrame:
     nodes = open_.select(F.col("parent").alias("node")).unionByName(open_.select(F.col("child").alias("node"))).unionByName(
         roots.select(F.col("root").alias("node"))).distinct()
     done = cut(nodes.join(open_.select(F.col("parent").alias("node")), "node", "left_anti").withColumn("depth", F.lit(1)))
-    while not open_.isEmpty():
+    for level in count(1):
         known = open_.join(done.select(F.col("node").alias("child"), "depth"), "child", "left")
         ready = known.groupBy("parent").agg(F.count_if(F.col("depth").isNull()).alias("wait"), F.max("depth").alias("below"))
         new = cut(ready.filter("wait = 0").select(F.col("parent").alias("node"), (F.col("below") + 1).alias("depth")))
         if new.isEmpty():
             break
-        done = cut(done.unionByName(new))
+        done = done.unionByName(new)  # parts that are cut; the union itself every few levels
+        done = cut(done) if level % CHECKPOINT_EVERY == 0 else done
         open_ = cut(open_.join(new.select(F.col("node").alias("parent")), "parent", "left_anti"))
     return roots.select("root").distinct().join(done.withColumnRenamed("node", "root"), "root", "left")
 
