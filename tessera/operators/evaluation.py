@@ -103,7 +103,9 @@ def advice(metrics: dict[str, Column]) -> Column:
 # --- n-gram and sequence metrics, in the row ------------------------------------
 #
 # The tokens of a pair are made once; everything after that is array functions
-# on the pair's own row: no n-gram leaves it, nothing is joined back.
+# on the pair's own row: no n-gram leaves it, nothing is joined back.  The texts
+# are dealt to the session's partitions first (``by_key``): they are small against
+# the work on them.
 
 def _bind(df: DataFrame, **cols: Column) -> DataFrame:
     """Add columns in a projection of their own, so that the next step refers to
@@ -225,16 +227,16 @@ def with_bleu(pairs: DataFrame, pred: str, ref: str, max_order: int = 4) -> Data
 
 def rouge_n(pairs: DataFrame, key: str, pred: str, ref: str, orders=(1, 2), mode: str = "ascii") -> DataFrame:
     """ROUGE-n F-measure per pair, one column ``rouge{n}`` per order."""
-    return with_rouge(pairs, pred, ref, orders, mode=mode).select(key, *[f"rouge{n}" for n in orders])
+    return with_rouge(tx.by_key(pairs.select(key, pred, ref), key), pred, ref, orders, mode=mode).select(key, *[f"rouge{n}" for n in orders])
 
 
 def rouge_l(pairs: DataFrame, key: str, pred: str, ref: str, mode: str = "ascii") -> DataFrame:
     """ROUGE-L F-measure per pair: P = lcs/|pred|, R = lcs/|ref| over whole texts."""
-    return with_rouge(pairs, pred, ref, (), longest=True, mode=mode).select(key, "lcs", "rougeL")
+    return with_rouge(tx.by_key(pairs.select(key, pred, ref), key), pred, ref, (), longest=True, mode=mode).select(key, "lcs", "rougeL")
 
 
 def bleu(pairs: DataFrame, key: str, pred: str, ref: str, max_order: int = 4) -> DataFrame:
-    return with_bleu(pairs, pred, ref, max_order).select(key, "bleu")
+    return with_bleu(tx.by_key(pairs.select(key, pred, ref), key), pred, ref, max_order).select(key, "bleu")
 
 
 GENERATION_METRICS = ["rouge1", "rouge2", "rougeL", "bleu", "semantic_similarity"]

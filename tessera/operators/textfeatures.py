@@ -51,14 +51,15 @@ def tfidf(docs: DataFrame, key: str, text: str, vocab_size: int = 1000) -> DataF
     The vocabulary is a global top-k (bounded by ``vocab_size``), so it is the
     only side that is broadcast; every other step is keyed by document or term."""
     # hash-partition the documents once: the (doc, term) aggregation then needs no
-    # shuffle of tokens (which outnumber the text several times); its rows are
-    # stored, so that the texts are tokenised once for both readers
+    # shuffle of tokens (which outnumber the text several times), nor does the
+    # window below: its rows are checkpointed as they are partitioned, so that the
+    # texts are tokenised once for both readers
     from tessera.functions.text import by_key
-    from tessera.sources.files import stored
+    from tessera.operators.fixpoint import cut
 
     by_doc = by_key(docs.select(key, text), key)
     tok = by_doc.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)).alias("term"))
-    tf = stored(tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")), "term-counts")
+    tf = cut(tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
     # one pass over (doc, term) rows gives both the corpus frequency and the
     # document frequency of every term; the vocabulary keeps its df
     vocab = (

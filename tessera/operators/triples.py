@@ -54,15 +54,16 @@ class Triples:
     @classmethod
     def opened(cls, source: Callable[[set[str] | None], DataFrame], patterns: list[tuple], path: str) -> "Triples":
         """Triples for these patterns.  Predicates that at least ``STORED_READS`` of
-        them read are derived once, stored and measured; the others are
-        filtered where they lie.  Nothing is written for one or two patterns."""
+        them read are derived once, stored and measured (all, if a pattern with a
+        variable predicate reads them all anyway); the others are filtered where they
+        lie.  Nothing is written for one or two patterns."""
         reads = Counter(p for _, p, _ in patterns)
         every = sum(n for p, n in reads.items() if is_var(p))  # a variable predicate reads them all
         often = {p for p, n in reads.items() if not is_var(p) and n + every >= STORED_READS}
-        if every >= STORED_READS:
-            return cls.materialized(source(None), path).measured()
         if not often:
             return cls(source)
+        if every:
+            return cls.materialized(source(None), path).measured()
         held = cls.materialized(source(often), path).measured()
 
         def both(wanted: set[str] | None) -> DataFrame:
@@ -258,7 +259,7 @@ def depths(roots: DataFrame, sub: DataFrame) -> DataFrame:
     round settles the classes whose children are all settled, so a class is
     settled once, whatever the number of ways to it.  A root above a cycle has
     no finite depth: null."""
-    open_ = cut(sub.select("parent", "child").distinct())
+    roots, open_ = cut(roots.select("root")), cut(sub.select("parent", "child").distinct())
     nodes = open_.select(F.col("parent").alias("node")).unionByName(open_.select(F.col("child").alias("node"))).unionByName(
         roots.select(F.col("root").alias("node"))).distinct()
     done = cut(nodes.join(open_.select(F.col("parent").alias("node")), "node", "left_anti").withColumn("depth", F.lit(1)))

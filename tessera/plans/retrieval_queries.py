@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import SPACE
+from tessera.functions.text import SPACE, by_key
 from tessera.operators import evaluation as ev
 from tessera.operators import retrieval as rt
 from tessera.operators.knn import knn, knn_self
 from tessera.operators.requests import ERR_EMPTY, ERR_TOO_LONG, TEXT_MAX_CHARS, TEXT_MIN_CHARS, validate_text
 from tessera.plans.registry import register
+from tessera.sources.files import stored
 from tessera.sources.tables import Tables
 
 THRESHOLD = 0.25  # fixture threshold (the 0.6 default leaves no non-self hit on this data)
@@ -127,7 +128,8 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
     the answer is cut after the prompt and post-processed."""
     t = Tables(spark, sf_dir)
     texts = t.documents.select(F.col("doc_id").alias("qid"), "text")
-    asked = t.embeddings.withColumnRenamed("vec_id", "qid").join(texts, "qid", "left").withColumn("error", validate_text(F.col("text"))[1])
+    asked = t.embeddings.select(F.col("vec_id").alias("qid"), "embedding").join(texts, "qid", "left")
+    asked = stored(asked.select("qid", "embedding", validate_text(F.col("text"))[1].alias("error")), "questions")  # the texts are read once
     questions = asked.select("qid", "error")
     hits = knn(asked.filter("error is null"), t.embeddings, k, id_col="vec_id", exclude_self=True)
     hits = rt.similarity_threshold(hits, threshold)
@@ -304,7 +306,7 @@ def generation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = e.select(F.col("vec_id").alias("case_id"), F.col("vec").alias("question_vec"))
     told = e.select(F.col("vec_id").alias("_answer_id"), F.col("vec").alias("answer_vec"))
     with_vectors = pairs.join(asked, "case_id", "left").join(told, F.col("case_id") + F.col("turn") + 1 == F.col("_answer_id"), "left")
-    return ev.generation_metrics(with_vectors, "answer", "question", "answer_vec", "question_vec").select("case_id", "turn", *GENERATION)
+    return ev.generation_metrics(by_key(with_vectors, "case_id"), "answer", "question", "answer_vec", "question_vec").select("case_id", "turn", *GENERATION)
 
 
 def case_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,8 +420,6 @@ def rag_eval_report(spark, sf_dir):
     """The whole report as one long table: the metrics of every case (of each of
     its answers), their aggregates and the overall score of every group, and the
     numbers of cases."""
-    from tessera.sources.files import stored
-
     rows = stored(metric_table(spark, sf_dir), "eval-metrics")  # read by the three sections
     rolled = ev.rollup(rows, ["category", "difficulty"])
     none = F.lit(None)

@@ -257,10 +257,14 @@ sub AS (SELECT DISTINCT s AS child, o AS parent FROM T WHERE p = 'subClassOf' AN
 roots AS (SELECT s AS root FROM cls WHERE s NOT IN (SELECT child FROM sub))"""
 
 
-def hierarchy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def hierarchy(spark: SparkSession, sf_dir: str, again: bool = False) -> tuple[DataFrame, DataFrame]:
     """(roots, sub): classes without a named superclass, and the subclass
-    edges between declared classes."""
+    edges between declared classes.  With ``again`` both will be read repeatedly,
+    and the triples of the two predicates are stored."""
+    from tessera.sources.files import stored
+
     t = views.triples(spark, sf_dir, {"type", "subClassOf"})
+    t = stored(t, "hierarchy") if again else t
     is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
     cls = t.filter(is_class).select("s").distinct()
     sub = (
@@ -283,7 +287,7 @@ walk(root, node, depth) AS (SELECT root, root, 1 FROM roots
   UNION SELECT w.root, sub.child, w.depth + 1 FROM walk w JOIN sub ON sub.parent = w.node)
 SELECT root, max(depth) AS depth FROM walk GROUP BY root""", recursive=True))
 def graph_depth(spark, sf_dir):
-    return tp.depths(*hierarchy(spark, sf_dir))
+    return tp.depths(*hierarchy(spark, sf_dir, again=True))
 
 
 @register("graph_closure_filter", sql=W("""sub AS (SELECT s AS child, o AS parent FROM T WHERE p = 'subClassOf'),
