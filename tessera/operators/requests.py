@@ -20,11 +20,15 @@ DEFAULT_MODEL_VERSION = "default"
 
 def validate_text(text: Column) -> tuple[Column, Column]:
     """(is_valid, error): 1..1000 characters, rows are kept and flagged."""
-    n = F.char_length(text)
-    err = F.when(text.isNull() | (n < TEXT_MIN_CHARS), F.lit(ERR_EMPTY)).when(n > TEXT_MAX_CHARS, F.lit(ERR_TOO_LONG))
+    err = length_error(F.char_length(text))
     return err.isNull(), err
 
 
+def length_error(chars: Column) -> Column:
+    """The rejection of a text of so many characters (null: no text), or null."""
+    return F.when(chars.isNull() | (chars < TEXT_MIN_CHARS), F.lit(ERR_EMPTY)).when(chars > TEXT_MAX_CHARS, F.lit(ERR_TOO_LONG))
+
+
 def batch_sizes(df: DataFrame, batch: str) -> DataFrame:
     """One row per batch: size, accepted (<= 100 texts), error.  A plain
     aggregation, so a huge batch is combined map-side."""

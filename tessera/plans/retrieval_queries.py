@@ -14,7 +14,7 @@ from tessera.functions.text import SPACE, by_key
 from tessera.operators import evaluation as ev
 from tessera.operators import retrieval as rt
 from tessera.operators.knn import knn, knn_self
-from tessera.operators.requests import ERR_EMPTY, ERR_TOO_LONG, TEXT_MAX_CHARS, TEXT_MIN_CHARS, validate_text
+from tessera.operators.requests import ERR_EMPTY, ERR_TOO_LONG, TEXT_MAX_CHARS, TEXT_MIN_CHARS, length_error
 from tessera.plans.registry import register
 from tessera.sources.files import stored
 from tessera.sources.tables import Tables
@@ -127,9 +127,9 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
     prompt goes through the user's generator (batched, ``mapInPandas``) and
     the answer is cut after the prompt and post-processed."""
     t = Tables(spark, sf_dir)
-    texts = t.documents.select(F.col("doc_id").alias("qid"), "text")
-    asked = t.embeddings.select(F.col("vec_id").alias("qid"), "embedding").join(texts, "qid", "left")
-    asked = stored(asked.select("qid", "embedding", validate_text(F.col("text"))[1].alias("error")), "questions")  # the texts are read once
+    lengths = t.documents.select(F.col("doc_id").alias("qid"), "n_chars")  # of the texts, which need not be read
+    asked = t.embeddings.select(F.col("vec_id").alias("qid"), "embedding").join(lengths, "qid", "left")
+    asked = asked.select("qid", "embedding", length_error(F.col("n_chars")).alias("error"))
     questions = asked.select("qid", "error")
     hits = knn(asked.filter("error is null"), t.embeddings, k, id_col="vec_id", exclude_self=True)
     hits = rt.similarity_threshold(hits, threshold)
@@ -155,8 +155,8 @@ def retrieve_pipeline(spark: SparkSession, sf_dir: str, k: int = rt.TOP_K, thres
 
 
 RAG_SQL = f"""WITH {knn_sql(5)},
-asked AS (SELECT vec_id AS qid, CASE WHEN text IS NULL OR length(text) < {TEXT_MIN_CHARS} THEN '{ERR_EMPTY}'
-    WHEN length(text) > {TEXT_MAX_CHARS} THEN '{ERR_TOO_LONG}' END AS error FROM embeddings LEFT JOIN documents ON doc_id = vec_id),
+asked AS (SELECT vec_id AS qid, CASE WHEN n_chars IS NULL OR n_chars < {TEXT_MIN_CHARS} THEN '{ERR_EMPTY}'
+    WHEN n_chars > {TEXT_MAX_CHARS} THEN '{ERR_TOO_LONG}' END AS error FROM embeddings LEFT JOIN documents ON doc_id = vec_id),
 f AS (
   SELECT h.qid, h.id, h.score, coalesce(d.n_chars, 0) AS len,
          row_number() OVER (PARTITION BY h.qid ORDER BY h.score DESC, h.rank) AS pos
