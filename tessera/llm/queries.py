@@ -218,8 +218,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_brown_lm")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id")) == 1)
-    model = brown_lm.train(docs.filter(~F.col("held_out")).select(F.col("text").cast("binary").alias("_t")))
-    scored = brown_lm.score(docs, model, ["doc_id", "held_out"])
+    words = brown_lm.learn(docs.filter(~F.col("held_out")).select(F.col("text").cast("binary").alias("_t")))
+    paths = stored(brown_lm.class_paths(docs, words, ["doc_id", "held_out"]), "lm-paths")  # read twice: to count steps, to score
+    model = brown_lm.fit(words, paths.filter(~F.col("_keep.held_out")))
+    scored = brown_lm.scores(paths, model)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
                          "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 

@@ -257,6 +257,41 @@ def test_lm_probabilities_sum_to_one(spark):
     assert np.allclose((10 ** m.transition).sum(axis=1), 1)
 
 
+def test_lm_places_every_training_word(spark):
+    """Each word without a symbol of its own is where a plain count of its
+    neighbours, against the class tables of the round, puts it; rounds gain."""
+    rng = random.Random(3)
+    noun, verb = [f"n{i}x" for i in range(60)], [f"v{i}x" for i in range(60)]
+    texts = [" ".join(w for _ in range(rng.randint(1, 6)) for w in ("The", rng.choice(noun), "can", rng.choice(verb))) for _ in range(150)]
+    df = spark.createDataFrame([(t,) for t in texts + ["", "once"]] + [(None,)], "text string").select(F.col("text").cast("binary").alias("_t"))
+    m = brown_lm.learn(df, n_classes=5, groups=3, symbol_share=5e-2)
+    assert set(m.own) == {b"the", b"can"}
+    rest = {bytes(r.word).decode(): (r.n, r.cls) for r in m.rest.collect()}
+    count = Counter(w for t in texts + ["once"] for w in ascii_lower(t).split())
+    assert {w: n for w, (n, _) in rest.items()} == {w: n for w, n in count.items() if w not in ("the", "can")}
+    assert all(b >= a for a, b in zip(m.values, m.values[1:])) and all(c < 4 for _, c in rest.values())
+    kinds = [Counter(rest[w][1] for w in words if w in rest).most_common(1)[0][0] for words in (noun, verb)]
+    assert kinds[0] != kinds[1]  # nouns and verbs stand between different words
+    assert all(rest[w][1] == k for words, k in zip((noun, verb), kinds) for w in words if w in rest)
+
+    # one round from the start, word by word
+    first = lambda w: int(m.classes[-1 if w is None else brown_lm.symbols([w.encode()], m.own, m.groups)[0]])
+    follow, precede, near = np.zeros((5, 5)), np.zeros((5, 5)), {}
+    for t in texts + ["once", "", ""]:
+        path = [None, *ascii_lower(t).split(), None]
+        for a, b in zip(path, path[1:]):
+            follow[first(a), first(b)] += 1
+            precede[first(b), first(a)] += 1
+        for a, w, b in zip(path, path[1:], path[2:]):
+            near.setdefault(w, []).append((first(a), first(b)))
+    nxt, prv = brown_lm._profiles(follow, precede)
+    want = {w: max(range(4), key=lambda c: (round(sum(nxt[c, b] + prv[c, a] for a, b in near[w]), 9), -c)) for w in rest}
+    contexts = brown_lm.word_contexts(df, m.own, m.classes, m.groups, 5)
+    zero = np.zeros((5, 5))
+    placed, _ = brown_lm.place(contexts, (zero, zero), (follow, precede), rounds=1)
+    assert {bytes(r.word).decode(): r.cls for r in placed.collect()} == want
+
+
 def test_lm_scores_match_plain_probabilities(spark):
     """Class transitions, emissions and totals from the training words themselves,
     given the clustering; the words of a class and an unseen one share its mass."""
@@ -268,8 +303,13 @@ def test_lm_scores_match_plain_probabilities(spark):
     docs = spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in brown_lm.score(docs, m, ["doc_id"]).collect()}
 
-    symbol = brown_lm.Symbols(m.own, m.groups)
-    cls = lambda w: int(m.classes[symbol.end if w is None else symbol[w.encode()]])
+    placed = {bytes(r.word).decode(): r.cls for r in m.rest.collect()}
+
+    def cls(w):
+        if w in placed:
+            return placed[w]
+        return int(m.classes[-1 if w is None else brown_lm.symbols([w.encode()], m.own, m.groups)[0]])
+
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(t or ""))
     count = Counter(w for t in train for w in words(t))
     size, kinds = Counter(), Counter()
