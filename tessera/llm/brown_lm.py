@@ -58,20 +58,21 @@ ROUNDS = 10
 LEAST_GAIN = 1e-3  # of the likelihood, for another round over the rare words
 ADD = 0.5  # to every word count
 BACK = 2.0  # weight of the class unigram in a transition
-FLUSH = 1_000_000  # partial counts that a task holds
-TEXTS_AT_ONCE = 2_048
+FLUSH = 500_000  # partial counts that a task holds
+TEXTS_AT_ONCE = 2_048  # where counts add up
+PATHS_AT_ONCE = 256  # where every text gives rows of its own
 BYTES_AT_ONCE = 16 << 20
 JOINED = 255  # in a path: the class comes by the join
 
 
 # --- texts in a task ---------------------------------------------------------
 
-def slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, at: int, texts: int = TEXTS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Cut by the number and the bytes of the texts in column ``at``; one text is never cut."""
     size = pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(size):
-        if i > start and (i - start >= TEXTS_AT_ONCE or held + n > BYTES_AT_ONCE):
+        if i > start and (i - start >= texts or held + n > BYTES_AT_ONCE):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
@@ -368,7 +369,7 @@ def class_paths(docs: DataFrame, m: Model, keep: list[str], text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = (0, -1)
         for whole in batches:
-            for batch in slices(whole, 2):
+            for batch in slices(whole, 2, PATHS_AT_ONCE):
                 docs, rows = batch.num_rows, batch.column(0).to_numpy()
                 words, ids, where = tokens(batch.column(2))
                 spelled = words.to_pylist()
