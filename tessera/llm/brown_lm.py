@@ -60,7 +60,7 @@ ADD = 0.5  # to every word count
 BACK = 2.0  # weight of the class unigram in a transition
 FLUSH = 500_000  # partial counts that a task holds
 TEXTS_AT_ONCE = 2_048  # where counts add up
-PATHS_AT_ONCE = 256  # where every text gives rows of its own
+PATHS_AT_ONCE = 1_024  # where every text gives rows of its own
 BYTES_AT_ONCE = 16 << 20
 JOINED = 255  # in a path: the class comes by the join
 
@@ -112,7 +112,7 @@ def symbols(words: list[bytes], own: dict[bytes, int], groups: int) -> np.ndarra
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word binary, n) over a column ``_t`` of UTF-8 bytes."""
     def merged(parts: list[pa.Table]) -> pa.Table:
-        sums = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+        sums = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
         return pa.table([sums.column("word"), sums.column("n_sum")], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +122,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 words, ids, _ = tokens(batch.column(0))
                 parts.append(pa.table([words, pa.array(np.bincount(ids, minlength=len(words)).astype(np.int64))], names=["word", "n"]))
                 held += len(words)
+                pa.default_memory_pool().release_unused()
                 if held > FLUSH:
                     parts = [merged(parts)]
                     held = parts[0].num_rows
@@ -152,6 +153,7 @@ def bigrams(texts: DataFrame, own: dict[bytes, int], groups: int = GROUPS) -> Da
                 mine, times = np.unique(s[:-1] * width + s[1:], return_counts=True)
                 code, at = np.unique(np.concatenate([code, mine]), return_inverse=True)
                 n = np.bincount(at, weights=np.concatenate([n, times])).astype(np.int64)
+                pa.default_memory_pool().release_unused()
                 if len(code) > FLUSH:
                     yield emit(code, n)
                     code, n = code[:0], n[:0]
@@ -176,6 +178,7 @@ def word_contexts(texts: DataFrame, own: dict[bytes, int], classes: np.ndarray,
                 code, n = np.unique(ids[at] * cells + path[spot - 1] * n_classes + path[spot + 1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(code // cells)), pa.array((code % cells).astype(np.int32)),
                                                   pa.array(n.astype(np.int64))], names=["word", "code", "n"])
+                pa.default_memory_pool().release_unused()
 
     rows = texts.select("_t").mapInArrow(run, "word binary, code int, n long").repartition("word")  # one shuffle for both groupings
     return rows.groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word").agg(
@@ -365,6 +368,7 @@ def class_paths(docs: DataFrame, m: Model, keep: list[str], text: str = "text")
     src = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(F.lit(True).alias("_any"), *keep).alias("_keep"),
                       F.col(text).cast("binary").alias("_t"))
     kind = src.schema["_keep"].dataType.simpleString()
+    mine = f"struct<_keep:{kind},path:binary,which:binary,n_known:bigint,emit:double>"  # one column, null in the rows of rare words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = (0, -1)
@@ -389,33 +393,29 @@ def class_paths(docs: DataFrame, m: Model, keep: list[str], text: str = "text")
 
                 def cut(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
                     offsets = np.concatenate([[0], np.cumsum(lengths * values.itemsize)]).astype(np.int32)
-                    mine = pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
-                    return pa.concat_arrays([mine, pa.nulls(k, pa.binary())])
-
-                def both(mine: np.ndarray, rare: np.ndarray, kind: pa.DataType) -> pa.Array:
-                    return pa.array(np.concatenate([mine, rare]), kind)
+                    return pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
 
+                texts = pa.StructArray.from_arrays(
+                    [batch.column(1), cut(path, length), cut(order, np.bincount(where[at], minlength=docs)),
+                     pa.array(np.bincount(where, weights=cls >= 0, minlength=docs).astype(np.int64) + (ends > 0)),
+                     pa.array(np.bincount(where, weights=log[ids], minlength=docs), pa.float64())], names=["_keep", "path", "which", "n_known", "emit"])
                 zero = np.zeros(docs, np.int64)
                 # a document's own row has a key that is no word, as it holds a space; then its rare words
                 yield pa.RecordBatch.from_arrays([
-                    both(rows, rows[doc], pa.int64()),
-                    batch.column(1).take(pa.array(np.r_[np.arange(docs), np.full(k, -1)], mask=np.r_[zero, np.ones(k)].astype(bool))),
+                    pa.array(np.concatenate([rows, rows[doc]])),
                     pa.concat_arrays([pa.array([b" %d" % r for r in rows], pa.binary()), words.take(pa.array(word))]),
-                    both(zero, times, pa.int64()), both(zero - 1, number, pa.int64()), both(zero, guess[word], pa.int32()),
-                    cut(path, length), cut(order, np.bincount(where[at], minlength=docs)),
-                    both(length + 1, np.zeros(k, np.int64), pa.int64()),
-                    both(np.bincount(where, weights=cls >= 0, minlength=docs).astype(np.int64) + (ends > 0), np.zeros(k, np.int64), pa.int64()),
-                    both(np.bincount(where, weights=log[ids], minlength=docs), np.zeros(k), pa.float64())],
-                    names=["_row", "_keep", "word", "times", "number", "guess", "path", "which", "n_tokens", "n_known", "emit"])
-
-    met = src.mapInArrow(run, f"_row long, _keep {kind}, word binary, times long, number long, guess int, path binary, which binary, "
-                              "n_tokens long, n_known long, emit double").join(m.rare, "word", "left")
+                    *(pa.array(np.concatenate([zero + first, rare]), pa.int32()) for first, rare in ((0, times), (-1, number), (0, guess[word]))),
+                    pa.concat_arrays([texts, pa.nulls(k, texts.type)])], names=["_row", "word", "times", "number", "guess", "mine"])
+                pa.default_memory_pool().release_unused()
+
+    met = src.mapInArrow(run, f"_row long, word binary, times int, number int, guess int, mine {mine}").join(m.rare, "word", "left")
     rows = met.groupBy("_row").agg(
-        F.first("_keep", ignorenulls=True).alias("_keep"), F.first("path", ignorenulls=True).alias("path"),
-        F.first("which", ignorenulls=True).alias("which"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("emit") + F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + ADD)).alias("emit"),
-        F.collect_list(F.when(F.col("number") >= 0, F.col("number") * 256 + F.coalesce("cls", "guess"))).alias("met"))
+        F.first("mine", ignorenulls=True).alias("mine"),
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
+        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + ADD)).alias("emit"),
+        F.collect_list(F.when(F.col("number") >= 0, F.col("number").cast("long") * 256 + F.coalesce("cls", "guess"))).alias("met"),
+    ).select("mine._keep", "mine.path", "mine.which", (F.octet_length("mine.path") + 1).cast("long").alias("n_tokens"),
+             (F.col("mine.n_known") + F.col("n_known")).alias("n_known"), (F.col("mine.emit") + F.col("emit")).alias("emit"), "met")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
