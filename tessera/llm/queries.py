@@ -204,7 +204,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_kind = lambda k: F.filter(base, lambda s: s["kind"] == k)
     counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
-                        F.size(F.filter("found", lambda s: s["added"])).cast("long").alias("n_added"))
+                        F.size(F.filter("found", lambda s: s["added"])).cast("long").alias("n_added"),
+                        F.size("found").cast("long").alias("n_spans"))
 
 
 @query("op1_quality_qda")
