@@ -64,34 +64,45 @@ def score_requests(requests: DataFrame) -> DataFrame:
 
 # --- X2: TTL cache as keyed state -----------------------------------------------------------
 
-def ttl_cache(requests: DataFrame, key: list[str], ttl_seconds: int, watermark: str = "1 hour") -> DataFrame:
+#: States that the keys of a cache share.
+STATE_BUCKETS = 2048
+NO_TIME = -(1 << 63)
+
+def ttl_cache(requests: DataFrame, key: list[str], ttl_seconds: int, watermark: str = "1 hour", buckets: int = STATE_BUCKETS) -> DataFrame:
     """Per request: hit when the same key was computed less than
     ``ttl_seconds`` before (expiry counts from the miss; hits do not renew).
-    State per key = the time of the last miss; it is dropped by an
-    event-time timeout once the watermark passes its expiry."""
+    Keys share a state by a hash of the key, so that a call of the walk serves many:
+    the time of the last miss of each of them, dropped once the watermark passes its
+    expiry (by an event-time timeout where no request comes).  ``buckets`` stays the
+    same as long as a checkpoint lives.  A request without a time is computed and
+    leaves no trace."""
     ttl_us = ttl_seconds * 1_000_000
+    micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     src = event_time(requests).withWatermark("ts", watermark).select(
-        *key, "event_id", "ts", F.unix_micros("ts").alias("t_us"))
-
-    def walk(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("bucket"), F.to_json(F.struct(*key), micros).alias("key"), "ts",
+        F.coalesce(F.unix_micros("ts"), F.lit(NO_TIME)).alias("t_us"), F.col("event_id").isNull().alias("unnamed"),
+        F.coalesce("event_id", F.lit(0)).cast("long").alias("event_id"))
+
+    def walk(_bucket: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        misses = dict(zip(*state.get)) if state.exists else {}
+        if not state.hasTimedOut:
+            pdf = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "unnamed", "event_id"])
+            hits = []
+            for k, t in zip(pdf["key"].tolist(), pdf["t_us"].tolist()):
+                hits.append(t != NO_TIME and k in misses and t - misses[k] < ttl_us)
+                if not hits[-1] and t != NO_TIME:
+                    misses[k] = t
+            yield pd.DataFrame({"event_id": pdf["event_id"].astype("Int64").mask(pdf["unnamed"]).array, "hit": hits})
+        now = state.getCurrentWatermarkMs() * 1000
+        misses = {k: t for k, t in misses.items() if t + ttl_us > now}
+        if misses:
+            state.update((list(misses), list(misses.values())))
+            state.setTimeoutTimestamp(-(-(min(misses.values()) + ttl_us) // 1000))
+        elif state.exists:
             state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "event_id"])
-        miss = state.get[0] if state.exists else None
-        hits = []
-        for t in pdf["t_us"].to_numpy():
-            if miss is not None and t - miss < ttl_us:
-                hits.append(True)
-            else:
-                miss = int(t)
-                hits.append(False)
-        state.update((miss,))
-        state.setTimeoutTimestamp(miss // 1000 + ttl_seconds * 1000)
-        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "hit": hits})
-
-    return src.groupBy(*key).applyInPandasWithState(
-        walk, "event_id long, hit boolean", "miss_us long", "append", GroupStateTimeout.EventTimeTimeout)
+
+    return src.groupBy("bucket").applyInPandasWithState(
+        walk, "event_id long, hit boolean", "keys array<string>, misses array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --- X3: windowed request metrics ------------------------------------------------------------
