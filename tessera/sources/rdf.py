@@ -4,8 +4,8 @@ N-Triples is line based, so reading and writing are native column
 expressions over ``read.text`` / ``write.text`` (a file splits across tasks
 like any text file).  RDF/XML documents (up to the 2 GB of a binary row) are read
 one file per row through Spark's file systems and parsed by a pull parser that
-drops each node element once its triples are out; the writer makes one document
-of each partition.  ``read_triples`` chooses by the extension.  Both yield a triple
+drops each node element once its triples are out; the writer makes documents of
+bounded size.  ``read_triples`` chooses by the extension.  Both yield a triple
 *set* (``distinct``); blank nodes are named by their file, so those of two files
 stay apart; a literal keeps its language tag and datatype."""
 
@@ -28,6 +28,9 @@ NT_LINE = (
 
 TRIPLE = "s string, p string, o string, o_kind string, lang string, dtype string"
 XML_SUFFIXES = ("rdf", "owl", "xml")
+#: Lines and bytes of a written RDF/XML document: one is read whole by one task.
+DOCUMENT_LINES, DOCUMENT_BYTES = 50_000, 32 << 20
+LINES_AT_ONCE = 1_000
 # The escapes of N-Triples literals, besides the backslash's own and code points.
 ESCAPES = {"\\t": "\t", "\\b": "\b", "\\n": "\n", "\\r": "\r", "\\f": "\f", '\\"': '"', "\\'": "'"}
 
@@ -241,7 +244,10 @@ def read_rdfxml(spark: SparkSession, path: str, ns: str = DEFAULT_NS) -> DataFra
 
 
 def write_rdfxml(triples: DataFrame, path: str, ns: str = DEFAULT_NS) -> None:
-    """One RDF/XML document a partition; predicates must be XML names."""
+    """RDF/XML documents of at most ``DOCUMENT_LINES`` lines and about ``DOCUMENT_BYTES``
+    bytes, as many as a partition needs; predicates must be XML names.  Every file but
+    a task's last has exactly so many lines, which is where Spark begins the next;
+    a document full by its bytes gets blank ones."""
     def safe(c: Column) -> Column:
         for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;"), ("\n", "&#10;"), ("\t", "&#9;")):
             c = F.replace(c, F.lit(char), F.lit(entity))
@@ -256,12 +262,26 @@ def write_rdfxml(triples: DataFrame, path: str, ns: str = DEFAULT_NS) -> None:
                     F.when(F.col("o_kind") == "lit", literal).otherwise(resource), F.lit("</rdf:Description>"))
 
     def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = lambda text: pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
-        yield one(f'<rdf:RDF xmlns:rdf="{RDF}" xmlns:t="{ns}">')
-        yield from batches
-        yield one("</rdf:RDF>")
-
-    triples.select(line.alias("value")).mapInArrow(document, "value string").write.mode("overwrite").text(path)
+        some = lambda *lines: pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        head, tail = f'<rdf:RDF xmlns:rdf="{RDF}" xmlns:t="{ns}">', "</rdf:RDF>"
+        yield some(head)
+        left, size = DOCUMENT_LINES - 2, 0
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                if size > DOCUMENT_BYTES:
+                    yield some(*[""] * left)
+                    left = 0
+                if not left:
+                    yield some(tail, head)
+                    left, size = DOCUMENT_LINES - 2, 0
+                part = batch.slice(at, min(left, LINES_AT_ONCE))
+                yield part
+                at, left, size = at + part.num_rows, left - part.num_rows, size + part.nbytes
+        yield some(tail)
+
+    triples.select(line.alias("value")).mapInArrow(document, "value string").write.mode("overwrite").option(
+        "maxRecordsPerFile", DOCUMENT_LINES).text(path)
 
 
 def read_triples(spark: SparkSession, path: str, ns: str = DEFAULT_NS) -> DataFrame:

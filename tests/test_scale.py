@@ -41,3 +41,21 @@ def test_ttl_cache_keys_share_states(spark):
             misses[u, t] = at
     got = spark.read.parquet(base + "/data").collect()
     assert len(got) == len(rows) and {r.event_id: r.hit for r in got} == want
+
+
+def test_rdfxml_documents_are_bounded(spark, monkeypatch):
+    from tessera.sources import rdf
+
+    triples = spark.createDataFrame([(f"s{i}", "label", f"line\n{i} & <x> " + "y" * (i % 7), "lit", "en") for i in range(205)],
+                                    "s string, p string, o string, o_kind string, lang string").coalesce(1)
+    monkeypatch.setattr(rdf, "LINES_AT_ONCE", 5)
+    for lines, size, least in ((50, 1 << 20, 5), (50, 2_000, 9)):
+        monkeypatch.setattr(rdf, "DOCUMENT_LINES", lines)
+        monkeypatch.setattr(rdf, "DOCUMENT_BYTES", size)
+        path = files.scratch_path(spark, "documents") + ".rdf"
+        rdf.write_rdfxml(triples, path)
+        written = spark.read.text(path, wholetext=True).collect()
+        assert len(written) >= least
+        assert all(r.value.count("\n") <= lines and r.value.startswith("<rdf:RDF") and r.value.endswith("</rdf:RDF>\n") for r in written)
+        back = rdf.read_triples(spark, path).drop("dtype")
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, triples.collect()))
