@@ -297,15 +297,18 @@ def construct(bindings: DataFrame, templates: list[tuple]) -> DataFrame:
 
 # --- ontology statistics -------------------------------------------------------------
 
-def graph_stats(triples: DataFrame) -> DataFrame:
+def graph_stats(triples: DataFrame, by: list[str] | None = None) -> DataFrame:
     """classes = subjects typed Class ∪ subjects of subClassOf; properties and
     individuals = subjects typed ObjectProperty / NamedIndividual; triples =
-    size of the triple *set*.  One aggregation pass for the subject counts."""
-    t = triples.select("s", "p", "o", "o_kind", "lang")
-    is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
-    return t.agg(
-        F.count_distinct(F.when(is_class, F.col("s"))).alias("classes"),
-        F.count_distinct(F.when((F.col("p") == "type") & (F.col("o") == "ObjectProperty"), F.col("s"))).alias("properties"),
-        F.count_distinct(F.when((F.col("p") == "type") & (F.col("o") == "NamedIndividual"), F.col("s"))).alias("individuals"),
-        F.count_distinct("s", "p", "o", "o_kind", "lang").alias("triples"),
-    )
+    size of the triple *set* (without those that lack a term); for each graph
+    named by the columns ``by``.  The triples are dealt out before equal ones are
+    dropped, so that a task holds those of its partition, whatever the size of the
+    files; the subjects of the set are counted by a second grouping."""
+    by, terms = by or [], ["s", "p", "o", "o_kind", "lang"]
+    each = triples.select(*by, *terms).repartition(*by, *terms).distinct()
+    typed = lambda cls: (F.col("p") == "type") & (F.col("o") == cls)
+    marks = {"classes": typed("Class") | (F.col("p") == "subClassOf"), "properties": typed("ObjectProperty"), "individuals": typed("NamedIndividual")}
+    complete = reduce(Column.__and__, [F.col(t).isNotNull() for t in terms])
+    subjects = each.groupBy(*by, "s").agg(*[F.max(F.col("s").isNotNull() & mark).alias(name) for name, mark in marks.items()],
+                                          F.count_if(complete).alias("triples"))
+    return subjects.groupBy(*by).agg(*[F.count_if(name).alias(name) for name in marks], F.coalesce(F.sum("triples"), F.lit(0)).alias("triples"))

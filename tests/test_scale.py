@@ -59,3 +59,16 @@ def test_rdfxml_documents_are_bounded(spark, monkeypatch):
         assert all(r.value.count("\n") <= lines and r.value.startswith("<rdf:RDF") and r.value.endswith("</rdf:RDF>\n") for r in written)
         back = rdf.read_triples(spark, path).drop("dtype")
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, triples.collect()))
+
+
+def test_graph_stats_deal_the_triples_out_first(spark):
+    from tessera.operators.triples import graph_stats
+
+    rows = [("a", "type", "Class", "iri", ""), ("a", "type", "Class", "iri", ""), ("a", "subClassOf", "b", "iri", ""), ("b", "subClassOf", None, "iri", ""),
+            ("p", "type", "ObjectProperty", "iri", ""), ("i", "type", "NamedIndividual", "iri", ""), ("a", "type", "NamedIndividual", "iri", ""),
+            (None, "type", "Class", "iri", ""), ("a", "label", "x", "lit", "en"), ("a", "label", "x", "lit", "pt"), ("a", None, "x", "lit", None)]
+    t = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, lang string")
+    assert [tuple(r) for r in graph_stats(t).collect()] == [(2, 1, 2, 7)]
+    assert [tuple(r) for r in graph_stats(t.limit(0)).collect()] == [(0, 0, 0, 0)]
+    plan = _plan(graph_stats(t))
+    assert "Expand" not in plan and "REPARTITION_BY_COL" in plan
