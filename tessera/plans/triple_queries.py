@@ -188,9 +188,10 @@ def flt_contains_lcase(spark, sf_dir):
        count(DISTINCT CASE WHEN o = 'NamedIndividual' THEN s END) AS individuals
 FROM T WHERE p = 'type'"""))
 def agg_count_distinct_by_type(spark, sf_dir):
-    t = views.triples(spark, sf_dir).filter(F.col("p") == "type")
-    return t.agg(*[F.count_distinct(F.when(F.col("o") == o, F.col("s"))).alias(n)
-                   for o, n in (("Class", "classes"), ("ObjectProperty", "properties"), ("NamedIndividual", "individuals"))])
+    t = views.triples(spark, sf_dir).filter(F.col("p") == "type").select("s", "o")
+    each = t.repartition("s", "o").distinct()  # dealt out first, as in graph_stats
+    return each.agg(*[F.count(F.when(F.col("o") == o, F.col("s"))).alias(n)
+                      for o, n in (("Class", "classes"), ("ObjectProperty", "properties"), ("NamedIndividual", "individuals"))])
 
 
 @register("agg_union_distinct_counts", sql=W("""U AS (
@@ -202,8 +203,8 @@ def agg_union_distinct_counts(spark, sf_dir):
     each = [("?class", "type", "Class"), ("?prop", "type", "ObjectProperty"), ("?ind", "type", "NamedIndividual")]
     t = opened(spark, sf_dir, *each)
     u = tp.union(*[t.pattern(*pt) for pt in each])
-    return u.agg(F.count_distinct("class").alias("classes"), F.count_distinct("prop").alias("properties"),
-                  F.count_distinct("ind").alias("individuals"))
+    each = u.repartition("class", "prop", "ind").distinct()  # a row binds one of the three; dealt out first, as in graph_stats
+    return each.agg(F.count("class").alias("classes"), F.count("prop").alias("properties"), F.count("ind").alias("individuals"))
 
 
 STATS_SQL = """SELECT count(DISTINCT CASE WHEN (p = 'type' AND o = 'Class') OR p = 'subClassOf' THEN s END) AS classes,
@@ -230,13 +231,7 @@ def agg_graph_compare(spark, sf_dir):
     t = views.triples(spark, sf_dir)
     g = t.filter(F.col("lang") != "pt").withColumn("graph", F.lit("original")).unionByName(
         t.withColumn("graph", F.lit("modified")))
-    is_class = ((F.col("p") == "type") & (F.col("o") == "Class")) | (F.col("p") == "subClassOf")
-    return g.groupBy("graph").agg(
-        F.count_distinct(F.when(is_class, F.col("s"))).alias("classes"),
-        F.count_distinct(F.when((F.col("p") == "type") & (F.col("o") == "ObjectProperty"), F.col("s"))).alias("properties"),
-        F.count_distinct(F.when((F.col("p") == "type") & (F.col("o") == "NamedIndividual"), F.col("s"))).alias("individuals"),
-        F.count_distinct("s", "p", "o", "o_kind", "lang").alias("triples"),
-    )
+    return tp.graph_stats(g, ["graph"])
 
 
 # --- paths and hierarchy ---------------------------------------------------------------------

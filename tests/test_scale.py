@@ -72,3 +72,17 @@ def test_graph_stats_deal_the_triples_out_first(spark):
     assert [tuple(r) for r in graph_stats(t.limit(0)).collect()] == [(0, 0, 0, 0)]
     plan = _plan(graph_stats(t))
     assert "Expand" not in plan and "REPARTITION_BY_COL" in plan
+
+
+def test_graphs_are_compared_by_the_same_step(spark, sf_dir):
+    import __spark_entry__ as se
+    from tessera.operators.triples import graph_stats
+
+    for key in ("agg_graph_compare", "agg_count_distinct_by_type", "agg_union_distinct_counts"):
+        plan = _plan(se.queries()[key](spark, sf_dir))
+        assert "Expand" not in plan and "REPARTITION_BY_COL" in plan
+    rows = [("one", "a", "type", "Class", "iri", ""), ("two", "a", "type", "Class", "iri", ""), ("two", "a", "subClassOf", "b", "iri", ""),
+            (None, "c", "subClassOf", "b", "iri", "")]
+    t = spark.createDataFrame(rows, "graph string, s string, p string, o string, o_kind string, lang string")
+    got = {r.graph: tuple(r)[1:] for r in graph_stats(t, ["graph"]).collect()}
+    assert got == {"one": (1, 0, 0, 1), "two": (1, 0, 0, 2), None: (1, 0, 0, 1)}
