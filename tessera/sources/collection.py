@@ -8,7 +8,10 @@ Readers see the commits of the log only, so an add that dies leaves nothing
 behind.  An add reads the ids of the buckets that its own ids fall into (two
 levels of folders are pruned), never the rows; so what it reads is bounded by its
 own size times the size of a bucket, and ``buckets`` is chosen for the table to
-come.  ``compact`` writes the ids of many commits as one."""
+come.  ``compact`` writes the ids of many commits as one and logs which folders that
+replaces; ``add`` does so whenever ``MERGE_AT`` folders of ids have come together, as
+each of them is listed by every later add.  An add that finds nothing new writes
+no ids."""
 
 from __future__ import annotations
 
@@ -22,6 +25,9 @@ from tessera.operators.knn import knn, metadata_filter
 from tessera.sources.files import stored
 
 BUCKETS = 64
+#: Folders of ids that an add makes into one.
+MERGE_AT = 4
+LOG = "commit string, ids string, epoch string, replaces array<string>"
 
 
 class Collection:
@@ -31,16 +37,22 @@ class Collection:
         self.id_col = id_col
         self.buckets = buckets
 
-    def _log(self) -> DataFrame | None:
+    def log(self) -> list:
+        """(commit, ids, epoch, replaces) of each line: a commit with the folder of its
+        ids (if it has any), or ids that replace those of other folders."""
         try:
-            return self.spark.read.schema("commit string, ids string, epoch string").json(f"{self.path}/log")
+            return self.spark.read.schema(LOG).json(f"{self.path}/log").collect()
         except AnalysisException:
-            return None
+            return []
 
     def commits(self) -> list:
-        """(commit, ids, epoch) of each commit: where its rows and its ids lie."""
-        log = self._log()
-        return log.collect() if log is not None else []
+        """The lines of commits: rows lie under their ``commit``."""
+        return [r for r in self.log() if r.commit is not None]
+
+    def places(self) -> list[str]:
+        """The folders that hold the ids of all commits."""
+        log = self.log()
+        return sorted({r.ids for r in log if r.ids} - {i for r in log for i in r.replaces or []})
 
     def exists(self) -> bool:
         return bool(self.commits())
@@ -57,8 +69,7 @@ class Collection:
 
     def known_ids(self, buckets: list[int]) -> DataFrame:
         """(id, bucket) of the stored rows in some buckets."""
-        places = sorted({r.ids for r in self.commits()})
-        ids = self.spark.read.option("basePath", f"{self.path}/ids").parquet(*[f"{self.path}/ids/commit={c}" for c in places])
+        ids = self.spark.read.option("basePath", f"{self.path}/ids").parquet(*[f"{self.path}/ids/commit={c}" for c in self.places()])
         return ids.filter(F.col("bucket").isin(buckets)).select(self.id_col, "bucket")
 
     def add(self, batch: DataFrame, order: str | None = None, epoch: str | None = None) -> None:
@@ -66,8 +77,8 @@ class Collection:
         is first by ``order`` wins, among equals (or without it) the one whose JSON
         text is smallest, so replaying a batch changes nothing.  A batch with an
         ``epoch`` that the log has is not looked at again."""
-        commits = self.commits()
-        if epoch is not None and any(r.epoch == epoch for r in commits):
+        log = self.log()
+        if epoch is not None and any(r.epoch == epoch for r in log):
             return
         cols = [c for c in batch.columns if c != self.id_col]
         if cols:
@@ -77,23 +88,26 @@ class Collection:
             batch = batch.distinct()
         name = uuid.uuid4().hex
         fresh = stored(batch.withColumn("bucket", F.pmod(F.xxhash64(self.id_col), F.lit(self.buckets)).cast("int")), "collection-batch")
-        if commits:
+        if any(r.ids for r in log):
             touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most the number of buckets
-            fresh = stored(fresh.join(self.known_ids(touched), [self.id_col, "bucket"], "left_anti").select(*fresh.columns), "collection-new")
+            known = self.known_ids(touched).hint("merge")  # as many as the table has: never sent to the driver
+            fresh = stored(fresh.join(known, [self.id_col, "bucket"], "left_anti").select(*fresh.columns), "collection-new")
         fresh.drop("bucket").write.parquet(f"{self.path}/rows/commit={name}")
+        if fresh.isEmpty():  # no ids to list
+            return self._commit(name, None, epoch)
         fresh.select(self.id_col, "bucket").repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/ids/commit={name}")
         self._commit(name, name, epoch)
+        if len(self.places()) >= MERGE_AT:
+            self.compact()
 
-    def _commit(self, name: str, ids: str, epoch: str | None, mode: str = "append") -> None:
-        self.spark.createDataFrame([(name, ids, epoch)], "commit string, ids string, epoch string").coalesce(1).write.mode(mode).json(f"{self.path}/log")
+    def _commit(self, name: str | None, ids: str | None, epoch: str | None, replaces: list[str] | None = None) -> None:
+        self.spark.createDataFrame([(name, ids, epoch, replaces)], LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
 
     def compact(self) -> None:
         """One folder of ids for all commits so far (the rows stay where they are)."""
-        commits = self.commits()
-        name = uuid.uuid4().hex
+        name, places = uuid.uuid4().hex, self.places()
         self.known_ids(list(range(self.buckets))).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/ids/commit={name}")
-        again = self.spark.createDataFrame([(r.commit, name, r.epoch) for r in commits], "commit string, ids string, epoch string")
-        again.coalesce(1).write.mode("overwrite").json(f"{self.path}/log")
+        self._commit(None, name, None, places)
 
     def get(self, ids: DataFrame | list) -> DataFrame:
         if isinstance(ids, list):

@@ -61,6 +61,33 @@ def test_rdfxml_documents_are_bounded(spark, monkeypatch):
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, triples.collect()))
 
 
+def test_collection_ids_stay_in_few_folders_and_off_the_driver(spark):
+    from tessera.sources.collection import MERGE_AT, Collection
+
+    c = Collection(spark, files.scratch_path(spark, "merged"), buckets=4)
+    for b in range(6):
+        c.add(spark.range(b * 50, b * 50 + 100).withColumn("content", F.lit(b)), epoch=f"e/{b}")
+        assert len(c.places()) < MERGE_AT
+    written = len(c.commits())
+    c.add(spark.range(0, 300).withColumn("content", F.lit(9)), epoch="again/0")  # nothing new: no ids
+    c.add(spark.range(400, 500).withColumn("content", F.lit(9)), epoch="again/0")  # which tells that the epoch is done
+    assert written == 6 and len(c.commits()) == 7
+    assert {r.id: r.content for r in c.frame().collect()} == {i: max(0, i // 50 - 1) for i in range(350)}
+    assert c.known_ids([0, 1, 2, 3]).count() == 350
+
+
+def test_collection_adds_do_not_broadcast_the_known_ids(spark, monkeypatch):
+    from tessera.sources import collection as m
+
+    plans = []
+    stored = m.stored
+    monkeypatch.setattr(m, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df, name))
+    c = m.Collection(spark, files.scratch_path(spark, "joined"), buckets=4)
+    c.add(spark.range(100))
+    c.add(spark.range(50, 150))
+    assert "SortMergeJoin" in plans[-1] and "Broadcast" not in plans[-1] and c.count() == 150
+
+
 def test_graph_stats_deal_the_triples_out_first(spark):
     from tessera.operators.triples import graph_stats
 
