@@ -113,3 +113,24 @@ def test_graphs_are_compared_by_the_same_step(spark, sf_dir):
     t = spark.createDataFrame(rows, "graph string, s string, p string, o string, o_kind string, lang string")
     got = {r.graph: tuple(r)[1:] for r in graph_stats(t, ["graph"]).collect()}
     assert got == {"one": (1, 0, 0, 1), "two": (1, 0, 0, 2), None: (1, 0, 0, 1)}
+
+
+def test_routed_queries_leave_in_bounded_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.operators import knn as m
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 4))
+    centres = x[:200]
+    far = {"rows": np.ones(200), "near": np.zeros(200), "far": np.full(200, 9.0)}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(x.tolist()), pa.array(np.zeros(300, np.int32)), pa.array([None] * 300, pa.float64())],
+                                       names=["qid", "vec", "cell", "floor"])
+    out = list(m._router(centres, far, "l2", ["qid", "vec"])(iter([batch])))  # no bound: all to every other cell
+    assert sum(b.num_rows for b in out) == 300 * 199 and max(b.num_rows for b in out) <= m.ROUTED_ROWS
+    assert {(q, c) for b in out for q, c in zip(b["qid"].to_pylist(), b["cell"].to_pylist())} == {(q, c) for q in range(300) for c in range(1, 200)}
+    out = list(m._border_router(m.integer_units(centres), np.inf, ["vec"])(iter([batch])))
+    assert sum(b.num_rows for b in out) == 300 * 200 and max(b.num_rows for b in out) <= m.ROUTED_ROWS
+    for columns in (1, 4096, 10**6):
+        assert m._rows_at_once(columns) * columns <= max(m.MATRIX_CELLS, 16 * columns)
