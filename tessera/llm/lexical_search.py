@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from bisect import insort
 from collections import Counter
 from collections.abc import Iterator
@@ -106,11 +107,12 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 df.update(tf.keys())
                 terms = list(tf)
                 tfs = np.fromiter(tf.values(), dtype=np.int64, count=len(tf))
-                out.append((doc_id, len(words), b" ".join(terms), tfs.astype("<u4").tobytes(), sketch_of(terms, tfs).tobytes()))
+                out.append((doc_id, len(words), b" ".join(terms), tfs.astype("<u4").tobytes(), zlib.compress(sketch_of(terms, tfs), 1)))
             if out:
                 cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(out), pa.binary()), pa.nulls(len(out), pa.int64()),
                                                   pa.array(["doc"] * len(out))], names=names)
+            pa.default_memory_pool().release_unused()
             if len(df) > FLUSH:
                 yield counted(df)
                 df = Counter()
@@ -118,7 +120,8 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Index:
-    """The stored index: ``docs`` (doc_id, n, terms, tfs, sketch), ``df`` (term, df),
+    """The stored index: ``docs`` (doc_id, n, terms, tfs, sketch deflated, as most of
+    its cells are 0 and whole batches of rows are held on their way), ``df`` (term, df),
     number of documents with terms and number of all their terms."""
 
     def __init__(self, docs: DataFrame, df: DataFrame):
@@ -171,7 +174,7 @@ def _searcher(block: Block, k: int, n_docs: int, n_terms: int):
                 m = [100 - 75 + (75 * n * n_docs) // n_terms for n in lengths]
                 bound = np.empty((len(ids), len(block.ids)), dtype=np.int64)
                 for d in range(len(ids)):
-                    sketch = np.frombuffer(batch.column(4)[d].as_buffer(), dtype=np.uint8)
+                    sketch = np.frombuffer(zlib.decompress(batch.column(4)[d].as_buffer()), dtype=np.uint8)
                     log_width = len(sketch).bit_length() - 1
                     if log_width not in where:
                         where[log_width] = cells(block.hashes, log_width)
@@ -192,6 +195,7 @@ def _searcher(block: Block, k: int, n_docs: int, n_terms: int):
                             del best[q][k:]
                             if len(best[q]) == k:
                                 floor[q] = -best[q][-1][0]
+                pa.default_memory_pool().release_unused()
         rows = [(q, None if none else i, -s) for q, found in enumerate(best) for s, none, i in found]
         q, i, s = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array([block.ids[x][0] for x in q], pa.int64()), pa.array([block.ids[x][1] for x in q], pa.int64()),

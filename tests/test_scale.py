@@ -134,3 +134,14 @@ def test_routed_queries_leave_in_bounded_batches():
     assert sum(b.num_rows for b in out) == 300 * 200 and max(b.num_rows for b in out) <= m.ROUTED_ROWS
     for columns in (1, 4096, 10**6):
         assert m._rows_at_once(columns) * columns <= max(m.MATRIX_CELLS, 16 * columns)
+
+
+def test_lexical_index_rows_are_small(spark):
+    from tessera.llm import lexical_search
+
+    texts = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(20)], "doc_id long, text string")
+    index = lexical_search.build(texts)
+    sizes = index.docs.selectExpr("octet_length(sketch) AS s", "octet_length(terms) AS t").collect()
+    assert all(r.s < 2_000 for r in sizes)  # 4,096 cells
+    items = spark.createDataFrame([(1, "w3x7 w3x9 w4x1")], "item_id long, text string")
+    assert [r.doc_id for r in lexical_search.search(index, items).orderBy("rank").collect()] == [3, 4]
