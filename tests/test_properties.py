@@ -503,6 +503,45 @@ def test_pivot_cells_equal_broadcast(spark, cells, metric, monkeypatch):
     assert np.allclose([r[2] for r in a], [r[2] for r in b], atol=1e-10)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_broadcast_collection_equals_brute_force(spark, metric, monkeypatch):
+    """Ties, copies of a vector and of a row, zero vectors; k rows a query leave, however many tasks there are."""
+    from tessera.operators import knn as m
+
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(size=(2_500, 5)), rng.integers(0, 4, size=(1_300, 5)), np.ones((900, 5)), np.zeros((3, 5))]).astype(float)
+    x, ids = np.vstack([x, x[:1]]), rng.permutation(len(x))
+    ids = np.append(ids, ids[0])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "id long, embedding array<double>").repartition(7)
+    got = {(r.qid, r["rank"]): (r.id, r.score) for r in m.knn_self(df, 4, metric=metric).collect()}
+    s = m._scores(m._unit(x) if metric == "cosine" else x, m._unit(x) if metric == "cosine" else x, metric)
+    assert len(got) == 4 * (len(x) - 1)
+    for at in rng.choice(np.arange(1, len(x) - 1), 300, replace=False):
+        others = ids != ids[at]
+        order = np.lexsort((ids[others], -s[at][others]))[:4]
+        found = [got[ids[at], rank] for rank in (1, 2, 3, 4)]
+        assert [i for i, _ in found] == ids[others][order].tolist()
+        assert np.allclose([v for _, v in found], s[at][others][order] * (1 if metric == "cosine" else -1), atol=1e-9)
+    monkeypatch.setattr(m, "_merge_topk", lambda partial, k, metric: partial)
+    assert m.knn_self(df, 4, metric=metric).count() == 4 * len(x)
+
+
+def test_queries_without_a_bound_take_wide_blocks(spark, monkeypatch):
+    """Directions without groups: a query is copied to each block of the collection, not to each cell; the result is the same."""
+    from tessera.operators import knn as m
+
+    x = np.random.default_rng(2).normal(size=(900, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900 + i, x[0].tolist()) for i in range(9)], "id long, embedding array<double>")
+    monkeypatch.setattr(m, "BLOCK_BYTES", 60_000)
+    scored, copies = m._score_in_cells, []
+    monkeypatch.setattr(m, "_score_in_cells", lambda routed, *a, **b: copies.append(routed.count()) or scored(routed, *a, **b))
+    rows = lambda d: sorted((r.qid, r["rank"], r.id, r.score) for r in d.collect())
+    got = rows(m.knn_self(df, 5, cells=30))
+    assert copies[0] == 909 and copies[1] <= 3 * 909  # 909 * 24 * 8 bytes are three blocks
+    monkeypatch.undo()
+    assert got == rows(m.knn_self(df, 5))
+
+
 def test_pivot_cells_pass_over_far_cells(spark):
     """Copies of a query fall as the data fall apart: about one cell each for groups far from each other."""
     from tessera.operators import knn as m
