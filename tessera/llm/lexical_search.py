@@ -92,7 +92,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def counted(df: dict) -> pa.RecordBatch:
         none = [pa.nulls(len(df), t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
         return pa.RecordBatch.from_arrays([*none, pa.array(list(df), pa.binary()), pa.array(list(df.values()), pa.int64()),
-                                           pa.array(["term"] * len(df))], names=names)
+                                           pa.array(["term"] * len(df), pa.string())], names=names)  # none left: still of that type
 
     names = ["doc_id", "n", "terms", "tfs", "sketch", "term", "df", "part"]
     df: Counter = Counter()
@@ -111,7 +111,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if out:
                 cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(out), pa.binary()), pa.nulls(len(out), pa.int64()),
-                                                  pa.array(["doc"] * len(out))], names=names)
+                                                  pa.array(["doc"] * len(out), pa.string())], names=names)
             pa.default_memory_pool().release_unused()
             if len(df) > FLUSH:
                 yield counted(df)

@@ -145,3 +145,14 @@ def test_lexical_index_rows_are_small(spark):
     assert all(r.s < 2_000 for r in sizes)  # 4,096 cells
     items = spark.createDataFrame([(1, "w3x7 w3x9 w4x1")], "item_id long, text string")
     assert [r.doc_id for r in lexical_search.search(index, items).orderBy("rank").collect()] == [3, 4]
+
+
+def test_lexical_index_of_a_task_that_ends_on_a_flush(spark):
+    from tessera.llm import lexical_search
+
+    # one slice of texts has more terms than a task holds: no counts are left at its end
+    texts = spark.range(0, 200, 1, 1).selectExpr("id AS doc_id", "concat_ws(' ', 'all', transform(sequence(1, 1000), j -> concat('w', id, 'x', j))) AS text")
+    index = lexical_search.build(texts)
+    assert (index.n_docs, index.n_terms) == (200, 200_200)
+    assert 200_001 > lexical_search.FLUSH and index.df.count() == 200_001
+    assert [tuple(r) for r in index.df.filter("term = 'all'").selectExpr("CAST(term AS string)", "df").collect()] == [("all", 200)]
